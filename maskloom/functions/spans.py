@@ -1,7 +1,8 @@
 """Spans inside one row: found, reduced and written over without leaving the row.
 
 A span is ``[start, end)`` in characters. All work is on arrays that one text bounds, so no
-exchange is needed and no group can grow beyond its row.
+exchange is needed and no group can grow beyond its row. Every value used twice is bound by
+``let``: each result is one expression, which stays cheap even where the planner copies it.
 """
 
 from __future__ import annotations
@@ -26,25 +27,34 @@ def no_spans() -> Column:
 _BLOCK = 256
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value worked out once: inside lambdas Spark repeats whatever is written twice."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def running_starts(lengths: Column) -> Column:
     """Where each of a row of pieces starts, from their lengths.
 
     Summed in blocks and then over the blocks, so a text of many thousand pieces does not copy a
     growing array for every one of them.
     """
-    blocks = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / _BLOCK).cast("int")),
-        lambda b: F.aggregate(
-            F.slice(lengths, b * _BLOCK + 1, _BLOCK), _starts_so_far(), _add_piece
-        ),
-    )
-    bases = F.aggregate(
-        F.transform(blocks, lambda b: b["at"]), _starts_so_far(), _add_piece, lambda acc: acc["starts"]
-    )
-    summed = F.flatten(
-        F.zip_with(blocks, bases, lambda b, base: F.transform(b["starts"], lambda at: at + base))
-    )
-    return F.when(F.size(lengths) > 0, summed).otherwise(F.array().cast("array<int>"))
+
+    def summed(sizes: Column) -> Column:
+        count = F.floor((F.size(sizes) - 1) / _BLOCK).cast("int")
+        blocks = F.transform(
+            F.sequence(F.lit(0), count),
+            lambda b: F.aggregate(F.slice(sizes, b * _BLOCK + 1, _BLOCK), _starts_so_far(), _add_piece),
+        )
+        return let(blocks, based)
+
+    def based(blocks: Column) -> Column:
+        bases = F.aggregate(
+            F.transform(blocks, lambda b: b["at"]), _starts_so_far(), _add_piece, lambda acc: acc["starts"]
+        )
+        return F.flatten(F.zip_with(blocks, bases, lambda b, base: F.transform(b["starts"], lambda at: at + base)))
+
+    empty = F.array().cast("array<int>")
+    return let(lengths, lambda sizes: F.when(F.size(sizes) > 0, summed(sizes)).otherwise(empty))
 
 
 def _starts_so_far() -> Column:
@@ -56,11 +66,23 @@ def _add_piece(acc: Column, length: Column) -> Column:
 
 
 def located(text: Column, found: Column, regex: Column) -> Column:
-    """``array<struct<start, hit>>`` of the matches ``found`` by a regex in a text."""
-    gaps = F.slice(F.split(text, regex, -1), 1, F.size(found))
-    lengths = F.zip_with(gaps, found, lambda gap, hit: F.length(gap) + F.length(hit))
-    starts = F.zip_with(running_starts(lengths), gaps, lambda at, gap: at + F.length(gap))
-    return F.zip_with(starts, found, lambda at, hit: F.struct(at.alias("start"), hit.alias("hit")))
+    """``array<struct<start, gap, hit>>`` of the matches ``found`` (a column) by a regex in a text.
+
+    ``gap`` is the text between the match before and this one.
+    """
+    pieces = F.zip_with(
+        F.slice(F.split(text, regex, -1), 1, F.size(found)), found,
+        lambda gap, hit: F.struct(gap.alias("gap"), hit.alias("hit")),
+    )
+
+    def placed(gaps: Column) -> Column:
+        starts = running_starts(F.transform(gaps, lambda p: F.length(p["gap"]) + F.length(p["hit"])))
+        return F.zip_with(
+            starts, gaps,
+            lambda at, p: F.struct((at + F.length(p["gap"])).alias("start"), p["gap"].alias("gap"), p["hit"].alias("hit")),
+        )
+
+    return let(pieces, placed)
 
 
 def _located(text: Column, found: Column, regex: Column, to_span: Callable[[Column, Column], Column]) -> Column:
@@ -88,16 +110,16 @@ def matches(text: Column, categories: Sequence[str] | None = None) -> Column:
     )
 
 
-def pattern_spans(text: Column, found: Column, categories: Sequence[str] | None = None) -> Column:
-    """Spans for ``matches(text, categories)``, which the caller keeps in a column."""
+def pattern_spans(text: Column, categories: Sequence[str] | None = None) -> Column:
+    """Spans of the pattern categories in a text."""
     regex = P.pattern(categories)
     if regex is None:
         return no_spans()
-    located = _located(
+    spans = let(matches(text, categories), lambda found: _located(
         text, found, F.lit(regex),
         lambda start, hit: _span(start, hit, P.category_of(hit, categories), DETECTED),
-    )
-    return F.filter(located, lambda s: s["category"].isNotNull())
+    ))
+    return F.filter(spans, lambda s: s["category"].isNotNull())
 
 
 def term_pattern(terms: Column) -> Column:
@@ -121,18 +143,20 @@ def term_pattern(terms: Column) -> Column:
 
 def term_spans(text: Column, regex: Column, category: str, priority: int) -> Column:
     """Spans of the terms in ``regex`` (see ``term_pattern``); none where it is NULL."""
-    found = F.regexp_extract_all(text, regex, F.lit(0))
-    located = _located(
-        text, found, regex, lambda start, hit: _span(start, hit, F.lit(category), priority)
-    )
-    return F.when(regex.isNotNull(), located).otherwise(no_spans())
+    def spans(rx: Column) -> Column:
+        return let(
+            F.regexp_extract_all(text, rx, F.lit(0)),
+            lambda found: _located(text, found, rx, lambda start, hit: _span(start, hit, F.lit(category), priority)),
+        )
+
+    return let(regex, lambda rx: F.when(rx.isNotNull(), spans(rx)).otherwise(no_spans()))
 
 
 def reduce_overlaps(spans: Column) -> Column:
     """Overlapping spans become one over all they cover, so nothing detected is left beside a mask.
 
-    Its category is that of the strongest member: priority, then longest, then leftmost. Gives
-    ``array<struct<start, end, category, priority>>`` in order.
+    Its category is that of the strongest member: priority, then longest, then leftmost; its
+    surface is put together from those of the members. In order of place.
     """
     ranked = F.array_sort(F.transform(
         spans,
@@ -142,64 +166,56 @@ def reduce_overlaps(spans: Column) -> Column:
                 s["priority"].alias("priority"), (s["start"] - s["end"]).alias("size"),
                 s["start"].alias("first"), s["category"].alias("category"),
             ).alias("best"),
+            s["surface"].alias("surface"),
         ),
     ))
-    shape = "array<struct<start:int,end:int,best:struct<priority:int,size:int,first:int,category:string>>>"
+    shape = (
+        "array<struct<start:int,end:int,best:struct<priority:int,size:int,first:int,category:string>,surface:string>>"
+    )
 
     def step(acc: Column, s: Column) -> Column:
-        last = F.try_element_at(acc, F.lit(-1))
-        joined = F.struct(
+        return let(F.try_element_at(acc, F.lit(-1)), lambda last: F.when(
+            last.isNull() | (s["start"] >= last["end"]), F.array_append(acc, s)
+        ).otherwise(F.array_append(F.slice(acc, 1, F.size(acc) - 1), F.struct(
             last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"),
             F.when(s["best"] < last["best"], s["best"]).otherwise(last["best"]).alias("best"),
-        )
-        return F.when((F.size(acc) == 0) | (s["start"] >= last["end"]), F.array_append(acc, s)).otherwise(
-            F.array_append(F.slice(acc, 1, F.size(acc) - 1), joined)
-        )
+            F.when(s["end"] > last["end"], F.concat(
+                last["surface"], F.substr(s["surface"], last["end"] - s["start"] + 1)
+            )).otherwise(last["surface"]).alias("surface"),
+        ))))
+
+    def merged(inorder: Column) -> Column:
+        return F.when(any_touch(inorder), F.aggregate(inorder, F.array().cast(shape), step)).otherwise(inorder)
 
-    touching = F.exists(
-        F.transform(ranked, lambda s, i: s["start"] < F.get(ranked, i - 1)["end"]), lambda t: t
-    )
-    merged = F.when(F.coalesce(touching, F.lit(False)),
-                    F.aggregate(ranked, F.array().cast(shape), step)).otherwise(ranked)
     return F.transform(
-        merged,
+        let(ranked, merged),
         lambda s: F.struct(
             s["start"].alias("start"), s["end"].alias("end"), s["best"]["category"].alias("category"),
-            s["best"]["priority"].alias("priority"),
+            s["surface"].alias("surface"), s["best"]["priority"].alias("priority"),
         ),
     )
 
 
-def with_surface(text: Column, spans: Column) -> Column:
-    """Spans with the text they cover."""
-    return F.transform(
-        spans,
-        lambda s: F.struct(
-            s["start"].alias("start"), s["end"].alias("end"), s["category"].alias("category"),
-            F.substr(text, s["start"] + 1, s["end"] - s["start"]).alias("surface"),
-            s["priority"].alias("priority"),
-        ),
-    )
+def any_touch(inorder: Column) -> Column:
+    """Whether any of the spans (an array in order, bound by ``let``) starts before its neighbour ends."""
+    touches = F.transform(inorder, lambda s, i: s["start"] < F.get(inorder, i - 1)["end"])
+    return F.coalesce(F.exists(touches, lambda t: t), F.lit(False))
 
 
 def rewrite(text: Column, spans: Column, replacement: Callable[[Column], Column]) -> Column:
     """The text with each span (sorted, apart) replaced; the new text is inserted as it is."""
-    pieces = F.transform(
-        spans,
-        lambda s, i: F.concat(
-            F.substr(
-                text, F.coalesce(F.get(spans, i - 1)["end"], F.lit(0)) + 1,
-                s["start"] - F.coalesce(F.get(spans, i - 1)["end"], F.lit(0)),
-            ),
-            replacement(s),
-        ),
-    )
-    tail = F.substr(text, F.try_element_at(spans, F.lit(-1))["end"] + 1)
-    return F.when(F.size(spans) > 0, F.concat(F.array_join(pieces, ""), tail)).otherwise(text)
+    def written(sp: Column) -> Column:
+        def piece(s: Column, i: Column) -> Column:
+            before = F.coalesce(F.get(sp, i - 1)["end"], F.lit(0))
+            return F.concat(F.substr(text, before + 1, s["start"] - before), replacement(s))
+
+        tail = F.substr(text, F.try_element_at(sp, F.lit(-1))["end"] + 1)
+        return F.when(F.size(sp) > 0, F.concat(F.array_join(F.transform(sp, piece), ""), tail)).otherwise(text)
+
+    return let(spans, written)
 
 
-def rewrite_matches(text: Column, found: Column, categories: Sequence[str] | None,
-                    replacement: Callable[[Column], Column]) -> Column:
+def rewrite_matches(text: Column, categories: Sequence[str] | None, replacement: Callable[[Column], Column]) -> Column:
     """As ``rewrite`` where patterns are the only source: one pass, no offsets.
 
     ``replacement(surface)`` is NULL for a match to be left as it is.
@@ -207,9 +223,12 @@ def rewrite_matches(text: Column, found: Column, categories: Sequence[str] | Non
     regex = P.pattern(categories)
     if regex is None:
         return text
-    pieces = F.zip_with(
-        F.split(text, F.lit(regex), -1),
-        found,
-        lambda gap, hit: F.concat(gap, F.coalesce(replacement(hit), hit, F.lit(""))),
-    )
-    return F.when(F.size(found) > 0, F.array_join(pieces, "")).otherwise(text)
+
+    def written(found: Column) -> Column:
+        pieces = F.zip_with(
+            F.split(text, F.lit(regex), -1), found,
+            lambda gap, hit: F.concat(gap, F.coalesce(replacement(hit), hit, F.lit(""))),
+        )
+        return F.when(F.size(found) > 0, F.array_join(pieces, "")).otherwise(text)
+
+    return let(matches(text, categories), written)

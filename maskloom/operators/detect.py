@@ -18,21 +18,22 @@ from maskloom.functions import spans as S
 _TOKEN = r"[\p{L}\p{N}]+"
 
 # Titles that go before a surname, in four languages.
-TITLES = ["Mr", "Ms", "Mrs", "Dr", "M", "Mme", "Herr", "Frau", "Sr", "Sra"]
+TITLES = ["Mr", "Ms", "Mrs", "Dr", "Mme", "Herr", "Frau", "Sr", "Sra"]
 
 
 def detect_patterns(docs: DataFrame, categories: Sequence[str] | None = None, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """Span table of the categories with a written form: Email, PhoneNumber, Date, IBAN, CreditCard."""
-    found = docs.select(*keys, "text", S.matches(F.col("text"), categories).alias("_found")).where(F.size("_found") > 0)
-    return found.select(
-        *keys, F.inline(S.pattern_spans(F.col("text"), F.col("_found"), categories))
-    )
+    """Span table of the categories with a written form: Email, PhoneNumber, Date, IBAN, CreditCard.
+
+    No filter on what is found: it would be pushed below the search and find everything twice.
+    """
+    return docs.select(*keys, F.inline(S.pattern_spans(F.col("text"), categories)))
 
 
 def detect_terms(docs: DataFrame, terms: str = "pii_included_terms", keys: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Span table of the always-redact terms in a column of each document; whole words, case-blind."""
-    ready = docs.select(*keys, "text", S.term_pattern(F.col(terms)).alias("_regex")).where(F.col("_regex").isNotNull())
-    return ready.select(*keys, F.inline(S.term_spans(F.col("text"), F.col("_regex"), C.CUSTOM, S.INCLUDE)))
+    return docs.where(F.size(terms) > 0).select(
+        *keys, F.inline(S.term_spans(F.col("text"), S.term_pattern(F.col(terms)), C.CUSTOM, S.INCLUDE))
+    )
 
 
 def words(text: Column) -> Column:
@@ -66,17 +67,19 @@ def detect_dictionary(docs: DataFrame, gazetteer: DataFrame, keys: Sequence[str]
     firsts = phrases.groupBy(F.split_part("_phrase", F.lit(" "), F.lit(1)).alias("_first")).agg(
         F.array_sort(F.collect_set("_n")).alias("_lengths")
     )
-    found = docs.select(*keys, "text", F.regexp_extract_all("text", F.lit(_TOKEN), F.lit(0)).alias("_words")).where(
-        F.size("_words") > 0
-    )
-    tokens = found.select(*keys, S.located(F.col("text"), F.col("_words"), F.lit(_TOKEN)).alias("_tokens"))
     # The longest phrase sets how many words travel with each first word.
     longest = phrases.agg(F.max("_n")).first()[0] or 0
     if longest == 0:
         return docs.select(*keys, F.inline(S.no_spans())).where(F.lit(False))
-    starts = tokens.select(*keys, "_tokens", F.explode(F.sequence(F.lit(1), F.size("_tokens"))).alias("_i")).select(
-        *keys, F.slice("_tokens", F.col("_i"), longest).alias("_next")
-    ).withColumn("_first", F.lower(F.get("_next", 0)["hit"]))
+    # Cut in the row, so that what travels with a word is the few words after it and not the text.
+    tokens = S.let(
+        F.regexp_extract_all("text", F.lit(_TOKEN), F.lit(0)),
+        lambda found: F.when(F.size(found) > 0, S.located(F.col("text"), found, F.lit(_TOKEN))),
+    )
+    ahead = S.let(tokens, lambda all_: F.transform(all_, lambda t, i: F.struct(
+        F.lower(t["hit"]).alias("_first"), F.slice(all_, i + 1, longest).alias("_next")
+    )))
+    starts = docs.select(*keys, F.inline(ahead))
     tries = starts.join(firsts, "_first").select(
         *keys, "_next", F.explode(F.filter("_lengths", lambda n: n <= F.size("_next"))).alias("_len")
     )
@@ -86,10 +89,13 @@ def detect_dictionary(docs: DataFrame, gazetteer: DataFrame, keys: Sequence[str]
         F.array_join(F.transform(used, lambda t: F.lower(t["hit"])), " ").alias("_phrase"),
     )
     hits = looked.join(phrases.drop("_n"), "_phrase")
+    surface = F.array_join(
+        F.transform("_used", lambda t, i: F.when(i == 0, t["hit"]).otherwise(F.concat(t["gap"], t["hit"]))), ""
+    )
     end = F.element_at("_used", -1)["start"] + F.length(F.element_at("_used", -1)["hit"])
     return hits.select(
         *keys, F.get("_used", 0)["start"].cast("int").alias("start"), end.cast("int").alias("end"), "category",
-        F.col("_phrase").alias("surface"), F.lit(S.DETECTED).alias("priority"),
+        surface.alias("surface"), F.lit(S.DETECTED).alias("priority"),
     )
 
 
@@ -118,8 +124,7 @@ def resolve_spans(spans: DataFrame, keys: Sequence[str] = ("doc_id",)) -> DataFr
     ``keys`` must name one text, so a group is never more than the spans of one row's text;
     repeats of a span are dropped before they travel.
     """
-    unique = spans.select(*keys, "start", "end", "category", "priority").distinct()
-    grouped = unique.groupBy(*keys).agg(
-        F.collect_list(F.struct("start", "end", "category", "priority")).alias("_spans")
-    )
+    columns = ["start", "end", "category", "surface", "priority"]
+    unique = spans.select(*keys, *columns).distinct()
+    grouped = unique.groupBy(*keys).agg(F.collect_list(F.struct(*columns)).alias("_spans"))
     return grouped.select(*keys, F.inline(S.reduce_overlaps(F.col("_spans"))))

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from maskloom import schemas as C
 from maskloom.functions import labels as L
 from maskloom.functions import patterns as P
-from maskloom.operators import ordered
+from maskloom.operators import detect, ordered, redact
 from maskloom.operators.detect import TITLES
+from maskloom.session import kept
 
 
 def parse_name(surface: Column) -> Column:
@@ -47,7 +48,10 @@ def link_mentions(mentions: DataFrame, width: int = ordered.WIDTH) -> DataFrame:
     alone = F.trim(F.concat_ws(" ", F.nullif(F.col("_initial"), F.lit("")), F.col("_surname")))
     entity = F.coalesce(
         F.col("_full"),
-        F.when(F.col("_initial") == "", F.col("_by_surname")).otherwise(F.col("_by_initial")),
+        F.when(F.col("_initial") == "", F.col("_by_surname"))
+        # "M. Keller" may be an initial or the French title.
+        .when(F.col("_initial") == "m", F.coalesce("_by_initial", "_by_surname"))
+        .otherwise(F.col("_by_initial")),
         alone,
     )
     others = mentions.where(F.col("category") != "Person").withColumn(
@@ -77,11 +81,29 @@ def tag_mentions(mentions: DataFrame, tags: DataFrame) -> DataFrame:
     return mentions.join(tags.select("doc_id", "category", "entity", "tag"), ["doc_id", "category", "entity"], "left")
 
 
+def pseudonymize_names(docs: DataFrame, phrases: DataFrame, langs: DataFrame | None = None) -> DataFrame:
+    """Documents with what a (phrase, category) list names as tags, variants of a person under one.
+
+    The mentions are few beside the texts and are used several times, so they are kept: the texts
+    are searched once and written once.
+    """
+    spans = detect.resolve_spans(detect.detect_dictionary(docs, phrases)).withColumn("pos", F.col("start"))
+    mentions = kept(link_mentions(kept(spans)))
+    spoken = langs if langs is not None else docs.select("doc_id", F.lit("en").alias("lang"))
+    tags = localise_labels(assign_tags(mentions), spoken)
+    return redact.apply_spans(docs, tag_mentions(mentions, tags))
+
+
 def document_mentions(tagged_docs: DataFrame) -> DataFrame:
     """Mentions (doc_id, pos, category, surface, entity, tag) out of ``pseudonymize``'s spans."""
-    return tagged_docs.select("doc_id", F.explode("spans").alias("s")).where(F.col("s.tag").isNotNull()).select(
-        "doc_id", F.col("s.start").alias("pos"), "s.category", "s.surface", F.col("s.key").alias("entity"), "s.tag"
+    mentions = F.transform(
+        F.filter("spans", lambda s: s["tag"].isNotNull()),
+        lambda s: F.struct(
+            s["start"].alias("pos"), s["category"].alias("category"), s["surface"].alias("surface"),
+            s["key"].alias("entity"), s["tag"].alias("tag"),
+        ),
     )
+    return tagged_docs.select("doc_id", F.inline(mentions))
 
 
 def correspondence_table(mentions: DataFrame) -> DataFrame:

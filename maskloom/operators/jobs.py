@@ -212,7 +212,8 @@ def job_watch(jobs: DataFrame, reads: DataFrame, budget: int = C.WAIT_BUDGET_SEC
     latest read is an outage (an older status would be stale) and anything else still runs.
     """
     started = jobs.select("job_id", "started_at")
-    in_time = reads.join(started, "job_id").where(
+    columns = ["job_id", "ts", "read_no", "ok", "final", "retryable", "code", "status"]
+    in_time = reads.select(*columns).join(started, "job_id").where(
         (F.col("ts") >= F.col("started_at"))
         & (F.col("ts") < F.col("started_at") + F.make_interval(secs=F.lit(budget)))
     )

@@ -2,8 +2,7 @@
 
 A plain window runs one group in one task. Here a group is cut into buckets of its order column:
 rows are ordered inside a bucket, and only one small row per bucket is ordered across the group.
-Buckets are themselves gathered in coarse buckets, so no task sees more than about ``width`` rows
-of bucket summaries. The order column must be a whole number, unique in its group.
+The order column must be a whole number, unique in its group; ``width`` is what a bucket spans of it.
 """
 
 from __future__ import annotations
@@ -17,8 +16,7 @@ WIDTH = 16_384
 
 
 def _bucketed(df: DataFrame, order: str, width: int) -> DataFrame:
-    fine = F.floor(F.col(order) / F.lit(width))
-    return df.withColumn("_fine", fine).withColumn("_coarse", F.floor(F.col("_fine") / F.lit(width)))
+    return df.withColumn("_bucket", F.floor(F.col(order) / F.lit(width)))
 
 
 def _earlier(keys: Sequence[str], order: str):
@@ -29,17 +27,12 @@ def numbered(df: DataFrame, keys: Sequence[str], order: str, name: str, width: i
     """Adds ``name``: 1, 2, … within the keys (none NULL) by ``order``."""
     keys = list(keys)
     rows = _bucketed(df, order, width)
-    fine = rows.groupBy(*keys, "_coarse", "_fine").agg(F.count(F.lit(1)).alias("_n"))
-    coarse = fine.groupBy(*keys, "_coarse").agg(F.sum("_n").alias("_n"))
-    coarse = coarse.select(
-        *keys, "_coarse", F.coalesce(F.sum("_n").over(_earlier(keys, "_coarse")), F.lit(0)).alias("_base")
+    buckets = rows.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    buckets = buckets.select(
+        *keys, "_bucket", F.coalesce(F.sum("_n").over(_earlier(keys, "_bucket")), F.lit(0)).alias("_before")
     )
-    fine = fine.select(
-        *keys, "_coarse", "_fine",
-        F.coalesce(F.sum("_n").over(_earlier([*keys, "_coarse"], "_fine")), F.lit(0)).alias("_before"),
-    ).join(coarse, [*keys, "_coarse"]).select(*keys, "_fine", (F.col("_base") + F.col("_before")).alias("_before"))
-    inside = F.row_number().over(Window.partitionBy(*keys, "_fine").orderBy(order))
-    return rows.join(fine, [*keys, "_fine"]).select(
+    inside = F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(order))
+    return rows.join(buckets, [*keys, "_bucket"]).select(
         *[F.col(c) for c in df.columns], (F.col("_before") + inside).alias(name)
     )
 
@@ -49,20 +42,12 @@ def as_of(df: DataFrame, keys: Sequence[str], order: str, value: Column, name: s
     keys = list(keys)
     rows = _bucketed(df.withColumn("_value", value), order, width)
     dated = F.when(F.col("_value").isNotNull(), F.struct(F.col(order).alias("at"), F.col("_value").alias("value")))
-    fine = rows.groupBy(*keys, "_coarse", "_fine").agg(F.max(dated).alias("_last"), F.min(dated).alias("_first"))
-    coarse = fine.groupBy(*keys, "_coarse").agg(F.max("_last").alias("_last"), F.min("_first").alias("_first"))
-    group = coarse.groupBy(*keys).agg(F.min("_first").alias("_first"))
-    coarse = coarse.select(
-        *keys, "_coarse", F.max("_last").over(_earlier(keys, "_coarse")).alias("_carried")
+    buckets = rows.groupBy(*keys, "_bucket").agg(F.max(dated).alias("_last"), F.min(dated).alias("_first"))
+    buckets = buckets.select(
+        *keys, "_bucket", F.max("_last").over(_earlier(keys, "_bucket"))["value"].alias("_before"),
+        F.min("_first").over(Window.partitionBy(*keys))["value"].alias("_else"),
     )
-    fine = (
-        fine.select(*keys, "_coarse", "_fine", F.max("_last").over(_earlier([*keys, "_coarse"], "_fine")).alias("_near"))
-        .join(coarse, [*keys, "_coarse"])
-        .join(group, keys)
-        .select(*keys, "_fine", F.coalesce(F.col("_near.value"), F.col("_carried.value")).alias("_before"),
-                F.col("_first.value").alias("_else"))
-    )
-    inside = F.last("_value", ignorenulls=True).over(_earlier([*keys, "_fine"], order))
-    return rows.join(fine, [*keys, "_fine"]).select(
+    inside = F.last("_value", ignorenulls=True).over(_earlier([*keys, "_bucket"], order))
+    return rows.join(buckets, [*keys, "_bucket"]).select(
         *[F.col(c) for c in df.columns], F.coalesce(inside, "_before", "_else").alias(name)
     )

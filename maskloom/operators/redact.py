@@ -17,30 +17,32 @@ from maskloom.functions import patterns as P
 from maskloom.functions import spans as S
 
 
-def with_spans(docs: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
-    """Adds ``spans``: what to remove from ``text``, in order and apart.
-
-    Rule columns are followed where the documents have them: ``pii_categories`` (NULL is all),
-    ``pii_included_terms`` (whole words, always), ``pii_excluded_terms`` (never, unless included).
-    """
+def _spans(docs: DataFrame, categories: Sequence[str] | None) -> Column:
     text = F.col("text")
-    out = docs.withColumn("_found", S.matches(text, categories))
-    detected = S.pattern_spans(text, F.col("_found"), categories)
+    detected = S.pattern_spans(text, categories)
     if "pii_categories" in docs.columns:
         detected = F.filter(
             detected, lambda s: F.col("pii_categories").isNull() | F.array_contains("pii_categories", s["category"])
         )
     if "pii_excluded_terms" in docs.columns:
-        never = F.coalesce(F.transform("pii_excluded_terms", F.lower), F.array().cast("array<string>"))
-        detected = F.filter(detected, lambda s: ~F.array_contains(never, F.lower(s["surface"])))
-    out = out.withColumn("spans", detected).drop("_found")
+        listed = F.coalesce(F.transform("pii_excluded_terms", F.lower), F.array().cast("array<string>"))
+        found = detected
+        detected = S.let(listed, lambda never: F.filter(found, lambda s: ~F.array_contains(never, F.lower(s["surface"]))))
     if "pii_included_terms" in docs.columns:
-        out = out.withColumn("_regex", S.term_pattern(F.col("pii_included_terms")))
-        out = out.withColumn("_terms", S.term_spans(text, F.col("_regex"), C.CUSTOM, S.INCLUDE))
-        both = S.with_surface(text, S.reduce_overlaps(F.concat("spans", "_terms")))
-        out = out.withColumn("spans", F.when(F.size("_terms") > 0, both).otherwise(F.col("spans")))
-        out = out.drop("_regex", "_terms")
-    return out
+        terms = S.term_spans(text, S.term_pattern(F.col("pii_included_terms")), C.CUSTOM, S.INCLUDE)
+        return S.let(terms, lambda own: S.let(detected, lambda others: F.when(
+            F.size(own) > 0, S.reduce_overlaps(F.concat(own, others))
+        ).otherwise(others)))
+    return detected
+
+
+def with_spans(docs: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
+    """Adds ``spans``: what to remove from ``text``, in order and apart.
+
+    Rule columns are followed where the documents have them: ``pii_categories`` (NULL is all),
+    ``pii_included_terms`` (whole words, always), ``pii_excluded_terms`` (never, unless included).
+    """
+    return docs.withColumn("spans", _spans(docs, categories))
 
 
 def _has_rules(docs: DataFrame) -> bool:
@@ -50,14 +52,14 @@ def _has_rules(docs: DataFrame) -> bool:
 def redact(docs: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
     """``text`` with personal data removed; the mask is of one length, so it does not tell the original's."""
     if _has_rules(docs):
-        spans = with_spans(docs, categories)
-        return spans.withColumn("text", S.rewrite(F.col("text"), F.col("spans"), lambda s: F.lit(S.MASK))).drop("spans")
-    found = docs.withColumn("_found", S.matches(F.col("text"), categories))
-    masked = S.rewrite_matches(
-        F.col("text"), F.col("_found"), categories,
-        lambda hit: F.when(P.category_of(hit, categories).isNotNull(), F.lit(S.MASK)),
-    )
-    return found.withColumn("text", masked).drop("_found")
+        return docs.withColumn("text", S.rewrite(F.col("text"), _spans(docs, categories), lambda s: F.lit(S.MASK)))
+    return docs.withColumn("text", S.rewrite_matches(
+        F.col("text"), categories, lambda hit: F.when(P.category_of(hit, categories).isNotNull(), F.lit(S.MASK))
+    ))
+
+
+def _entity(s: Column) -> Column:
+    return F.concat(s["category"], F.lit("|"), s["key"])
 
 
 def tagged_spans(text: Column, spans: Column, lang: Column) -> Column:
@@ -72,20 +74,29 @@ def tagged_spans(text: Column, spans: Column, lang: Column) -> Column:
             s["surface"].alias("surface"), P.entity_key(s["category"], s["surface"]).alias("key"),
         ),
     )
-    entities = F.array_distinct(F.transform(keyed, lambda s: F.concat(s["category"], F.lit("|"), s["key"])))
 
-    def numbered(s: Column) -> Column:
-        upto = F.slice(
-            entities, 1, F.array_position(entities, F.concat(s["category"], F.lit("|"), s["key"])).cast("int")
-        )
-        number = F.size(F.filter(upto, lambda e: e.startswith(F.concat(s["category"], F.lit("|")))))
+    def by_category(rows: Column) -> Column:
+        """Per category its entities, first come first."""
+        entities = F.array_distinct(F.transform(rows, _entity))
+        return S.let(entities, lambda all_: F.transform(
+            F.array_distinct(F.transform(rows, lambda s: s["category"])),
+            lambda c: F.struct(
+                c.alias("category"), F.filter(all_, lambda e: e.startswith(F.concat(c, F.lit("|")))).alias("entities")
+            ),
+        ))
+
+    def numbered(s: Column, groups: Column) -> Column:
+        own = F.get(F.filter(groups, lambda g: g["category"] == s["category"]), 0)
+        number = F.array_position(own["entities"], _entity(s))
         return F.struct(
             s["start"].alias("start"), s["end"].alias("end"), s["category"].alias("category"),
             s["surface"].alias("surface"), s["key"].alias("key"),
             F.when(s["category"] != C.CUSTOM, L.tag(s["category"], lang, number)).alias("tag"),
         )
 
-    return F.transform(keyed, numbered)
+    return S.let(keyed, lambda rows: S.let(
+        by_category(rows), lambda groups: F.transform(rows, lambda s: numbered(s, groups))
+    ))
 
 
 def pseudonymize(docs: DataFrame, categories: Sequence[str] | None = None, lang: str | None = None) -> DataFrame:
@@ -94,11 +105,11 @@ def pseudonymize(docs: DataFrame, categories: Sequence[str] | None = None, lang:
     Always-redact terms are no category and stay black.
     """
     language = F.col(lang) if lang else F.lit("en")
-    out = with_spans(docs, categories)
-    out = out.withColumn("spans", F.when(F.size("spans") > 0, tagged_spans(F.col("text"), F.col("spans"), language)))
-    out = out.withColumn("spans", F.coalesce("spans", F.array().cast(
-        "array<struct<start:int,end:int,category:string,surface:string,key:string,tag:string>>")))
-    return out.withColumn(
+    shape = "array<struct<start:int,end:int,category:string,surface:string,key:string,tag:string>>"
+    tagged = S.let(_spans(docs, categories), lambda found: F.when(
+        F.size(found) > 0, tagged_spans(F.col("text"), found, language)
+    ).otherwise(F.array().cast(shape)))
+    return docs.withColumn("spans", tagged).withColumn(
         "text", S.rewrite(F.col("text"), F.col("spans"), lambda s: F.coalesce(s["tag"], F.lit(S.MASK)))
     )
 

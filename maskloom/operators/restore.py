@@ -40,16 +40,21 @@ def candidates(text: Column, nested_lengths: Column) -> Column:
 
     ``nested_lengths`` are the lengths of tags the bracket scan cannot see; these are tried at every "[".
     """
-    found = F.regexp_extract_all(text, F.lit(_BRACKETED), F.lit(0))
-    scanned = F.transform(S.located(text, found, F.lit(_BRACKETED)), lambda p: _candidate(p["start"], p["hit"]))
-    scanned = F.when(F.size(found) > 0, scanned).otherwise(F.array().cast(f"array<{CANDIDATE}>"))
+    none = F.array().cast(f"array<{CANDIDATE}>")
+    scanned = S.let(
+        F.regexp_extract_all(text, F.lit(_BRACKETED), F.lit(0)),
+        lambda found: F.when(
+            F.size(found) > 0,
+            F.transform(S.located(text, found, F.lit(_BRACKETED)), lambda p: _candidate(p["start"], p["hit"])),
+        ).otherwise(none),
+    )
     opening = F.lit(r"\\?\[")
-    places = S.located(text, F.regexp_extract_all(text, opening, F.lit(0)), opening)
+    places = S.let(F.regexp_extract_all(text, opening, F.lit(0)), lambda found: S.located(text, found, opening))
     tries = F.flatten(F.transform(
         places, lambda p: F.transform(nested_lengths, lambda n: _nested_candidate(text, p["start"], p["hit"], n))
     ))
     nested = F.filter(tries, lambda c: c["tag"].isNotNull())
-    return F.when(F.size(nested_lengths) > 0, F.concat(scanned, nested)).otherwise(scanned)
+    return F.concat(scanned, F.when(F.size(nested_lengths) > 0, nested).otherwise(none))
 
 
 def _candidate(start: Column, raw: Column) -> Column:
@@ -99,11 +104,11 @@ def _nested_lengths(lookup: DataFrame, key: str) -> DataFrame:
 
 
 def _candidate_rows(texts: DataFrame, lengths: DataFrame, keys: Sequence[str], key: str) -> DataFrame:
-    """Candidates of the texts that hold a bracket at all."""
+    """Candidates of the texts."""
     extra = [key] if key not in keys else []
-    holding = texts.where(F.col("text").contains("[")).select(*keys, *extra, "text").join(lengths, key, "left")
+    joined = texts.select(*keys, *extra, "text").join(lengths, key, "left")
     nested = F.coalesce("_nested", F.array().cast("array<int>"))
-    return holding.select(*keys, *extra, F.inline(candidates(F.col("text"), nested)))
+    return joined.select(*keys, *extra, F.inline(S.let(nested, lambda n: candidates(F.col("text"), n))))
 
 
 def tag_rows(texts: DataFrame, table: DataFrame, keys: Sequence[str] = ("doc_id",), key: str = "doc_id") -> DataFrame:
@@ -128,16 +133,21 @@ def tag_rows(texts: DataFrame, table: DataFrame, keys: Sequence[str] = ("doc_id"
 
 def _leftmost(hits: Column) -> Column:
     """Hits apart, leftmost first and the longest at one place."""
-    ordered = F.array_sort(hits, lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(b["end"] - a["end"]))
-    touching = F.exists(F.transform(ordered, lambda h, i: h["start"] < F.get(ordered, i - 1)["end"]), lambda t: t)
     shape = "array<struct<start:int,end:int,tag:string,original:string>>"
-    apart = F.aggregate(
-        ordered, F.array().cast(shape),
-        lambda acc, h: F.when(
-            (F.size(acc) == 0) | (h["start"] >= F.try_element_at(acc, F.lit(-1))["end"]), F.array_append(acc, h)
-        ).otherwise(acc),
+    inorder = F.array_sort(
+        hits, lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(b["end"] - a["end"])
     )
-    return F.when(F.coalesce(touching, F.lit(False)), apart).otherwise(ordered)
+
+    def apart(ordered: Column) -> Column:
+        kept = F.aggregate(
+            ordered, F.array().cast(shape),
+            lambda acc, h: F.when(
+                (F.size(acc) == 0) | (h["start"] >= F.try_element_at(acc, F.lit(-1))["end"]), F.array_append(acc, h)
+            ).otherwise(acc),
+        )
+        return F.when(S.any_touch(ordered), kept).otherwise(ordered)
+
+    return S.let(inorder, apart)
 
 
 def text_hits(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -201,15 +211,18 @@ def leak_scan(outputs: DataFrame, table: DataFrame, key: str = "doc_id") -> Data
     Many outputs or many originals of one document meet in the join, which splits a skewed key.
     """
     secrets = table.where(F.coalesce("original", F.lit("")) != "").select(key, "placeholder", "original").distinct()
-    return outputs.join(secrets, key).where(F.col("text").contains(F.col("original"))).select(key, "placeholder").distinct()
+    # As a condition that cannot be NULL, so no check on the whole text is put before the join.
+    holds = F.coalesce(F.col("text").contains(F.col("original")), F.lit(False))
+    return outputs.join(secrets, key).where(holds).select(key, "placeholder").distinct()
 
 
 def leak_scan_words(outputs: DataFrame, originals: DataFrame, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Outputs that hold an original of *any* document, found word by word: (keys, phrase)."""
-    from maskloom.operators.detect import detect_dictionary
+    from maskloom.operators.detect import detect_dictionary, words
 
     phrases = originals.select(F.col("original").alias("phrase"), F.lit("original").alias("category"))
-    return detect_dictionary(outputs, phrases, keys).select(*keys, F.col("surface").alias("phrase")).distinct()
+    found = detect_dictionary(outputs, phrases, keys)
+    return found.select(*keys, words(F.col("surface")).alias("phrase")).distinct()
 
 
 def round_trip_check(docs: DataFrame, restored: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Run-time SQL settings only, so they can be set on a session someone else built.
 SETTINGS = {
@@ -34,6 +34,8 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Call sites of every column call: costly while plans of many expressions are built.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
@@ -58,3 +60,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(named)
     return named
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """The rows written once to the shared folder, for plans that use a small table several times."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint()

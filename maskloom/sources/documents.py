@@ -13,7 +13,7 @@ SPREAD_BYTES_PER_CORE = 32 * 1024 * 1024
 
 def plan_bytes(df: DataFrame) -> int:
     """Size of a DataFrame as the optimizer estimates it; nothing is run."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
