@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from maskloom.functions.spans import let
+
 # IPv4 ranges that are not public (network, prefix length).
 PRIVATE_V4 = [
     ("0.0.0.0", 8), ("10.0.0.0", 8), ("100.64.0.0", 10), ("127.0.0.0", 8), ("169.254.0.0", 16),
@@ -22,71 +24,86 @@ def is_ipv4(address: Column) -> Column:
 
 def ipv4_number(address: Column) -> Column:
     """Dotted quad to its 32-bit number, NULL for anything else."""
-    parts = F.split(address, r"\.")
-    total = F.aggregate(parts, F.lit(0).cast("bigint"), lambda acc, p: acc * 256 + F.coalesce(p.try_cast("bigint"), F.lit(0)))
-    return F.when(is_ipv4(address), total)
+
+    def number(text: Column) -> Column:
+        octets = F.transform(F.split(text, r"\."), lambda p: p.try_cast("bigint"))
+        return F.when(is_ipv4(text), F.aggregate(octets, F.lit(0).cast("bigint"), lambda acc, p: acc * 256 + p))
+
+    return let(address, number)
 
 
 def _private_number(number: Column) -> Column:
-    hit = F.lit(False)
-    for network, prefix in PRIVATE_V4:
-        a, b, c, d = (int(part) for part in network.split("."))
-        low = ((a * 256 + b) * 256 + c) * 256 + d
-        hit = hit | number.between(low, low + 2 ** (32 - prefix) - 1)
-    return hit
+    def in_range(n: Column) -> Column:
+        hit = F.lit(False)
+        for network, prefix in PRIVATE_V4:
+            a, b, c, d = (int(part) for part in network.split("."))
+            low = ((a * 256 + b) * 256 + c) * 256 + d
+            hit = hit | n.between(low, low + 2 ** (32 - prefix) - 1)
+        return hit
+
+    return let(number, in_range)
+
+
+def _spelled_out(text: Column) -> Column:
+    """A dotted quad at the end of an IPv6 address as two groups."""
+
+    def groups(quad: Column) -> Column:
+        lead = F.left(text, F.length(text) - F.length(quad))
+        return F.when(quad != "", let(ipv4_number(quad), lambda n: F.concat(
+            lead, F.lower(F.hex(F.shiftright(n, 16))), F.lit(":"), F.lower(F.hex(n % 65536))
+        ))).otherwise(text)
+
+    return let(F.regexp_extract(text, rf":({_QUAD})$", 1), groups)
 
 
 def ipv6_groups(address: Column) -> Column:
     """The eight 16-bit groups of an IPv6 address in any spelling, NULL if it is not one."""
-    text = F.lower(F.regexp_replace(address, r"%[0-9a-zA-Z.:-]+$", ""))
-    quad = F.regexp_extract(text, rf":({_QUAD})$", 1)
-    number = F.coalesce(ipv4_number(quad), F.lit(0))
-    spelled = F.when(
-        quad != "",
-        F.concat(
-            F.left(text, F.length(text) - F.length(quad)),
-            F.lower(F.hex(F.shiftright(number, 16))), F.lit(":"), F.lower(F.hex(number % 65536)),
-        ),
-    ).otherwise(text)
-    halves = F.split(spelled, "::")
-    head = F.filter(F.split(F.get(halves, 0), ":"), lambda g: g != "")
-    tail = F.filter(F.split(F.coalesce(F.get(halves, 1), F.lit("")), ":"), lambda g: g != "")
-    known = F.size(head) + F.size(tail)
     group = "[0-9a-f]{1,4}"
     side = f"(?:{group}(?::{group})*)?"
-    full = spelled.rlike(f"^{group}(?::{group}){{7}}$")
-    short = spelled.rlike(f"^{side}::{side}$") & (known <= 7)
-    zeros = F.array_repeat(F.lit("0"), F.greatest(F.lit(8) - known, F.lit(0)))
-    groups = F.concat(head, F.when(short, zeros).otherwise(F.array().cast("array<string>")), tail)
-    return F.when(full | short, F.transform(groups, lambda g: F.conv(g, 16, 10).cast("int")))
+
+    def named(part: Column) -> Column:
+        return F.filter(F.split(F.coalesce(part, F.lit("")), ":"), lambda g: g != "")
+
+    def filled(text: Column, head: Column, tail: Column) -> Column:
+        missing = F.lit(8) - F.size(head) - F.size(tail)
+        good = text.rlike(f"^{group}(?::{group}){{7}}$") | (text.rlike(f"^{side}::{side}$") & (missing >= 1))
+        groups = F.concat(head, F.array_repeat(F.lit("0"), F.greatest(missing, F.lit(0))), tail)
+        return F.when(good, F.transform(groups, lambda g: F.conv(g, 16, 10).cast("int")))
+
+    def expanded(text: Column) -> Column:
+        return let(F.split(text, "::"), lambda halves: let(named(F.get(halves, 0)), lambda head: let(
+            named(F.get(halves, 1)), lambda tail: filled(text, head, tail)
+        )))
+
+    plain = F.lower(F.regexp_replace(address, r"%[0-9a-zA-Z.:-]+$", ""))
+    return let(plain, lambda text: let(_spelled_out(text), expanded))
 
 
 def _private_v6(groups: Column) -> Column:
     g = [F.get(groups, i) for i in range(8)]
 
     def quad(i: int) -> Column:
-        return _private_number(g[i].cast("bigint") * 65536 + g[i + 1])
+        return g[i].cast("bigint") * 65536 + g[i + 1]
 
-    def zero(start: int, end: int) -> Column:
-        out = F.lit(True)
-        for i in range(start, end):
-            out = out & (g[i] == 0)
-        return out
+    def zero(end: int, start: int = 0) -> Column:
+        return F.forall(F.slice(groups, start + 1, end - start), lambda n: n == 0)
 
     nat64 = (g[0] == 0x64) & (g[1] == 0xFF9B)
-    return (
-        F.when(zero(0, 7) & (g[7] < 256), True)  # unspecified, loopback
-        .when(zero(0, 5) & (g[5] == 0xFFFF), quad(6))  # mapped
-        .when(zero(0, 4) & (g[4] == 0xFFFF) & (g[5] == 0), quad(6))  # translated
-        .when(zero(0, 6), quad(6))  # compatible
-        .when(nat64 & zero(2, 6), quad(6))
+    carried = (
+        F.when(zero(5) & (g[5] == 0xFFFF), quad(6))  # mapped
+        .when(zero(4) & (g[4] == 0xFFFF) & (g[5] == 0), quad(6))  # translated
+        .when(zero(6), quad(6))  # compatible
+        .when(nat64 & zero(6, 2), quad(6))
         .when(g[0] == 0x2002, quad(1))  # 6to4
-        .when(nat64, True)  # local-use NAT64
-        .when((g[0] == 0x2001) & (g[1] == 0), True)  # Teredo
-        .when(g[0] >= 0xFE80, True)  # link-local, site-local, multicast
-        .when(g[0].between(0xFC00, 0xFDFF), True)  # unique local
-        .otherwise(False)
     )
+    own = (
+        nat64  # local use
+        | ((g[0] == 0x2001) & (g[1] == 0))  # Teredo
+        | (g[0] >= 0xFE80)  # link-local, site-local, multicast
+        | g[0].between(0xFC00, 0xFDFF)  # unique local
+    )
+    loopback = zero(7) & (g[7] < 256)  # and unspecified
+    return loopback | let(carried, lambda n: F.when(n.isNotNull(), _private_number(n)).otherwise(own))
 
 
 def is_address(address: Column) -> Column:
@@ -95,13 +112,12 @@ def is_address(address: Column) -> Column:
 
 def is_public_address(address: Column) -> Column:
     """True only for an address routable on the public internet; anything unreadable is not."""
-    groups = ipv6_groups(address)
-    private = (
-        F.when(is_ipv4(address), _private_number(ipv4_number(address)))
-        .when(groups.isNotNull(), _private_v6(groups))
-        .otherwise(True)
-    )
-    return ~F.coalesce(private, F.lit(True))
+
+    def public(text: Column) -> Column:
+        v6 = let(ipv6_groups(text), lambda groups: F.when(groups.isNotNull(), ~_private_v6(groups)))
+        return F.coalesce(F.when(is_ipv4(text), ~_private_number(ipv4_number(text))).otherwise(v6), F.lit(False))
+
+    return let(address, public)
 
 
 _URL = r"^([A-Za-z][A-Za-z0-9+.-]*)://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:@]*)(?::([0-9]*))?([^?#]*)"
@@ -114,33 +130,36 @@ def scheme(url: Column) -> Column:
 def host(url: Column) -> Column:
     """Host in lower case, without brackets; numeric spellings of an IPv4 address become a dotted quad."""
     raw = F.regexp_replace(F.lower(F.regexp_extract(F.trim(url), _URL, 2)), r"^\[|\]$", "")
-    return F.coalesce(_quad_of(raw), raw)
+    return let(raw, lambda name: F.coalesce(_quad_of(name), name))
 
 
-def _quad_of(raw: Column) -> Column:
+def _quad_of(name: Column) -> Column:
     """``127.1``, ``0x7f.1``, ``2130706433`` are spellings of one address."""
-    parts = F.split(F.regexp_replace(raw, r"\.$", ""), r"\.")
     numbers = F.transform(
-        parts,
+        F.split(F.regexp_replace(name, r"\.$", ""), r"\."),
         lambda p: F.when(p.rlike("^0x[0-9a-f]*$"), F.conv(F.concat(F.lit("0"), F.substr(p, F.lit(3))), 16, 10))
         .when(p.rlike("^0[0-7]+$"), F.conv(p, 8, 10))
         .when(p.rlike("^(?:0|[1-9][0-9]*)$"), p)
         .try_cast("bigint"),
     )
-    count = F.size(parts)
-    last = F.try_element_at(numbers, F.lit(-1))
-    lead = F.slice(numbers, 1, F.greatest(count - 1, F.lit(0)))
-    top = F.aggregate(lead, F.lit(0).cast("bigint"), lambda acc, n: acc * 256 + n)
-    span = F.pow(F.lit(256), F.lit(5) - count).cast("bigint")
-    good = (
-        (count <= 4) & F.forall(numbers, lambda n: n.isNotNull())
-        & F.forall(lead, lambda n: n <= 255) & (last < span)
-    )
-    total = top * span + last
-    quad = F.concat_ws(
-        ".", *[((total / 2 ** shift).cast("bigint") % 256).cast("string") for shift in (24, 16, 8, 0)]
-    )
-    return F.when(good, quad)
+
+    def total(parts: Column) -> Column:
+        """The last number fills all octets that are not written out."""
+        lead = F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0)))
+        last = F.try_element_at(parts, F.lit(-1))
+        span = F.pow(F.lit(256), F.lit(5) - F.size(parts)).cast("bigint")
+        good = (
+            (F.size(parts) <= 4) & F.forall(parts, lambda n: n.isNotNull())
+            & F.forall(lead, lambda n: n <= 255) & (last < span)
+        )
+        top = F.aggregate(lead, F.lit(0).cast("bigint"), lambda acc, n: acc * 256 + n)
+        return F.when(good, top * span + last)
+
+    def dotted(n: Column) -> Column:
+        octets = [(F.shiftright(n, shift) % 256).cast("string") for shift in (24, 16, 8, 0)]
+        return F.when(n.isNotNull(), F.concat_ws(".", *octets))
+
+    return let(let(numbers, total), dotted)
 
 
 def strip_url(url: Column) -> Column:

@@ -1,7 +1,7 @@
 """Patterns for the categories that have a written form, and checks on what they find.
 
-Only syntax that Java and RE2 read alike is used (no look-around, no ``\\b``), so results can be
-checked with another engine. Accepted spellings are this package's own choice.
+The patterns keep to syntax that Java and RE2 read alike (no look-around, no ``\\b``), so results
+can be checked with another engine. Accepted spellings are this package's own choice.
 """
 
 from __future__ import annotations
@@ -52,10 +52,18 @@ PATTERN_CATEGORIES = list(PATTERNS)
 MAY_MATCH = "[0-9@]"
 
 
-def pattern(categories: Sequence[str] | None = None) -> str | None:
-    """One alternation for the chosen categories; None when none of them has a pattern."""
+# What a match of a pattern can start with: one look instead of trying its every branch.
+_STARTS = {"Date": "[0-9ADFJMNOS]", "CreditCard": "[0-9]", "PhoneNumber": "[+(0]"}
+
+
+def pattern(categories: Sequence[str] | None = None, portable: bool = False) -> str | None:
+    """One alternation for the chosen categories; None when none of them has a pattern.
+
+    ``portable`` leaves out what only speeds up the search and other engines do not know.
+    """
     chosen = [c for c in PATTERN_CATEGORIES if categories is None or c in categories]
-    return "|".join(f"(?:{PATTERNS[c]})" for c in chosen) or None
+    gates = {} if portable else {c: f"(?={first})" for c, first in _STARTS.items()}
+    return "|".join(f"(?:{gates.get(c, '')}(?:{PATTERNS[c]}))" for c in chosen) or None
 
 
 def luhn_ok(surface: Column) -> Column:
@@ -68,11 +76,11 @@ def iban_ok(surface: Column) -> Column:
     plain = F.replace(surface, F.lit(" "), F.lit(""))
     turned = F.concat(F.substr(plain, F.lit(5)), F.left(plain, F.lit(4)))
     remainder = F.aggregate(
-        F.split(turned, ""),
-        F.lit(0).cast("bigint"),
-        lambda acc, ch: F.when(
-            ch.rlike("^[0-9]$"), (acc * 10 + F.coalesce(ch.try_cast("bigint"), F.lit(0))) % 97
-        ).otherwise((acc * 100 + F.coalesce(F.conv(ch, 36, 10).try_cast("bigint"), F.lit(0))) % 97),
+        F.transform(F.split(turned, ""), F.ascii),
+        F.lit(0),
+        lambda acc, code: F.when(code < ord("A"), (acc * 10 + code - ord("0")) % 97).otherwise(
+            (acc * 100 + code - ord("A") + 10) % 97
+        ),
     )
     return F.length(plain).between(15, 34) & (remainder == 1)
 

@@ -85,6 +85,7 @@ def dedupe_jobs(requests: DataFrame, hours: int = C.KEY_LIFETIME_HOURS, hot: int
     another. ``billed`` marks the opener; ``conflict`` a repeat with other parameters. The answer
     per request comes from one list of openers per key, found by ``_openers``.
     """
+    requests = requests.withColumn("ts", F.col("ts").cast("timestamp"))
     openers = _openers(requests.select("job_key", "ts"), hours, hot)
     first = requests.join(openers, ["job_key", "ts"]).groupBy("job_key", F.col("ts").alias("opened_at")).agg(
         F.min_by(F.struct("request_id", "params"), "request_id").alias("_opener")

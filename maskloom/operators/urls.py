@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from maskloom import schemas as C
@@ -19,23 +19,19 @@ def host_verdicts(resolved: DataFrame) -> DataFrame:
     )
 
 
-def _verdict(url: Column, public: Column) -> Column:
-    """Refusals do not tell a private host from an unknown one, so they cannot be used to look around."""
-    host = net.host(url)
-    literal = F.when(net.is_address(host), net.is_public_address(host))
-    return (
-        F.when(~net.scheme(url).isin("http", "https"), "unsupported_scheme")
-        .when((host == "") | ~F.coalesce(literal, public, F.lit(False)), "not_public")
-    )
-
-
 def refuse_private_urls(urls: DataFrame, resolved: DataFrame, url: str = "url") -> DataFrame:
-    """Adds ``shown`` (the URL without query and fragment) and ``refused`` (why, NULL if it may be fetched)."""
+    """Adds ``shown`` (the URL without query and fragment) and ``refused`` (why, NULL if it may be fetched).
+
+    Refusals do not tell a private host from an unknown one, so they cannot be used to look around.
+    """
     verdicts = host_verdicts(resolved).select(F.col("host").alias("_host"), F.col("public").alias("_public"))
     joined = urls.withColumn("_host", net.host(F.col(url))).join(verdicts, "_host", "left")
-    return joined.select(
-        *urls.columns, net.strip_url(F.col(url)).alias("shown"), _verdict(F.col(url), F.col("_public")).alias("refused")
+    # Hosts that are addresses are judged as such, other names by what they resolve to.
+    public = F.when(net.is_address(F.col("_host")), net.is_public_address(F.col("_host"))).otherwise(
+        F.coalesce("_public", F.lit(False))
     )
+    refused = F.when(~net.scheme(F.col(url)).isin("http", "https"), "unsupported_scheme").when(~public, "not_public")
+    return joined.select(*urls.columns, net.strip_url(F.col(url)).alias("shown"), refused.alias("refused"))
 
 
 def audit_redirects(hops: DataFrame, resolved: DataFrame) -> DataFrame:
@@ -44,8 +40,8 @@ def audit_redirects(hops: DataFrame, resolved: DataFrame) -> DataFrame:
     Every hop is checked as its own URL. The first that fails decides; a chain still redirecting
     after three redirects, or whose next hop is not where the last one pointed, is refused.
     """
-    checked = refuse_private_urls(hops, resolved)
-    target = net.join_url(F.col("url"), F.col("location"))
+    checked = refuse_private_urls(hops, resolved).withColumn("_target", net.join_url(F.col("url"), F.col("location")))
+    target = F.col("_target")
     redirect = F.col("status").isin(*REDIRECTS)
     steps = checked.select(
         "chain_id", "hop_no", "url",

@@ -41,6 +41,10 @@ class Tables:
         """A text table with only the columns needed, over all cores while it is small."""
         return spread(getattr(self, name).select(key, *columns), key)
 
+    def notes(self) -> DataFrame:
+        """The composed notes, over all cores while they are few."""
+        return spread(self.sql(NOTES), "doc_id")
+
     def sql(self, text: str) -> DataFrame:
         used = {name: getattr(self, name) for name in TABLES if "{" + name + "}" in text}
         return self.spark.sql(text, **used)
@@ -128,7 +132,7 @@ FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey, min(l_suppke
       FROM {{lineitem}} GROUP BY l_orderkey, l_linenumber) AS lines
 """
 
-PATTERN = P.pattern()
+PATTERN = P.pattern(portable=True)
 
 
 def hits_sql(source: str, keys: str = "doc_id", text: str = "text") -> str:

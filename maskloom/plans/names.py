@@ -9,6 +9,7 @@ from maskloom.functions.labels import LABELS
 from maskloom.operators import detect, entities, redact, restore, runs
 from maskloom.plans.common import KEY_SQL, MENTIONS, NOTES, Tables, checked, given, hits_sql, query, rewritten_sql, surname
 from maskloom.sources import correspondence
+from maskloom.sources.documents import spread
 from maskloom.streaming import texts as streamed
 
 DOCS = "SELECT doc_id, lang, text FROM documents"
@@ -32,7 +33,7 @@ def _tagged_docs(t: Tables) -> DataFrame:
 
 
 def _tagged_notes(t: Tables) -> DataFrame:
-    return redact.pseudonymize(t.sql(NOTES), lang="lang")
+    return redact.pseudonymize(t.notes(), lang="lang")
 
 
 def _table_of(tagged: DataFrame) -> DataFrame:
@@ -59,7 +60,7 @@ def dictionary_spans(t: Tables) -> DataFrame:
     """People and places of a list found in the notes."""
     people = t.sql(PEOPLE).select(F.col("name").alias("phrase"), F.lit("Person").alias("category"))
     places = t.nation.select(F.col("n_name").alias("phrase"), F.lit("Address").alias("category"))
-    return detect.detect_dictionary(t.sql(NOTES), people.unionByName(places)).drop("priority")
+    return detect.detect_dictionary(t.notes(), people.unionByName(places)).drop("priority")
 
 
 @query(f"""WITH m AS ({MENTIONS_CHECK}),
@@ -85,7 +86,7 @@ SELECT o.o_orderkey AS doc_id, replace(replace(text, {given('c_custkey')} || ' '
 FROM notes JOIN orders AS o ON doc_id = o.o_orderkey JOIN customer ON o_custkey = c_custkey""")
 def name_pseudonyms(t: Tables) -> DataFrame:
     """Notes with people as tags: found by list, variants linked, numbered, written in."""
-    notes = t.sql(NOTES).select("doc_id", "text")
+    notes = t.notes().select("doc_id", "text")
     return entities.pseudonymize_names(notes, detect.name_phrases(t.sql(PEOPLE)))
 
 
@@ -103,7 +104,7 @@ def assign_tags(t: Tables) -> DataFrame:
 def _entities(t: Tables) -> DataFrame:
     from maskloom.functions.patterns import entity_key
 
-    found = detect.detect_patterns(t.sql(NOTES)).withColumn("entity", entity_key(F.col("category"), F.col("surface")))
+    found = detect.detect_patterns(t.notes()).withColumn("entity", entity_key(F.col("category"), F.col("surface")))
     return entities.assign_tags(found.withColumn("pos", F.col("start")))
 
 
@@ -111,7 +112,7 @@ def _entities(t: Tables) -> DataFrame:
 SELECT doc_id, lang, category, number, tag FROM tagged WHERE category IS NOT NULL GROUP BY ALL""")
 def localised_tags(t: Tables) -> DataFrame:
     """Tags in the language of each note."""
-    notes = t.sql(NOTES)
+    notes = t.notes()
     return entities.localise_labels(_entities(t), notes).select("doc_id", "lang", "category", "number", "tag")
 
 
@@ -138,7 +139,7 @@ tagged AS (SELECT *, CASE WHEN category IS NOT NULL THEN '[' || {LABEL_SQL} || '
 {rewritten_sql(TURNS_CHECK, 'tag', 'conv_id, turn, lang', 'tagged')} SELECT conv_id, turn, text FROM rewritten""")
 def pseudonymize_turns(t: Tables) -> DataFrame:
     """Conversations with one numbering over all their turns."""
-    return streamed.pseudonymize_turns(t.sql(TURNS).select("conv_id", "turn", "text"))
+    return streamed.pseudonymize_turns(spread(t.sql(TURNS).select("conv_id", "turn", "text"), "conv_id", "turn"))
 
 
 # ---- The table of originals ---------------------------------------------------------------------
@@ -261,7 +262,7 @@ def round_trip(t: Tables) -> DataFrame:
 SELECT doc_id, placeholder FROM grouped WHERE doc_id % 10 = 0""")
 def leak_scan(t: Tables) -> DataFrame:
     """Outputs checked for originals; one in ten was left as it was, and only these are found."""
-    notes, tagged = t.sql(NOTES).select("doc_id", "text"), _tagged_notes(t)
+    notes, tagged = t.notes().select("doc_id", "text"), _tagged_notes(t)
     outputs = tagged.select("doc_id", "text").where("doc_id % 10 <> 0").unionByName(notes.where("doc_id % 10 = 0"))
     return restore.leak_scan(outputs, _table_of(tagged))
 
@@ -270,7 +271,7 @@ def leak_scan(t: Tables) -> DataFrame:
 SELECT doc_id, lower(name) AS phrase FROM notes JOIN people ON contains(text, name) WHERE doc_id % 10 = 0""")
 def corpus_leak_scan(t: Tables) -> DataFrame:
     """Names of anyone at all in the outputs, where one in ten was left as it was."""
-    notes = t.sql(NOTES).select("doc_id", "text")
+    notes = t.notes().select("doc_id", "text")
     cleaned = redact.redact(notes).select(
         "doc_id", F.when(F.col("doc_id") % 10 == 0, F.col("text")).otherwise(F.regexp_extract("text", r"^Order of \S+", 0)).alias("text")
     )
@@ -291,7 +292,7 @@ def mask_review(t: Tables) -> DataFrame:
     """Masks after a review that dropped, added and merged some, numbered anew."""
     from maskloom.functions.patterns import entity_key
 
-    masks = detect.detect_patterns(t.sql(NOTES)).withColumn("entity", entity_key(F.col("category"), F.col("surface")))
+    masks = detect.detect_patterns(t.notes()).withColumn("entity", entity_key(F.col("category"), F.col("surface")))
     masks = masks.select("doc_id", "start", "end", "category", "surface", "entity")
     action = (
         F.when((F.col("doc_id") % 4 == 0) & (F.col("category") == "Date"), "remove")

@@ -35,7 +35,7 @@ SELECT category, count(*) AS masks, count(DISTINCT doc_id) AS documents, count(D
 FROM spans WHERE category IS NOT NULL GROUP BY category""")
 def note_patterns(t: Tables) -> DataFrame:
     """The same on notes rich in cards and account numbers, right and wrong."""
-    found = detect.detect_patterns(t.sql(NOTES))
+    found = detect.detect_patterns(t.notes())
     return found.groupBy("category").agg(
         F.count(F.lit(1)).alias("masks"), F.countDistinct("doc_id").alias("documents"),
         F.countDistinct("surface").alias("surfaces"),

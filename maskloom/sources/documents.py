@@ -11,9 +11,10 @@ from maskloom.functions import files
 SPREAD_BYTES_PER_CORE = 32 * 1024 * 1024
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Size of a DataFrame as the optimizer estimates it; nothing is run."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+def input_bytes(df: DataFrame) -> int:
+    """Size of what a DataFrame reads, as the optimizer knows it; nothing is run."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
@@ -23,7 +24,7 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     exchange is worth it only while the table is small, so a table at scale is returned as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if cores > 1 and plan_bytes(df) < cores * SPREAD_BYTES_PER_CORE:
+    if cores > 1 and input_bytes(df) < cores * SPREAD_BYTES_PER_CORE:
         return df.repartition(cores, *keys)
     return df
 
