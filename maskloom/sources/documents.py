@@ -38,6 +38,7 @@ def read_files(spark: SparkSession, path: str, pattern: str | None = None) -> Da
     """Files as (path, filename, content_type, size, bytes).
 
     Filter on size and content_type first: ``bytes`` is read only for the rows and plans that use it.
+    Spark's listing leaves empty files out, so the check for these applies to other sources.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if pattern:
