@@ -205,15 +205,48 @@ def check_restorable(requests: DataFrame, tables: DataFrame) -> DataFrame:
     )
 
 
-def leak_scan(outputs: DataFrame, table: DataFrame, key: str = "doc_id") -> DataFrame:
+# A document of more originals than this is searched by short pieces instead of one by one.
+MANY_ORIGINALS = 1_000
+_PIECE = 3
+
+
+def leak_scan(outputs: DataFrame, table: DataFrame, key: str = "doc_id", many: int = MANY_ORIGINALS) -> DataFrame:
     """Outputs (key, text) that hold an original of their document: (key, placeholder). None should.
 
-    Many outputs or many originals of one document meet in the join, which splits a skewed key.
+    The originals of a document travel as one list, looked for in the row, so no pairs are made. A
+    document of more than ``many`` originals is searched by the first characters of each instead:
+    every place of the text is joined with the originals that start so.
     """
     secrets = table.where(F.coalesce("original", F.lit("")) != "").select(key, "placeholder", "original").distinct()
-    # As a condition that cannot be NULL, so no check on the whole text is put before the join.
-    holds = F.coalesce(F.col("text").contains(F.col("original")), F.lit(False))
-    return outputs.join(secrets, key).where(holds).select(key, "placeholder").distinct()
+    counts = secrets.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    wide = counts.where(F.col("_n") > many).select(key)
+    listed = secrets.join(wide, key, "left_anti").groupBy(key).agg(
+        F.collect_list(F.struct("placeholder", "original")).alias("_secrets")
+    )
+    held = F.filter("_secrets", lambda s: F.coalesce(F.col("text").contains(s["original"]), F.lit(False)))
+    few = outputs.join(listed, key).select(key, F.inline(F.transform(held, lambda s: F.struct(s["placeholder"].alias("placeholder")))))
+    return few.unionByName(_leaks_by_piece(outputs, secrets.join(wide, key), key)).distinct()
+
+
+def _leaks_by_piece(outputs: DataFrame, secrets: DataFrame, key: str) -> DataFrame:
+    starts = secrets.withColumn("_piece", F.left("original", F.lit(_PIECE)))
+    # How long the pieces and the longest original of a document are: at most three numbers and one.
+    sizes = starts.groupBy(key).agg(
+        F.collect_set(F.length("_piece")).alias("_sizes"), F.max(F.length("original")).alias("_longest")
+    )
+
+    def places(chars: Column) -> Column:
+        return F.flatten(F.transform("_sizes", lambda size: F.transform(
+            chars,
+            lambda c, i: F.struct(
+                F.array_join(F.slice(chars, i + 1, size), "").alias("_piece"),
+                F.array_join(F.slice(chars, i + 1, F.col("_longest")), "").alias("_ahead"),
+            ),
+        )))
+
+    ahead = outputs.join(sizes, key).select(key, F.inline(S.let(F.split("text", ""), places)))
+    met = ahead.join(starts, [key, "_piece"])
+    return met.where(F.col("_ahead").startswith(F.col("original"))).select(key, "placeholder")
 
 
 def leak_scan_words(outputs: DataFrame, originals: DataFrame, keys: Sequence[str] = ("doc_id",)) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from maskloom.functions.labels import LABELS
 from maskloom.operators import detect, entities, redact, restore, runs
 from maskloom.plans.common import KEY_SQL, MENTIONS, NOTES, Tables, checked, given, hits_sql, query, rewritten_sql, surname
+from maskloom.session import kept
 from maskloom.sources import correspondence
 from maskloom.sources.documents import spread
 from maskloom.streaming import texts as streamed
@@ -36,6 +37,11 @@ def _tagged_notes(t: Tables) -> DataFrame:
     return redact.pseudonymize(t.notes(), lang="lang")
 
 
+def _stored_notes(t: Tables) -> DataFrame:
+    """Tagged notes as someone would have stored them, for queries that read them several times."""
+    return kept(_tagged_notes(t))
+
+
 def _table_of(tagged: DataFrame) -> DataFrame:
     return entities.correspondence_table(entities.document_mentions(tagged))
 
@@ -201,9 +207,9 @@ REPLY = (
 
 
 def _restored(t: Tables) -> DataFrame:
-    tagged = _tagged_notes(t)
+    tagged = _stored_notes(t)
     reply = F.expr(REPLY.replace("{text}", "text").replace("\\", "\\\\"))
-    return restore.restore_text(tagged.select("doc_id", reply.alias("text")), _renamed(t, tagged))
+    return restore.restore_text(tagged.select("doc_id", reply.alias("text")), kept(_renamed(t, tagged)))
 
 
 _REPLIES = f"""{hits_sql(NOTES_CHECK, 'doc_id, lang')}, {TAGS}, {_TABLE}, renames AS ({checked(RENAMES)}),
@@ -254,15 +260,15 @@ SELECT doc_id, doc_id NOT IN (SELECT doc_id FROM mixed) AS same FROM documents""
 def round_trip(t: Tables) -> DataFrame:
     """Documents tagged and restored: the same again where each tag has one spelling."""
     docs = t.texts("documents", "doc_id", "text", "lang")
-    tagged = redact.pseudonymize(docs, lang="lang")
-    return restore.round_trip_check(docs, restore.restore_text(tagged.select("doc_id", "text"), _table_of(tagged)))
+    tagged = kept(redact.pseudonymize(docs, lang="lang"))
+    return restore.round_trip_check(docs, restore.restore_text(tagged.select("doc_id", "text"), kept(_table_of(tagged))))
 
 
 @query(f"""WITH {hits_sql(NOTES_CHECK, 'doc_id, lang')}, {TAGS}, {_TABLE}
 SELECT doc_id, placeholder FROM grouped WHERE doc_id % 10 = 0""")
 def leak_scan(t: Tables) -> DataFrame:
     """Outputs checked for originals; one in ten was left as it was, and only these are found."""
-    notes, tagged = t.notes().select("doc_id", "text"), _tagged_notes(t)
+    notes, tagged = t.notes().select("doc_id", "text"), _stored_notes(t)
     outputs = tagged.select("doc_id", "text").where("doc_id % 10 <> 0").unionByName(notes.where("doc_id % 10 = 0"))
     return restore.leak_scan(outputs, _table_of(tagged))
 

@@ -17,7 +17,7 @@ from maskloom.functions import labels as L
 from maskloom.functions import patterns as P
 from maskloom.functions import spans as S
 from maskloom.operators import redact as R
-from maskloom.session import checkpoint_dir
+from maskloom.session import checkpoint_dir, kept
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -102,16 +102,20 @@ def stream_pseudonymize(turns: DataFrame, categories: Sequence[str] | None = Non
 
 
 def pseudonymize_turns(turns: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
-    """The batch twin: one numbering per conversation, by turn and place, for conversations of any length."""
+    """The batch twin: one numbering per conversation, by turn and place, for conversations of any length.
+
+    The mentions, few beside the texts, are kept: texts are searched once and written once.
+    """
     from maskloom.operators import detect, entities
 
     spans = detect.detect_patterns(turns, categories, ["conv_id", "turn"]).withColumn(
         "entity", P.entity_key(F.col("category"), F.col("surface"))
     )
     # Places of a turn fit 31 bits, so turn and place make one ordered number.
-    mentions = spans.withColumn("pos", F.shiftleft(F.col("turn").cast("bigint"), 31) + F.col("start")).withColumnRenamed("conv_id", "doc_id")
-    # A turn is one bucket of the numbering, so its width is what a turn spans.
-    tags = entities.assign_tags(mentions, width=2 ** 31)
+    place = F.shiftleft(F.col("turn").cast("bigint"), 31) + F.col("start")
+    mentions = kept(spans.withColumn("pos", place).withColumnRenamed("conv_id", "doc_id"))
+    # Numbered in buckets of a thousand turns.
+    tags = entities.assign_tags(mentions, width=2 ** 31 * 1024)
     tags = tags.withColumn("tag", L.tag(F.col("category"), F.lit("en"), F.col("number")))
     tagged = entities.tag_mentions(mentions, tags).withColumnRenamed("doc_id", "conv_id")
     return R.apply_spans(turns, tagged, ["conv_id", "turn"])

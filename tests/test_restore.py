@@ -164,3 +164,16 @@ def test_leaks_are_found(spark):
     assert [tuple(r) for r in restore.leak_scan(outputs, parse(spark, CSV)).collect()] == [("d", "[Person 1]")]
     found = restore.leak_scan_words(outputs, parse(spark, CSV).where("original <> ''"))
     assert {tuple(r) for r in found.collect()} == {("d", "anna keller"), ("e", "anna keller")}
+
+
+def test_leaks_of_many_originals_are_found_like_those_of_few(spark):
+    import random
+
+    rng = random.Random(11)
+    word = lambda n: "".join(rng.choice("abé") for _ in range(n))
+    tags = spark.createDataFrame([("d", f"[P {i}]", "", "", word(rng.randint(1, 7))) for i in range(40)], "doc_id string, placeholder string, label string, category string, original string")
+    outputs = spark.createDataFrame([("d", word(30)), ("d", word(12)), ("e", word(50)), ("d", None), ("d", "")], "doc_id string, text string")
+    texts, originals = [r.text for r in outputs.where("doc_id = 'd'").collect()], tags.collect()
+    expected = {("d", r.placeholder) for r in originals if any(r.original in x for x in texts if x)}
+    for many in (1_000, 5):
+        assert {tuple(r) for r in restore.leak_scan(outputs, tags, many=many).collect()} == expected
