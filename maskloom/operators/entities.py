@@ -126,6 +126,12 @@ def unrestorable_tags(table: DataFrame) -> DataFrame:
     return table.where(F.coalesce("original", F.lit("")) == "").select("doc_id", "placeholder", "label", "category")
 
 
+def export_masks(spans: DataFrame) -> DataFrame:
+    """Detected spans as the masks a person may review: (doc_id, start, end, category, surface, entity)."""
+    key = P.entity_key(F.col("category"), F.col("surface"))
+    return spans.select("doc_id", "start", "end", "category", "surface", key.alias("entity"))
+
+
 def apply_review(masks: DataFrame, decisions: DataFrame) -> DataFrame:
     """Masks (doc_id, start, end, category, surface, entity) after a person's review.
 

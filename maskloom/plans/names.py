@@ -108,10 +108,8 @@ def assign_tags(t: Tables) -> DataFrame:
 
 
 def _entities(t: Tables) -> DataFrame:
-    from maskloom.functions.patterns import entity_key
-
-    found = detect.detect_patterns(t.notes()).withColumn("entity", entity_key(F.col("category"), F.col("surface")))
-    return entities.assign_tags(found.withColumn("pos", F.col("start")))
+    masks = entities.export_masks(detect.detect_patterns(t.notes()))
+    return entities.assign_tags(masks.withColumn("pos", F.col("start")))
 
 
 @query(f"""WITH {hits_sql(NOTES_CHECK, 'doc_id, lang')}, {TAGS}
@@ -197,6 +195,27 @@ def unrestorable_tags(t: Tables) -> DataFrame:
     return entities.unrestorable_tags(table.withColumn("original", lost))
 
 
+_STRINGS = """SELECT event_id, CASE event_id % 7 WHEN 0 THEN '[' || event_type || ' 1]' WHEN 1 THEN '[]' WHEN 2 THEN '[x' WHEN 3 THEN event_type || ']' WHEN 4 THEN '[é]' WHEN 5 THEN '' ELSE '[[' END AS value FROM {events}"""
+
+
+@query(f"SELECT event_id, regexp_full_match(value, '\\[.+\\]') AS is_tag FROM ({checked(_STRINGS)}) AS s")
+def tag_strings(t: Tables) -> DataFrame:
+    """Which strings are written like a tag."""
+    return t.sql(_STRINGS).select("event_id", restore.is_tag(F.col("value")).alias("is_tag"))
+
+
+_SETS = """SELECT o_orderkey, o_orderkey % 5 AS a, o_custkey % 4 AS b, o_orderkey % 3 AS c FROM {orders}"""
+
+
+@query(f"""WITH s AS ({checked(_SETS)}), u AS (SELECT o_orderkey, '[P ' || a || ']' AS tag FROM s UNION SELECT o_orderkey, '[P ' || b || ']' FROM s UNION SELECT o_orderkey, '[Q ' || c || ']' FROM s)
+SELECT o_orderkey, string_agg(tag, ',' ORDER BY tag) AS tags FROM u GROUP BY o_orderkey""")
+def tag_sets(t: Tables) -> DataFrame:
+    """Tag lists of several parts as one."""
+    tag = lambda name, column: F.concat(F.lit(f"[{name} "), column, F.lit("]"))
+    joined = restore.combine_tag_sets(F.array(tag("P", "a"), tag("P", "b")), F.array(tag("Q", "c"), tag("P", "a")))
+    return t.sql(_SETS).select("o_orderkey", joined.alias("tags"))
+
+
 # ---- Restore ------------------------------------------------------------------------------------
 
 # What someone wrote from a tagged note: tags plain and Markdown-escaped, renames, strangers.
@@ -296,10 +315,7 @@ entity AS (SELECT doc_id, category, key, min(first) AS first_pos FROM reviewed G
 SELECT doc_id, category, sha256(key) AS entity, first_pos, row_number() OVER (PARTITION BY doc_id, category ORDER BY first_pos) AS number FROM entity""")
 def mask_review(t: Tables) -> DataFrame:
     """Masks after a review that dropped, added and merged some, numbered anew."""
-    from maskloom.functions.patterns import entity_key
-
-    masks = detect.detect_patterns(t.notes()).withColumn("entity", entity_key(F.col("category"), F.col("surface")))
-    masks = masks.select("doc_id", "start", "end", "category", "surface", "entity")
+    masks = entities.export_masks(detect.detect_patterns(t.notes()))
     action = (
         F.when((F.col("doc_id") % 4 == 0) & (F.col("category") == "Date"), "remove")
         .when((F.col("doc_id") % 6 == 0) & F.col("category").isin("Email", "PhoneNumber"), "merge")
