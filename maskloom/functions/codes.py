@@ -74,7 +74,9 @@ def is_terminal_status(status: Column) -> Column:
 
 def is_terminal(job_status: Column, documents: Column) -> Column:
     """A job is settled when all its documents are; without documents its own status decides."""
-    return F.when(F.size(documents) <= 0, is_terminal_status(job_status)).otherwise(
+    # Of no array the size is NULL or -1, depending on the session.
+    none = F.coalesce(F.size(documents), F.lit(0)) <= 0
+    return F.when(none, is_terminal_status(job_status)).otherwise(
         F.forall(documents, lambda d: is_terminal_status(d["status"]))
     )
 

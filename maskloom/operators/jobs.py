@@ -6,13 +6,15 @@ it travels; where rows must be numbered or listed, the group is bounded by a che
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import uuid
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from maskloom import schemas as C
 from maskloom.functions import codes, files
 from maskloom.operators import ordered
-from maskloom.session import checkpoint_dir
+from maskloom.session import checkpoint_dir, kept
 
 
 def check_batch(jobs: DataFrame, uploads: DataFrame) -> DataFrame:
@@ -108,7 +110,7 @@ def _openers(asked: DataFrame, hours: int, hot: int) -> DataFrame:
 
     Keys of up to ``hot`` distinct times are walked as one sorted list. A busier key is followed
     one stretch of ``hours`` at a time: no stretch holds two openers, so its opener is one minimum,
-    combined before it travels, and each round reads only its stretch.
+    combined before it travels, and each round reads only its stretch of a table partitioned so.
     """
     times = asked.distinct()
     counts = times.groupBy("job_key").agg(F.count(F.lit(1)).alias("_n"))
@@ -124,22 +126,25 @@ def _openers(asked: DataFrame, hours: int, hot: int) -> DataFrame:
     calm = walked.select("job_key", F.explode(opened).alias("ts"))
     stretch = F.floor(F.unix_micros("ts") / F.lit(hours * 3_600_000_000))
     busy_times = times.join(busy, "job_key").withColumn("_at", stretch)
-    stretches = [r[0] for r in busy_times.select("_at").distinct().orderBy("_at").collect()]
-    if not stretches:
+    if busy.isEmpty():
         return calm
-    checkpoint_dir(asked.sparkSession)
-    busy_times = busy_times.checkpoint()
+    spark = asked.sparkSession
+    place = f"{checkpoint_dir(spark)}/busy-{uuid.uuid4().hex}"
+    busy_times.write.partitionBy("_at").parquet(place)
+    busy_times = spark.read.parquet(place)
+    # One number per stretch of time, for all keys together.
+    stretches = [r[0] for r in busy_times.select("_at").distinct().orderBy("_at").collect()]
     last, found = None, calm
     for i, at in enumerate(stretches):
         now = busy_times.where(F.col("_at") == at)
         if last is not None:
             now = now.join(last, "job_key", "left").where(F.col("_last").isNull() | (F.col("ts") >= F.col("_last") + life))
-        opener = now.groupBy("job_key").agg(F.min("ts").alias("ts"))
+        opener = kept(now.groupBy("job_key").agg(F.min("ts").alias("ts")))
         found = found.unionByName(opener)
         latest = opener.withColumnRenamed("ts", "_last")
         if last is not None:
             latest = latest.unionByName(last).groupBy("job_key").agg(F.max("_last").alias("_last"))
-        last = latest.checkpoint() if i % 8 == 7 else latest
+        last = kept(latest) if i % 8 == 7 else latest
     return found
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from maskloom.functions import spans as S
 from maskloom.operators import restore as R
 
+# Which parts hold text, and how a run is written.
 TEXT_PART = r"^word/(document|header\d*|footer\d*|footnotes|endnotes|comments)\.xml$"
 MAIN_PART = "word/document.xml"
 _RUN = r"<w:t(\s[^>]*)?>([^<]*)</w:t>"
@@ -20,13 +21,14 @@ _KEYS = ["file_id", "part"]
 # Runs and hits meet by position in stretches of this many characters.
 _STRETCH = 1024
 
-# The named entities.
+# The named entities, and how any entity is written.
 ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'"}
+_ENTITY = r"&(?:#x[0-9a-fA-F]+|#[0-9]+|amp|lt|gt|quot|apos);"
 
 
 def decode_xml(text: Column) -> Column:
     """Named and numeric entities to characters, in one pass so ``&amp;lt;`` stays ``&lt;``."""
-    entity = F.lit(r"&(?:#x[0-9a-fA-F]+|#[0-9]+|amp|lt|gt|quot|apos);")
+    entity = F.lit(_ENTITY)
 
     def char(ref: Column) -> Column:
         named = F.when(ref == "&amp;", "&")
