@@ -10,10 +10,11 @@ the same links). Regions with the same least set are joined to one.
 
 Small regions are joined directly: histograms of the shingles' hashes (their L1 distance never exceeds the
 number of differing shingles) leave the sets that may have a partner, only those are fetched and
-compared. Large regions recurse: some of their documents become pivots, each document goes to the cell of
-its nearest pivot and into every other cell within the window d + 2 * 0.2 that the triangle
-inequality leaves, links to pivots are kept, and cells where all are within 0.2 of the pivot are done. What is
-still large after ``LEVELS`` is joined block against block. Links make components by alternating large and
+compared. Large regions recurse: some of their documents become pivots. A document within 0.6 of one goes to
+the cell of its nearest pivot, at d, and into every other cell within the window d + 2 * 0.2 (and 0.8)
+that the triangle inequality leaves; documents beyond 0.4 of all pivots make a cell of their own, since a partner of one
+beyond 0.6 is beyond 0.4. Links to pivots are kept, and cells where all are within 0.2 of the pivot are done. What is
+still large after ``LEVELS``, or hardly shrank, is joined block against block. Links make components by alternating large and
 small stars. All of it works on one row per distinct set; copies follow their set.
 
 Sets and shingles go by 64-bit hashes. Cases: a null text, or one without words, has an empty set, links
@@ -236,17 +237,56 @@ def _sized(regions: DataFrame) -> DataFrame:
     return regions.join(regions.groupBy("region").agg(F.count(F.lit(1)).alias("size")), "region")
 
 
-def _joined(regions: DataFrame, sets: DataFrame, leaf: int, share: int) -> DataFrame:
-    """The links (a, b) within regions of at most some ``leaf`` sets: each set with the least of those it hangs together with."""
+def _per_region(rows: DataFrame, columns: list[str], work, schema: pa.Schema) -> DataFrame:
+    """``work(region, columns...)`` for every region; regions are small, a task takes one after the other."""
 
-    def possible(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("key")
-        return group.loc[may_link(group["n"].to_numpy(), list(group["sketch"])), ["region", "key"]]
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
 
-    def links(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("key").sort_values("key", ignore_index=True)
-        n, keys = group["n"].to_numpy().astype(np.int64), group["key"].to_numpy()
-        near = linked(shared([np.frombuffer(s, np.uint64) for s in group["shingles"]]), n, n)
+        def flush(last: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal held
+            table = pa.Table.from_batches(held).combine_chunks()
+            regions = table.column("region").to_numpy()
+            starts = np.flatnonzero(np.append(True, regions[1:] != regions[:-1]))
+            ends = np.append(starts[1:], len(regions))
+            whole = len(starts) if last else len(starts) - 1  # the last region may go on
+            values = [table.column(c).to_pylist() if pa.types.is_binary(table.column(c).type) else table.column(c).to_numpy() for c in columns]
+            out = [work(int(regions[a]), *(v[a:b] for v in values)) for a, b in zip(starts[:whole], ends[:whole])]
+            held = [] if last else table.slice(int(starts[-1])).to_batches()
+            for x in out:
+                if len(x[0]):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(x, schema)], schema=schema)
+
+        def together(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            made = list(parts)
+            if made:
+                yield from pa.Table.from_batches(made).combine_chunks().to_batches()
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                yield from together(flush(False))
+        if held:
+            yield from together(flush(True))
+
+    kinds = ", ".join(f"{f.name} long" for f in schema)
+    return rows.select("region", *columns).repartition("region").sortWithinPartitions("region", "key").mapInArrow(stream, kinds)
+
+
+def _joined(regions: DataFrame, sets: DataFrame) -> DataFrame:
+    """The links (a, b) within small regions: each set with the least of those it hangs together with."""
+
+    def possible(region: int, keys: np.ndarray, sizes: np.ndarray, sketches: list[bytes]) -> tuple:
+        one = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))  # a set may be held more than once
+        keep = one[may_link(sizes[one], [sketches[i] for i in one])]
+        return np.full(len(keep), region), keys[keep]
+
+    def links(region: int, keys: np.ndarray, sizes: np.ndarray, shingles: list[bytes]) -> tuple:
+        one = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        if len(one) < 2:
+            return [], []
+        keys, n = keys[one], sizes[one].astype(np.int64)
+        near = linked(shared([np.frombuffer(shingles[i], np.uint64) for i in one]), n, n)
         np.fill_diagonal(near, True)
         label = np.arange(len(n))
         while True:
@@ -255,16 +295,17 @@ def _joined(regions: DataFrame, sets: DataFrame, leaf: int, share: int) -> DataF
                 break
             label = least
         moved = label != np.arange(len(n))
-        return pd.DataFrame({"a": keys[label[moved]], "b": keys[moved]})
+        return keys[label[moved]], keys[moved]
 
     have = sets.where(F.col("shingles").isNotNull())
-    left = regions.join(have.select("key", "n", "sketch"), "key").groupBy("region").applyInPandas(possible, "region long, key long")
-    left = stored(left, "possible")
-    return left.join(have.select("key", "n", "shingles"), "key").groupBy("region").applyInPandas(links, "a long, b long")
+    pairs = pa.schema([("region", pa.int64()), ("key", pa.int64())])
+    left = stored(_per_region(regions.join(have.select("key", "n", "sketch"), "key"), ["key", "n", "sketch"], possible, pairs), "possible")
+    ends = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    return _per_region(left.join(have.select("key", "n", "shingles"), "key"), ["key", "n", "shingles"], links, ends)
 
 
 def _cells(large: DataFrame, sets: DataFrame, level: int, pivots: int, share: int) -> DataFrame:
-    """One Voronoi level: rows (region, key) of cells with something left to join, and links (a, b)."""
+    """One Voronoi level: (cell, key, a, near) for each document, cell it goes to, and its pivot (none in the far cell)."""
     have = sets.where(F.col("shingles").isNotNull()).select("key", "n", "shingles")
     rank = Window.partitionBy("region").orderBy(F.xxhash64("key", F.lit(level)), "key")
     chosen = large.withColumn("_n", F.row_number().over(rank)).where(F.col("_n") <= pivots).select("region", "key", "size")
@@ -283,11 +324,15 @@ def _cells(large: DataFrame, sets: DataFrame, level: int, pivots: int, share: in
         both = shared([np.frombuffer(s, np.uint64) for s in own["shingles"]], [np.frombuffer(s, np.uint64) for s in centres["held"]])
         apart = 1 - both / (n[:, None] + m[None, :] - both)
         near = linked(both, n, m)
-        # The window of the triangle inequality, a hair wider than it must be.
-        row, cell = np.nonzero(apart <= apart.min(1, keepdims=True) + 0.4 + 1e-9)
-        seed = np.array([xxh3_64_intdigest(f"{key[0]}:{level}:{p}".encode()) - (1 << 63) for p in centres["centre"]], np.int64)
+        # All bounds a hair wider than the triangle inequality needs.
+        least, hair = apart.min(1, keepdims=True), 1e-9
+        row, cell = np.nonzero((least <= 0.6 + hair) & (apart <= np.minimum(least + 0.4, 0.8) + hair))
+        far = np.flatnonzero(least[:, 0] > 0.4 - hair)
+        keys, heads = own["key"].to_numpy(), centres["centre"].to_numpy()
+        seed = np.array([xxh3_64_intdigest(f"{key[0]}:{level}:{p}".encode()) - (1 << 63) for p in [*heads, "far"]], np.int64)
         return pd.DataFrame({
-            "region": seed[cell], "key": own["key"].to_numpy()[row], "a": centres["centre"].to_numpy()[cell], "near": near[row, cell].astype("int64"),
+            "region": np.append(seed[cell], np.full(len(far), seed[-1])), "key": np.append(keys[row], keys[far]),
+            "a": np.append(heads[cell], keys[far]), "near": np.append(near[row, cell], np.zeros(len(far), bool)).astype("int64"),
         })
 
     return members.groupBy("region", "share").cogroup(chosen.groupBy("of", "part")).applyInPandas(
@@ -300,25 +345,25 @@ def links(sets: DataFrame, common: int = COMMON, leaf: int = LEAF, pivots: int =
     spark = sets.sparkSession
     table = spark.sparkContext.broadcast(_common_table(sets, common))
     regions = stored(_sized(_regions(_first_shingles(sets, table))), "regions")
-    found = [_joined(regions.where(F.col("size") <= leaf).select("region", "key"), sets, leaf, share)]
-    large = regions.where(F.col("size") > leaf)
-    for level in range(levels + 1):
+    found = [_joined(regions.where(F.col("size") <= leaf).select("region", "key"), sets)]
+    large = regions.where(F.col("size") > leaf).select("region", "key", "size")
+    for level in range(levels):
         if large.isEmpty():
             break
-        if level == levels:
-            half = leaf // 2
-            blocks = F.ceil(F.col("size") / half).cast("long")
-            dealt = large.select("region", "key", blocks.alias("blocks"), F.pmod(F.xxhash64("key", F.lit(-2)), blocks).alias("own"))
-            dealt = dealt.select("region", "key", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
-            cell = F.xxhash64("region", F.least("own", "other"), F.greatest("own", "other"))
-            found.append(_joined(dealt.select(cell.alias("region"), "key"), sets, leaf, share))
-            break
         cells = stored(_cells(large, sets, level, pivots, share), "cells")
-        found.append(cells.where("near = 1 AND a <> key").select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b")))
+        found.append(cells.where("near = 1 AND a <> key").select("a", F.col("key").alias("b")))
         rest = cells.groupBy("region").agg(F.count(F.lit(1)).alias("size"), F.min("near").alias("near")).where("near = 0 AND size > 1")
         rest = stored(cells.select("region", "key").join(rest.select("region", "size"), "region"), "rest")
-        found.append(_joined(rest.where(F.col("size") <= leaf).select("region", "key"), sets, leaf, share))
-        large = rest.where(F.col("size") > leaf)
+        found.append(_joined(rest.where(F.col("size") <= leaf).select("region", "key"), sets))
+        before, large = large.count(), rest.where(F.col("size") > leaf)
+        if large.count() > 0.9 * before:
+            break
+    half = max(1, leaf // 2)
+    blocks = F.ceil(F.col("size") / half).cast("long")
+    dealt = large.select("region", "key", blocks.alias("blocks"), F.pmod(F.xxhash64("key", F.lit(-2)), blocks).alias("own"))
+    dealt = dealt.select("region", "key", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    cell = F.xxhash64("region", F.least("own", "other"), F.greatest("own", "other"))
+    found.append(_joined(dealt.select(cell.alias("region"), "key"), sets))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
