@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
@@ -150,25 +150,43 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
 
 def _common_table(sets: DataFrame, common: int) -> np.ndarray:
     """A bit for each common shingle (found where batches hold it twice), by its first bits: 2 MB, whatever the table."""
-    schema = pa.schema([("word", pa.int64()), ("bit", pa.int64()), ("n", pa.int64()), ("shingle", pa.int64())])
+    schema = pa.schema([("n", pa.int64()), ("shingle", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in batch.column(0) if v.is_valid]
             if sets:
                 found, n = np.unique(np.concatenate(sets), return_counts=True)
-                found, n = found[n > 1], n[n > 1]
-                bit = (found >> np.uint64(64 - TABLE_LOG)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(bit >> 6), pa.array(bit & 63), pa.array(n.astype(np.int64)), pa.array(found.view(np.int64))], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(n[n > 1].astype(np.int64)), pa.array(found[n > 1].view(np.int64))], schema=schema)
 
-    counted = sets.select("shingles").where(F.col("shingles").isNotNull()).mapInArrow(count, "word long, bit long, n long, shingle long")
-    often = counted.groupBy("shingle", "word", "bit").agg(F.sum("n").alias("n")).where(F.col("n") >= common)
-    words = often.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, cast(bit as int))")).alias("bits")).toPandas()
+    counted = sets.select("shingles").where(F.col("shingles").isNotNull()).mapInArrow(count, "n long, shingle long")
+    words = _bit_words(counted.groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= common), "shingle").toPandas()
     table = np.zeros(1 << TABLE_LOG - 6, np.int64)
     table[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
     return table
 
 
+def _word(value: Column) -> Column:
+    return F.shiftrightunsigned(value, 64 - TABLE_LOG + 6)
+
+
+def _bit(value: Column) -> Column:
+    return F.shiftrightunsigned(value, 64 - TABLE_LOG).bitwiseAND(F.lit(63)).cast("int")
+
+
+def _bit_words(rows: DataFrame, column: str) -> DataFrame:
+    """(word, bits) of a bit table of the hashes in a column: at most 2^18 rows, whatever the table."""
+    at = rows.select(_word(F.col(column)).alias("word"), _bit(F.col(column)).alias("bit"))
+    return at.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+
+
+def _held(sets: DataFrame, wanted: DataFrame) -> DataFrame:
+    """key, n, shingles of the wanted keys and few others, so that the rest never travels."""
+    have = sets.where(F.col("shingles").isNotNull()).select("key", "n", "shingles")
+    words = F.broadcast(_bit_words(wanted, "key"))  # of bounded size
+    return have.join(words, _word(F.col("key")) == F.col("word")).where(F.expr("shiftright(bits, cast(shiftrightunsigned(key, %d) & 63 as int)) & 1 = 1" % (64 - TABLE_LOG))).select("key", "n", "shingles")
+
+
 def _is_common(table: np.ndarray, shingles: np.ndarray) -> np.ndarray:
     bit = (shingles >> np.uint64(64 - TABLE_LOG)).astype(np.int64)
     return (table[bit >> 6] >> (bit & 63)) & 1 == 1
@@ -297,16 +315,16 @@ def _joined(regions: DataFrame, sets: DataFrame) -> DataFrame:
         moved = label != np.arange(len(n))
         return keys[label[moved]], keys[moved]
 
-    have = sets.where(F.col("shingles").isNotNull())
+    have = sets.where(F.col("shingles").isNotNull()).select("key", "n", "sketch")
     pairs = pa.schema([("region", pa.int64()), ("key", pa.int64())])
-    left = stored(_per_region(regions.join(have.select("key", "n", "sketch"), "key"), ["key", "n", "sketch"], possible, pairs), "possible")
+    left = stored(_per_region(regions.join(have, "key"), ["key", "n", "sketch"], possible, pairs), "possible")
     ends = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    return _per_region(left.join(have.select("key", "n", "shingles"), "key"), ["key", "n", "shingles"], links, ends)
+    return _per_region(left.join(_held(sets, left), "key"), ["key", "n", "shingles"], links, ends)
 
 
 def _cells(large: DataFrame, sets: DataFrame, level: int, pivots: int, share: int) -> DataFrame:
     """One Voronoi level: (cell, key, a, near) for each document, cell it goes to, and its pivot (none in the far cell)."""
-    have = sets.where(F.col("shingles").isNotNull()).select("key", "n", "shingles")
+    have = _held(sets, large)
     rank = Window.partitionBy("region").orderBy(F.xxhash64("key", F.lit(level)), "key")
     chosen = large.withColumn("_n", F.row_number().over(rank)).where(F.col("_n") <= pivots).select("region", "key", "size")
     shares = F.ceil(F.col("size") / share).cast("long")
