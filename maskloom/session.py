@@ -15,6 +15,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A third of all rows may share one key: split the partition even if that costs an exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Rows and bytes that go to Python at once: whole texts are long.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
 
 
