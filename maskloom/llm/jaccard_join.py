@@ -40,6 +40,8 @@ WORDS = 5
 LEAF, PIVOTS, LEVELS, SHARE = 256, 16, 3, 512
 #: A shingle is common from so many documents on; log2 of the bits that say so.
 COMMON, TABLE_LOG = 32, 24
+#: Shingles in which a task looks for those that occur twice, at once.
+COUNTED = 4_000_000
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 # Odd multipliers, one per word of a shingle.
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15 + 2 * i * 0x5851F42D4C957F2D & 2**64 - 1 | 1 for i in range(WORDS)], np.uint64)
@@ -149,15 +151,26 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
 
 
 def _common_table(sets: DataFrame, common: int) -> np.ndarray:
-    """A bit for each common shingle (found where batches hold it twice), by its first bits: 2 MB, whatever the table."""
+    """A bit for each common shingle (found where some thousand sets hold it twice), by its first bits: 2 MB, whatever the table."""
     schema = pa.schema([("n", pa.int64()), ("shingle", pa.int64())])
 
+    def often(sets: list[np.ndarray]) -> pa.RecordBatch:
+        found = np.sort(np.concatenate(sets))
+        again = np.append(found[1:] == found[:-1], False)
+        starts = np.flatnonzero(again & ~np.append(False, again[:-1]))
+        n = np.add.reduceat(again, starts, dtype=np.int64) + 1 if len(starts) else starts
+        return pa.RecordBatch.from_arrays([pa.array(n), pa.array(found[starts].view(np.int64))], schema=schema)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in batch.column(0) if v.is_valid]
-            if sets:
-                found, n = np.unique(np.concatenate(sets), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(n[n > 1].astype(np.int64)), pa.array(found[n > 1].view(np.int64))], schema=schema)
+        held, size = [], 0
+        for value in (v for batch in batches for v in batch.column(0)):
+            held.append(np.frombuffer(value.as_py(), np.uint64))
+            size += len(held[-1])
+            if size > COUNTED:
+                yield often(held)
+                held, size = [], 0
+        if held:
+            yield often(held)
 
     counted = sets.select("shingles").where(F.col("shingles").isNotNull()).mapInArrow(count, "n long, shingle long")
     words = _bit_words(counted.groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= common), "shingle").toPandas()
