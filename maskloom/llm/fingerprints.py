@@ -145,15 +145,18 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     third = F.floor(F.char_length("text") / 3)
-    ids = texts.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(third).cast("int").alias("third"))
+    # Both joins below deal out the same rows by doc_id, so they share one exchange.
+    placed = texts.where(F.col("doc_id").isNotNull())
+    ids = placed.groupBy("doc_id").agg(F.max(third).cast("int").alias("third"))
     order = stored(next_ids(ids), "next-ids")
     heads = (
-        order.join(texts.withColumnRenamed("doc_id", "next_id"), "next_id")
+        order.join(placed.withColumnRenamed("doc_id", "next_id"), "next_id")
         .select("doc_id", "next_id", F.substring("text", F.lit(1), F.col("third")).alias("head"))
         .groupBy("doc_id", "next_id").agg(F.min("head").alias("head"))
     )
     length, cut = F.char_length("text"), F.floor(F.char_length("text") / 3).cast("int")
-    both = texts.join(heads, "doc_id", "left").select(
+    alone = texts.where(F.col("doc_id").isNull()).select("doc_id", "text", F.lit(None).cast("long").alias("next_id"), F.lit("").alias("head"))
+    both = placed.join(heads, "doc_id", "left").unionByName(alone).select(
         "doc_id", "next_id", length.cast("long").alias("n_chars"), "text",
         F.concat(F.substring("text", F.lit(1), length - cut), F.substring(F.coalesce("head", F.lit("")), F.lit(1), cut)).alias("edited"),
     )
