@@ -31,9 +31,9 @@ from pyspark.sql import functions as F
 
 from maskloom.llm.store import stored
 
-SAMPLE, LEXICON = 6_000, 400
+SAMPLE, LEXICON = 12_000, 1_000
 #: How far from chance (standard deviations) and how frequent a word must be to count as evidence.
-SIGNIFICANT, LEAST = 6.0, 8
+SIGNIFICANT, LEAST = 5.5, 4
 _WORD = re.compile(r"[^\W\d_]+")
 _SHAPES = 12
 TARGETS = ["quality", "toxic"]
