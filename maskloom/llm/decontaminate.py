@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from maskloom.llm.store import lean
+
 #: What each byte of a UTF-8 text becomes; bytes of other scripts stay, they are parts of words.
 _BYTES = bytes(
     b if b > 0x7F or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256)
@@ -138,7 +140,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
                     rows.append(row)
                 yield pa.RecordBatch.from_pylist(rows, report if last else middle)
 
-        return scan
+        return lean(scan)
 
     def pairs(spans: list[tuple[int, int]]) -> list[dict]:
         return [{"start": a, "end": b} for a, b in spans]
@@ -162,7 +164,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, b
                 texts = batch.column("text").to_pylist()
                 yield batch.filter(pa.array([not _scan(automaton, t)[1] for t in texts], pa.bool_()))
 
-        return keep
+        return lean(keep)
 
     for block in _blocks(benchmark, window, block_chars):
         docs = docs.mapInArrow(step(block), docs.schema)

@@ -13,11 +13,12 @@ number of differing shingles) leave the sets that may have a partner, only those
 compared. Large regions recurse: some of their documents become pivots. A document within 0.6 of one goes to
 the cell of its nearest pivot, at d, and into every other cell within the window d + 2 * 0.2 (and 0.8)
 that the triangle inequality leaves; documents beyond 0.4 of all pivots make a cell of their own, since a partner of one
-beyond 0.6 is beyond 0.4. Links to pivots are kept, and cells where all are within 0.2 of the pivot are done. What is
-still large after ``LEVELS``, or hardly shrank, is joined block against block. Links make components by alternating large and
+beyond 0.6 is beyond 0.4. Links to pivots are kept, and cells whose documents all hang together by them are done. What is
+still large after ``LEVELS`` is joined block against block, but not within the part that hangs together. Links make components by alternating large and
 small stars. All of it works on one row per distinct set; copies follow their set.
 
-Sets and shingles go by 64-bit hashes. Cases: a null text, or one without words, has an empty set, links
+Sets go by 64-bit hashes, shingles by 48 bits of theirs (two of a set of 500 fall together once in
+some 2 * 10^9 sets). Cases: a null text, or one without words, has an empty set, links
 with nothing and is its own component; fewer than five words are one shingle; repeated rows and copies share a
 component; a null doc_id takes part, but names no component unless all of it is null; other columns are ignored.
 """
@@ -25,6 +26,7 @@ component; a null doc_id takes part, but names no component unless all of it is
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -33,11 +35,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from maskloom.llm.store import stored
+from maskloom.llm.store import lean, stored
 
 WORDS = 5
 #: Sets joined at once in one task; pivots of a large region; Voronoi levels before blocks; sets measured at once.
-LEAF, PIVOTS, LEVELS, SHARE = 256, 16, 3, 512
+LEAF, PIVOTS, LEVELS, SHARE = 256, 16, 2, 512
 #: A shingle is common from so many documents on; log2 of the bits that say so.
 COMMON, TABLE_LOG = 32, 24
 #: Shingles in which a task looks for those that occur twice, at once.
@@ -54,7 +56,7 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 def shingle_set(text: str | None) -> np.ndarray:
-    """The distinct shingles of a text as sorted 64-bit hashes."""
+    """The distinct shingles of a text as sorted hashes, the upper 48 bits of 64."""
     words = text.encode("utf-8").translate(_LOWER).split() if text else []
     if not words:
         return np.empty(0, np.uint64)
@@ -64,7 +66,18 @@ def shingle_set(text: str | None) -> np.ndarray:
     out = np.full(n, width, np.uint64)
     for i in range(width):
         out += hashes[i : i + n] * _MULTIPLIERS[i]
-    return np.unique(_mixed(out))
+    return np.unique(_mixed(out) & ~np.uint64(0xFFFF))
+
+
+def packed(shingles: np.ndarray) -> bytes:
+    """The 48 bits of each."""
+    return shingles.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    whole = np.zeros((len(data) // 6, 8), np.uint8)
+    whole[:, 2:] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return whole.view("<u8").reshape(-1)
 
 
 def sketch(shingles: np.ndarray) -> bytes:
@@ -139,7 +152,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
                     if not len(found):
                         rows.append((None, 0, None, None))
                         continue
-                    data = found.tobytes()
+                    data = packed(found)
                     key = xxh3_64_intdigest(data) - (1 << 63)
                     rows.append((key, len(found), None, None) if key in seen else (key, len(found), sketch(found), data))
                     seen.add(key)
@@ -147,7 +160,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
                     [part.column(0), *(pa.array(c, f.type) for c, f in zip(zip(*rows), list(schema)[1:]))], schema=schema
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(make, _SETS)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(make), _SETS)
 
 
 def _common_table(sets: DataFrame, common: int) -> np.ndarray:
@@ -164,7 +177,7 @@ def _common_table(sets: DataFrame, common: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for value in (v for batch in batches for v in batch.column(0)):
-            held.append(np.frombuffer(value.as_py(), np.uint64))
+            held.append(unpacked(value.as_py()))
             size += len(held[-1])
             if size > COUNTED:
                 yield often(held)
@@ -172,7 +185,7 @@ def _common_table(sets: DataFrame, common: int) -> np.ndarray:
         if held:
             yield often(held)
 
-    counted = sets.select("shingles").where(F.col("shingles").isNotNull()).mapInArrow(count, "n long, shingle long")
+    counted = sets.select("shingles").where(F.col("shingles").isNotNull()).mapInArrow(lean(count), "n long, shingle long")
     words = _bit_words(counted.groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= common), "shingle").toPandas()
     table = np.zeros(1 << TABLE_LOG - 6, np.int64)
     table[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
@@ -195,9 +208,9 @@ def _bit_words(rows: DataFrame, column: str) -> DataFrame:
 
 def _held(sets: DataFrame, wanted: DataFrame) -> DataFrame:
     """key, n, shingles of the wanted keys and few others, so that the rest never travels."""
-    have = sets.where(F.col("shingles").isNotNull()).select("key", "n", "shingles")
+    have = sets.where(F.col("shingles").isNotNull()).select("key", "n", "shingles")  # copies: once per batch
     words = F.broadcast(_bit_words(wanted, "key"))  # of bounded size
-    return have.join(words, _word(F.col("key")) == F.col("word")).where(F.expr("shiftright(bits, cast(shiftrightunsigned(key, %d) & 63 as int)) & 1 = 1" % (64 - TABLE_LOG))).select("key", "n", "shingles")
+    return have.join(words, _word(F.col("key")) == F.col("word")).where(F.expr("shiftright(bits, cast(shiftrightunsigned(key, %d) & 63 as int)) & 1 = 1" % (64 - TABLE_LOG))).select("key", "n", "shingles").dropDuplicates(["key"])
 
 
 def _is_common(table: np.ndarray, shingles: np.ndarray) -> np.ndarray:
@@ -215,7 +228,7 @@ def _first_shingles(sets: DataFrame, table) -> DataFrame:
                 part = batch.slice(begin, 1024)
                 out, keys, commons = [], [], []
                 for key, value in zip(part.column(0).to_pylist(), part.column(1)):
-                    own = np.frombuffer(value.as_buffer(), np.uint64)
+                    own = unpacked(value.as_buffer())
                     common = _is_common(table.value, own)
                     order = np.argsort(common, kind="stable")[: len(own) - (4 * len(own) + 4) // 5 + 1]
                     out.append(own[order])
@@ -226,7 +239,7 @@ def _first_shingles(sets: DataFrame, table) -> DataFrame:
                         [pa.array(np.concatenate(out).view(np.int64)), pa.array(np.concatenate(keys)), pa.array(np.concatenate(commons))], schema=schema
                     )
 
-    return sets.where(F.col("shingles").isNotNull()).select("key", "shingles").mapInArrow(deal, "shingle long, key long, common boolean")
+    return sets.where(F.col("shingles").isNotNull()).select("key", "shingles").mapInArrow(lean(deal), "shingle long, key long, common boolean")
 
 
 def _regions(firsts: DataFrame) -> DataFrame:
@@ -257,7 +270,7 @@ def _regions(firsts: DataFrame) -> DataFrame:
 
     rare = (
         firsts.where(~F.col("common")).select("shingle", "key").repartition("shingle").sortWithinPartitions("shingle", "key")
-        .mapInArrow(runs, "region long, key long")
+        .mapInArrow(lean(runs), "region long, key long")
     )
     common = firsts.where("common").select("shingle", "key").distinct()
     least = common.groupBy("shingle").agg(F.min("key").alias("region"), F.max("key").alias("_most")).where("region < _most")
@@ -301,7 +314,7 @@ def _per_region(rows: DataFrame, columns: list[str], work, schema: pa.Schema) ->
             yield from together(flush(True))
 
     kinds = ", ".join(f"{f.name} long" for f in schema)
-    return rows.select("region", *columns).repartition("region").sortWithinPartitions("region", "key").mapInArrow(stream, kinds)
+    return rows.select("region", *columns).repartition("region").sortWithinPartitions("region", "key").mapInArrow(lean(stream), kinds)
 
 
 def _joined(regions: DataFrame, sets: DataFrame) -> DataFrame:
@@ -317,7 +330,7 @@ def _joined(regions: DataFrame, sets: DataFrame) -> DataFrame:
         if len(one) < 2:
             return [], []
         keys, n = keys[one], sizes[one].astype(np.int64)
-        near = linked(shared([np.frombuffer(shingles[i], np.uint64) for i in one]), n, n)
+        near = linked(shared([unpacked(shingles[i]) for i in one]), n, n)
         np.fill_diagonal(near, True)
         label = np.arange(len(n))
         while True:
@@ -328,7 +341,7 @@ def _joined(regions: DataFrame, sets: DataFrame) -> DataFrame:
         moved = label != np.arange(len(n))
         return keys[label[moved]], keys[moved]
 
-    have = sets.where(F.col("shingles").isNotNull()).select("key", "n", "sketch")
+    have = sets.where(F.col("shingles").isNotNull()).select("key", "n", "sketch").dropDuplicates(["key"])
     pairs = pa.schema([("region", pa.int64()), ("key", pa.int64())])
     left = stored(_per_region(regions.join(have, "key"), ["key", "n", "sketch"], possible, pairs), "possible")
     ends = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -352,7 +365,7 @@ def _cells(large: DataFrame, sets: DataFrame, level: int, pivots: int, share: in
         if not len(own) or not len(centres):
             return pd.DataFrame({"region": [], "key": [], "a": [], "near": []}).astype("int64")
         n, m = own["n"].to_numpy().astype(np.int64), centres["m"].to_numpy().astype(np.int64)
-        both = shared([np.frombuffer(s, np.uint64) for s in own["shingles"]], [np.frombuffer(s, np.uint64) for s in centres["held"]])
+        both = shared([unpacked(s) for s in own["shingles"]], [unpacked(s) for s in centres["held"]])
         apart = 1 - both / (n[:, None] + m[None, :] - both)
         near = linked(both, n, m)
         # All bounds a hair wider than the triangle inequality needs.
@@ -382,23 +395,37 @@ def links(sets: DataFrame, common: int = COMMON, leaf: int = LEAF, pivots: int =
         if large.isEmpty():
             break
         cells = stored(_cells(large, sets, level, pivots, share), "cells")
-        found.append(cells.where("near = 1 AND a <> key").select("a", F.col("key").alias("b")))
-        rest = cells.groupBy("region").agg(F.count(F.lit(1)).alias("size"), F.min("near").alias("near")).where("near = 0 AND size > 1")
-        rest = stored(cells.select("region", "key").join(rest.select("region", "size"), "region"), "rest")
+        near = cells.where("near = 1 AND a <> key").select("a", F.col("key").alias("b"))
+        found.append(near)
+        rest = stored(_open(cells.select("region", "key"), components(near)), "rest")
         found.append(_joined(rest.where(F.col("size") <= leaf).select("region", "key"), sets))
-        before, large = large.count(), rest.where(F.col("size") > leaf)
-        if large.count() > 0.9 * before:
-            break
-    half = max(1, leaf // 2)
-    blocks = F.ceil(F.col("size") / half).cast("long")
-    dealt = large.select("region", "key", blocks.alias("blocks"), F.pmod(F.xxhash64("key", F.lit(-2)), blocks).alias("own"))
-    dealt = dealt.select("region", "key", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
-    cell = F.xxhash64("region", F.least("own", "other"), F.greatest("own", "other"))
-    found.append(_joined(dealt.select(cell.alias("region"), "key"), sets))
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out.distinct()
+        large = rest.where(F.col("size") > leaf)
+    found.append(_joined(_blocks(large, max(1, leaf // 2)), sets))
+    return _all(found).distinct()
+
+
+def _all(parts: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def _open(cells: DataFrame, roots: DataFrame) -> DataFrame:
+    """(region, key, size, odd) of the cells that hold sets not yet known to hang together; odd: not in the largest part."""
+    named = cells.distinct().join(roots, F.col("key") == F.col("node"), "left").select("region", "key", F.coalesce("root", "key").alias("part"))
+    parts = named.groupBy("region", "part").agg(F.count(F.lit(1)).alias("n"))
+    most = parts.groupBy("region").agg(F.sum("n").alias("size"), F.max(F.struct("n", "part"))["part"].alias("main"), F.count(F.lit(1)).alias("parts"))
+    return named.join(most.where("parts > 1"), "region").select("region", "key", "size", (F.col("part") != F.col("main")).alias("odd"))
+
+
+def _blocks(large: DataFrame, half: int) -> DataFrame:
+    """(region, key): large regions dealt over blocks, a region for each pair of blocks but those within the largest part."""
+    odd = F.col("odd") if "odd" in large.columns else F.lit(True)
+    large = large.select("region", "key", odd.alias("odd"))
+    counts = large.groupBy("region").agg(*[F.ceil(F.count(F.when(x, 1)) / half).cast("long").alias(n) for x, n in ((F.col("odd"), "odds"), (~F.col("odd"), "evens"))])
+    hashed = F.xxhash64("key", F.lit(-2))
+    own = F.when(F.col("odd"), F.pmod(hashed, F.col("odds"))).otherwise(F.col("odds") + F.pmod(hashed, F.col("evens")))
+    others = F.when(F.col("odd"), F.col("odds") + F.col("evens")).otherwise(F.col("odds"))
+    dealt = large.join(counts, "region").select("region", "key", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), others - 1)).alias("other"))
+    return dealt.select(F.xxhash64("region", F.least("own", "other"), F.greatest("own", "other")).alias("region"), "key")
 
 
 def components(edges: DataFrame) -> DataFrame:

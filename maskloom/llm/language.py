@@ -29,6 +29,8 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from maskloom.llm.store import lean
+
 UNKNOWN = "und"
 ORDER, SAMPLE = 3, 200
 #: Positions looked up at once.
@@ -200,8 +202,7 @@ def identify(docs: DataFrame, trees) -> DataFrame:
                 names, scores = trees.value.predict(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names), pa.array(scores)], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        predict, "doc_id long, lang_pred string, score double"
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(predict), "doc_id long, lang_pred string, score double"
     )
 
 
@@ -214,7 +215,7 @@ def drop_unidentified(docs: DataFrame, trees) -> DataFrame:
                 names, _ = trees.value.predict(part.column("text").to_pylist())
                 yield part.filter(pa.array([n != UNKNOWN for n in names]))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(lean(keep), docs.schema)
 
 
 def _slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:

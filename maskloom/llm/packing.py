@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from maskloom.llm.store import stored
+from maskloom.llm.store import lean, stored
 from maskloom.llm.tokens import encoder
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -51,7 +51,7 @@ def cut_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, g
                     slot += 1
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)] if rows else [pa.array([], pa.int64())] * 6, schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, f"{PIECES}, slot long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(cut), f"{PIECES}, slot long")
 
 
 def difference(lengths: np.ndarray, windows: int) -> np.ndarray:

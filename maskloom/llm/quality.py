@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from maskloom.llm.store import stored
+from maskloom.llm.store import lean, stored
 
 SAMPLE, LEXICON = 12_000, 1_000
 #: How far from chance (standard deviations) and how frequent a word must be to count as evidence.
@@ -144,7 +144,7 @@ def evidence(docs: DataFrame, classifier, host: Column, path: Column) -> DataFra
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *(pa.array([o[t] for o in odds], pa.float64()) for t in range(2))], schema=schema)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), host.cast("string").alias("host"), path.cast("string").alias("path"), "text")
-    return rows.mapInArrow(score, "doc_id long, host string, path string, quality double, toxic double")
+    return rows.mapInArrow(lean(score), "doc_id long, host string, path string, quality double, toxic double")
 
 
 def _probability(odds: Column) -> Column:

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from maskloom.llm.store import lean
+
 # The kinds in their order, the pattern kinds first.
 KINDS = ["assign", "access", "hex", "pem", "der", "openssh", "derhex", "jwt"]
 BASE = KINDS[:3]
@@ -210,7 +212,7 @@ def find_secrets(docs: DataFrame) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, schema.field("spans").type)], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scan, f"doc_id long, spans {SPANS}")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(scan), f"doc_id long, spans {SPANS}")
 
 
 def mask_secrets(docs: DataFrame) -> DataFrame:
@@ -222,7 +224,7 @@ def mask_secrets(docs: DataFrame) -> DataFrame:
             columns = [pa.array(texts, f.type) if f.name == "text" else c for f, c in zip(batch.schema, batch.columns)]
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    out = docs.mapInArrow(mask, docs.schema)
+    out = docs.mapInArrow(lean(mask), docs.schema)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.coalesce(F.char_length("text"), F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return out

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from maskloom.llm.store import opened, stored
+from maskloom.llm.store import lean, opened, stored
 from maskloom.llm.tokens import encoder
 
 MANIFEST = "part int, file string, width int, n_docs long, n_tokens long"
@@ -66,7 +66,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int)
         .repartitionByRange("doc_id", F.xxhash64("text"))
         .sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     )
-    manifest = ordered.mapInArrow(write, MANIFEST)
+    manifest = ordered.mapInArrow(lean(write), MANIFEST)
     manifest.write.parquet(f"{folder}/manifest")
     return docs.sparkSession.read.schema(MANIFEST).parquet(f"{folder}/manifest")
 
@@ -110,4 +110,4 @@ def read_token_spans(spark: SparkSession, folder: str) -> DataFrame:
     manifest = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
     parts = stored(based(manifest), "token-parts")
     count = parts.count()
-    return parts.repartitionByRange(max(count, 1), "part").mapInArrow(read, SPANS)
+    return parts.repartitionByRange(max(count, 1), "part").mapInArrow(lean(read), SPANS)
