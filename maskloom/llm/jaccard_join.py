@@ -13,8 +13,8 @@ number of differing shingles) leave the sets that may have a partner, only those
 compared. Large regions recurse: some of their documents become pivots. A document within 0.6 of one goes to
 the cell of its nearest pivot, at d, and into every other cell within the window d + 2 * 0.2 (and 0.8)
 that the triangle inequality leaves; documents beyond 0.4 of all pivots make a cell of their own, since a partner of one
-beyond 0.6 is beyond 0.4. Links to pivots are kept, and cells whose documents all hang together by them are done. What is
-still large after ``LEVELS`` is joined block against block, but not within the part that hangs together. Links make components by alternating large and
+beyond 0.6 is beyond 0.4. Links to pivots are kept, and cells whose documents all hang together by them are done. Regions that
+windows would only multiply, and what is still large after ``LEVELS``, are joined block against block, but not within the part that hangs together. Links make components by alternating large and
 small stars. All of it works on one row per distinct set; copies follow their set.
 
 Sets go by 64-bit hashes, shingles by 48 bits of theirs (two of a set of 500 fall together once in
@@ -349,7 +349,7 @@ def _joined(regions: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _cells(large: DataFrame, sets: DataFrame, level: int, pivots: int, share: int) -> DataFrame:
-    """One Voronoi level: (cell, key, a, near) for each document, cell it goes to, and its pivot (none in the far cell)."""
+    """One Voronoi level: (of, cell as region, key, a, near) for each document, cell it goes to, and its pivot (itself in the far cell)."""
     have = _held(sets, large)
     rank = Window.partitionBy("region").orderBy(F.xxhash64("key", F.lit(level)), "key")
     chosen = large.withColumn("_n", F.row_number().over(rank)).where(F.col("_n") <= pivots).select("region", "key", "size")
@@ -363,7 +363,7 @@ def _cells(large: DataFrame, sets: DataFrame, level: int, pivots: int, share: in
     def measure(key: tuple, own: pd.DataFrame, centres: pd.DataFrame) -> pd.DataFrame:
         own, centres = own.drop_duplicates("key"), centres.drop_duplicates("centre").sort_values("centre", ignore_index=True)
         if not len(own) or not len(centres):
-            return pd.DataFrame({"region": [], "key": [], "a": [], "near": []}).astype("int64")
+            return pd.DataFrame({"of": [], "region": [], "key": [], "a": [], "near": []}).astype("int64")
         n, m = own["n"].to_numpy().astype(np.int64), centres["m"].to_numpy().astype(np.int64)
         both = shared([unpacked(s) for s in own["shingles"]], [unpacked(s) for s in centres["held"]])
         apart = 1 - both / (n[:, None] + m[None, :] - both)
@@ -375,12 +375,12 @@ def _cells(large: DataFrame, sets: DataFrame, level: int, pivots: int, share: in
         keys, heads = own["key"].to_numpy(), centres["centre"].to_numpy()
         seed = np.array([xxh3_64_intdigest(f"{key[0]}:{level}:{p}".encode()) - (1 << 63) for p in [*heads, "far"]], np.int64)
         return pd.DataFrame({
-            "region": np.append(seed[cell], np.full(len(far), seed[-1])), "key": np.append(keys[row], keys[far]),
+            "of": np.full(len(row) + len(far), key[0], np.int64), "region": np.append(seed[cell], np.full(len(far), seed[-1])), "key": np.append(keys[row], keys[far]),
             "a": np.append(heads[cell], keys[far]), "near": np.append(near[row, cell], np.zeros(len(far), bool)).astype("int64"),
         })
 
     return members.groupBy("region", "share").cogroup(chosen.groupBy("of", "part")).applyInPandas(
-        measure, "region long, key long, a long, near long"
+        measure, "of long, region long, key long, a long, near long"
     )
 
 
@@ -397,7 +397,14 @@ def links(sets: DataFrame, common: int = COMMON, leaf: int = LEAF, pivots: int =
         cells = stored(_cells(large, sets, level, pivots, share), "cells")
         near = cells.where("near = 1 AND a <> key").select("a", F.col("key").alias("b"))
         found.append(near)
-        rest = stored(_open(cells.select("region", "key"), components(near)), "rest")
+        roots = components(near)
+        # Where the windows reach into most cells, cells only multiply the work: such regions stay whole.
+        copies = cells.groupBy("of").agg(F.count(F.lit(1)).alias("copies"))
+        told = large.join(copies, large["region"] == copies["of"]).withColumn("split", F.col("copies") <= 2 * F.col("size"))
+        whole = _open(told.where("NOT split").select("region", "key"), roots)
+        found.append(_joined(_blocks(whole, max(1, leaf // 2)), sets))
+        split = told.where("split").select(F.col("region").alias("of")).distinct()
+        rest = stored(_open(cells.join(split, "of").select("region", "key"), roots), "rest")
         found.append(_joined(rest.where(F.col("size") <= leaf).select("region", "key"), sets))
         large = rest.where(F.col("size") > leaf)
     found.append(_joined(_blocks(large, max(1, leaf // 2)), sets))
