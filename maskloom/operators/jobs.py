@@ -30,12 +30,6 @@ def check_batch(jobs: DataFrame, uploads: DataFrame) -> DataFrame:
     )
 
 
-def within_limit(rows: DataFrame, limit: int = C.MAX_FILES_PER_JOB) -> DataFrame:
-    """Rows of the jobs that have at most ``limit`` of them; the others are refused by check_batch."""
-    over = rows.groupBy("job_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
-    return rows.join(over.select("job_id"), "job_id", "left_anti")
-
-
 def match_slots(slots: DataFrame, uploads: DataFrame, width: int = ordered.WIDTH) -> DataFrame:
     """Upload slots (job_id, slot_no, document_id, filename) with the file (job_id, file_no, filename) for each.
 
@@ -60,10 +54,10 @@ def job_key(uploads: DataFrame, rules: DataFrame) -> DataFrame:
     """(job_id, job_key): equal for equal files and rules, in any order of files and list items.
 
     Omitted and empty lists differ; retention defaults to ephemeral; an explicit redact mode is no
-    difference. Jobs over the file limit get no key, as they are refused.
+    difference. Jobs over the file limit have a key too; refusing them is up to check_batch.
     """
     file_hash = F.sha2(F.concat(F.encode("filename", "UTF-8"), F.lit(b"\x00"), F.col("bytes"), F.lit(b"\x00")), 256)
-    hashed = within_limit(uploads.select("job_id", "filename", file_hash.alias("_hash")))
+    hashed = uploads.select("job_id", "filename", file_hash.alias("_hash"))
     per_job = hashed.groupBy("job_id").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("filename", "_hash"))), lambda f: f["_hash"]), "").alias("_files")
     )
@@ -191,9 +185,9 @@ def job_summary(jobs: DataFrame, documents: DataFrame) -> DataFrame:
 
 
 def nest_documents(documents: DataFrame) -> DataFrame:
-    """(job_id, documents): the snapshot form, for the jobs within the file limit."""
+    """(job_id, documents): the snapshot form, with every document of a job."""
     document = F.struct("document_id", "file_name", "status", "page_count", "error_message")
-    return within_limit(documents).groupBy("job_id").agg(F.array_sort(F.collect_list(document)).alias("documents"))
+    return documents.groupBy("job_id").agg(F.array_sort(F.collect_list(document)).alias("documents"))
 
 
 def latest_status(events: DataFrame) -> DataFrame:
