@@ -15,11 +15,14 @@ import re
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 
 #: Pieces remembered by one Python worker (twice as many at most), and the longest one that is (characters).
 REMEMBERED, LONGEST = 500_000, 48
+#: Pieces remembered from one task to the next: the first ones, mostly common words.
+CARRIED = 50_000
 #: Characters split at once.
 SLICE = 1 << 20
 #: Marks taken off the end of a word, and characters that keep a text from being lower-cased beforehand.
@@ -83,6 +86,10 @@ class Encoder:
                 waiting, size = [], 0
         yield from self._together(waiting)
 
+    def rest(self) -> None:
+        """At the end of a task: the worker lives on, most of what it remembers need not."""
+        self.known, self.older = dict(islice((self.older or self.known).items(), CARRIED)), {}
+
     def _split(self, text: str) -> list[str]:
         if self.fold and not _BEYOND.search(text):
             text = text.lower()
