@@ -12,16 +12,24 @@ _HEADING = r"(?m)^## Page [0-9]+[ \t]*$\n?"
 
 
 def split_pages(docs: DataFrame) -> DataFrame:
-    """(doc_id, page_no, text …) of texts with ``## Page N`` headings; without any, page 1 is the text."""
+    """(doc_id, page_no, text …) of texts with ``## Page N`` headings; without any, page 1 is the text.
+
+    What stands before the first heading is page 0. Of the blank lines around a page, those that
+    ``assemble_pages`` writes go, others stay.
+    """
     text = F.col("text")
     numbers = F.transform(
         F.regexp_extract_all(text, F.lit(r"(?m)^## Page ([0-9]+)[ \t]*$"), F.lit(1)), lambda n: n.cast("int")
     )
-    bodies = F.transform(F.split(text, _HEADING, -1), lambda t: F.regexp_replace(t, r"^\n+|\n+$", ""))
+    bodies = F.transform(F.split(text, _HEADING, -1), lambda t, i: F.when(
+        i < F.size(numbers), F.regexp_replace(F.when(i > 0, F.regexp_replace(t, r"^\n", "")).otherwise(t), r"\n{1,2}\z", "")
+    ).otherwise(F.regexp_replace(t, r"^\n|\n\z", "")))
     pages = F.when(
         F.size(numbers) > 0,
-        F.zip_with(numbers, F.slice(bodies, 2, F.size(numbers)),
-                   lambda n, t: F.struct(n.alias("page_no"), t.alias("text"))),
+        S.let(bodies, lambda all_: F.filter(
+            F.zip_with(F.concat(F.array(F.lit(0)), numbers), all_, lambda n, t: F.struct(n.alias("page_no"), t.alias("text"))),
+            lambda p, i: (i > 0) | (p["text"].rlike(r"\S")),
+        )),
     ).otherwise(F.array(F.struct(F.lit(1).alias("page_no"), text.alias("text"))))
     others = [c for c in docs.columns if c != "text"]
     return docs.select(*others, F.inline(pages))
@@ -39,15 +47,15 @@ def assemble_pages(pages: DataFrame, volume: int = VOLUME) -> DataFrame:
     """
     joined = F.array_sort(F.collect_list(F.struct("page_no", "text")))
     with_headings = F.transform(
-        joined, lambda p: F.concat(F.lit("## Page "), p["page_no"], F.lit("\n\n"), p["text"], F.lit("\n"))
+        joined, lambda p: F.concat(F.when(p["page_no"] > 0, F.concat(F.lit("## Page "), p["page_no"], F.lit("\n\n"))).otherwise(""), p["text"], F.lit("\n"))
     )
-    part = F.floor((F.col("page_no") - 1) / volume).alias("volume")
+    part = F.floor(F.greatest(F.col("page_no") - 1, F.lit(0)) / volume).alias("volume")
     return pages.groupBy("doc_id", part).agg(F.array_join(with_headings, "\n").alias("text"))
 
 
 def first_page_preview(pages: DataFrame, mode: str = "redact", lang: str | None = None) -> DataFrame:
     """Only page 1 done: text, total_pages, redacted_pages, masks by category, tags in tag order."""
-    totals = pages.groupBy("doc_id").agg(F.count(F.lit(1)).alias("total_pages"))
+    totals = pages.groupBy("doc_id").agg(F.count_if(F.col("page_no") > 0).alias("total_pages"))
     done = R.pseudonymize(pages.where("page_no = 1").withColumn("_original", F.col("text")), lang=lang)
     if mode == "redact":
         done = done.withColumn("text", S.rewrite(F.col("_original"), F.col("spans"), lambda s: F.lit(S.MASK)))

@@ -17,10 +17,35 @@ from maskloom.functions import patterns as P
 from maskloom.functions import spans as S
 
 
+def _check_detectors(categories: Sequence[str] | None, found: DataFrame | None) -> None:
+    missing = sorted(set(categories or ()) - set(P.PATTERNS))
+    if missing and found is None:
+        raise ValueError(f"no pattern finds {', '.join(missing)}: give their spans as found")
+
+
+def _with_found(docs: DataFrame, found: DataFrame | None, categories: Sequence[str] | None, keys: Sequence[str]) -> DataFrame:
+    """``docs`` with ``_found``: the spans a table holds for each text, which the text bounds."""
+    if found is None:
+        return docs
+    if categories is not None:
+        found = found.where(F.col("category").isin(list(categories)))
+    span = F.struct("start", "end", "category", "surface", "priority")
+    grouped = found.select(*keys, span.alias("_span")).groupBy(*keys).agg(F.collect_set("_span").cast(S.SPANS).alias("_found"))
+    return docs.join(grouped, list(keys), "left")
+
+
 def _spans(docs: DataFrame, categories: Sequence[str] | None) -> Column:
-    text = F.col("text")
+    text, more = F.col("text"), "_found" in docs.columns
     detected = S.pattern_spans(text, categories)
+    if more:
+        detected = F.concat(detected, F.coalesce(F.col("_found"), S.no_spans()))
     if "pii_categories" in docs.columns:
+        if not more:
+            known = F.array(*[F.lit(c) for c in P.PATTERNS])
+            detected = F.when(
+                F.size(F.array_except("pii_categories", known)) > 0,
+                F.raise_error("a rule chooses a category that no pattern finds: give its spans as found").cast(S.SPANS),
+            ).otherwise(detected)
         detected = F.filter(
             detected, lambda s: F.col("pii_categories").isNull() | F.array_contains("pii_categories", s["category"])
         )
@@ -28,10 +53,12 @@ def _spans(docs: DataFrame, categories: Sequence[str] | None) -> Column:
         listed = F.coalesce(F.transform("pii_excluded_terms", F.lower), F.array().cast("array<string>"))
         found = detected
         detected = S.let(listed, lambda never: F.filter(found, lambda s: ~F.array_contains(never, F.lower(s["surface"]))))
+    if more and "pii_included_terms" not in docs.columns:
+        return S.reduce_overlaps(detected)
     if "pii_included_terms" in docs.columns:
         terms = S.term_spans(text, S.term_pattern(F.col("pii_included_terms")), C.CUSTOM, S.INCLUDE)
         return S.let(terms, lambda own: S.let(detected, lambda others: F.when(
-            F.size(own) > 0, S.reduce_overlaps(F.concat(own, others))
+            (F.size(own) > 0) | F.lit(more), S.reduce_overlaps(F.concat(own, others))
         ).otherwise(others)))
     return detected
 
@@ -49,10 +76,19 @@ def _has_rules(docs: DataFrame) -> bool:
     return any(c in docs.columns for c in ("pii_categories", "pii_included_terms", "pii_excluded_terms"))
 
 
-def redact(docs: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
-    """``text`` with personal data removed; the mask is of one length, so it does not tell the original's."""
-    if _has_rules(docs):
-        return docs.withColumn("text", S.rewrite(F.col("text"), _spans(docs, categories), lambda s: F.lit(S.MASK)))
+def redact(docs: DataFrame, categories: Sequence[str] | None = None, found: DataFrame | None = None,
+           keys: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """``text`` with personal data removed; the mask is of one length, so it does not tell the original's.
+
+    ``found`` is a span table of a dictionary or model (Person, Organization, Address, …), joined by
+    ``keys``; rules and overlaps treat its spans like those of the patterns. A chosen category that
+    neither patterns nor ``found`` can have is an error, never a text left as it was.
+    """
+    _check_detectors(categories, found)
+    if _has_rules(docs) or found is not None:
+        joined = _with_found(docs, found, categories, keys)
+        done = joined.withColumn("text", S.rewrite(F.col("text"), _spans(joined, categories), lambda s: F.lit(S.MASK)))
+        return done.select(*docs.columns)
     return docs.withColumn("text", S.rewrite_matches(
         F.col("text"), categories, lambda hit: F.when(P.category_of(hit, categories).isNotNull(), F.lit(S.MASK))
     ))
@@ -99,19 +135,24 @@ def tagged_spans(text: Column, spans: Column, lang: Column) -> Column:
     ))
 
 
-def pseudonymize(docs: DataFrame, categories: Sequence[str] | None = None, lang: str | None = None) -> DataFrame:
+def pseudonymize(docs: DataFrame, categories: Sequence[str] | None = None, lang: str | None = None,
+                 found: DataFrame | None = None, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
     """``text`` with each entity as a tag, plus ``spans`` with their tags (personal data: keep apart).
 
-    Always-redact terms are no category and stay black.
+    Always-redact terms are no category and stay black. ``found`` as in ``redact``: its spans are
+    one entity where they are spelled alike (``entities.pseudonymize_names`` links variants of names).
     """
+    _check_detectors(categories, found)
+    columns, docs = docs.columns, _with_found(docs, found, categories, keys)
     language = F.col(lang) if lang else F.lit("en")
     shape = "array<struct<start:int,end:int,category:string,surface:string,key:string,tag:string>>"
     tagged = S.let(_spans(docs, categories), lambda found: F.when(
         F.size(found) > 0, tagged_spans(F.col("text"), found, language)
     ).otherwise(F.array().cast(shape)))
-    return docs.withColumn("spans", tagged).withColumn(
+    done = docs.withColumn("spans", tagged).withColumn(
         "text", S.rewrite(F.col("text"), F.col("spans"), lambda s: F.coalesce(s["tag"], F.lit(S.MASK)))
     )
+    return done.select(*columns, *[c for c in ["spans"] if c not in columns])
 
 
 def apply_spans(docs: DataFrame, spans: DataFrame, keys: Sequence[str] = ("doc_id",)) -> DataFrame:

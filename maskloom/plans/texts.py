@@ -286,9 +286,9 @@ _CHECKED = f"""f AS ({checked(FILES)}), k AS (SELECT *, regexp_extract(path, '[^
 @query(f"""WITH {_CHECKED}
 SELECT doc_id, mb IS NOT NULL AND size BETWEEN 1 AND mb * 1048576 AS ok,
   CASE WHEN mb IS NULL OR size = 0 THEN 'invalid_request' WHEN size > mb * 1048576 THEN 'payload_too_large' END AS code,
-  CASE WHEN mb IS NULL THEN 'Unsupported file type for "' || filename || '".' WHEN size = 0 THEN '"' || filename || '" is empty.'
-    WHEN size > mb * 1048576 THEN '"' || filename || '" is ' || format('{{:.1f}}', size / 1048576.0) || ' MB, over the ' || mb || ' MB limit for '
-      || CASE mb WHEN 50 THEN 'PDFs' ELSE 'images' END || '.' END AS message,
+  CASE WHEN mb IS NULL THEN 'no type is known for file ' || filename WHEN size = 0 THEN 'file ' || filename || ' holds no bytes'
+    WHEN size > mb * 1048576 THEN 'file ' || filename || ' has ' || format('{{:.1f}}', size / 1048576.0) || ' MB of ' || mb || ' allowed in '
+      || CASE mb WHEN 50 THEN 'a PDF' ELSE 'an image' END END AS message,
   size <= 5242880 AS preview_ok
 FROM k""")
 def file_limits(t: Tables) -> DataFrame:
@@ -304,17 +304,17 @@ def file_limits(t: Tables) -> DataFrame:
 
 
 @query("""WITH raw AS (SELECT doc_id, text, base64(encode(text)) AS b FROM documents)
-SELECT doc_id, CASE WHEN doc_id % 5 = 4 OR (doc_id % 5 = 3 AND length(b) > 20) OR (doc_id % 5 = 2 AND regexp_matches(b, '[AI]')) THEN 'invalid_request' END AS code,
-  CASE WHEN doc_id % 5 = 4 THEN '"f' || doc_id || '.pdf" carried no data.'
-       WHEN (doc_id % 5 = 3 AND length(b) > 20) OR (doc_id % 5 = 2 AND regexp_matches(b, '[AI]')) THEN '"f' || doc_id || '.pdf" not valid base64.' END AS message,
-  CASE WHEN doc_id % 5 IN (0, 1) OR (doc_id % 5 = 3 AND length(b) <= 20) OR (doc_id % 5 = 2 AND NOT regexp_matches(b, '[AI]')) THEN md5(text) END AS md5
+SELECT doc_id, CASE WHEN doc_id % 5 = 4 OR (doc_id % 5 = 3 AND b IS NOT NULL) OR (doc_id % 5 = 2 AND regexp_matches(b, '[AI]')) THEN 'invalid_request' END AS code,
+  CASE WHEN doc_id % 5 = 4 THEN 'file f' || doc_id || '.pdf: base64 without content'
+       WHEN (doc_id % 5 = 3 AND b IS NOT NULL) OR (doc_id % 5 = 2 AND regexp_matches(b, '[AI]')) THEN 'file f' || doc_id || '.pdf: base64 that does not decode' END AS message,
+  CASE WHEN doc_id % 5 IN (0, 1) OR (doc_id % 5 = 2 AND NOT regexp_matches(b, '[AI]')) THEN md5(text) END AS md5
 FROM raw""")
 def base64_check(t: Tables) -> DataFrame:
     """Inline base64 refused or decoded."""
     docs = _documents(t).select("doc_id", files.base64_line(F.encode("text", "UTF-8")).alias("b"))
     kind = F.col("doc_id") % 5
     sent = (
-        F.when(kind == 4, " ").when(kind == 3, F.substring("b", 1, 21))
+        F.when(kind == 4, " ").when(kind == 3, F.concat("b", F.lit("A")))
         .when(kind == 2, F.translate("b", "AI", "-_"))
         .when(kind == 1, F.concat(F.substring("b", 1, 10), F.lit("\n"), F.substr("b", F.lit(11)))).otherwise(F.col("b"))
     )

@@ -62,7 +62,7 @@ HOPS = f"""SELECT page_id AS chain_id, hop_no, split_part(url, '/', 1) || '//' |
   CASE WHEN hop_no < page_id % 6 THEN 302 WHEN page_id % 13 = 0 THEN 404 ELSE 200 END AS status,
   CASE WHEN hop_no >= page_id % 6 THEN NULL WHEN page_id % 7 = 0 AND hop_no = 1 THEN NULL WHEN page_id % 11 = 4 AND hop_no = 0 THEN 'mailto:x'
     WHEN hop_no % 2 = 0 THEN '/h' || CAST(hop_no + 1 AS STRING) WHEN hop_no % 3 = 0 THEN split_part(url, '/', 1) || '//' || {_HOST} || '/h' || CAST(hop_no + 1 AS STRING) ELSE 'h' || CAST(hop_no + 1 AS STRING) END AS location
-FROM {{pages}}, (SELECT 0 AS hop_no UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4 UNION ALL SELECT 5) AS hops WHERE hop_no <= page_id % 6"""
+FROM (SELECT page_id, url, explode(sequence(CAST(0 AS BIGINT), page_id % 6)) AS hop_no FROM {{pages}}) AS hops"""
 
 
 @query(f"""WITH p AS (SELECT page_id AS chain_id, page_id % 6 AS n, {_HOST} AS host FROM pages), h AS (SELECT host, bool_and(address LIKE '93.%') AS ok FROM ({checked(RESOLVED)}) AS r GROUP BY host),

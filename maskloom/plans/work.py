@@ -12,12 +12,14 @@ from maskloom.operators import rules as R
 from maskloom.plans.common import Tables, checked, query
 from maskloom.sources import jobs as S
 
-# ---- Inputs: an order is a job, its lines are documents, an event is a read, a call or a request -----
+# ---- Inputs: an order is a job, its lines are documents (jobs of customers have none), an event is a read, a call or a request -----
 
 JOBS = """SELECT 'j' || CAST(o_orderkey AS STRING) AS job_id, o_custkey AS account_id,
   CASE o_orderstatus WHEN 'F' THEN 'redacted' WHEN 'O' THEN 'analyzing' ELSE 'error' END AS status,
   CASE WHEN o_orderpriority LIKE '1%' THEN 'studio' ELSE 'ephemeral' END AS retention,
-  CASE o_orderkey % 3 WHEN 0 THEN 'pseudonymize' WHEN 1 THEN 'redact' END AS mode, o_orderdate AS created_at FROM {orders}"""
+  CASE o_orderkey % 3 WHEN 0 THEN 'pseudonymize' WHEN 1 THEN 'redact' END AS mode, o_orderdate AS created_at FROM {orders}
+UNION ALL SELECT 'e' || CAST(c_custkey AS STRING), c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'redacted' WHEN 1 THEN 'analyzing' ELSE 'error' END,
+  CASE c_custkey % 4 WHEN 0 THEN 'studio' ELSE 'ephemeral' END, CAST(NULL AS STRING), CAST('1998-05-25' AS DATE) FROM {customer}"""
 LINES = """(SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey, min(l_suppkey) AS l_suppkey, min(l_quantity) AS l_quantity,
   min(l_extendedprice) AS l_extendedprice, min(l_returnflag) AS l_returnflag, min(l_linestatus) AS l_linestatus, min(l_shipdate) AS l_shipdate
   FROM {lineitem} GROUP BY l_orderkey, l_linenumber) AS lines"""
@@ -26,7 +28,7 @@ DOCUMENTS = f"""SELECT 'j' || CAST(l_orderkey AS STRING) AS job_id, 'd' || CAST(
   CASE WHEN l_returnflag = 'R' THEN 'error' WHEN l_returnflag = 'A' THEN 'redacted' WHEN l_linestatus = 'O' THEN 'analyzing' ELSE 'redacting' END AS status,
   CAST(l_quantity AS INT) AS page_count,
   CASE l_partkey % 4 WHEN 0 THEN 'The Upload was not completed.' WHEN 1 THEN 'PDF is password protected' WHEN 2 THEN 'File exceeds the maximum allowed size' END AS error_message
-FROM {LINES} WHERE l_orderkey % 10 <> 9"""
+FROM {LINES}"""
 UPLOADS = f"""SELECT 'j' || CAST(l_orderkey AS STRING) AS job_id, CAST(l_linenumber AS BIGINT) AS file_no,
   'f' || CAST(l_partkey % 3 AS STRING) || CASE l_returnflag WHEN 'R' THEN '.png' WHEN 'A' THEN '.pdf' ELSE '.PDF' END AS filename,
   CASE l_returnflag WHEN 'R' THEN 'image/png' ELSE 'application/pdf' END AS content_type,
@@ -334,17 +336,19 @@ def page_usage(t: Tables) -> DataFrame:
 
 
 _ARTIFACTS = f"""SELECT job_id, kind, retention, created_at, CASE WHEN status = 'redacted' THEN created_at END AS processed_at
-FROM ({JOBS}) AS j, (SELECT 'original' AS kind UNION ALL SELECT 'masks' UNION ALL SELECT 'output') AS kinds"""
+FROM (SELECT *, {{each}} AS kind FROM ({JOBS}) AS j) AS k"""
+_ARTIFACTS_SPARK = _ARTIFACTS.replace("{each}", "explode(array('original', 'masks', 'output'))")
+_ARTIFACTS_CHECK = checked(_ARTIFACTS).replace("{each}", "unnest(['original', 'masks', 'output'])")
 _DELETED = "SELECT 'j' || CAST(o_orderkey AS STRING) AS job_id FROM {orders} WHERE o_orderkey % 17 = 0"
 
 
-@query(f"""WITH a AS ({checked(_ARTIFACTS)})
+@query(f"""WITH a AS ({_ARTIFACTS_CHECK})
 SELECT job_id, kind FROM a WHERE job_id NOT IN (SELECT job_id FROM ({checked(_DELETED)}) AS x) AND (retention = 'studio'
   OR (kind = 'output' AND created_at >= TIMESTAMP '1998-06-01' - INTERVAL 14 DAY) OR (kind <> 'output' AND processed_at IS NULL) OR (kind <> 'output' AND processed_at > TIMESTAMP '1998-06-01'))""")
 def expire_outputs(t: Tables) -> DataFrame:
     """What is left of the jobs' files after retention and deletions."""
     now = F.lit("1998-06-01 00:00:00").cast("timestamp")
-    return S.keep_outputs(t.sql(_ARTIFACTS), t.sql(_DELETED), now).select("job_id", "kind")
+    return S.keep_outputs(t.sql(_ARTIFACTS_SPARK), t.sql(_DELETED), now).select("job_id", "kind")
 
 
 @query("""SELECT o_orderkey AS document_id, epoch_us(o_orderdate + INTERVAL 60 DAY) AS produced_at, epoch_us(max(l_shipdate)) AS edited_at FROM orders JOIN lineitem ON o_orderkey = l_orderkey

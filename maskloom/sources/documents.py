@@ -62,7 +62,7 @@ def decode_base64_documents(df: DataFrame, value: str = "base64", filename: str
     return decoded.select(
         "*", size.alias("size"),
         F.when(problem.isNotNull(), "invalid_request").otherwise(check["code"]).alias("code"),
-        F.when(problem.isNotNull(), F.format_string('"%s" %s.', F.col(filename), problem))
+        F.when(problem.isNotNull(), F.format_string("file %s: %s", F.col(filename), problem))
         .otherwise(check["message"]).alias("message"),
     )
 

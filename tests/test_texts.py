@@ -83,6 +83,22 @@ def test_rules_decide_what_goes(spark):
     assert tagged == f"Project {m} of {m}, call +1 (743) 555-3824 or a@b.co; NIMBUS2 {m}"
 
 
+def test_chosen_categories_are_found_or_refused(spark):
+    df = texts(spark, "Ines Otálora, mail@x.com", None, "Ines")
+    with pytest.raises(ValueError, match="Person"):
+        redact.redact(df, ["Person", "Email"])
+    ruled = df.withColumn("pii_categories", F.array(F.lit("Person")))
+    with pytest.raises(Exception, match="no pattern finds"):
+        redact.redact(ruled).collect()
+    people = spark.createDataFrame([("Ines Otálora", "Person"), ("Ines", "Person")], "phrase string, category string")
+    found = detect.detect_dictionary(df, people)
+    got = lambda out: [r.text for r in out.orderBy("doc_id").collect()]
+    assert got(redact.redact(df, found=found)) == [f"{S.MASK}, {S.MASK}", None, S.MASK]
+    assert got(redact.redact(df, ["Person"], found)) == [f"{S.MASK}, mail@x.com", None, S.MASK]
+    assert got(redact.redact(ruled, found=found)) == [f"{S.MASK}, mail@x.com", None, S.MASK]
+    assert got(redact.pseudonymize(df, found=found)) == ["[Person 1], [Email 1]", None, "[Person 1]"]
+
+
 def test_masks_do_not_tell_lengths(spark):
     out = [r.text for r in redact.redact(texts(spark, "a@b.co", "a.very.long.name@mail.example.com", None)).orderBy("doc_id").collect()]
     assert out == [S.MASK, S.MASK, None]
@@ -156,6 +172,10 @@ def test_pages_come_apart_and_together(spark):
         (0, 1, "[Person 1] sold the flat to [Org 1]."), (0, 2, "René"), (1, 1, "no heading"),
     ]
     assert pages.assemble_pages(split.where("doc_id = 0")).first().text == text
+    cover = "Cover, a@b.co\n\n## Page 1\n\none\n\n\n## Page 2\n\n\n\nlast\n"
+    split_cover = pages.split_pages(texts(spark, cover))
+    assert [(r.page_no, r.text) for r in split_cover.orderBy("page_no").collect()] == [(0, "Cover, a@b.co"), (1, "one\n"), (2, "\n\nlast")]
+    assert pages.assemble_pages(split_cover).first().text == cover
     volumes = pages.assemble_pages(split.where("doc_id = 0"), volume=1).orderBy("volume").collect()
     assert "\n".join(r.text for r in volumes) == text
 

@@ -66,9 +66,9 @@ def test_limits_and_messages(spark):
     ).withColumn("content_type", files.supported_type(F.col("filename")))
     got = [(r.ok, r.code, r.message) for r in D.check_limits(df).collect()]
     assert got == [
-        (False, "payload_too_large", '"a.pdf" is 51.0 MB, over the 50 MB limit for PDFs.'),
-        (False, "payload_too_large", '"a.png" is 11.0 MB, over the 10 MB limit for images.'),
-        (False, "invalid_request", '"a.pdf" is empty.'), (True, None, None), (False, "invalid_request", 'Unsupported file type for "a.gif".'),
+        (False, "payload_too_large", "file a.pdf has 51.0 MB of 50 allowed in a PDF"),
+        (False, "payload_too_large", "file a.png has 11.0 MB of 10 allowed in an image"),
+        (False, "invalid_request", "file a.pdf holds no bytes"), (True, None, None), (False, "invalid_request", "no type is known for file a.gif"),
     ]
 
 
