@@ -9,10 +9,15 @@ passed over unread. DataFrame functions only.
 
 Cases: null or empty texts have no passages; a single word counts as a bigram; templates that tie are all
 reported; repeated rows are scanned each; without templates nothing is found; other columns are ignored.
+
+``find_notices`` takes runs of words instead of lines, so a notice counts in mid-line and over any number of
+lines. A run that begins or ends with a bigram foreign to the template, or one it has already, scores less than the run
+without it, so runs are read only from one bigram of a template to another, and only where enough of them lie close together.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -94,3 +99,53 @@ def find_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
     lines = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), words)
     result = let(lines, lambda rows: let(F.transform(rows, F.size), lambda sizes: passages(rows, sizes))) if known else empty
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(result, empty).alias("hits"))
+
+
+NOTICES = "array<struct<license:string,dice:double,word:int,words:int>>"
+
+
+def find_notices(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+    """One row per row of ``docs``: doc_id, hits (license, dice, first word and number of words of each matching run)."""
+    known = [(name, own) for name, text in templates if (own := bigrams_of(text))]
+    low, high = threshold / (2 - threshold), (2 - threshold) / threshold
+    pairs = sorted({g for _, own in known for g in own if " " in g})
+    singles = sorted({g for _, own in known for g in own if " " not in g})
+    empty = F.array().cast(NOTICES)
+
+    def marks(w: Column) -> Column:
+        """Places of all bigrams (or words) of templates."""
+
+        def mark(i: Column, gram: Column, wanted: list[str]) -> Column:
+            return let(gram, lambda g: F.when(g.isin(wanted), F.struct(i.alias("at"), g.alias("gram"))))
+
+        firsts = sorted({g.split(" ")[0] for g in pairs})
+        two = F.transform(w, lambda x, i: F.when(x.isin(firsts), mark(i, F.concat_ws(" ", x, F.get(w, i + 1)), pairs)))
+        one = F.transform(w, lambda x, i: mark(i, x, singles))
+        return F.filter(F.concat(*([two] if pairs else []), *([one] if singles else [])), lambda m: m.isNotNull())
+
+    def runs(found: Column, name: str, own: list[str]) -> Column:
+        """All runs from one bigram of a template to another that reach the threshold."""
+        alone, n = " " not in own[0], len(own)
+        need, most = max(1, math.ceil(low * n - 1e-9)), 1 if alone else math.floor(high * n + 1e-9)
+
+        def ends(first: Column, near: Column) -> Column:
+            def hit(last: Column, e: Column) -> Column:
+                size = last["at"] - first["at"] + 1
+                both = F.size(F.array_distinct(F.transform(F.slice(near, 1, e + 1), lambda m: m["gram"])))
+                said = F.struct(F.lit(name).alias("license"), F.lit(0.0).alias("dice"), first["at"].alias("word"), (size + (0 if alone else 1)).alias("words"))
+                return let(2.0 * both / (size + n), lambda d: F.when(d >= threshold, said.withField("dice", d)))
+
+            return F.filter(F.transform(near, hit), lambda h: h.isNotNull())
+
+        def begun(m: Column, first: Column, a: Column) -> Column:
+            near = F.filter(F.slice(m, a + 1, most), lambda x: x["at"] - first["at"] < most)
+            return F.when(F.get(m, a + (need - 1))["at"] - first["at"] < most, let(near, lambda x: ends(first, x)))
+
+        mine = F.filter(found, lambda m: m["gram"].isin(own))
+        return let(mine, lambda m: F.flatten(F.filter(F.transform(m, lambda first, a: begun(m, first, a)), lambda h: h.isNotNull())))
+
+    def hits(found: Column) -> Column:
+        return F.flatten(F.array(*[runs(found, *template) for template in known]))
+
+    result = let(let(words(F.col("text")), marks), lambda m: F.when(F.size(m) > 0, hits(m))) if known else empty
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(result, empty).alias("hits"))

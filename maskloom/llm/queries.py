@@ -84,8 +84,7 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.windows(conversations))
 
 
-def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = licenses.find_licenses(_table(spark, sf_dir, "documents", "doc_id", "text"))
+def _licenses(found: DataFrame) -> DataFrame:
     return found.select(
         "doc_id", F.size("hits").cast("long").alias("n_hits"),
         F.array_join(F.array_sort(F.array_distinct(F.transform("hits", lambda h: h["license"]))), ",").alias("licenses"),
@@ -93,6 +92,14 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _licenses(licenses.find_licenses(_table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
+def op10_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _licenses(licenses.find_notices(_table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -100,6 +107,8 @@ QUERIES = {
         op9_chat, op10_licenses,
     )
 }
+#: Further queries of an operator that has one already.
+MORE = {f.__name__: f for f in (op10_notices,)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 

@@ -196,3 +196,44 @@ def test_licenses(spark):
     assert licenses.find_licenses(documents(spark, ids={8}).where("doc_id = 8")).first()["hits"] == []
     assert licenses.find_licenses(empty(spark)).count() == 0
     assert licenses.find_licenses(docs, templates=[]).where(F.size("hits") > 0).count() == 0
+
+
+NOTICES = {
+    20: "See the file for details. Licensed under the Apache License, Version 2.0.",
+    21: "Released under the MIT License. Copyright 2024 Example.",
+    22: 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.',
+    23: "This file is part of Foo. This work is licensed under the GNU General Public License, version 3.",
+    24: "# Permission\n# is hereby\n# granted, free\n# of charge,\n# to any\n#\n# person obtaining a\n# copy of this software",
+    25: "Released under the MIT License. Licensed under CC BY 4.0. Licensed under CC BY-SA 4.0.",
+    26: "the license under the license of the mit and the gnu general public " * 5,
+    27: "licensed under the under the apache license license version 2 0 0 released under mit under the MIT License",
+    28: "Licensed under the GNU General Public License, version 1.",
+    29: "This work is licensed under the GNU Affero General Public License, version 3. " * 3,
+}
+
+
+def _runs(text, templates):
+    words = re.sub(r"[\W_]+", " ", (text or "").lower()).split()
+    found = set()
+    for name, template in templates:
+        own = set(licenses.bigrams_of(template))
+        for i in range(len(words)):
+            for j in range(i + 1, min(len(words), i + 2 * len(own) + 1) + 1):
+                grams = [f"{a} {b}" for a, b in zip(words[i:j], words[i + 1 : j])] or words[i:j]
+                d = 2 * len(set(grams) & own) / (len(grams) + len(own))
+                if d >= licenses.THRESHOLD and grams[0] in own and grams[-1] in own:
+                    found.add((name, d, i, j - i))
+    return found
+
+
+def test_notices_in_mid_line_and_over_many_lines(spark):
+    docs = spark.createDataFrame([*NOTICES.items(), *((i, t) for i, t in TEXTS.items() if i not in (8, 9))], "doc_id long, text string")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for templates in (licenses.TEMPLATES, [("one", "software"), ("two", "MIT License")]):
+        rows = {r["doc_id"]: {tuple(h) for h in r["hits"]} for r in licenses.find_notices(docs, templates).collect()}
+        assert rows == {i: _runs(t, templates) for i, t in texts.items()}
+    best = {r["doc_id"]: max(r["hits"], key=lambda h: h["dice"]) for r in licenses.find_notices(docs).where("doc_id between 20 and 24").collect()}
+    assert [best[i]["license"] for i in range(20, 25)] == ["Apache-2.0", "MIT", "Apache-2.0", "GPL-3.0", "MIT"]
+    assert all(h["dice"] == 1 for h in best.values())
+    assert licenses.find_notices(empty(spark)).count() == 0
+    assert licenses.find_notices(docs, templates=[]).where(F.size("hits") > 0).count() == 0
