@@ -13,6 +13,8 @@ reported; repeated rows are scanned each; without templates nothing is found; ot
 ``find_notices`` takes runs of words instead of lines, so a notice counts in mid-line and over any number of
 lines. A run that begins or ends with a bigram foreign to the template, or one it has already, scores less than the run
 without it, so runs are read only from one bigram of a template to another, and only where enough of them lie close together.
+Of runs that share words only the one with the greatest coefficient is reported, the others giving way from the
+greatest down; licences that tie are all reported, each with its leftmost, then shortest run.
 """
 
 from __future__ import annotations
@@ -104,8 +106,24 @@ def find_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
 NOTICES = "array<struct<license:string,dice:double,word:int,words:int>>"
 
 
+def best(hits: Column) -> Column:
+    """The hits that share no word with a greater one, nor with an equal one of their licence before them."""
+
+    def shared(a: Column, b: Column) -> Column:
+        return (a["word"] < b["word"] + b["words"]) & (b["word"] < a["word"] + a["words"])
+
+    def chosen(kept: Column, h: Column) -> Column:
+        beaten = F.exists(kept, lambda k: shared(k, h) & ((k["down"] < h["down"]) | (k["license"] == h["license"])))
+        return F.when(beaten, kept).otherwise(F.array_append(kept, h))
+
+    down = F.transform(hits, lambda h: F.struct((-h["dice"]).alias("down"), h["word"].alias("word"), h["words"].alias("words"), h["license"].alias("license")))
+    none = F.array().cast("array<struct<down:double,word:int,words:int,license:string>>")
+    kept = F.aggregate(F.array_sort(down), none, chosen)
+    return F.transform(kept, lambda h: F.struct(h["license"].alias("license"), (-h["down"]).alias("dice"), h["word"].alias("word"), h["words"].alias("words")))
+
+
 def find_notices(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per row of ``docs``: doc_id, hits (license, dice, first word and number of words of each matching run)."""
+    """One row per row of ``docs``: doc_id, hits (license, dice, first word and number of words of each notice), greatest dice first."""
     known = [(name, own) for name, text in templates if (own := bigrams_of(text))]
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
     pairs = sorted({g for _, own in known for g in own if " " in g})
@@ -147,5 +165,5 @@ def find_notices(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
     def hits(found: Column) -> Column:
         return F.flatten(F.array(*[runs(found, *template) for template in known]))
 
-    result = let(let(words(F.col("text")), marks), lambda m: F.when(F.size(m) > 0, hits(m))) if known else empty
+    result = let(let(words(F.col("text")), marks), lambda m: F.when(F.size(m) > 0, best(hits(m)))) if known else empty
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(result, empty).alias("hits"))

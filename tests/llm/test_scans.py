@@ -221,19 +221,35 @@ def _runs(text, templates):
             for j in range(i + 1, min(len(words), i + 2 * len(own) + 1) + 1):
                 grams = [f"{a} {b}" for a, b in zip(words[i:j], words[i + 1 : j])] or words[i:j]
                 d = 2 * len(set(grams) & own) / (len(grams) + len(own))
-                if d >= licenses.THRESHOLD and grams[0] in own and grams[-1] in own:
+                if d >= licenses.THRESHOLD:
                     found.add((name, d, i, j - i))
     return found
 
 
+def _best(text, templates):
+    kept = []
+    for name, d, i, n in sorted(_runs(text, templates), key=lambda h: (-h[1], h[2], h[3], h[0])):
+        if not any(k < i + n and i < k + m and (e > d or other == name) for other, e, k, m in kept):
+            kept.append((name, d, i, n))
+    return kept
+
+
 def test_notices_in_mid_line_and_over_many_lines(spark):
     docs = spark.createDataFrame([*NOTICES.items(), *((i, t) for i, t in TEXTS.items() if i not in (8, 9))], "doc_id long, text string")
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
     for templates in (licenses.TEMPLATES, [("one", "software"), ("two", "MIT License")]):
-        rows = {r["doc_id"]: {tuple(h) for h in r["hits"]} for r in licenses.find_notices(docs, templates).collect()}
-        assert rows == {i: _runs(t, templates) for i, t in texts.items()}
+        rows = {r["doc_id"]: [tuple(h) for h in r["hits"]] for r in licenses.find_notices(docs, templates).collect()}
+        assert rows == {i: _best(t, templates) for i, t in texts.items()}
     best = {r["doc_id"]: max(r["hits"], key=lambda h: h["dice"]) for r in licenses.find_notices(docs).where("doc_id between 20 and 24").collect()}
     assert [best[i]["license"] for i in range(20, 25)] == ["Apache-2.0", "MIT", "Apache-2.0", "GPL-3.0", "MIT"]
     assert all(h["dice"] == 1 for h in best.values())
     assert licenses.find_notices(empty(spark)).count() == 0
     assert licenses.find_notices(docs, templates=[]).where(F.size("hits") > 0).count() == 0
+
+
+def test_notices_tell_the_licence(spark):
+    said = [(i, f"before. {text} after") for i, (_, text) in enumerate(licenses.TEMPLATES)]
+    said.append((90, "This work is licensed under the GNU General Public License, version 4. Released under the MIT License."))
+    rows = {r["doc_id"]: [(h["license"], h["dice"]) for h in r["hits"]] for r in licenses.find_notices(spark.createDataFrame(said, "doc_id long, text string")).collect()}
+    assert [rows[i] for i in range(len(licenses.TEMPLATES))] == [[(name, 1.0)] for name, _ in licenses.TEMPLATES]
+    assert [name for name, _ in rows[90]] == ["MIT", "GPL-2.0", "GPL-3.0"]
