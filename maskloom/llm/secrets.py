@@ -8,9 +8,13 @@ Kinds reported only if their structure holds:
 * ``der``: base64 that decodes to a private key in DER: a SEQUENCE that fills the data, whose members
   nest without a gap, starting with a small INTEGER version;
 * ``openssh``: base64 that decodes to an OpenSSH private key, its lengths nested within the data;
-* ``derhex``: the same as ``der`` in hex;
+* ``derhex``: the same as ``der`` in hex, also after ``0x``;
 * ``jwt``: a signed token whose header is a JSON object that names an algorithm, with a JSON object as payload.
 
+Escaped line ends count as line ends for these kinds (not for the pattern kinds). Base64 of ``der`` and ``openssh`` may go on
+over lines and spaces: its own lengths say how much of it belongs to the key, which must end where a piece ends.
+A wrapped key inside a ``pem`` span is not reported again.
+
 Spans are [start, end) in characters of the whole text. Cases: null or empty texts have none; repeated
 rows are scanned each; candidates of any length are decoded; other columns are left alone.
 """
@@ -40,9 +44,15 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?)-----(.*?)-----END \1-----", re.S)
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{40,}={0,2}")
-_HEX_DER = re.compile(r"(?<![0-9A-Za-z])30(?:[0-9a-f]{2}|[0-9A-F]{2}){20,}(?![0-9A-Za-z])")
+_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
+_HEX_DER = re.compile(r"30(?:(?<![0-9A-Za-z]30)|(?<=0[xX]30))(?:[0-9a-f]{2}|[0-9A-F]{2}){20,}(?![0-9A-Za-z])")
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])ey[A-Za-z0-9_-]+\.ey[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+#: A line end or tab as written in JSON, properties and source code; the view keeps its length.
+_ESCAPE = re.compile(r"\\+(?:[rnt]|u000[9aAdD])")
+_ESCAPED = re.compile(r"\\+(?=[/\s])")
+#: What base64 of a DER SEQUENCE with a private key's first lengths, or of an OpenSSH key, begins with; and one piece of it.
+_START = re.compile(r"[Mb](?<![A-Za-z0-9+/_-][Mb])(?:(?<=M)[A-I]|(?<=b)3Bl)")
+_PIECE = re.compile(r"([A-Za-z0-9+/_-]+)(?:\s|\\+(?=[/\s]))*")
 #: Cheap signs without which a keyword assignment cannot be there.
 _HINTS = (b"passw", b"secret", b"token", b"api")
 _SSH = b"openssh-key-v1\x00"
@@ -136,6 +146,57 @@ def is_ssh_key(data: bytes) -> bool:
     return True
 
 
+def _known(data: bytes) -> tuple[int, bool] | None:
+    """Bytes of a key that begins like this, and whether these are all; if not, how many say more."""
+    if data[0] == 0x30:
+        whole = _value(data, 0, 1 << 40)
+        if whole is None or data[whole[1] : whole[1] + 2] != b"\x02\x01" or data[whole[1] + 2] > 3:
+            return None
+        return whole[2], True
+    if not data.startswith(_SSH[: len(data)]):
+        return None
+    at, strings, keys = len(_SSH), 3, None
+    while True:
+        for _ in range(strings):
+            if at + 4 > len(data):
+                return at + 4, False
+            at += 4 + int.from_bytes(data[at : at + 4], "big")
+        if keys is not None:
+            return at, True
+        if at + 4 > len(data):
+            return at + 4, False
+        keys, at = int.from_bytes(data[at : at + 4], "big"), at + 4
+        if not 1 <= keys <= 16:
+            return None
+        strings = keys + 1
+
+
+def _wrapped(text: str, at: int) -> tuple[int, int] | None:
+    """End and kind of the key whose base64 starts at ``at`` and may go on over white space."""
+    need, whole, pieces, n, end = 12, False, [], 0, at
+    while need * 4 <= len(text) * 3 + 3:
+        while n * 3 < need * 4:
+            m = _PIECE.match(text, at)
+            if m is None:
+                return None
+            pieces.append(m[1])
+            n, end, at = n + len(m[1]), m.end(1), m.end()
+        body = "".join(pieces)
+        data = unbase64(body[: n - (n % 4 == 1)])
+        if data is None:
+            return None
+        if whole:
+            kind = 4 if is_der_key(data) else 5 if is_ssh_key(data) else None
+            if kind is None or n != -(-need * 4 // 3):
+                return None
+            return end + len(text[end : end + 2]) - len(text[end : end + 2].lstrip("=")), kind
+        known = _known(data)
+        if known is None:
+            return None
+        need, whole = known
+    return None
+
+
 def is_token(text: str) -> bool:
     header, payload, signature = text.split(".")
     try:
@@ -148,6 +209,7 @@ def is_token(text: str) -> bool:
 
 
 def _armoured(kind: str, body: str) -> bool:
+    body = _ESCAPED.sub("", _ESCAPE.sub("\n", body))
     lines = [line.strip() for line in body.strip().splitlines()]
     headers = any(":" in line for line in lines)
     data = unbase64("".join(x for x in lines if x and ":" not in x and not x.startswith("=")))
@@ -171,12 +233,25 @@ def secrets(text: str | None) -> list[tuple[int, int, int]]:
     out += [(*m.span(), 2) for m in _HEX.finditer(text)]
     if b"-----begin " in low:
         out += [(*m.span(), 3) for m in _PEM.finditer(text) if _armoured(m[1], m[2])]
+    armour = [s[:2] for s in out if s[2] == 3]
+    if "\\" in text:
+        text = _ESCAPE.sub(lambda m: "\n".rjust(len(m[0])), text)
     for m in _BASE64.finditer(text):
         if (data := unbase64(m[0])) is not None:
             if data[:1] == b"0" and is_der_key(data):
                 out.append((*m.span(), 4))
             elif data.startswith(_SSH) and is_ssh_key(data):
                 out.append((*m.span(), 5))
+    done = {s[0]: s[1] for s in out if s[2] in (4, 5)}
+    last = 0
+    for m in _START.finditer(text):
+        at = m.start()
+        if at in done:
+            last = max(last, done[at])
+        elif at >= last and (found := _wrapped(text, at)) is not None:
+            last = found[0]
+            if not any(a <= at and last <= b for a, b in armour):
+                out.append((at, *found))
     out += [(*m.span(), 6) for m in _HEX_DER.finditer(text) if is_der_key(bytes.fromhex(m[0]))]
     if b"ey" in low:
         out += [(*m.span(), 7) for m in _JWT.finditer(text) if is_token(m[0])]
