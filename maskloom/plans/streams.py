@@ -44,11 +44,20 @@ def stream_tags(t: Tables) -> DataFrame:
 
 @query("SELECT DISTINCT 'k' || CAST(user_id AS STRING) AS job_key FROM events")
 def stream_dedupe(t: Tables) -> DataFrame:
-    """Requests as they arrive, one per key while its state lives (one batch here, so one per key)."""
-    asked = _stream(t, "events").select(
+    """The keys of the jobs that requests open as they arrive."""
+    return X.run_available(X.stream_dedupe_jobs(_asked(t)).select("job_key"), "dedupe").distinct()
+
+
+@query(f"SELECT request_id, job_key FROM ({ORACLES['dedupe_jobs']}) AS j WHERE billed")
+def stream_openers(t: Tables) -> DataFrame:
+    """Requests that open a job as they arrive: the billed ones of the batch query."""
+    return X.run_available(X.stream_dedupe_jobs(_asked(t)).select("request_id", "job_key"), "openers")
+
+
+def _asked(t: Tables) -> DataFrame:
+    return _stream(t, "events").select(
         F.col("event_id").alias("request_id"), F.concat(F.lit("k"), "user_id").alias("job_key"), F.col("ts").cast("timestamp").alias("ts")
     )
-    return X.run_available(X.stream_dedupe_jobs(asked).select("job_key"), "dedupe")
 
 
 def _reads(t: Tables) -> DataFrame:

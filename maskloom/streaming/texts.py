@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import uuid
 from collections.abc import Iterator, Sequence
 from typing import Any
@@ -121,9 +122,57 @@ def pseudonymize_turns(turns: DataFrame, categories: Sequence[str] | None = None
     return R.apply_spans(turns, tagged, ["conv_id", "turn"])
 
 
+class _Openers(StatefulProcessor):
+    """Times at which requests of one key opened a job, each kept until no request in time can fall near it."""
+
+    def __init__(self, hours: int) -> None:
+        self._life = hours * 3_600_000_000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._openers = handle.getListState("openers", "at long")
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows), ignore_index=True)
+        batch["id"] = [r["request_id"] for r in batch["rest"]]
+        batch = batch.sort_values(["asked_at", "id"], kind="stable").drop_duplicates("asked_at")
+        known = sorted(at for (at,) in self._openers.get())
+        opens = []
+        for at in map(int, batch["asked_at"]):
+            i = bisect.bisect_right(known, at)
+            new = (i == 0 or at >= known[i - 1] + self._life) and (i == len(known) or known[i] >= at + self._life)
+            if new:
+                known.insert(i, at)
+                self._handle.registerTimer(-(-(at + self._life) // 1000))
+            opens.append(new)
+        if any(opens):
+            self._openers.put([(at,) for at in known])
+        yield batch.loc[opens, ["job_key", "asked_at", "rest"]]
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        gone = expiredTimerInfo.getExpiryTimeInMs() * 1000 - self._life
+        known = [(at,) for (at,) in self._openers.get() if at > gone]
+        if known:
+            self._openers.put(known)
+        else:
+            self._openers.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
 def stream_dedupe_jobs(requests: DataFrame, hours: int = C.KEY_LIFETIME_HOURS) -> DataFrame:
-    """First request per job_key; repeats within at least ``hours`` of it are dropped.
+    """The requests (request_id, job_key, ts, …) that open a job; repeats within ``hours`` of an opener are dropped.
 
-    State goes once the watermark has passed; the exact 24 hours are the batch operator's.
+    A key asked for again after that opens another job. Within a micro-batch requests count by time, then request_id, as in
+    the batch operator; between micro-batches by arrival: one that comes late, less than ``hours`` before an opener, repeats
+    it. A request without a time opens nothing. Openers go once the watermark (``hours`` behind) has passed their life.
     """
-    return requests.withWatermark("ts", f"{hours} hours").dropDuplicatesWithinWatermark(["job_key"])
+    requests.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    rest = [c for c in requests.columns if c not in ("job_key", "ts")]
+    asked = requests.where(F.col("ts").isNotNull()).withWatermark("ts", f"{hours} hours")
+    asked = asked.select("job_key", "ts", F.unix_micros("ts").alias("asked_at"), F.struct(*rest).alias("rest"))
+    out = StructType([asked.schema[c] for c in ("job_key", "asked_at", "rest")])
+    opened = asked.groupBy("job_key").transformWithStateInPandas(_Openers(hours), out, "append", "EventTime")
+    return opened.select(*(F.timestamp_micros("asked_at").alias(c) if c == "ts" else F.col(c if c == "job_key" else f"rest.{c}") for c in requests.columns))

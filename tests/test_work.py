@@ -220,3 +220,21 @@ def test_stale_read_does_not_win(spark):
         "event_id bigint, document_id string, ts timestamp, status string",
     )
     assert {r.document_id: r.status for r in J.latest_status(events).collect()} == {"d": "redacting", "e": "redacted"}
+
+
+def test_stream_openers_over_micro_batches(spark, tmp_path):
+    at = lambda h: T0 + dt.timedelta(hours=h)
+    parts = [
+        [(1, "a", at(0)), (2, "a", at(23)), (4, "a", at(24)), (3, "a", at(24)), (5, "b", at(5)), (2 ** 60 + 1, None, at(1))],
+        [(6, "a", at(47)), (7, "a", at(60)), (8, "b", at(40)), (9, "c", at(60))],
+        [(10, "a", at(70)), (11, "a", at(84)), (12, "b", at(100)), (13, "c", at(83)), (14, "c", at(84)), (15, "a", None)],
+    ]
+    schema = "request_id bigint, job_key string, ts timestamp, params string"
+    for n, rows in enumerate(parts):
+        spark.createDataFrame([(*r, "p") for r in rows], schema).coalesce(1).write.parquet(str(tmp_path / f"in/part={n}"))
+    stream = XT.read_text_stream(spark, str(tmp_path / "in/part=*"), schema, files_per_trigger=1)
+    got = XT.run_available(XT.stream_dedupe_jobs(stream), "openers").collect()
+    rows = spark.createDataFrame([(*r, "p") for rows in parts for r in rows], schema)
+    want = J.dedupe_jobs(rows.where("job_key is not null")).where("billed").select("request_id", "job_key", "ts", "params").collect()
+    assert sorted(r for r in got if r.job_key) == sorted(want)
+    assert sorted(r.request_id for r in got) == [1, 3, 5, 7, 8, 9, 11, 12, 14, 2 ** 60 + 1]
