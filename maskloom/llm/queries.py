@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskloom.llm import chat, decontaminate, fingerprints, jaccard_join, language, licenses, packing, quality, secrets, store, token_files
+from maskloom.llm import (
+    bpe, chat, decontaminate, fingerprints, jaccard_join, language, licenses, packing, quality, repair, secrets, store, token_files,
+    whitening,
+)
 from maskloom.session import tune
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -100,11 +103,29 @@ def op10_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _licenses(licenses.find_notices(_table(spark, sf_dir, "documents", "doc_id", "text")))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return repair.repair_all(conversations, repair.damaged(conversations))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+def op13_lexicon_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    encoded = bpe.encode(docs, TOKENIZER, bpe.write_lexicon(docs, TOKENIZER))
+    return bpe.decode(encoded, TOKENIZER).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_token_files, op2_decontaminate, op3_pack, op4_language, op5_secrets, op6_fingerprints, op7_quality, op8_jaccard_join,
-        op9_chat, op10_licenses,
+        op9_chat, op10_licenses, op11_repair, op12_whitening, op13_lexicon_bpe,
     )
 }
 #: Further queries of an operator that has one already.

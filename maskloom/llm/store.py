@@ -7,6 +7,7 @@ import functools
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,23 @@ def opened(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path)
 
 
+def write_bytes(path: str, data: bytes) -> None:
+    """A small file written whole."""
+    system, inner = opened(path)
+    system.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+    with system.open_output_stream(inner) as out:
+        out.write(data)
+
+
+def mapped(path: str) -> np.ndarray:
+    """The bytes of a small file: mapped into memory where the shared folder is mounted, else read once."""
+    system, inner = opened(path)
+    if isinstance(system, fs.LocalFileSystem):
+        return np.memmap(inner, np.uint8, "r")
+    with system.open_input_file(inner) as file:
+        return np.frombuffer(file.read(), np.uint8)
+
+
 def drop(path: str) -> None:
     """Delete a folder made by ``folder`` that nothing reads any more."""
     system, inner = opened(path)
