@@ -1,8 +1,8 @@
 """Token ids of whole texts by a word lexicon and exact merging of the words it lacks, and the texts ids decode to.
 
 Words are what stands between spaces and line feeds: no vocabulary used here joins text across them, so the ids of a
-text are those of its words. One pass over all documents counts the words; the most frequent ones (``WORDS``, which
-bounds the file and what the driver sees) become a transducer with their ids (``lexicon``), written once to the shared
+text are those of its words. One pass over all documents counts the words; the most frequent ones (at most ``WORDS``,
+which bounds the file and what the driver sees) become a transducer with their ids (``lexicon``), written once to the shared
 folder and mapped into memory by every task. Words it lacks are merged by the tokenizers library, so the size of the
 lexicon changes no id. Texts of plain letters are lower-cased first and marks at the end of a word looked up apart,
 where the vocabulary does the same (tried out on a sample when a vocabulary is opened).
@@ -18,6 +18,7 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +28,9 @@ from pyspark.sql import functions as F
 from maskloom.llm import lexicon, store
 
 #: Words in the lexicon, and the longest one that is (characters).
-WORDS, LONGEST = 65_536, 48
+WORDS, LONGEST = 131_072, 48
 #: Characters worked on at once, and different words counted before they are handed on.
-SLICE, COUNTED = 1 << 20, 200_000
+SLICE, COUNTED = 4 << 20, 200_000
 #: Ids in one batch handed on.
 IDS = 1 << 20
 _MARKS = ".,;:!?|)\"-"
@@ -38,6 +39,11 @@ _BEYOND = re.compile(r"[^\t\n\r -~\xa1-ɏ]|<\|")
 _SAMPLE = "Était-ce don't STOP!!! a|b, (x_y).z 'tis 12,5 \xad½ it's|we'LL Ünder_ _'s ..'re Word). x!' \tİx ǅ"
 
 
+# Byte-level vocabularies write a byte as the Latin-1 character where that is visible, the others from 256 on, in order.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_VISIBLE = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+
+
 class Words:
     """How one vocabulary's texts are cut into words, and the ids the library merges them to."""
 
@@ -48,12 +54,17 @@ class Words:
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.fold = False
+        self.fold = self.direct = False
         whole = self.tokenizer.encode(_SAMPLE, add_special_tokens=False).ids
         if self._together() != whole:
             raise ValueError(f"{vocabulary} joins text across white space")
         self.fold = True
         self.fold = self._together() == whole
+        self.direct = self.fold
+        alone = [w for w in _SAMPLE.lower().split() if w.isalpha() and not _BEYOND.search(w)]
+        self.direct = self.fold and list(self.merge(alone)) == [
+            e.ids for e in self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)
+        ]
 
     def _together(self) -> list[int]:
         return [i for w in self.cut(_SAMPLE) for part in self.parts(w) for i in next(iter(self.merge([part])))]
@@ -65,13 +76,28 @@ class Words:
 
     def parts(self, word: str) -> tuple[str, ...]:
         """A word, or its letters and the marks after them."""
-        if self.fold:
+        if self.fold and word and word[-1] in _MARKS:
             core = word.rstrip(_MARKS)
-            if core != word and core.isalpha() and not _BEYOND.search(core):
+            if core != word and core.isalpha() and (core.isascii() or not _BEYOND.search(core)):
                 return core, word[len(core) :]
         return (word,)
 
     def merge(self, words: Sequence[str]) -> Iterator[list[int]]:
+        """The ids of each word: of plain lower-case letters by the vocabulary's merges alone, others by its whole way."""
+        if not self.direct:
+            yield from self._whole(words)
+            return
+        plain = [w.isalpha() and w == w.lower() and (w.isascii() or not _BEYOND.search(w)) for w in words]
+        others = self._whole([w for w, alone in zip(words, plain) if not alone])
+        tokenize = self.tokenizer.model.tokenize
+        for word, alone in zip(words, plain):
+            if alone:
+                word = word if word.isascii() else word.encode().decode("latin-1").translate(_VISIBLE)
+                yield [t.id for t in tokenize(word)]
+            else:
+                yield next(others)
+
+    def _whole(self, words: Sequence[str]) -> Iterator[list[int]]:
         for start in range(0, len(words), 4096):
             for found in self.tokenizer.encode_batch_fast(words[start : start + 4096], add_special_tokens=False):
                 yield found.ids
@@ -127,16 +153,35 @@ def word_counts(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFra
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent_words(counts: DataFrame, size: int) -> list[str]:
+    """The most frequent words, as many whole classes of like frequency (eighths of a doubling) as make at most ``size``."""
+    classed = store.stored(counts.withColumn("class", F.floor(F.log2("n") * 8).cast("int")), "word-counts")
+    wanted, total = None, 0
+    for row in sorted(classed.groupBy("class").count().collect(), reverse=True):
+        total += row["count"]
+        if total > size:
+            break
+        wanted = row["class"]
+    if wanted is None:
+        return []
+    return [r["word"] for r in classed.where(F.col("class") >= wanted).select("word").collect()]
+
+
 def write_lexicon(docs: DataFrame, vocabulary: str, size: int = WORDS, text: str = "text") -> str:
-    """The lexicon file of the ``size`` most frequent words of the texts, in the shared folder; gives its path."""
-    frequent = word_counts(docs, vocabulary, text).orderBy(F.desc("n"), "word").limit(size).select("word").collect()
-    chosen = [r["word"] for r in frequent]
+    """The lexicon file of at most ``size`` of the most frequent words of the texts, in the shared folder; gives its path."""
+    chosen = frequent_words(word_counts(docs, vocabulary, text), size)
     coded = [w.encode() for w in chosen]
     path = f"{store.folder(docs.sparkSession, 'lexicon')}.bin"
     store.write_bytes(path, lexicon.build(zip(coded, map(tuple, _words(vocabulary).merge(chosen)))))
     return path
 
 
+def _gathered(pool: np.ndarray, at: np.ndarray, sizes: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """The runs (at, size) of a pool that are chosen, one after the other."""
+    lengths = sizes[chosen]
+    return pool[np.repeat(at[chosen] - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))]
+
+
 class Encoder:
     """Encodes texts with a lexicon file and the vocabulary it was made with."""
 
@@ -154,17 +199,15 @@ class Encoder:
         place = {p: i for i, p in enumerate(wanted)}
         first = np.fromiter((place[p[0]] for p in parts), np.int64, len(parts))
         second = np.fromiter((place[p[1]] if len(p) > 1 else -1 for p in parts), np.int64, len(parts))
+        pairs = np.stack([first, second], axis=1)
+        there = pairs >= 0
+        # The ids of every different word side by side, then of every word as it comes.
+        pool, by_word = _gathered(pool, at, sizes, pairs[there]), np.where(there, sizes[pairs], 0).sum(axis=1)
         number = {w: i for i, w in enumerate(distinct)}
         counts = np.fromiter(map(len, cut), np.int64, len(cut))
-        used = np.fromiter((number[w] for some in cut for w in some), np.int64, int(counts.sum()))
-        pairs = np.stack([first[used], second[used]], axis=1)
-        there = pairs >= 0
-        flat = pairs[there]
-        lengths = sizes[flat]
-        ids = pool[np.repeat(at[flat] - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))]
-        by_word = np.where(there, sizes[pairs], 0).sum(axis=1)
-        ends = np.concatenate([[0], np.cumsum(by_word)])[np.concatenate([[0], np.cumsum(counts)])]
-        return np.diff(ends), ids
+        used = np.fromiter(map(number.__getitem__, chain.from_iterable(cut)), np.int64, int(counts.sum()))
+        ends = np.concatenate([[0], np.cumsum(by_word[used])])[np.concatenate([[0], np.cumsum(counts)])]
+        return np.diff(ends), _gathered(pool, np.cumsum(by_word) - by_word, by_word, used)
 
     def _looked_up(self, wanted: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Where the ids of each word are in a pool, how many, and the pool."""
