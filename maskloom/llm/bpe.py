@@ -16,7 +16,7 @@ from __future__ import annotations
 import os
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 from itertools import chain
 
@@ -269,15 +269,20 @@ def _tokens(vocabulary: str) -> list[str | None]:
     return [tokenizer.id_to_token(i) for i in range(tokenizer.get_vocab_size())]
 
 
-def decoder(vocabulary: str):
-    """A function from ids to text: as the library's decode with special tokens kept; ids without a token are skipped."""
+def decoder(vocabulary: str) -> Callable[[np.ndarray], str]:
+    """A function from an array of ids to text: as the library's decode with special tokens kept; ids without a token are skipped."""
     words = _words(vocabulary)
     if words.tokenizer.decoder is not None:
-        return lambda ids: words.tokenizer.decode(ids, skip_special_tokens=False)
+        return lambda ids: words.tokenizer.decode(ids[ids >= 0].tolist(), skip_special_tokens=False)
     tokens = _tokens(vocabulary)
+    known = np.array([t is not None for t in tokens])
 
-    def joined(ids: Iterable[int]) -> str:
-        return " ".join([t for t in (tokens[i] for i in ids if 0 <= i < len(tokens)) if t is not None])
+    def joined(ids: np.ndarray) -> str:
+        fine = (ids >= 0) & (ids < len(tokens))
+        if not fine.all() or not known[ids].all():
+            ids = ids[fine]
+            ids = ids[known[ids]]
+        return " ".join(map(tokens.__getitem__, ids.tolist()))
 
     return joined
 
@@ -290,12 +295,13 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
         for batch in batches:
             ids, start = batch.column(1), 0
             sizes = np.concatenate([[0], np.cumsum(ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
+            flat = ids.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
             while start < len(ids):
                 end = max(start + 1, int(np.searchsorted(sizes, sizes[start] + IDS, side="right")) - 1)
-                part = ids.slice(start, end - start)
-                texts = [back(row) if row else "" for row in part.to_pylist()]
+                texts = [back(flat[sizes[i] : sizes[i + 1]]) for i in range(start, end)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, end - start), part, pa.array(texts, pa.string())], names=["doc_id", "ids", "text"]
+                    [c.slice(start, end - start) for c in (batch.column(0), ids)] + [pa.array(texts, pa.string())],
+                    names=["doc_id", "ids", "text"],
                 )
                 start = end
 
