@@ -32,37 +32,43 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-def running_starts(lengths: Column) -> Column:
-    """Where each of a row of pieces starts, from their lengths.
+def scanned(values: Column, shape: str, combine: Callable[[Column, Column], Column]) -> Column:
+    """Running results of an associative ``combine`` over an array: the n-th is that of the first n values.
 
-    Summed in blocks and then over the blocks, so a text of many thousand pieces does not copy a
-    growing array for every one of them.
+    Worked out in blocks, then over the blocks' last results, so an array of many thousand values does
+    not copy a growing array for every one of them. ``shape`` is the type of a value; no value may be NULL.
     """
 
-    def summed(sizes: Column) -> Column:
-        count = F.floor((F.size(sizes) - 1) / _BLOCK).cast("int")
-        blocks = F.transform(
-            F.sequence(F.lit(0), count),
-            lambda b: F.aggregate(F.slice(sizes, b * _BLOCK + 1, _BLOCK), _starts_so_far(), _add_piece),
-        )
-        return let(blocks, based)
+    def grown(acc: Column, value: Column) -> Column:
+        last = F.try_element_at(acc, F.lit(-1))
+        return F.array_append(acc, F.when(F.size(acc) > 0, combine(last, value)).otherwise(value))
+
+    def running(part: Column) -> Column:
+        return F.aggregate(part, F.array().cast(f"array<{shape}>"), grown)
 
     def based(blocks: Column) -> Column:
-        bases = F.aggregate(
-            F.transform(blocks, lambda b: b["at"]), _starts_so_far(), _add_piece, lambda acc: acc["starts"]
-        )
-        return F.flatten(F.zip_with(blocks, bases, lambda b, base: F.transform(b["starts"], lambda at: at + base)))
+        lasts = F.transform(blocks, lambda b: F.element_at(b, -1))
+        return let(running(lasts), lambda ends: F.flatten(F.transform(blocks, lambda b, i: F.when(i == 0, b).otherwise(
+            let(F.get(ends, i - 1), lambda before: F.transform(b, lambda x: combine(before, x)))
+        ))))
 
-    empty = F.array().cast("array<int>")
-    return let(lengths, lambda sizes: F.when(F.size(sizes) > 0, summed(sizes)).otherwise(empty))
+    def cut(all_: Column) -> Column:
+        blocks = F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / _BLOCK).cast("int")),
+            lambda b: running(F.slice(all_, b * _BLOCK + 1, _BLOCK)),
+        )
+        return F.when(F.size(all_) > _BLOCK, let(blocks, based)).otherwise(running(all_))
 
+    return let(values, cut)
 
-def _starts_so_far() -> Column:
-    return F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
 
+def running_starts(lengths: Column) -> Column:
+    """Where each of a row of pieces starts, from their lengths."""
+    def starts(sizes: Column) -> Column:
+        ends = scanned(sizes, "int", lambda a, b: a + b)
+        return F.zip_with(ends, sizes, lambda end, size: end - size)
 
-def _add_piece(acc: Column, length: Column) -> Column:
-    return F.struct((acc["at"] + length).alias("at"), F.array_append(acc["starts"], acc["at"]).alias("starts"))
+    return let(lengths, starts)
 
 
 def located(text: Column, found: Column, regex: Column) -> Column:
@@ -156,7 +162,8 @@ def reduce_overlaps(spans: Column) -> Column:
     """Overlapping spans become one over all they cover, so nothing detected is left beside a mask.
 
     Its category is that of the strongest member: priority, then longest, then leftmost; its
-    surface is put together from those of the members. In order of place.
+    surface is put together from those of the members. In order of place. Work grows with the
+    number of spans (and the sorting of them), however they overlap.
     """
     ranked = F.array_sort(F.transform(
         spans,
@@ -169,26 +176,16 @@ def reduce_overlaps(spans: Column) -> Column:
             s["surface"].alias("surface"),
         ),
     ))
-    shape = (
-        "array<struct<start:int,end:int,best:struct<priority:int,size:int,first:int,category:string>,surface:string>>"
-    )
-
-    def step(acc: Column, s: Column) -> Column:
-        return let(F.try_element_at(acc, F.lit(-1)), lambda last: F.when(
-            last.isNull() | (s["start"] >= last["end"]), F.array_append(acc, s)
-        ).otherwise(F.array_append(F.slice(acc, 1, F.size(acc) - 1), F.struct(
-            last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"),
-            F.when(s["best"] < last["best"], s["best"]).otherwise(last["best"]).alias("best"),
-            F.when(s["end"] > last["end"], F.concat(
-                last["surface"], F.substr(s["surface"], last["end"] - s["start"] + 1)
-            )).otherwise(last["surface"]).alias("surface"),
-        ))))
 
-    def merged(inorder: Column) -> Column:
-        return F.when(any_touch(inorder), F.aggregate(inorder, F.array().cast(shape), step)).otherwise(inorder)
+    def joined(inorder: Column) -> Column:
+        """Runs of spans that hang together: each begins where all before have ended."""
+        reach = scanned(F.transform(inorder, lambda s: s["end"]), "int", F.greatest)
+        return let(reach, lambda ends: let(_group_starts(inorder, ends), lambda firsts: F.transform(
+            firsts, lambda first, g: _merged(inorder, ends, first, F.coalesce(F.get(firsts, g + 1), F.size(inorder)))
+        )))
 
     return F.transform(
-        let(ranked, merged),
+        let(ranked, lambda inorder: F.when(any_touch(inorder), joined(inorder)).otherwise(inorder)),
         lambda s: F.struct(
             s["start"].alias("start"), s["end"].alias("end"), s["best"]["category"].alias("category"),
             s["surface"].alias("surface"), s["best"]["priority"].alias("priority"),
@@ -196,21 +193,57 @@ def reduce_overlaps(spans: Column) -> Column:
     )
 
 
+def _group_starts(inorder: Column, reach: Column) -> Column:
+    """Places in an array of spans in order that start at or behind the end of all before."""
+    places = F.transform(inorder, lambda s, i: F.when((i == 0) | (s["start"] >= F.get(reach, i - 1)), i))
+    return F.filter(places, lambda i: i.isNotNull())
+
+
+def _merged(inorder: Column, reach: Column, first: Column, after: Column) -> Column:
+    """The spans from place ``first`` to before ``after`` as one; each adds to the surface what reaches further."""
+    return let(F.slice(inorder, first + 1, after - first), lambda run: F.struct(
+        F.get(run, 0)["start"].alias("start"), F.get(reach, after - 1).alias("end"),
+        F.array_min(F.transform(run, lambda s: s["best"])).alias("best"),
+        F.array_join(F.transform(run, lambda s, i: let(F.get(reach, first + i - 1), lambda ended: F.when(i == 0, s["surface"]).when(
+            s["end"] > ended, F.substr(s["surface"], ended - s["start"] + 1)
+        ).otherwise(""))), "").alias("surface"),
+    ))
+
+
 def any_touch(inorder: Column) -> Column:
     """Whether any of the spans (an array in order, bound by ``let``) starts before its neighbour ends."""
     touches = F.transform(inorder, lambda s, i: s["start"] < F.get(inorder, i - 1)["end"])
     return F.coalesce(F.exists(touches, lambda t: t), F.lit(False))
 
 
+#: Spans written over together: places in a text are counted from its start, so a text is first cut into stretches.
+_STRETCH = 64
+
+
 def rewrite(text: Column, spans: Column, replacement: Callable[[Column], Column]) -> Column:
     """The text with each span (sorted, apart) replaced; the new text is inserted as it is."""
-    def written(sp: Column) -> Column:
+    def stretch(whole: Column, base: Column, some: Column) -> Column:
+        """A piece of the text that starts at ``base`` and ends with the last of some spans, with these replaced."""
         def piece(s: Column, i: Column) -> Column:
-            before = F.coalesce(F.get(sp, i - 1)["end"], F.lit(0))
-            return F.concat(F.substr(text, before + 1, s["start"] - before), replacement(s))
+            before = F.coalesce(F.get(some, i - 1)["end"], base)
+            return F.concat(F.substr(whole, before - base + 1, s["start"] - before), replacement(s))
+
+        return F.array_join(F.transform(some, piece), "")
 
+    def cut(sp: Column, n: Column) -> Column:
+        base = F.coalesce(F.get(sp, n * _STRETCH - 1)["end"], F.lit(0))
+        some = F.slice(sp, n * _STRETCH + 1, _STRETCH)
+        return let(base, lambda at: let(some, lambda own: let(
+            F.substr(text, at + 1, F.element_at(own, -1)["end"] - at), lambda whole: stretch(whole, at, own)
+        )))
+
+    def written(sp: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(sp) - 1) / _STRETCH).cast("int"))
+        done = F.when(F.size(sp) > _STRETCH, F.array_join(F.transform(numbers, lambda n: cut(sp, n)), "")).otherwise(
+            stretch(text, F.lit(0), sp)
+        )
         tail = F.substr(text, F.try_element_at(sp, F.lit(-1))["end"] + 1)
-        return F.when(F.size(sp) > 0, F.concat(F.array_join(F.transform(sp, piece), ""), tail)).otherwise(text)
+        return F.when(F.size(sp) > 0, F.concat(done, tail)).otherwise(text)
 
     return let(spans, written)
 

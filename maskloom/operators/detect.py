@@ -13,13 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from maskloom import schemas as C
+from maskloom.functions import phrases as PH
 from maskloom.functions import spans as S
+from maskloom.functions.titles import TITLES
 
 _TOKEN = r"[\p{L}\p{N}]+"
 
-# Titles that go before a surname, in four languages.
-TITLES = ["Mr", "Ms", "Mrs", "Dr", "Mme", "Herr", "Frau", "Sr", "Sra"]
-
 
 def detect_patterns(docs: DataFrame, categories: Sequence[str] | None = None, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Span table of the categories with a written form: Email, PhoneNumber, Date, IBAN, CreditCard.
@@ -55,7 +54,19 @@ def name_phrases(people: DataFrame, name: str = "name") -> DataFrame:
 def detect_dictionary(docs: DataFrame, gazetteer: DataFrame, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Span table of the phrases of a (phrase, category) table: Person, Organization, Address, …
 
-    Phrases are compared word by word, so case and what stands between the words do not count.
+    Phrases are compared word by word, so case and what stands between the words do not count. A list
+    of bounded size is an automaton run over each text where it lies; the texts may be a stream. A
+    larger one is joined (``join_dictionary``), with the same result.
+    """
+    spans = PH.phrase_spans(gazetteer)
+    if spans is None:
+        return join_dictionary(docs, gazetteer, keys)
+    return docs.select(*keys, F.inline(spans(F.col("text"))))
+
+
+def join_dictionary(docs: DataFrame, gazetteer: DataFrame, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """As ``detect_dictionary`` for lists of any size.
+
     Words are first joined with the first words of the phrases, and only those that start one
     become phrases to look up. Both joins are left to the planner: broadcast while the phrases are
     small, else shuffled with skewed words split.

@@ -12,9 +12,8 @@ from pyspark.sql import functions as F
 from maskloom import schemas as C
 from maskloom.functions import labels as L
 from maskloom.functions import patterns as P
-from maskloom.operators import detect, ordered, redact
-from maskloom.operators.detect import TITLES
-from maskloom.session import kept
+from maskloom.functions.titles import TITLES
+from maskloom.operators import ordered, redact
 
 
 def parse_name(surface: Column) -> Column:
@@ -81,17 +80,9 @@ def tag_mentions(mentions: DataFrame, tags: DataFrame) -> DataFrame:
     return mentions.join(tags.select("doc_id", "category", "entity", "tag"), ["doc_id", "category", "entity"], "left")
 
 
-def pseudonymize_names(docs: DataFrame, phrases: DataFrame, langs: DataFrame | None = None) -> DataFrame:
-    """Documents with what a (phrase, category) list names as tags, variants of a person under one.
-
-    The mentions are few beside the texts and are used several times, so they are kept: the texts
-    are searched once and written once.
-    """
-    spans = detect.resolve_spans(detect.detect_dictionary(docs, phrases)).withColumn("pos", F.col("start"))
-    mentions = kept(link_mentions(kept(spans)))
-    spoken = langs if langs is not None else docs.select("doc_id", F.lit("en").alias("lang"))
-    tags = localise_labels(assign_tags(mentions), spoken)
-    return redact.apply_spans(docs, tag_mentions(mentions, tags))
+def pseudonymize_names(docs: DataFrame, phrases: DataFrame, lang: str | None = None) -> DataFrame:
+    """Documents with what a (phrase, category) list names as tags, variants of a person under one."""
+    return redact.pseudonymize(docs, [], lang, phrases=phrases).select(*docs.columns)
 
 
 def document_mentions(tagged_docs: DataFrame) -> DataFrame:

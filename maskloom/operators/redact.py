@@ -1,7 +1,7 @@
 """Text with its personal data removed or replaced, one row in, one row out.
 
-Patterns and term lists are found, reduced and written over inside the row, so these plans have no
-exchange. Spans from a gazetteer or a model come as a table and are joined in by ``apply_spans``.
+Patterns, terms and lists of names are found, reduced, linked and written over inside the row, so these
+plans have no exchange. Spans of a model come as a table and are joined in (``found``, ``apply_spans``).
 """
 
 from __future__ import annotations
@@ -14,32 +14,56 @@ from pyspark.sql import functions as F
 from maskloom import schemas as C
 from maskloom.functions import labels as L
 from maskloom.functions import patterns as P
+from maskloom.functions import phrases as PH
 from maskloom.functions import spans as S
+from maskloom.functions import variants as V
 
 
-def _check_detectors(categories: Sequence[str] | None, found: DataFrame | None) -> None:
+#: Columns worked with under way.
+_SPANS, _KEYS = "_spans", "_person_keys"
+
+
+def _check_detectors(categories: Sequence[str] | None, found: DataFrame | None, phrases: DataFrame | None) -> None:
     missing = sorted(set(categories or ()) - set(P.PATTERNS))
-    if missing and found is None:
-        raise ValueError(f"no pattern finds {', '.join(missing)}: give their spans as found")
+    if missing and found is None and phrases is None:
+        raise ValueError(f"no pattern finds {', '.join(missing)}: give their spans as found, or their phrases")
 
 
-def _with_found(docs: DataFrame, found: DataFrame | None, categories: Sequence[str] | None, keys: Sequence[str]) -> DataFrame:
+def _with_found(docs: DataFrame, found: DataFrame | None, keys: Sequence[str]) -> DataFrame:
     """``docs`` with ``_found``: the spans a table holds for each text, which the text bounds."""
     if found is None:
-        return docs
-    if categories is not None:
-        found = found.where(F.col("category").isin(list(categories)))
+        return docs.withColumn("_found", S.no_spans())
     span = F.struct("start", "end", "category", "surface", "priority")
     grouped = found.select(*keys, span.alias("_span")).groupBy(*keys).agg(F.collect_set("_span").cast(S.SPANS).alias("_found"))
-    return docs.join(grouped, list(keys), "left")
+    return docs.join(grouped, list(keys), "left").withColumn("_found", F.coalesce("_found", S.no_spans()))
 
 
-def _spans(docs: DataFrame, categories: Sequence[str] | None) -> Column:
-    text, more = F.col("text"), "_found" in docs.columns
+def _with_spans(docs: DataFrame, categories: Sequence[str] | None, found: DataFrame | None = None,
+                phrases: DataFrame | None = None, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """``docs`` with the spans to remove as ``_spans``: patterns, list, table and terms by the rules of each document."""
+    text, more = F.col("text"), found is not None or phrases is not None
+    ruled = "pii_categories" in docs.columns
+    # Names of a list need not be chosen where only the patterns are (an empty choice of patterns, say).
     detected = S.pattern_spans(text, categories)
     if more:
-        detected = F.concat(detected, F.coalesce(F.col("_found"), S.no_spans()))
-    if "pii_categories" in docs.columns:
+        if phrases is not None:
+            of_list = PH.phrase_spans(phrases)
+            if of_list is None:
+                from maskloom.operators import detect
+
+                joined = detect.join_dictionary(docs, phrases, keys)
+                found = joined if found is None else found.select(*joined.columns).unionByName(joined)
+        if categories and found is not None:
+            found = found.where(F.col("category").isin(list(categories)))
+        docs = _with_found(docs, found, keys)
+        detected = F.concat(detected, F.col("_found"))
+        if phrases is not None and of_list is not None:
+            listed = of_list(text)
+            docs = docs.withColumn("_listed", F.filter(listed, lambda s: s["category"].isin(list(categories))) if categories else listed)
+            detected = F.concat(detected, F.col("_listed"))
+    docs = docs.withColumn("_detected", detected)
+    detected = F.col("_detected")
+    if ruled:
         if not more:
             known = F.array(*[F.lit(c) for c in P.PATTERNS])
             detected = F.when(
@@ -51,25 +75,29 @@ def _spans(docs: DataFrame, categories: Sequence[str] | None) -> Column:
         )
     if "pii_excluded_terms" in docs.columns:
         listed = F.coalesce(F.transform("pii_excluded_terms", F.lower), F.array().cast("array<string>"))
-        found = detected
-        detected = S.let(listed, lambda never: F.filter(found, lambda s: ~F.array_contains(never, F.lower(s["surface"]))))
-    if more and "pii_included_terms" not in docs.columns:
-        return S.reduce_overlaps(detected)
+        chosen = detected
+        detected = S.let(listed, lambda never: F.filter(chosen, lambda s: ~F.array_contains(never, F.lower(s["surface"]))))
     if "pii_included_terms" in docs.columns:
         terms = S.term_spans(text, S.term_pattern(F.col("pii_included_terms")), C.CUSTOM, S.INCLUDE)
-        return S.let(terms, lambda own: S.let(detected, lambda others: F.when(
-            (F.size(own) > 0) | F.lit(more), S.reduce_overlaps(F.concat(own, others))
-        ).otherwise(others)))
-    return detected
-
-
-def with_spans(docs: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
+        docs = docs.withColumn("_terms", terms).withColumn("_detected", detected)
+        detected = F.col("_detected")
+        together = S.reduce_overlaps(F.concat("_terms", detected))
+        detected = together if more else F.when(F.size("_terms") > 0, together).otherwise(detected)
+    elif more:
+        docs = docs.withColumn("_detected", detected)
+        detected = S.reduce_overlaps(F.col("_detected"))
+    return docs.withColumn(_SPANS, detected)
+
+
+def with_spans(docs: DataFrame, categories: Sequence[str] | None = None, found: DataFrame | None = None,
+               phrases: DataFrame | None = None, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Adds ``spans``: what to remove from ``text``, in order and apart.
 
     Rule columns are followed where the documents have them: ``pii_categories`` (NULL is all),
     ``pii_included_terms`` (whole words, always), ``pii_excluded_terms`` (never, unless included).
     """
-    return docs.withColumn("spans", _spans(docs, categories))
+    _check_detectors(categories, found, phrases)
+    return _with_spans(docs, categories, found, phrases, keys).select(*docs.columns, F.col(_SPANS).alias("spans"))
 
 
 def _has_rules(docs: DataFrame) -> bool:
@@ -77,79 +105,118 @@ def _has_rules(docs: DataFrame) -> bool:
 
 
 def redact(docs: DataFrame, categories: Sequence[str] | None = None, found: DataFrame | None = None,
-           keys: Sequence[str] = ("doc_id",)) -> DataFrame:
+           keys: Sequence[str] = ("doc_id",), phrases: DataFrame | None = None) -> DataFrame:
     """``text`` with personal data removed; the mask is of one length, so it does not tell the original's.
 
-    ``found`` is a span table of a dictionary or model (Person, Organization, Address, …), joined by
-    ``keys``; rules and overlaps treat its spans like those of the patterns. A chosen category that
-    neither patterns nor ``found`` can have is an error, never a text left as it was.
+    ``phrases`` is a (phrase, category) list and ``found`` a span table of a model, joined by ``keys`` (Person,
+    Organization, Address, …); rules and overlaps treat their spans like those of the patterns. A chosen
+    category that nothing given can have is an error, never a text left as it was.
     """
-    _check_detectors(categories, found)
-    if _has_rules(docs) or found is not None:
-        joined = _with_found(docs, found, categories, keys)
-        done = joined.withColumn("text", S.rewrite(F.col("text"), _spans(joined, categories), lambda s: F.lit(S.MASK)))
+    _check_detectors(categories, found, phrases)
+    if _has_rules(docs) or found is not None or phrases is not None:
+        spanned = _with_spans(docs, categories, found, phrases, keys)
+        done = spanned.withColumn("text", S.rewrite(F.col("text"), F.col(_SPANS), lambda s: F.lit(S.MASK)))
         return done.select(*docs.columns)
     return docs.withColumn("text", S.rewrite_matches(
         F.col("text"), categories, lambda hit: F.when(P.category_of(hit, categories).isNotNull(), F.lit(S.MASK))
     ))
 
 
-def _entity(s: Column) -> Column:
-    return F.concat(s["category"], F.lit("|"), s["key"])
-
-
-def tagged_spans(text: Column, spans: Column, lang: Column) -> Column:
+def tagged_spans(spans: Column, lang: Column, keys: Column | None = None) -> Column:
     """Spans with ``key`` and ``tag``: numbered by category in order of first appearance.
 
-    Custom terms have no tag (NULL).
+    ``keys`` are entities known beforehand (NULL: by spelling). Custom terms have no tag (NULL). Work grows
+    with the number of spans and the sorting of them.
     """
-    keyed = F.transform(
-        spans,
-        lambda s: F.struct(
-            s["start"].alias("start"), s["end"].alias("end"), s["category"].alias("category"),
-            s["surface"].alias("surface"), P.entity_key(s["category"], s["surface"]).alias("key"),
-        ),
-    )
+    def known(s: Column, key: Column | None) -> Column:
+        spelled = P.entity_key(s["category"], s["surface"])
+        return F.struct(
+            s["start"].alias("start"), s["end"].alias("end"), s["category"].alias("category"), s["surface"].alias("surface"),
+            (spelled if key is None else F.coalesce(key, spelled)).alias("key"),
+        )
 
-    def by_category(rows: Column) -> Column:
-        """Per category its entities, first come first."""
-        entities = F.array_distinct(F.transform(rows, _entity))
-        return S.let(entities, lambda all_: F.transform(
-            F.array_distinct(F.transform(rows, lambda s: s["category"])),
-            lambda c: F.struct(
-                c.alias("category"), F.filter(all_, lambda e: e.startswith(F.concat(c, F.lit("|")))).alias("entities")
-            ),
-        ))
+    # The keys are an argument, not looked up inside: the planner would move what finds them into the lambda.
+    keyed = F.transform(spans, lambda s: known(s, None)) if keys is None else F.zip_with(spans, keys, known)
 
-    def numbered(s: Column, groups: Column) -> Column:
-        own = F.get(F.filter(groups, lambda g: g["category"] == s["category"]), 0)
-        number = F.array_position(own["entities"], _entity(s))
-        return F.struct(
+    def number_of(rows: Column) -> Column:
+        """For each span the number of its entity, by sorting: alike spans side by side, then first come first."""
+        alike = F.array_sort(F.transform(rows, lambda s, i: F.struct(
+            s["category"].alias("category"), s["key"].alias("key"), i.alias("at")
+        )))
+        return S.let(alike, lambda sorted_: S.let(_new(sorted_, "key"), lambda new: S.let(
+            S.scanned(new, "int", lambda a, b: a + b), lambda entity: _numbered(sorted_, new, entity)
+        )))
+
+    def written(rows: Column, numbers: Column) -> Column:
+        return F.transform(rows, lambda s, i: F.struct(
             s["start"].alias("start"), s["end"].alias("end"), s["category"].alias("category"),
             s["surface"].alias("surface"), s["key"].alias("key"),
-            F.when(s["category"] != C.CUSTOM, L.tag(s["category"], lang, number)).alias("tag"),
-        )
+            F.when(s["category"] != C.CUSTOM, L.tag(s["category"], lang, F.get(numbers, i))).alias("tag"),
+        ))
+
+    return S.let(keyed, lambda rows: S.let(number_of(rows), lambda numbers: written(rows, numbers)))
+
+
+def _new(sorted_: Column, *fields: str) -> Column:
+    """1 where a value of the fields starts in an array sorted by them (and the category), else 0."""
+    def starts(s: Column, i: Column) -> Column:
+        last = F.get(sorted_, i - 1)
+        same = last["category"] == s["category"]
+        for name in fields:
+            same = same & (last[name] == s[name])
+        return F.when((i > 0) & same, 0).otherwise(1)
+
+    return F.transform(sorted_, starts)
+
+
+def _numbered(sorted_: Column, new: Column, entity: Column) -> Column:
+    """Numbers in the order of the spans, from spans sorted by entity and the running number of their entity there."""
+    firsts = F.array_sort(F.filter(
+        F.transform(sorted_, lambda s, i: F.when(F.get(new, i) == 1, F.struct(
+            s["category"].alias("category"), s["at"].alias("at"), F.get(entity, i).alias("entity")
+        ))),
+        lambda f: f.isNotNull(),
+    ))
+
+    def ranked(firsts_: Column) -> Column:
+        """Per entity its number: its place among those of its category, in order of the entities."""
+        begins = F.transform(firsts_, lambda f, i: F.when(
+            (i > 0) & (F.get(firsts_, i - 1)["category"] == f["category"]), 0
+        ).otherwise(i))
+        return S.let(S.scanned(begins, "int", F.greatest), lambda base: F.transform(
+            F.array_sort(F.transform(firsts_, lambda f, i: F.struct(
+                f["entity"].alias("entity"), (i - F.get(base, i) + 1).alias("number")
+            ))),
+            lambda e: e["number"],
+        ))
 
-    return S.let(keyed, lambda rows: S.let(
-        by_category(rows), lambda groups: F.transform(rows, lambda s: numbered(s, groups))
+    return S.let(S.let(firsts, ranked), lambda numbers: F.transform(
+        F.array_sort(F.transform(sorted_, lambda s, i: F.struct(
+            s["at"].alias("at"), F.get(numbers, F.get(entity, i) - 1).alias("number")
+        ))),
+        lambda s: s["number"],
     ))
 
 
 def pseudonymize(docs: DataFrame, categories: Sequence[str] | None = None, lang: str | None = None,
-                 found: DataFrame | None = None, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
+                 found: DataFrame | None = None, keys: Sequence[str] = ("doc_id",), phrases: DataFrame | None = None) -> DataFrame:
     """``text`` with each entity as a tag, plus ``spans`` with their tags (personal data: keep apart).
 
-    Always-redact terms are no category and stay black. ``found`` as in ``redact``: its spans are
-    one entity where they are spelled alike (``entities.pseudonymize_names`` links variants of names).
+    Always-redact terms are no category and stay black. ``phrases`` and ``found`` as in ``redact``. Variants of
+    a person's name are one entity (``variants``), other things are where they are spelled alike. An empty
+    choice of categories leaves the patterns out.
     """
-    _check_detectors(categories, found)
-    columns, docs = docs.columns, _with_found(docs, found, categories, keys)
+    _check_detectors(categories, found, phrases)
+    columns, named = docs.columns, found is not None or phrases is not None
     language = F.col(lang) if lang else F.lit("en")
     shape = "array<struct<start:int,end:int,category:string,surface:string,key:string,tag:string>>"
-    tagged = S.let(_spans(docs, categories), lambda found: F.when(
-        F.size(found) > 0, tagged_spans(F.col("text"), found, language)
-    ).otherwise(F.array().cast(shape)))
-    done = docs.withColumn("spans", tagged).withColumn(
+    spanned = _with_spans(docs, categories, found, phrases, keys)
+    if named:
+        spanned = spanned.withColumn(_KEYS, V.person_keys(F.col(_SPANS)))
+    tagged = F.when(
+        F.size(_SPANS) > 0, tagged_spans(F.col(_SPANS), language, F.col(_KEYS) if named else None)
+    ).otherwise(F.array().cast(shape))
+    done = spanned.withColumn("spans", tagged).withColumn(
         "text", S.rewrite(F.col("text"), F.col("spans"), lambda s: F.coalesce(s["tag"], F.lit(S.MASK)))
     )
     return done.select(*columns, *[c for c in ["spans"] if c not in columns])

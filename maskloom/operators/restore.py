@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from maskloom.functions import files
+from maskloom.functions import files, grams
 from maskloom.functions import spans as S
 
 # "[...]" without brackets or backslashes inside; either bracket may carry a Markdown backslash.
@@ -132,22 +133,30 @@ def tag_rows(texts: DataFrame, table: DataFrame, keys: Sequence[str] = ("doc_id"
 
 
 def _leftmost(hits: Column) -> Column:
-    """Hits apart, leftmost first and the longest at one place."""
-    shape = "array<struct<start:int,end:int,tag:string,original:string>>"
+    """Hits apart, leftmost first and the longest at one place.
+
+    Only hits of one run, each of which starts before the others of it have ended, are weighed against each
+    other; runs are found in one pass.
+    """
     inorder = F.array_sort(
         hits, lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(b["end"] - a["end"])
     )
 
     def apart(ordered: Column) -> Column:
-        kept = F.aggregate(
-            ordered, F.array().cast(shape),
-            lambda acc, h: F.when(
-                (F.size(acc) == 0) | (h["start"] >= F.try_element_at(acc, F.lit(-1))["end"]), F.array_append(acc, h)
-            ).otherwise(acc),
-        )
-        return F.when(S.any_touch(ordered), kept).otherwise(ordered)
+        reach = S.scanned(F.transform(ordered, lambda h: h["end"]), "int", F.greatest)
+        return S.let(reach, lambda ends: S.let(S._group_starts(ordered, ends), lambda firsts: F.flatten(F.transform(
+            firsts, lambda first, g: _chain(F.slice(ordered, first + 1, F.coalesce(F.get(firsts, g + 1), F.size(ordered)) - first))
+        ))))
+
+    return S.let(inorder, lambda ordered: F.when(S.any_touch(ordered), apart(ordered)).otherwise(ordered))
 
-    return S.let(inorder, apart)
+
+def _chain(run: Column) -> Column:
+    """Of hits that hang together, those met when each is followed by the first that starts behind it."""
+    shape = "array<struct<start:int,end:int,tag:string,original:string>>"
+    return F.aggregate(run, F.array().cast(shape), lambda acc, h: F.when(
+        (F.size(acc) == 0) | (h["start"] >= F.try_element_at(acc, F.lit(-1))["end"]), F.array_append(acc, h)
+    ).otherwise(acc))
 
 
 def text_hits(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -205,48 +214,61 @@ def check_restorable(requests: DataFrame, tables: DataFrame) -> DataFrame:
     )
 
 
-# A document of more originals than this is searched by short pieces instead of one by one.
-MANY_ORIGINALS = 1_000
-_PIECE = 3
+#: Categories whose originals are names, so that a part of one tells who is meant; the shortest part that does.
+NAMES, SHORTEST = ("Person", "Organization", "Address"), 3
+#: Originals of one document that are looked for together; more go in several lists, each met with the text once.
+LISTED = 20_000
+_ESCAPES = (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"))
+
+
+def _needles(table: DataFrame, key: str, fragments: bool) -> DataFrame:
+    """(key, placeholder, needle, part) of what must not be seen: originals, as written in XML too, and parts of names."""
+    original = F.col("original")
+    escaped = original
+    for char, entity in _ESCAPES:
+        escaped = F.replace(escaped, F.lit(char), F.lit(entity))
+    forms = F.array(F.struct(original.alias("needle"), F.lit(False).alias("part")))
+    if fragments:
+        more = F.when(escaped != original, F.array(F.struct(escaped.alias("needle"), F.lit(False).alias("part"))))
+        words = F.filter(
+            F.regexp_extract_all(original, F.lit(r"[\p{L}\p{N}]+"), F.lit(0)),
+            lambda w: (F.length(w) >= SHORTEST) & w.rlike(r"\p{L}") & (w != original),
+        )
+        parts = F.when(F.col("category").isin(*NAMES), F.transform(words, lambda w: F.struct(w.alias("needle"), F.lit(True).alias("part"))))
+        none = F.array().cast("array<struct<needle:string,part:boolean>>")
+        forms = F.concat(forms, F.coalesce(more, none), F.coalesce(parts, none))
+    named = table.where(F.coalesce("original", F.lit("")) != "")
+    return named.select(key, "placeholder", F.inline(forms)).distinct()
 
 
-def leak_scan(outputs: DataFrame, table: DataFrame, key: str = "doc_id", many: int = MANY_ORIGINALS) -> DataFrame:
+def leak_scan(outputs: DataFrame, table: DataFrame, key: str = "doc_id", fragments: bool = False, listed: int = LISTED) -> DataFrame:
     """Outputs (key, text) that hold an original of their document: (key, placeholder). None should.
 
-    The originals of a document travel as one list, looked for in the row, so no pairs are made. A
-    document of more than ``many`` originals is searched by the first characters of each instead:
-    every place of the text is joined with the originals that start so.
+    With ``fragments`` also those that hold a part of one (a word of a person's, organisation's or place's name,
+    standing alone) or an original as XML escapes it; then ``whole`` tells whether all of it was there. The strings
+    of a document travel in lists of ``listed``, and each list is looked up in a positional gram index of
+    the text (``functions.grams``): one way for any number of originals, and no pairs of text and original are made.
     """
-    secrets = table.where(F.coalesce("original", F.lit("")) != "").select(key, "placeholder", "original").distinct()
-    counts = secrets.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    wide = counts.where(F.col("_n") > many).select(key)
-    listed = secrets.join(wide, key, "left_anti").groupBy(key).agg(
-        F.collect_list(F.struct("placeholder", "original")).alias("_secrets")
-    )
-    held = F.filter("_secrets", lambda s: F.coalesce(F.col("text").contains(s["original"]), F.lit(False)))
-    few = outputs.join(listed, key).select(key, F.inline(F.transform(held, lambda s: F.struct(s["placeholder"].alias("placeholder")))))
-    return few.unionByName(_leaks_by_piece(outputs, secrets.join(wide, key), key)).distinct()
-
-
-def _leaks_by_piece(outputs: DataFrame, secrets: DataFrame, key: str) -> DataFrame:
-    starts = secrets.withColumn("_piece", F.left("original", F.lit(_PIECE)))
-    # How long the pieces and the longest original of a document are: at most three numbers and one.
-    sizes = starts.groupBy(key).agg(
-        F.collect_set(F.length("_piece")).alias("_sizes"), F.max(F.length("original")).alias("_longest")
+    needles = _needles(table, key, fragments)
+    counts = needles.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / listed).alias("_lists")).where("_lists > 1")
+    place = F.pmod(F.xxhash64("placeholder", "needle"), F.coalesce("_lists", F.lit(1)))
+    lists = needles.join(counts, key, "left").groupBy(key, place.alias("_list")).agg(
+        F.collect_list(F.struct("placeholder", "needle", "part")).alias("_needles")
     )
 
-    def places(chars: Column) -> Column:
-        return F.flatten(F.transform("_sizes", lambda size: F.transform(
-            chars,
-            lambda c, i: F.struct(
-                F.array_join(F.slice(chars, i + 1, size), "").alias("_piece"),
-                F.array_join(F.slice(chars, i + 1, F.col("_longest")), "").alias("_ahead"),
-            ),
-        )))
-
-    ahead = outputs.join(sizes, key).select(key, F.inline(S.let(F.split("text", ""), places)))
-    met = ahead.join(starts, [key, "_piece"])
-    return met.where(F.col("_ahead").startswith(F.col("original"))).select(key, "placeholder")
+    @F.arrow_udf("array<boolean>")
+    def held(texts: pa.Array, wanted: pa.Array, parts: pa.Array) -> pa.Array:
+        asked = [list(zip(w, p)) for w, p in zip(wanted.to_pylist(), parts.to_pylist())]
+        return pa.array(grams.find(texts.to_pylist(), asked), pa.list_(pa.bool_()))
+
+    once = held.asNondeterministic()
+    needle, part = F.transform("_needles", lambda s: s["needle"]), F.transform("_needles", lambda s: s["part"])
+    met = outputs.join(lists, key).withColumn("_held", once(F.col("text"), needle, part))
+    hits = F.filter(F.zip_with("_needles", "_held", lambda s, there: F.when(there, s)), lambda s: s.isNotNull())
+    rows = met.select(key, F.inline(F.transform(hits, lambda s: F.struct(s["placeholder"].alias("placeholder"), s["part"].alias("part")))))
+    if not fragments:
+        return rows.select(key, "placeholder").distinct()
+    return rows.groupBy(key, "placeholder").agg(F.bool_or(~F.col("part")).alias("whole"))
 
 
 def leak_scan_words(outputs: DataFrame, originals: DataFrame, keys: Sequence[str] = ("doc_id",)) -> DataFrame:

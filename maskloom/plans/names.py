@@ -28,6 +28,10 @@ firsts AS (SELECT *, CASE WHEN category IS NOT NULL THEN min(first) OVER (PARTIT
 ranked AS (SELECT *, CASE WHEN category IS NOT NULL THEN dense_rank() OVER (PARTITION BY doc_id, category ORDER BY seen) END AS number FROM firsts),
 tagged AS (SELECT *, CASE WHEN category IS NOT NULL THEN '[' || {LABEL_SQL} || ' ' || number || ']' END AS tag FROM ranked)"""
 
+# The table of originals out of ``tagged``: the longest form of each, the first of these.
+_TABLE = """grouped AS (SELECT doc_id, tag AS placeholder, any_value(category) AS category,
+    arg_max(hit, length(hit) * 1000000 - first) AS original FROM tagged WHERE tag IS NOT NULL GROUP BY doc_id, tag)"""
+
 
 def _tagged_docs(t: Tables) -> DataFrame:
     return redact.pseudonymize(t.texts("documents", "doc_id", "text", "lang"), lang="lang")
@@ -96,6 +100,97 @@ def name_pseudonyms(t: Tables) -> DataFrame:
     return entities.pseudonymize_names(notes, detect.name_phrases(t.sql(PEOPLE)))
 
 
+# ---- Everything at once ---------------------------------------------------------------------------
+
+# The notes with a place, a firm and rules of their own: categories left out, terms always or never to go.
+FULL_NOTES = f"""SELECT n.doc_id, n.lang, n.text || ' Filed under ' || c_mktsegment || ' Trading by desk ' || CAST(n.doc_id % 9 AS STRING) || '.' AS text,
+  c_mktsegment || ' Trading' AS firm, 'NATION_' || CAST(c_nationkey AS STRING) AS place,
+  {given('c_custkey')} || ' ' || {surname('c_custkey')} AS full_name,
+  split_part('Mr,Ms,Dr', ',', CAST(n.doc_id % 3 AS INT) + 1) || ' ' || {surname('c_custkey')} AS titled
+FROM ({NOTES}) AS n, {{orders}}, {{customer}} WHERE n.doc_id = o_orderkey AND o_custkey = c_custkey"""
+FULL_CHECK = checked(FULL_NOTES)
+
+
+def _lists(t: Tables) -> DataFrame:
+    """Names, places and firms as one list of phrases."""
+    named = lambda df, column, category: df.select(F.col(column).alias("phrase"), F.lit(category).alias("category"))
+    firms = t.sql("SELECT DISTINCT c_mktsegment || ' Trading' AS phrase, 'Organization' AS category FROM {customer}")
+    return detect.name_phrases(t.sql(PEOPLE)).unionByName(named(t.nation, "n_name", "Address")).unionByName(firms)
+
+
+def _full_notes(t: Tables) -> DataFrame:
+    return spread(t.sql(FULL_NOTES).select("doc_id", "lang", "text", "place"), "doc_id")
+
+
+def _ruled_notes(t: Tables) -> DataFrame:
+    every = F.array(*[F.lit(c) for c in LABELS if c != "Organization"])
+    return _full_notes(t).select(
+        "doc_id", "lang", "text", F.when(F.col("doc_id") % 11 == 0, every).alias("pii_categories"),
+        F.when(F.col("doc_id") % 7 == 0, F.array(F.lit("filed under"))).alias("pii_included_terms"),
+        F.when(F.col("doc_id") % 5 == 0, F.array("place")).alias("pii_excluded_terms"),
+    )
+
+
+def _all_sql(person: str, place: str, firm: str, ruled: bool = True) -> str:
+    """The names of ``rewritten`` full notes replaced, by the rules where there are any."""
+    address = f"CASE WHEN doc_id % 5 = 0 THEN place ELSE {place} END" if ruled else place
+    company = f"CASE WHEN doc_id % 11 = 0 THEN firm ELSE {firm} END" if ruled else firm
+    text = f"replace(replace(replace(replace(text, full_name, {person}), titled, {person}), place || ' wrote', {address} || ' wrote'), firm, {company})"
+    return f"CASE WHEN doc_id % 7 = 0 THEN replace({text}, 'Filed under', '█████') ELSE {text} END" if ruled else text
+
+
+def _label_sql(category: str) -> str:
+    return "'[' || " + LABEL_SQL.replace("category || '|' || lang", f"'{category}|' || lang") + " || ' 1]'"
+
+
+_FULL_TAGGED = f"""{hits_sql(FULL_CHECK, 'doc_id, lang')}, {TAGS}, {rewritten_sql(FULL_CHECK, 'tag', 'doc_id, lang', 'tagged')}"""
+_NAME_TAGS = (_label_sql("Person"), _label_sql("Address"), _label_sql("Organization"))
+_MASKS = "CASE WHEN category IS NOT NULL THEN '█████' END"
+
+
+@query(f"""WITH {hits_sql(FULL_CHECK, 'doc_id, lang')}, {rewritten_sql(FULL_CHECK, _MASKS, 'doc_id, lang')}
+SELECT doc_id, {_all_sql("'█████'", "'█████'", "'█████'")} AS text FROM rewritten""")
+def redact_all(t: Tables) -> DataFrame:
+    """All eight categories out of the notes: patterns, lists of names and each note's own rules."""
+    return redact.redact(_ruled_notes(t), phrases=_lists(t)).select("doc_id", "text")
+
+
+@query(f"WITH {_FULL_TAGGED} SELECT doc_id, {_all_sql(*_NAME_TAGS)} AS text FROM rewritten")
+def pseudonymize_all(t: Tables) -> DataFrame:
+    """All eight categories as tags, variants of a name under one, by each note's own rules."""
+    return redact.pseudonymize(_ruled_notes(t), lang="lang", phrases=_lists(t)).select("doc_id", "text")
+
+
+def _stored_full(t: Tables) -> DataFrame:
+    return kept(redact.pseudonymize(_full_notes(t), lang="lang", phrases=_lists(t)).select("doc_id", "lang", "text", "spans"))
+
+
+@query(f"SELECT doc_id, replace(text, titled, full_name) AS text FROM ({FULL_CHECK}) AS notes")
+def names_round_trip(t: Tables) -> DataFrame:
+    """Notes tagged with names and restored: a person comes back by the fullest form of the name."""
+    tagged = _stored_full(t)
+    return restore.restore_text(tagged.select("doc_id", "text"), kept(_table_of(tagged))).select("doc_id", "text")
+
+
+@query(f"""WITH {_FULL_TAGGED}, {_TABLE},
+names AS (SELECT doc_id, unnest([{_NAME_TAGS[0]}, {_NAME_TAGS[1]}, {_NAME_TAGS[2]}]) AS placeholder FROM rewritten)
+SELECT doc_id, placeholder, true AS whole FROM grouped WHERE doc_id % 10 = 0 UNION ALL SELECT doc_id, placeholder, true FROM names WHERE doc_id % 10 = 0
+UNION ALL SELECT doc_id, {_NAME_TAGS[0]}, false FROM rewritten WHERE doc_id % 10 = 1
+UNION ALL SELECT doc_id, {_NAME_TAGS[2]}, false FROM rewritten WHERE doc_id % 10 = 2""")
+def names_leak_scan(t: Tables) -> DataFrame:
+    """Outputs with originals, or with a part of one: a surname, a word of a firm; all others are clean."""
+    tagged, notes = _stored_full(t), t.sql(FULL_NOTES)
+    turn = F.col("doc_id") % 10
+    left = notes.where(turn == 0).select("doc_id", "text")
+    parts = notes.where(turn.isin(1, 2)).select("doc_id", F.when(turn == 1, F.substring_index("full_name", " ", -1)).otherwise(
+        F.substring_index("firm", " ", 1)
+    ).alias("_part"))
+    written = tagged.where(turn != 0).join(parts, "doc_id", "left").select(
+        "doc_id", F.concat("text", F.coalesce(F.concat(F.lit(" ("), "_part", F.lit(")")), F.lit(""))).alias("text")
+    )
+    return restore.leak_scan(left.unionByName(written), kept(_table_of(tagged)), fragments=True)
+
+
 # ---- Tags ---------------------------------------------------------------------------------------
 
 
@@ -148,8 +243,6 @@ def pseudonymize_turns(t: Tables) -> DataFrame:
 
 # ---- The table of originals ---------------------------------------------------------------------
 
-_TABLE = """grouped AS (SELECT doc_id, tag AS placeholder, any_value(category) AS category,
-    arg_max(hit, length(hit) * 1000000 - first) AS original FROM tagged WHERE tag IS NOT NULL GROUP BY doc_id, tag)"""
 
 
 @query(f"""WITH {hits_sql(NOTES_CHECK, 'doc_id, lang')}, {TAGS}, {_TABLE}
@@ -289,7 +382,7 @@ def leak_scan(t: Tables) -> DataFrame:
     """Outputs checked for originals; one in ten was left as it was, and only these are found."""
     notes, tagged = t.notes().select("doc_id", "text"), _stored_notes(t)
     outputs = tagged.select("doc_id", "text").where("doc_id % 10 <> 0").unionByName(notes.where("doc_id % 10 = 0"))
-    return restore.leak_scan(outputs, _table_of(tagged))
+    return restore.leak_scan(outputs, kept(_table_of(tagged)))
 
 
 @query(f"""WITH notes AS ({NOTES_CHECK}), people AS ({checked(PEOPLE)})
@@ -331,80 +424,134 @@ def mask_review(t: Tables) -> DataFrame:
 
 # ---- Tables as CSV, Word parts --------------------------------------------------------------------
 
-# A CSV per customer: quoted cells, doubled quotes, a line end inside, the formula guard, columns in another order.
-CSVS = f"""SELECT c_custkey AS doc_id, CASE WHEN c_custkey % 2 = 0 THEN '\ufeff' ELSE '' END
-  || CASE WHEN c_custkey % 3 = 0 THEN 'Original, category,LABEL,placeholder' ELSE 'placeholder,label,category,original' END || chr(13) || chr(10)
-  || CASE WHEN c_custkey % 3 = 0 THEN '"' || {surname('c_custkey')} || ', ' || {given('c_custkey')} || ' ""JK""' || chr(34) || ',Person,[Seller],[Person 1]'
-     ELSE '[Person 1],[Seller],Person,"' || {surname('c_custkey')} || ', ' || {given('c_custkey')} || ' ""JK""' || chr(34) END || chr(10)
-  || CASE WHEN c_custkey % 3 = 0 THEN chr(39) || '=' || c_mktsegment || ',Organization,,[Org 1]' ELSE '[Org 1],,Organization,' || chr(39) || '=' || c_mktsegment END || chr(10)
-  || ',,,' || chr(10) || CASE WHEN c_custkey % 3 = 0 THEN chr(39) || 't Hooft,Person,,[Person 2]' ELSE '[Person 2],,Person,' || chr(39) || 't Hooft' END AS value
-FROM {{customer}}"""
+# A table per customer: a quoted cell with a comma and quotes, one with a line end, a guarded minus, an apostrophe
+# that guards nothing, an empty record, columns in two orders, with and without the mark at the start.
+_CELLS = [
+    ("[Address 1]", "", "Address", "'Lot \"' || CAST(c_custkey % 50 AS STRING) || '\", NATION_' || CAST(c_nationkey AS STRING)", '"'),
+    ("[Org 1]", "[Club]", "Organization", "chr(39) || '90s ' || c_mktsegment || ' Club'", ""),
+    ("[Account 1]", "", "IBAN", "'-' || CAST(c_custkey AS STRING) || '/' || c_mktsegment", "guard"),
+    ("[Person 1]", "[Member]", "Person", f"{given('c_custkey')} || chr(10) || {surname('c_custkey')}", '"'),
+]
+
+
+def _csv_line(placeholder: str, label: str, category: str, original: str, kind: str, turned: bool) -> str:
+    cell = f"'\"' || replace({original}, '\"', '\"\"') || '\"'" if kind == '"' else f"chr(39) || {original}" if kind == "guard" else original
+    return f"{cell} || ',{category},{label},{placeholder}'" if turned else f"'{placeholder},{label},{category},' || {cell}"
 
 
-@query(f"""SELECT c_custkey AS doc_id, '[Person 1]' AS placeholder, '[Seller]' AS label, 'Person' AS category,
-  {surname('c_custkey')} || ', ' || {given('c_custkey')} || ' "JK"' AS original FROM customer
-UNION ALL SELECT c_custkey, '[Org 1]', '', 'Organization', '=' || c_mktsegment FROM customer
-UNION ALL SELECT c_custkey, '[Person 2]', '', 'Person', '''t Hooft' FROM customer""")
+def _csv(turned: bool) -> str:
+    header = "'ORIGINAL,Category, label ,placeholder'" if turned else "'placeholder,label,category,original'"
+    lines = [header, *[_csv_line(*cell, turned) for cell in _CELLS]]
+    return " || chr(13) || chr(10) || ".join([*lines[:3], "',,,'", *lines[3:]])
+
+
+CSVS = f"""SELECT c_custkey AS doc_id, CASE WHEN c_nationkey % 2 = 0 THEN '\ufeff' ELSE '' END
+  || CASE WHEN c_custkey % 2 = 0 THEN {_csv(True)} ELSE {_csv(False)} END AS value FROM {{customer}}"""
+
+
+@query(" UNION ALL ".join(
+    f"SELECT c_custkey AS doc_id, '{p}' AS placeholder, '{label}' AS label, '{c}' AS category, {original} AS original FROM {{customer}}"
+    for p, label, c, original, _ in _CELLS
+))
 def parse_tables(t: Tables) -> DataFrame:
     """Correspondence tables read from their CSV texts."""
     return correspondence.parse_correspondence(t.sql(CSVS))
 
 
-# Word parts per customer: a tag in one run, one cut over three, entities, a part without tags, an image.
-PARTS = """SELECT CAST(c_custkey AS STRING) AS file_id, part, CASE part
-  WHEN 'word/document.xml' THEN '<w:p><w:r><w:t xml:space="preserve">Summary ' || CAST(c_custkey AS STRING) || ': </w:t></w:r><w:r><w:t>[Person 1]</w:t></w:r>'
-    || '<w:t> sold to [Org 1].</w:t><w:t>Signed by [Per</w:t><w:t>son 1</w:t><w:t>] and [Seller] &amp; witnesses &#38; &#x26; &amp;lt; see [Person 10].</w:t></w:p>'
-  WHEN 'word/header1.xml' THEN '<w:t>Case of [Person 1]</w:t>'
-  WHEN 'word/footer1.xml' THEN '<w:t>Page footer, no tags</w:t>'
-  ELSE 'binary' END AS xml
-FROM {customer}, (SELECT 'word/document.xml' AS part UNION ALL SELECT 'word/header1.xml' UNION ALL SELECT 'word/footer1.xml' UNION ALL SELECT 'word/media/image1.png') AS parts
-WHERE NOT (c_custkey % 7 = 0 AND part = 'word/document.xml')"""
-PART_TABLE = f"""SELECT CAST(c_custkey AS STRING) AS file_id, '[Person 1]' AS placeholder, '[Seller]' AS label, 'Person' AS category,
+# A Word file per customer. The tag of the person is cut in two after one to ten characters, an account may follow
+# that the table has or lacks, a header stands in every second file, and one file in seven has no main part.
+_CUT = "1 + c_custkey % 10"
+_LAST = """CASE c_custkey % 3 WHEN 0 THEN '[Client] &amp; [Account 1] &#62; 5' WHEN 1 THEN '[Account 12] &lt;' ELSE 'no account' END"""
+_BODY = [
+    (' xml:space="preserve"', "'Customer ' || CAST(c_custkey AS STRING) || ' is '"),
+    ("", f"substring('[Person 1]', 1, CAST({_CUT} AS INT))"),
+    ("", f"substring('[Person 1]', CAST({_CUT} AS INT) + 1) || ' at [Org 1], nation ' || CAST(c_nationkey AS STRING)"),
+    ("", _LAST),
+]
+_XML = "'<w:body><w:p>' || " + " || ".join(f"'<w:r><w:t{attrs}>' || {text} || '</w:t></w:r>'" for attrs, text in _BODY) + " || '</w:p></w:body>'"
+_HEADER, _FOOTER = "'[Org 1] / ' || c_mktsegment", "'Sheet ' || CAST(c_custkey % 10 AS STRING)"
+_PARTS = [
+    ("word/document.xml", _XML, "c_custkey % 7 <> 0"),
+    ("word/header1.xml", f"'<w:hdr><w:t>' || {_HEADER} || '</w:t></w:hdr>'", "c_custkey % 2 = 0"),
+    ("word/footer1.xml", f"'<w:ftr><w:t>' || {_FOOTER} || '</w:t></w:ftr>'", "true"),
+    ("word/media/image1.png", "'binary ' || c_mktsegment", "true"),
+]
+# Each file's parts side by side in its row, opened afterwards: the table is read once and joined with nothing.
+PARTS = "SELECT CAST(c_custkey AS STRING) AS file_id, inline(filter(array(" + ", ".join(
+    f"CASE WHEN {there} THEN struct('{part}' AS part, {xml} AS xml) END" for part, xml, there in _PARTS
+) + "), p -> p IS NOT NULL)) FROM {customer}"
+PART_TABLE = f"""SELECT CAST(c_custkey AS STRING) AS file_id, '[Person 1]' AS placeholder, '[Client]' AS label, 'Person' AS category,
   {given('c_custkey')} || ' ' || {surname('c_custkey')} AS original FROM {{customer}}
-UNION ALL SELECT CAST(c_custkey AS STRING), '[Org 1]', '', 'Organization', 'Acme & ' || c_mktsegment FROM {{customer}}"""
+UNION ALL SELECT CAST(c_custkey AS STRING), '[Org 1]', '', 'Organization', c_mktsegment || ' & Sons' FROM {{customer}}
+UNION ALL SELECT CAST(c_custkey AS STRING), '[Account 1]', '', 'IBAN', 'A<' || CAST(c_nationkey AS STRING) FROM {{customer}}"""
+
+# What the checks start from: the runs of each part as a reader sees them, and the same with the originals back.
+_SEEN = [text.replace("&amp;", "&").replace("&lt;", "<").replace("&#62;", ">") for _, text in _BODY]
+_NAME = f"{given('c_custkey')} || ' ' || {surname('c_custkey')}"
 
-_RUN_SQL = """unnest(CASE part WHEN 'word/document.xml' THEN [{document}] WHEN 'word/header1.xml' THEN [{header}] ELSE ['Page footer, no tags'] END)"""
-_PARTS_FROM = """FROM customer, (SELECT unnest(['word/document.xml', 'word/header1.xml', 'word/footer1.xml']) AS part) AS parts
-WHERE NOT (c_custkey % 7 = 0 AND part = 'word/document.xml')"""
 
+def _back(text: str) -> str:
+    for tag, original in (("[Org 1]", "c_mktsegment || ' & Sons'"), ("[Client]", _NAME), ("[Account 1]", "'A<' || CAST(c_nationkey AS STRING)")):
+        text = f"replace({text}, '{tag}', {original})"
+    return text
 
-@query(f"""SELECT file_id, part, run_no, CASE WHEN part = 'word/document.xml' AND run_no = 0 THEN ' xml:space="preserve"' ELSE '' END AS attrs, text FROM (
-SELECT CAST(c_custkey AS VARCHAR) AS file_id, part, {_RUN_SQL.format(document="'Summary ' || c_custkey || ': ', '[Person 1]', ' sold to [Org 1].', 'Signed by [Per', 'son 1', '] and [Seller] & witnesses & & &lt; see [Person 10].'", header="'Case of [Person 1]'")} AS text,
-  unnest(range(CASE part WHEN 'word/document.xml' THEN 6 ELSE 1 END)) AS run_no {_PARTS_FROM}) AS listed""")
+
+_DONE = [_SEEN[0], f"{_NAME}", _back(_SEEN[2].replace(f"substring('[Person 1]', CAST({_CUT} AS INT) + 1)", "''")), _back(_SEEN[3])]
+
+
+def _runs_sql(body: list[str], header: str) -> str:
+    rows = [("word/document.xml", i, attrs, text, _PARTS[0][2]) for i, ((attrs, _), text) in enumerate(zip(_BODY, body))]
+    rows += [("word/header1.xml", 0, "", header, _PARTS[1][2]), ("word/footer1.xml", 0, "", _FOOTER, "true")]
+    return " UNION ALL ".join(
+        f"SELECT c_custkey, CAST(c_custkey AS VARCHAR) AS file_id, '{part}' AS part, CAST({i} AS BIGINT) AS run_no, '{attrs}' AS attrs, {text} AS text FROM customer WHERE {there}"
+        for part, i, attrs, text, there in rows
+    )
+
+
+_BEFORE, _AFTER = _runs_sql(_SEEN, _HEADER), _runs_sql(_DONE, _back(_HEADER))
+
+
+@query(f"SELECT file_id, part, run_no, attrs, text FROM ({_BEFORE}) AS runs")
 def extract_runs(t: Tables) -> DataFrame:
     """Text runs of the parts a reader sees."""
     return runs.extract_runs(t.sql(PARTS))
 
 
-_NAME = f"{given('c_custkey')} || ' ' || {surname('c_custkey')}"
-
-
-@query(f"""SELECT CAST(c_custkey AS VARCHAR) AS file_id, part, unnest(range(CASE part WHEN 'word/document.xml' THEN 6 ELSE 1 END)) AS run_no,
-  {_RUN_SQL.format(document=f"'Summary ' || c_custkey || ': ', {_NAME}, ' sold to Acme & ' || c_mktsegment || '.', 'Signed by ' || {_NAME}, '', ' and ' || {_NAME} || ' & witnesses & & &lt; see [Person 10].'", header=f"'Case of ' || {_NAME}")} AS text,
-  unnest(CASE part WHEN 'word/document.xml' THEN [false, true, true, true, true, true] WHEN 'word/header1.xml' THEN [true] ELSE [false] END) AS changed
-{_PARTS_FROM}""")
+@query(f"""SELECT a.file_id, a.part, a.run_no, a.text, a.text <> b.text AS changed
+FROM ({_AFTER}) AS a JOIN ({_BEFORE}) AS b USING (file_id, part, run_no)""")
 def restore_runs(t: Tables) -> DataFrame:
     """Runs with the originals back, also where a tag was cut over several."""
     done = runs.restore_runs(runs.extract_runs(t.sql(PARTS)), t.sql(PART_TABLE))
     return done.drop("attrs")
 
 
-@query(f"""SELECT CAST(c_custkey AS VARCHAR) AS file_id, part, CASE part WHEN 'word/footer1.xml' THEN '<w:t>Page footer, no tags</w:t>'
-  WHEN 'word/header1.xml' THEN '<w:t xml:space="preserve">Case of ' || {_NAME} || '</w:t>' WHEN 'word/media/image1.png' THEN 'binary'
-  ELSE '<w:p><w:r><w:t xml:space="preserve">Summary ' || c_custkey || ': </w:t></w:r><w:r><w:t xml:space="preserve">' || {_NAME} || '</w:t></w:r><w:t xml:space="preserve"> sold to Acme &amp; '
-    || c_mktsegment || '.</w:t><w:t xml:space="preserve">Signed by ' || {_NAME} || '</w:t><w:t xml:space="preserve"></w:t><w:t xml:space="preserve"> and ' || {_NAME}
-    || ' &amp; witnesses &amp; &amp; &amp;lt; see [Person 10].</w:t></w:p>' END AS xml
-FROM customer, (SELECT unnest(['word/document.xml', 'word/header1.xml', 'word/footer1.xml', 'word/media/image1.png']) AS part) AS parts
-WHERE NOT (c_custkey % 7 = 0 AND part = 'word/document.xml')""")
+_ENCODED = "replace(replace(replace(a.text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+
+
+@query(f"""WITH raw AS ({_runs_sql([text for _, text in _BODY], _HEADER)}),
+written AS (SELECT a.c_custkey, a.file_id, a.part, a.run_no, CASE WHEN a.text = b.text THEN '<w:t' || a.attrs || '>' || raw.text
+    ELSE '<w:t xml:space="preserve">' || {_ENCODED} END || '</w:t>' AS node
+  FROM ({_AFTER}) AS a JOIN ({_BEFORE}) AS b USING (file_id, part, run_no) JOIN raw USING (file_id, part, run_no)),
+parts AS (SELECT file_id, part, CASE part WHEN 'word/document.xml' THEN '<w:body><w:p>' || string_agg('<w:r>' || node || '</w:r>', '' ORDER BY run_no) || '</w:p></w:body>'
+    WHEN 'word/header1.xml' THEN '<w:hdr>' || any_value(node) || '</w:hdr>' ELSE '<w:ftr>' || any_value(node) || '</w:ftr>' END AS xml
+  FROM written GROUP BY file_id, part)
+SELECT * FROM parts UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'word/media/image1.png', 'binary ' || c_mktsegment FROM customer""")
 def rebuild_parts(t: Tables) -> DataFrame:
     """Parts with the restored runs written in."""
     parts = t.sql(PARTS)
     return runs.rebuild_part_xml(parts, runs.restore_runs(runs.extract_runs(parts), t.sql(PART_TABLE)))
 
 
-@query("""SELECT CAST(c_custkey AS VARCHAR) AS file_id, CASE WHEN c_custkey % 7 = 0 THEN 'invalid_request' ELSE 'restored' END AS status,
-  CASE WHEN c_custkey % 7 <> 0 THEN CAST(5 AS BIGINT) END AS replacements, CASE WHEN c_custkey % 7 <> 0 THEN CAST(3 AS BIGINT) END AS tags_restored,
-  CASE WHEN c_custkey % 7 <> 0 THEN '[Person 10]' END AS unresolved_tags, CASE WHEN c_custkey % 7 <> 0 THEN '' END AS ambiguous_tags FROM customer""")
+@query(f"""WITH texts AS (SELECT file_id, part, string_agg(text, '' ORDER BY run_no) AS text FROM ({_BEFORE}) AS runs GROUP BY file_id, part),
+known AS (SELECT unnest(['[Person 1]', '[Client]', '[Org 1]', '[Account 1]']) AS tag),
+met AS (SELECT file_id, tag, CAST(sum((length(text) - length(replace(text, tag, ''))) // length(tag)) AS BIGINT) AS n FROM texts, known GROUP BY file_id, tag),
+counts AS (SELECT file_id, CAST(sum(n) AS BIGINT) AS replacements, count(*) FILTER (n > 0) AS tags_restored FROM met GROUP BY file_id),
+shaped AS (SELECT DISTINCT file_id, unnest(regexp_extract_all(text, '\\[[^\\[\\]]+\\]')) AS tag FROM texts),
+strange AS (SELECT file_id, string_agg(tag, ',' ORDER BY tag) AS tags FROM shaped WHERE tag NOT IN (SELECT tag FROM known) GROUP BY file_id),
+files AS (SELECT CAST(c_custkey AS VARCHAR) AS file_id, c_custkey % 7 <> 0 AS ok FROM customer)
+SELECT file_id, CASE WHEN ok THEN 'restored' ELSE 'invalid_request' END AS status, CASE WHEN ok THEN replacements END AS replacements,
+  CASE WHEN ok THEN tags_restored END AS tags_restored, CASE WHEN ok THEN coalesce(tags, '') END AS unresolved_tags, CASE WHEN ok THEN '' END AS ambiguous_tags
+FROM files LEFT JOIN counts USING (file_id) LEFT JOIN strange USING (file_id)""")
 def restore_report(t: Tables) -> DataFrame:
     """Counts per Word file; files without a main part are refused."""
     return runs.restore_report(t.sql(PARTS), t.sql(PART_TABLE))

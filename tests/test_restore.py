@@ -179,5 +179,5 @@ def test_leaks_of_many_originals_are_found_like_those_of_few(spark):
     outputs = spark.createDataFrame([("d", word(30)), ("d", word(12)), ("e", word(50)), ("d", None), ("d", "")], "doc_id string, text string")
     texts, originals = [r.text for r in outputs.where("doc_id = 'd'").collect()], tags.collect()
     expected = {("d", r.placeholder) for r in originals if any(r.original in x for x in texts if x)}
-    for many in (1_000, 5):
-        assert {tuple(r) for r in restore.leak_scan(outputs, tags, many=many).collect()} == expected
+    for listed in (1_000, 5):
+        assert {tuple(r) for r in restore.leak_scan(outputs, tags, listed=listed).collect()} == expected
