@@ -6,15 +6,13 @@ it travels; where rows must be numbered or listed, the group is bounded by a che
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from maskloom import schemas as C
 from maskloom.functions import codes, files
 from maskloom.operators import ordered
-from maskloom.session import checkpoint_dir, kept
+from maskloom.session import kept
 
 
 def check_batch(jobs: DataFrame, uploads: DataFrame) -> DataFrame:
@@ -70,19 +68,15 @@ def job_key(uploads: DataFrame, rules: DataFrame) -> DataFrame:
     return joined.select("job_id", F.concat(F.lit("job-"), F.left(F.sha2(text, 256), F.lit(48))).alias("job_key"))
 
 
-# A key of more requests than this is followed day by day instead of as one list.
-HOT_KEY = 50_000
-
-
-def dedupe_jobs(requests: DataFrame, hours: int = C.KEY_LIFETIME_HOURS, hot: int = HOT_KEY) -> DataFrame:
+def dedupe_jobs(requests: DataFrame, hours: int = C.KEY_LIFETIME_HOURS) -> DataFrame:
     """Each request (request_id, job_key, ts, params) with the request it repeats.
 
     The first request of a key opens a job; repeats within ``hours`` join it, the next one opens
-    another. ``billed`` marks the opener; ``conflict`` a repeat with other parameters. The answer
-    per request comes from one list of openers per key, found by ``_openers``.
+    another. ``billed`` marks the opener; ``conflict`` a repeat with other parameters. Requests
+    without a key or time repeat nothing and are left out.
     """
     requests = requests.withColumn("ts", F.col("ts").cast("timestamp"))
-    openers = _openers(requests.select("job_key", "ts"), hours, hot)
+    openers = _openers(requests.select("job_key", "ts"), hours)
     first = requests.join(openers, ["job_key", "ts"]).groupBy("job_key", F.col("ts").alias("opened_at")).agg(
         F.min_by(F.struct("request_id", "params"), "request_id").alias("_opener")
     )
@@ -99,47 +93,51 @@ def dedupe_jobs(requests: DataFrame, hours: int = C.KEY_LIFETIME_HOURS, hot: int
     )
 
 
-def _openers(asked: DataFrame, hours: int, hot: int) -> DataFrame:
-    """(job_key, ts) of the requests that open a job.
+#: Buckets a key's lifetime is cut into, so that no task gets all requests of a key or of its day.
+_BUCKETS = 64
+
+
+def _next_times(times: DataFrame, hours: int) -> DataFrame:
+    """(job_key, ts, next): for each time of a key the first one a lifetime or more after it, where there is one.
 
-    Keys of up to ``hot`` distinct times are walked as one sorted list. A busier key is followed
-    one stretch of ``hours`` at a time: no stretch holds two openers, so its opener is one minimum,
-    combined before it travels, and each round reads only its stretch of a table partitioned so.
+    Times and the times asked for meet in buckets; behind the last time of a bucket comes the first of the
+    next bucket that has any, found among one row per bucket.
     """
-    times = asked.distinct()
-    counts = times.groupBy("job_key").agg(F.count(F.lit(1)).alias("_n"))
-    busy = counts.where(F.col("_n") > hot).select("job_key")
-    life = F.expr(f"INTERVAL {hours} HOURS")
-    walked = times.join(busy, "job_key", "left_anti").groupBy("job_key").agg(F.array_sort(F.collect_list("ts")).alias("_ts"))
-    opened = F.aggregate(
-        "_ts", F.array().cast("array<timestamp>"),
-        lambda acc, t: F.when(
-            (F.size(acc) == 0) | (t >= F.try_element_at(acc, F.lit(-1)) + life), F.array_append(acc, t)
-        ).otherwise(acc),
+    width = hours * 3_600_000_000 // _BUCKETS
+    bucket = lambda at: F.floor(F.col(at) / F.lit(width))
+    own = times.select("job_key", F.unix_micros("ts").alias("at"))
+    asked = own.select("job_key", (F.col("at") + F.lit(hours * 3_600_000_000)).alias("at"), F.col("at").alias("from"))
+    both = own.select("job_key", "at", F.lit(None).cast("bigint").alias("from")).unionByName(asked).withColumn("_bucket", bucket("at"))
+    later = Window.partitionBy("job_key", "_bucket").orderBy(F.desc("at")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = F.min(F.when(F.col("from").isNull(), F.col("at"))).over(later)
+    met = both.withColumn("_inside", inside).where("from IS NOT NULL")
+    # Both windows run from the latest time back: looking ahead row by row would read the rest of a bucket for each.
+    # One row per bucket that holds times or is asked about, with the first time behind it.
+    buckets = both.groupBy("job_key", "_bucket").agg(F.min(F.when(F.col("from").isNull(), F.col("at"))).alias("_first"))
+    behind = Window.partitionBy("job_key").orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    buckets = buckets.withColumn("_behind", F.min("_first").over(behind)).drop("_first")
+    found = met.join(buckets, ["job_key", "_bucket"]).select(
+        "job_key", F.timestamp_micros("from").alias("ts"), F.timestamp_micros(F.coalesce("_inside", "_behind")).alias("next")
     )
-    calm = walked.select("job_key", F.explode(opened).alias("ts"))
-    stretch = F.floor(F.unix_micros("ts") / F.lit(hours * 3_600_000_000))
-    busy_times = times.join(busy, "job_key").withColumn("_at", stretch)
-    if busy.isEmpty():
-        return calm
-    spark = asked.sparkSession
-    place = f"{checkpoint_dir(spark)}/busy-{uuid.uuid4().hex}"
-    busy_times.write.partitionBy("_at").parquet(place)
-    busy_times = spark.read.parquet(place)
-    # One number per stretch of time, for all keys together.
-    stretches = [r[0] for r in busy_times.select("_at").distinct().orderBy("_at").collect()]
-    last, found = None, calm
-    for i, at in enumerate(stretches):
-        now = busy_times.where(F.col("_at") == at)
-        if last is not None:
-            now = now.join(last, "job_key", "left").where(F.col("_last").isNull() | (F.col("ts") >= F.col("_last") + life))
-        opener = kept(now.groupBy("job_key").agg(F.min("ts").alias("ts")))
-        found = found.unionByName(opener)
-        latest = opener.withColumnRenamed("ts", "_last")
-        if last is not None:
-            latest = latest.unionByName(last).groupBy("job_key").agg(F.max("_last").alias("_last"))
-        last = kept(latest) if i % 8 == 7 else latest
-    return found
+    return found.where("next IS NOT NULL")
+
+
+def _openers(asked: DataFrame, hours: int) -> DataFrame:
+    """(job_key, ts) of the requests that open a job, for keys of any number of requests.
+
+    The openers of a key are its first time and what following the pointers of ``_next_times`` reaches from
+    there. In each round all that is reached jumps ahead by as many openers as are reached, and jumps are
+    put together two by two, so the rounds are as many as the number of openers of one key has binary digits.
+    """
+    times = kept(asked.where("job_key IS NOT NULL AND ts IS NOT NULL").distinct())
+    jumps = kept(_next_times(times, hours))
+    reached = kept(times.groupBy("job_key").agg(F.min("ts").alias("ts")))
+    while not jumps.isEmpty():
+        ahead = reached.join(jumps, ["job_key", "ts"]).select("job_key", F.col("next").alias("ts"))
+        reached = kept(reached.unionByName(ahead))
+        further = jumps.select("job_key", F.col("ts").alias("next"), F.col("next").alias("_further"))
+        jumps = kept(jumps.join(further, ["job_key", "next"]).select("job_key", "ts", F.col("_further").alias("next")))
+    return reached
 
 
 def pack_jobs(uploads: DataFrame, keys: list[str], order: str, size: int = C.MAX_FILES_PER_JOB,

@@ -163,8 +163,21 @@ def test_busy_keys_are_deduped_like_calm_ones(spark):
                 opener = r
             expected[r.request_id] = (opener.request_id, r.request_id == opener.request_id, r.params != opener.params)
     assert {r.request_id: (r.job_request_id, r.billed, r.conflict) for r in calm.collect()} == expected
-    busy = J.dedupe_jobs(events, hot=60)
-    assert {r.request_id: (r.job_request_id, r.billed, r.conflict) for r in busy.collect()} == expected
+
+
+def test_one_key_of_most_requests(spark):
+    """200,000 requests of one key over 230 days, among others: each finds its opener."""
+    rows = spark.range(200_000).select(
+        F.col("id").alias("request_id"), F.when(F.col("id") % 40 == 0, F.concat(F.lit("k"), F.col("id") % 1000)).otherwise("hot").alias("job_key"),
+        F.timestamp_seconds(F.col("id") * 100 + F.col("id") * 7919 % 97).alias("ts"), F.lit("p").alias("params"),
+    )
+    expected, opener = {}, {}
+    for r in sorted(rows.collect(), key=lambda r: (r.ts, r.request_id)):
+        if r.job_key not in opener or r.ts >= opener[r.job_key][0] + dt.timedelta(hours=24):
+            opener[r.job_key] = (r.ts, r.request_id)
+        expected[r.request_id] = opener[r.job_key][1]
+    assert len(set(expected.values())) > 2000
+    assert {r.request_id: r.job_request_id for r in J.dedupe_jobs(rows).collect()} == expected
 
 
 def test_packs_hold_at_most_their_size(spark):
