@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from maskloom.plans import names, work
 from maskloom.plans import texts  # noqa: F401  (its queries come first)
 from maskloom.plans.common import KEY_SQL, ORACLES, Tables, checked, hits_sql, query, rewritten_sql
+from maskloom.session import checkpoint_dir
 from maskloom.streaming import jobs as J
 from maskloom.streaming import texts as X
 
@@ -17,6 +20,14 @@ def _stream(t: Tables, name: str) -> DataFrame:
     return X.read_text_stream(t.spark, t.sf_dir, table.schema, f"{name}.parquet")
 
 
+def _batches(t: Tables, name: str, part, count: int = 4) -> DataFrame:
+    """A table as a stream of ``count`` micro-batches, by the number ``part`` gives each row."""
+    table, place = getattr(t, name), f"{checkpoint_dir(t.spark)}/{name}-{uuid.uuid4().hex}"
+    for n in range(count):
+        table.where(part == n).coalesce(1).write.mode("append").parquet(place)
+    return X.read_text_stream(t.spark, place, table.schema, files_per_trigger=1)
+
+
 @query(ORACLES["redact_documents"])
 def stream_redact(t: Tables) -> DataFrame:
     """Documents redacted as they arrive."""
@@ -60,9 +71,9 @@ def _asked(t: Tables) -> DataFrame:
     )
 
 
-def _reads(t: Tables) -> DataFrame:
+def _reads(t: Tables, events: DataFrame | None = None) -> DataFrame:
     """The reads of the batch query on a stream; a watch starts at the day's first possible read."""
-    return _stream(t, "events").withColumn("ts", F.col("ts").cast("timestamp")).select(
+    return (_stream(t, "events") if events is None else events).withColumn("ts", F.col("ts").cast("timestamp")).select(
         F.concat_ws("/", F.col("user_id"), F.to_date("ts")).alias("job_id"), "ts", F.col("event_id").alias("read_no"),
         (F.col("event_type") != "error").alias("ok"), ((F.col("event_type") == "purchase") & (F.col("value") < 10)).alias("final"),
         (F.col("value") < 20).alias("retryable"),
@@ -87,6 +98,24 @@ def stream_job_watch(t: Tables) -> DataFrame:
     return X.run_available(J.stream_job_watch(_reads(t), budget=12 * 3600), "watch").select("job_id", "outcome", "code")
 
 
+@query(f"""WITH r AS ({checked(work.READS)}), w AS (SELECT *, date_trunc('day', ts) AS started_at FROM r),
+t AS (SELECT *, CASE WHEN ok AND final THEN 'settled' WHEN NOT ok AND NOT retryable THEN 'fatal' END AS ending FROM w WHERE ts < started_at + INTERVAL 12 HOUR),
+g AS (SELECT job_id, first(ending ORDER BY ts, read_no) FILTER (ending IS NOT NULL) AS ending, first(code ORDER BY ts, read_no) FILTER (ending IS NOT NULL) AS end_code,
+  first(status ORDER BY ts, read_no) FILTER (ending IS NOT NULL) AS end_status, last(ok ORDER BY ts, read_no) AS last_ok, last(code ORDER BY ts, read_no) AS last_code,
+  last(status ORDER BY ts, read_no) FILTER (ok) AS last_status, count(*) AS reads FROM t GROUP BY job_id),
+j AS (SELECT job_id, min(started_at) + INTERVAL 12 HOUR AS deadline FROM w GROUP BY job_id)
+SELECT job_id, coalesce(ending, CASE WHEN coalesce(last_ok, true) THEN 'running' ELSE 'outage' END) AS outcome,
+  CASE WHEN ending = 'settled' THEN NULL WHEN ending = 'fatal' THEN end_code WHEN coalesce(last_ok, true) THEN 'timeout' ELSE last_code END AS code,
+  CASE WHEN ending = 'settled' THEN end_status ELSE last_status END AS last_status, coalesce(reads, 0) AS reads
+FROM j LEFT JOIN g USING (job_id) WHERE deadline <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM w)""")
+def stream_job_watch_all(t: Tables) -> DataFrame:
+    """How watches ended, told at the end of their budget over several micro-batches: the batch operator on all columns."""
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
+    first, last = t.events.agg(F.min(seconds), F.max(seconds)).first()
+    part = F.floor((seconds - F.lit(first or 0)) * 4 / F.lit((last or 0) - (first or 0) + 1))
+    return X.run_available(J.stream_job_watch(_reads(t, _batches(t, "events", part)), budget=12 * 3600, tell="budget"), "watch-all")
+
+
 def _calls(t: Tables) -> DataFrame:
     return _stream(t, "events").select(
         F.col("ts").cast("timestamp").alias("ts"),
@@ -126,12 +155,24 @@ r AS (SELECT *, row_number() OVER (PARTITION BY day, document_id ORDER BY status
 SELECT epoch_us(day) AS window_start, document_id, status FROM r WHERE n = 1 AND day + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM e)""")
 def stream_latest_status(t: Tables) -> DataFrame:
     """Last status per document and day, told once the day is closed."""
-    events = _stream(t, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    return X.run_available(J.stream_latest_status(_statuses(_stream(t, "events"))), "status")
+
+
+@query(ORACLES["latest_status"])
+def stream_status(t: Tables) -> DataFrame:
+    """Last status of each document, over micro-batches that come in no order of time: the batch operator's."""
+    events = _batches(t, "events", F.col("event_id") * 7 % 4)
+    told = X.run_available(J.stream_status(_statuses(events), ttl_hours=24 * 90), "statuses", idle=False)
+    last = F.max_by(F.struct("status", "ts"), "revision")
+    return told.groupBy("document_id").agg(last.alias("_last")).select("document_id", "_last.status", "_last.ts")
+
+
+def _statuses(events: DataFrame) -> DataFrame:
+    events = events.withColumn("ts", F.col("ts").cast("timestamp"))
     status = F.expr(
         "CASE WHEN event_type = 'purchase' AND value < 3 THEN 'redacted' WHEN event_type = 'error' AND value < 2 THEN 'error' "
         "WHEN event_type = 'click' THEN 'redacting' WHEN event_type = 'view' THEN 'analyzing' ELSE 'uploaded' END"
     )
-    rows = events.select(
+    return events.select(
         "event_id", F.concat(F.lit("d"), F.col("user_id") * 7 + F.col("event_id") % 7).alias("document_id"), "ts", status.alias("status")
     )
-    return X.run_available(J.stream_latest_status(rows), "status")

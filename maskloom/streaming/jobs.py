@@ -17,64 +17,98 @@ from maskloom.streaming.texts import ROCKSDB
 WATCHED = "job_id string, outcome string, code string, last_status string, reads bigint"
 
 
+_ORDER = "at bigint, no bigint"
+_WATCH = (
+    f"told boolean, reads bigint, end struct<{_ORDER}, outcome string, code string, status string>, "
+    f"latest struct<{_ORDER}, ok boolean, code string>, readable struct<{_ORDER}, status string>"
+)
+
+
 class _Watch(StatefulProcessor):
-    """One job: its latest read, and a timer for the end of its budget."""
+    """One job: its earliest end, its latest read and latest readable one, and timers for its budget and for forgetting it."""
 
-    def __init__(self, budget: int) -> None:
-        self._budget_ms = budget * 1000
+    def __init__(self, budget: int, tell: str, forget: int) -> None:
+        self._budget_ms, self._at_end, self._forget_ms = budget * 1000, tell == "end", forget * 1000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        # done, the latest read's ok and code, the last status that could be read, reads so far
-        self._state = handle.getValueState("watch", "done boolean, ok boolean, code string, status string, reads bigint")
+        self._state = handle.getValueState("watch", _WATCH)
+        self._deadline = handle.getValueState("deadline", "ms bigint")
+
+    def _known(self) -> tuple:
+        told, reads, *rest = self._state.get()
+        return told, reads, *(None if r is None else tuple(r) for r in rest)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values(["ts", "read_no"])
         known = self._state.exists()
-        done, ok, code, status, reads = self._state.get() if known else (False, True, None, None, 0)
-        deadline = int(batch["started_at"].iloc[0].timestamp() * 1000) + self._budget_ms
-        if not known:
+        told, reads, end, latest, readable = self._known() if known else (False, 0, None, None, None)
+        deadline = self._deadline.get()[0] if known else None
+        for some in rows:
+            for row in some.itertuples(index=False):
+                if deadline is None:
+                    deadline = int(row.started_at.timestamp() * 1000) + self._budget_ms
+                order = (int(row.at), int(row.read_no))
+                if not deadline - self._budget_ms <= order[0] / 1000 < deadline:
+                    continue
+                reads += 1
+                code = None if pd.isna(row.code) else row.code
+                outcome = "settled" if row.ok and row.final else "fatal" if not row.ok and not row.retryable else None
+                if outcome and (end is None or order < tuple(end[:2])):
+                    end = (*order, outcome, code, row.status)
+                if latest is None or order > tuple(latest[:2]):
+                    latest = (*order, bool(row.ok), code)
+                if row.ok and (readable is None or order > tuple(readable[:2])):
+                    readable = (*order, row.status)
+        if deadline is not None and not known:
+            # A first read long after its watch was over and forgotten begins no other.
+            if deadline + self._forget_ms < timerValues.getCurrentWatermarkInMs():
+                return
+            self._deadline.update((deadline,))
             self._handle.registerTimer(deadline)
-        out = []
-        for row in batch.itertuples(index=False):
-            at = row.ts.timestamp() * 1000
-            # Budget over or already ended: later reads change nothing.
-            if done or at >= deadline or at < deadline - self._budget_ms:
-                continue
-            reads += 1
-            ok, code = bool(row.ok), None if pd.isna(row.code) else row.code
-            status = row.status if ok else status
-            if ok and row.final:
-                done = True
-                out.append((key[0], "settled", None, status, reads))
-            elif not ok and not row.retryable:
-                done = True
-                out.append((key[0], "fatal", code, status, reads))
-        self._state.update((done, ok, code, status, reads))
-        yield pd.DataFrame(out, columns=["job_id", "outcome", "code", "last_status", "reads"])
+        now = self._at_end and end is not None and not told
+        self._state.update((told or now, reads, end, latest, readable))
+        if now:
+            yield self._row(key, reads, end, latest, readable)
+
+    def _row(self, key: Any, reads: int, end: Any, latest: Any, readable: Any) -> pd.DataFrame:
+        if end is not None:
+            outcome, code = end[2], end[3] if end[2] == "fatal" else None
+        elif latest is not None and not latest[2]:
+            outcome, code = "outage", latest[3]
+        else:
+            outcome, code = "running", "timeout"
+        status = end[4] if outcome == "settled" else readable[2] if readable is not None else None
+        return pd.DataFrame([(key[0], outcome, code, status, reads)], columns=["job_id", "outcome", "code", "last_status", "reads"])
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        done, ok, code, status, reads = self._state.get()
-        out = []
-        if not done:
-            self._state.update((True, ok, code, status, reads))
-            out = [(key[0], "running", "timeout", status, reads) if ok else (key[0], "outage", code, status, reads)]
-        yield pd.DataFrame(out, columns=["job_id", "outcome", "code", "last_status", "reads"])
+        told, reads, end, latest, readable = self._known()
+        deadline = self._deadline.get()[0]
+        if expiredTimerInfo.getExpiryTimeInMs() >= deadline + self._forget_ms:
+            self._state.clear()
+            self._deadline.clear()
+            return
+        # What is left is the mark that it was told, until no read can be taken for the first of another watch.
+        self._state.update((True, 0, None, None, None))
+        self._handle.registerTimer(deadline + self._forget_ms)
+        if not told:
+            yield self._row(key, reads, end, latest, readable)
 
     def close(self) -> None:
         pass
 
 
-def stream_job_watch(reads: DataFrame, budget: int = C.WAIT_BUDGET_SECONDS, late: str = "10 minutes") -> DataFrame:
-    """How watching each job ended, told once: at its first final status or lasting error, else when
-    event time passes its budget. Columns as the batch operator's, with ``started_at`` on each read.
+def stream_job_watch(reads: DataFrame, budget: int = C.WAIT_BUDGET_SECONDS, late: str = "10 minutes", tell: str = "end",
+                     forget: int = 7 * 86_400) -> DataFrame:
+    """How watching each job ended, told once. Columns as the batch operator's, with ``started_at`` on each read.
 
-    ``reads`` counts up to the end of the watch.
+    ``tell`` "end" tells a final status or lasting error as soon as it is read, with what was read until then,
+    else when event time passes the budget. "budget" tells all at the end of their budget: then every column is
+    the batch operator's, in whatever order the reads came. A job's state shrinks to a mark when its budget is
+    over and goes ``forget`` seconds later.
     """
     reads.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    return reads.withWatermark("ts", late).groupBy("job_id").transformWithStateInPandas(
-        _Watch(budget), WATCHED, "append", "eventTime"
-    )
+    timed = reads.withWatermark("ts", late).withColumn("at", F.unix_micros("ts"))
+    return timed.groupBy("job_id").transformWithStateInPandas(_Watch(budget, tell, forget), WATCHED, "append", "eventTime")
 
 
 def stream_call_rates(log: DataFrame, length: str = "1 minute", slide: str | None = None, late: str = "10 minutes") -> DataFrame:
@@ -105,3 +139,60 @@ def stream_latest_status(events: DataFrame, length: str = "1 day", late: str = "
         F.min_by(F.when(final, F.col("status")), F.when(final, order)).alias("_final"),
         F.max_by("status", order).alias("_last"),
     ).select(F.col("window.start").alias("window_start"), "document_id", F.coalesce("_final", "_last").alias("status"))
+
+
+CURRENT = "document_id string, status string, ts timestamp, revision bigint"
+
+
+class _Status(StatefulProcessor):
+    """One document: its first final status and its last status by event order, and how often its answer changed."""
+
+    def __init__(self, ttl_ms: int | None) -> None:
+        self._ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        value = "at bigint, no bigint, status string"
+        self._state = handle.getValueState("status", f"final struct<{value}>, last struct<{value}>, revision bigint", self._ttl_ms)
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        final, last, revision = self._state.get() if self._state.exists() else (None, None, 0)
+        final, last = tuple(final) if final else None, tuple(last) if last else None
+        before = (final, last)
+        for some in rows:
+            some = some.sort_values(["at", "event_id"])
+            ends = some[some["final"]]
+            if len(ends):
+                first = ends.iloc[0]
+                found = (int(first["at"]), int(first["event_id"]), first["status"])
+                final = found if final is None or found[:2] < final[:2] else final
+            latest = some.iloc[-1]
+            found = (int(latest["at"]), int(latest["event_id"]), latest["status"])
+            last = found if last is None or found[:2] > last[:2] else last
+        if (final, last) == before:
+            return
+        answer = final or last
+        changed = answer != (before[0] or before[1])
+        self._state.update((final, last, revision + changed))
+        if changed:
+            yield pd.DataFrame({
+                "document_id": [key[0]], "status": [answer[2]], "ts": pd.to_datetime([answer[0]], unit="us", utc=True), "revision": [revision + 1],
+            })
+
+    def close(self) -> None:
+        pass
+
+
+def stream_status(events: DataFrame, ttl_hours: int | None = None) -> DataFrame:
+    """(document_id, status, ts, revision) whenever a document's status changes; the highest revision is the batch operator's row.
+
+    A final status absorbs: later reads change nothing, only an earlier final one that comes late takes its place.
+    No read is too late. With ``ttl_hours`` a document not heard of for so long is forgotten; one read again then
+    starts anew, from revision 1.
+    """
+    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    timed = events.select(
+        "document_id", "event_id", "status", F.coalesce(F.unix_micros("ts"), F.lit(-(1 << 62))).alias("at"),
+        codes.is_terminal_status(F.col("status")).alias("final"),
+    )
+    ttl = None if ttl_hours is None else ttl_hours * 3_600_000
+    return timed.groupBy("document_id").transformWithStateInPandas(_Status(ttl), CURRENT, "append", "ProcessingTime" if ttl else "none")

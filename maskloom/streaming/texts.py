@@ -23,6 +23,9 @@ from maskloom.session import checkpoint_dir, kept
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+_NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
+
+
 def read_text_stream(spark: SparkSession, folder: str, schema: StructType | str, pattern: str = "*.parquet",
                      files_per_trigger: int | None = None) -> DataFrame:
     """New parquet files of a folder as a stream."""
@@ -32,15 +35,22 @@ def read_text_stream(spark: SparkSession, folder: str, schema: StructType | str,
     return reader.parquet(folder)
 
 
-def run_available(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
+def run_available(stream: DataFrame, name: str, mode: str = "append", idle: bool = True) -> DataFrame:
     """Run a stream over all that is there now and give the rows it wrote.
 
-    Output and offsets go to the shared checkpoint folder, under a new name for each run.
+    Output and offsets go to the shared checkpoint folder, under a new name for each run. ``idle`` lets it go on
+    without new rows, which event-time timers need at the end; with state that ages by the clock it would never stop.
     """
     spark = stream.sparkSession
     base = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
     writer = stream.writeStream.outputMode(mode).trigger(availableNow=True).option("checkpointLocation", f"{base}/state")
-    writer.format("parquet").option("path", f"{base}/rows").start().awaitTermination()
+    before = spark.conf.get(_NO_DATA, "true")
+    spark.conf.set(_NO_DATA, str(idle).lower())
+    try:
+        query = writer.format("parquet").option("path", f"{base}/rows").start()
+    finally:
+        spark.conf.set(_NO_DATA, before)
+    query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{base}/rows")
 
 
