@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from maskloom.functions.labels import LABELS
 from maskloom.operators import detect, entities, redact, restore, runs
-from maskloom.plans.common import KEY_SQL, MENTIONS, NOTES, Tables, checked, given, hits_sql, query, rewritten_sql, surname
-from maskloom.session import kept
+from maskloom.plans.common import KEY_SQL, MENTIONS, ORACLES, NOTES, Tables, checked, given, hits_sql, query, rewritten_sql, surname
+from maskloom.session import checkpoint_dir, kept
 from maskloom.sources import correspondence
 from maskloom.sources.documents import spread
 from maskloom.streaming import texts as streamed
@@ -458,6 +460,22 @@ def parse_tables(t: Tables) -> DataFrame:
     return correspondence.parse_correspondence(t.sql(CSVS))
 
 
+@query(f"SELECT *, 'refused' AS again FROM ({ORACLES['parse_tables']}) AS q")
+def table_files(t: Tables) -> DataFrame:
+    """A file per table, written, read back, and refused when written again."""
+    folder = f"{checkpoint_dir(t.spark)}/tables-{uuid.uuid4().hex}"
+    table = correspondence.parse_correspondence(t.sql(CSVS))
+    correspondence.write_tables(table, folder, "doc_id")
+    try:
+        correspondence.write_tables(table, folder, "doc_id")
+        again = "written over"
+    except Exception as error:  # noqa: BLE001
+        again = "refused" if "not written over" in str(error) else str(error)
+    back = correspondence.read_correspondence(t.spark, folder)
+    number = F.regexp_extract("file", r"([0-9]+)\.csv$", 1).cast("bigint")
+    return back.select(number.alias("doc_id"), "placeholder", "label", "category", "original", F.lit(again).alias("again"))
+
+
 # A Word file per customer. The tag of the person is cut in two after one to ten characters, an account may follow
 # that the table has or lacks, a header stands in every second file, and one file in seven has no main part.
 _CUT = "1 + c_custkey % 10"

@@ -58,8 +58,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not named:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        named = os.path.join(tempfile.mkdtemp(prefix="maskloom-"), "checkpoints")
-        spark.conf.set("spark.checkpoint.dir", named)
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(os.path.join(tempfile.mkdtemp(prefix="maskloom-"), "checkpoints"))
+        return spark.sparkContext.getCheckpointDir()
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(named)
     return named
