@@ -120,17 +120,107 @@ def is_public_address(address: Column) -> Column:
     return let(address, public)
 
 
-_URL = r"^([A-Za-z][A-Za-z0-9+.-]*)://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:@]*)(?::([0-9]*))?([^?#]*)"
+# ---- URLs as browsers read them: every spelling of an address has one form -------------------------
+
+# Scheme, user, host, port, path, and the rest; schemes with hosts may have any number of slashes, either way round.
+_SPECIAL = r"(?is)^(https?|ftp|wss?):[/\\]*([^/\\?#]*@)?(\[[^\]/\\?#]*\]|[^/\\?#:@]*)(?::([^/\\?#]*))?([^?#]*)(.*)$"
+_OTHER = r"(?s)^([A-Za-z][A-Za-z0-9+.-]*):(?://([^/?#]*))?([^?#]*)(.*)$"
+# Ports that are left out, and characters no host may hold.
+_PORTS = {"http": "80", "https": "443", "ftp": "21", "ws": "80", "wss": "443"}
+_NO_HOST = r"[\x00-\x20\x7f#%/:<>?@\[\\\]^|]"
+_ENCODED = r"[^\x21-\x7e]|[\"<>`{}^]"
+
+
+def _clean(url: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(url, r"^[\x00-\x20]+|[\x00-\x20]+$", ""), r"[\t\n\r]", "")
+
+
+def _host_of(raw: Column) -> Column:
+    """A host as written: names in lower case, numbers as a dotted quad, IPv6 in its short form; NULL if it is none."""
+    inner = F.regexp_replace(raw, r"^\[|\]$", "")
+    short = let(ipv6_groups(inner), lambda groups: F.when(groups.isNotNull(), F.concat(F.lit("["), _short_v6(groups), F.lit("]"))))
+    decoded = F.when(raw.contains("%"), F.try_url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))).otherwise(raw)
+    name = F.lower(decoded)
+    return F.when(raw.startswith("["), short).when(
+        name.rlike(r"(?:^|\.)(?:0x[0-9a-f]*|[0-9]+)\.?$"), let(name, _quad_of)
+    ).when((name != "") & ~name.rlike(_NO_HOST), name)
+
+
+def _short_v6(groups: Column) -> Column:
+    """Groups in hexadecimal, the first of the longest runs of at least two zeros left out."""
+    def short(text: Column) -> Column:
+        out = text
+        for n in range(2, 9):
+            run = "(?:^|:)0" + ":0" * (n - 1) + "(?:$|:)"
+            out = F.when(text.rlike(run), F.concat(
+                F.get(F.split(text, run, 2), 0), F.lit("::"), F.get(F.split(text, run, 2), 1)
+            )).otherwise(out)
+        return out
+
+    return let(F.array_join(F.transform(groups, lambda g: F.lower(F.hex(g))), ":"), short)
+
+
+def _port_of(scheme_: Column, raw: Column) -> Column:
+    """':port' where it is not the scheme's own, '' where it is left out, NULL where it is none."""
+    number = F.when(raw.rlike("^[0-9]+$"), raw.try_cast("bigint"))
+    usual = F.lit(None).cast("string")
+    for name, port in _PORTS.items():
+        usual = F.when(scheme_ == name, port).otherwise(usual)
+    return F.when(raw == "", "").when(number > 65_535, None).when(number.cast("string") == usual, "").otherwise(
+        F.concat(F.lit(":"), number.cast("string"))
+    )
+
+
+def _path_of(raw: Column) -> Column:
+    """A path without dot segments, with what may not stand in it as %XX."""
+    parts = F.split(F.regexp_replace(F.replace(raw, F.lit("\\"), F.lit("/")), "^/", ""), "/", -1)
+    marked = let(parts, lambda all_: F.transform(all_, lambda p, i: F.struct(p.alias("part"), (i == F.size(all_) - 1).alias("last"))))
+
+    def step(acc: Column, p: Column) -> Column:
+        up = p["part"].rlike(r"(?i)^(?:\.|%2e){2}$")
+        end = F.when(p["last"], F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+        return F.when(up, F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), end)).when(
+            p["part"].rlike(r"(?i)^(?:\.|%2e)$"), F.concat(acc, end)
+        ).otherwise(F.array_append(acc, p["part"]))
+
+    plain = F.concat(F.lit("/"), F.array_join(F.aggregate(marked, F.array().cast("array<string>"), step), "/"))
+    return let(plain, lambda path: F.when(path.rlike(_ENCODED), F.array_join(F.transform(F.split(path, ""), lambda c: F.when(
+        c.rlike(_ENCODED), F.regexp_replace(F.hex(F.encode(c, "UTF-8")), "(..)", "%$1")
+    ).otherwise(c)), "")).otherwise(path))
+
+
+def parse_url(url: Column) -> Column:
+    """``struct(scheme, user, host, port, path, rest)`` of an absolute URL in its one form; NULL where it is none."""
+    def special(text: Column) -> Column:
+        group = lambda i: F.regexp_extract(text, _SPECIAL, i)
+        scheme_ = F.lower(group(1))
+        return F.struct(
+            scheme_.alias("scheme"), group(2).alias("user"), _host_of(group(3)).alias("host"), _port_of(scheme_, group(4)).alias("port"),
+            _path_of(group(5)).alias("path"), group(6).alias("rest"),
+        )
+
+    def other(text: Column) -> Column:
+        group = lambda i: F.regexp_extract(text, _OTHER, i)
+        return F.struct(
+            F.lower(group(1)).alias("scheme"), F.lit("").alias("user"), group(2).alias("host"), F.lit("").alias("port"),
+            group(3).alias("path"), group(4).alias("rest"),
+        )
+
+    def parsed(text: Column) -> Column:
+        return F.when(text.rlike(_SPECIAL), let(special(text), lambda u: F.when(u["host"].isNotNull() & u["port"].isNotNull(), u))).when(
+            text.rlike(_OTHER), other(text)
+        )
+
+    return let(_clean(url), parsed)
 
 
 def scheme(url: Column) -> Column:
-    return F.lower(F.regexp_extract(F.trim(url), _URL, 1))
+    return F.lower(F.regexp_extract(_clean(url), r"^([A-Za-z][A-Za-z0-9+.-]*):", 1))
 
 
 def host(url: Column) -> Column:
-    """Host in lower case, without brackets; numeric spellings of an IPv4 address become a dotted quad."""
-    raw = F.regexp_replace(F.lower(F.regexp_extract(F.trim(url), _URL, 2)), r"^\[|\]$", "")
-    return let(raw, lambda name: F.coalesce(_quad_of(name), name))
+    """Host in its one form, without brackets."""
+    return F.regexp_replace(parse_url(url)["host"], r"^\[|\]$", "")
 
 
 def _quad_of(name: Column) -> Column:
@@ -163,33 +253,36 @@ def _quad_of(name: Column) -> Column:
 
 
 def strip_url(url: Column) -> Column:
-    """Scheme, host with port, and path: query and fragment may hold a token."""
-    port = F.regexp_extract(F.trim(url), _URL, 3)
-    usual = F.when(scheme(url) == "http", "80").when(scheme(url) == "https", "443").otherwise("")
-    raw_host = F.lower(F.regexp_extract(F.trim(url), _URL, 2))
-    path = F.regexp_extract(F.trim(url), _URL, 4)
-    return F.when(
-        scheme(url) != "",
-        F.concat(
-            scheme(url), F.lit("://"), raw_host,
-            F.when((port != "") & (port != usual), F.concat(F.lit(":"), port)).otherwise(""),
-            F.when(path == "", "/").otherwise(path),
-        ),
-    )
+    """Scheme, host with port, and path in their one form: user, query and fragment may hold a token."""
+    return let(parse_url(url), lambda u: F.when(
+        u.isNotNull(), F.concat(u["scheme"], F.lit("://"), u["host"], u["port"], u["path"])
+    ))
+
+
+def href(url: Column) -> Column:
+    """A whole absolute URL in its one form; NULL where it is none."""
+    between = lambda u: F.when(u["scheme"].isin(*_PORTS) | (u["host"] != ""), "://").otherwise(":")
+    return let(parse_url(url), lambda u: F.when(
+        u.isNotNull(), F.concat(u["scheme"], between(u), u["user"], u["host"], u["port"], u["path"], u["rest"])
+    ))
 
 
 def join_url(base: Column, target: Column) -> Column:
-    """A redirect target seen from the page it came from; NULL where it is no usable URL."""
-    plain = F.trim(target)
-    origin = F.regexp_extract(F.trim(base), r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
-    folder = F.regexp_extract(F.trim(base), r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/(?:[^?#]*/)?)", 1)
-    page = F.regexp_extract(F.trim(base), r"^([^?#]*)", 1)
-    return (
-        F.when(plain.isNull() | (plain == ""), F.lit(None).cast("string"))
-        .when(plain.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]"), plain)
-        .when(plain.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None).cast("string"))
-        .when(plain.startswith("//"), F.concat(scheme(base), F.lit(":"), plain))
-        .when(plain.startswith("/"), F.concat(origin, plain))
-        .when(plain.rlike(r"^[?#]"), F.concat(page, plain))
-        .otherwise(F.concat(origin, F.when(folder == "", "/").otherwise(folder), plain))
-    )
+    """A redirect target seen from the page it came from, in its one form; NULL where it is no usable URL."""
+    def joined(page: Column, plain: Column) -> Column:
+        origin = F.concat(page["scheme"], F.lit("://"), page["user"], page["host"], page["port"])
+        folder = F.regexp_extract(page["path"], "^(.*/)", 1)
+        query = F.regexp_extract(page["rest"], r"^(\?[^#]*)", 1)
+        slashed = F.replace(F.substring(plain, 1, 2), F.lit("\\"), F.lit("/"))
+        whole = (
+            F.when(plain == "", F.concat(origin, page["path"], query))
+            .when(plain.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.when(plain.rlike(r"(?i)^(?:https?|ftp|wss?):"), plain))
+            .when(slashed == "//", F.concat(page["scheme"], F.lit(":"), plain))
+            .when(slashed.startswith("/"), F.concat(origin, plain))
+            .when(plain.startswith("?"), F.concat(origin, page["path"], plain))
+            .when(plain.startswith("#"), F.concat(origin, page["path"], query, plain))
+            .otherwise(F.concat(origin, folder, plain))
+        )
+        return href(whole)
+
+    return F.when(target.isNotNull(), let(parse_url(base), lambda page: let(_clean(target), lambda plain: joined(page, plain))))

@@ -44,10 +44,10 @@ def audit_redirects(hops: DataFrame, resolved: DataFrame) -> DataFrame:
     target = F.col("_target")
     redirect = F.col("status").isin(*REDIRECTS)
     steps = checked.select(
-        "chain_id", "hop_no", "url",
+        "chain_id", "hop_no", net.href(F.col("url")).alias("_here"),
         (
             F.when(F.col("refused").isNotNull(), F.col("refused"))
-            .when(redirect & F.col("location").isNull(), "redirect_without_target")
+            .when(redirect & (F.coalesce("location", F.lit("")) == ""), "redirect_without_target")
             .when(redirect & target.isNull(), "invalid_redirect")
             .when(redirect & (F.col("hop_no") >= C.MAX_REDIRECTS), "too_many_redirects")
             .when(~redirect & ~F.col("status").between(200, 299), "http_error")
@@ -58,7 +58,7 @@ def audit_redirects(hops: DataFrame, resolved: DataFrame) -> DataFrame:
     # The hop before, by an equality join: hop n+1 must be where hop n pointed.
     before = steps.select("chain_id", (F.col("hop_no") + 1).alias("hop_no"), F.col("target").alias("expected"))
     linked = steps.join(before, ["chain_id", "hop_no"], "left")
-    strayed = (F.col("hop_no") > 0) & ~F.coalesce(F.col("expected") == F.col("url"), F.lit(False))
+    strayed = (F.col("hop_no") > 0) & ~F.coalesce(F.col("expected") == F.col("_here"), F.lit(False))
     outcome = F.when(strayed, "unexpected_hop").otherwise(F.col("outcome"))
     return linked.groupBy("chain_id").agg(
         F.min_by(F.when(outcome.isNotNull(), outcome), F.when(outcome.isNotNull(), F.col("hop_no"))).alias("_outcome"),

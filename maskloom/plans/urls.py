@@ -41,7 +41,7 @@ URLS = URLS.replace("replace(url, '.example.', ':8443.example.')", "'https://use
 
 @query(f"""WITH u AS ({checked(URLS)}), r AS ({checked(RESOLVED)}), h AS (SELECT host, bool_and(address LIKE '93.%') AS ok FROM r GROUP BY host),
 p AS (SELECT page_id, url, lower(split_part(url, ':', 1)) AS scheme, regexp_replace(split_part(split_part(url, '/', 3), '@', -1), ':[0-9]+$', '') AS host FROM u)
-SELECT page_id, url, CASE WHEN page_id % 9 = 2 THEN 'https://[::ffff:8.8.8.8]/a' WHEN page_id % 9 = 4 THEN 'https://' || p.host || ':8443/p'
+SELECT page_id, url, CASE WHEN page_id % 9 = 2 THEN 'https://[::ffff:808:808]/a' WHEN page_id % 9 = 3 THEN 'http://127.0.0.1/' WHEN page_id % 9 = 4 THEN 'https://' || p.host || ':8443/p'
     ELSE scheme || '://' || p.host || CASE WHEN regexp_extract(url, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1) = '' THEN '/' ELSE regexp_extract(url, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1) END END AS shown,
   CASE WHEN scheme NOT IN ('http', 'https') THEN 'unsupported_scheme' WHEN page_id % 9 IN (0, 3) THEN 'not_public' WHEN page_id % 9 = 2 THEN NULL
     WHEN coalesce(ok, false) THEN NULL ELSE 'not_public' END AS refused
@@ -57,6 +57,30 @@ def stripped_urls(t: Tables) -> DataFrame:
     return t.pages.select("page_id", net.strip_url(F.col("url")).alias("shown"))
 
 
+# Spellings of one place: case, default ports, numbers for an address, dots and slashes in the path, blanks and tabs.
+_SPELT = [
+    ("' HTTPS://User@EXAMPLE-' || {k} || '.Org:443/a/./b/../' || {k} || '?q'", "'https://example-' || {k} || '.org/a/' || {k}"),
+    ("'http:' || {b} || {b} || 'host' || {k} || '.example' || {b} || 'x' || {b} || '..' || {b} || 'y z'", "'http://host' || {k} || '.example/y%20z'"),
+    ("'http://0x7f.' || {k} || '/%2e%2E/..'", "'http://127.0.' || CAST(floor(page_id / 256) AS INT) || '.' || CAST(page_id % 256 AS STRING) || '/'"),
+    ("'https://[2001:DB8:0:0:1:0:0:' || {k} || ']:0443'", "'https://[2001:db8::1:0:0:' || CASE WHEN page_id = 0 THEN '0' ELSE ltrim({k}, '0') END || ']/'"),
+    ("'http://h.example:80' || {k} || '/é'", "CASE WHEN CAST('80' || {k} AS BIGINT) <= 65535 THEN 'http://h.example:' || CAST(CAST('80' || {k} AS BIGINT) AS STRING) || '/%C3%A9' END"),
+    ("'http://1.2.3.4.' || {k}", "CAST(NULL AS STRING)"),
+    ("'https:/one.example/' || {k} || chr(9) || '/..#f'", "'https://one.example/'"),
+    ("'mailto:' || {k} || '@x.example'", "'mailto://' || {k} || '@x.example'"),
+]
+
+
+def _spelt(side: int) -> str:
+    return f"CASE page_id % {len(_SPELT)} " + " ".join(f"WHEN {i} THEN {pair[side].format(k='CAST(page_id AS STRING)', b='chr(92)')}" for i, pair in enumerate(_SPELT)) + " END"
+
+
+@query(f"""WITH p AS (SELECT *, {_spelt(1)} AS shown FROM pages)
+SELECT page_id, CASE WHEN page_id % 8 = 3 THEN replace(shown, ':0:0:0]', '::]') ELSE shown END AS shown FROM p""")
+def one_form_urls(t: Tables) -> DataFrame:
+    """Many spellings of URLs in the one form they are shown in; what is no URL has none."""
+    return t.sql(f"SELECT page_id, {_spelt(0)} AS url FROM {{pages}}").select("page_id", net.strip_url(F.col("url")).alias("shown"))
+
+
 # Fetches with up to five redirects per page, relative or absolute; some break off or stray.
 HOPS = f"""SELECT page_id AS chain_id, hop_no, split_part(url, '/', 1) || '//' || {_HOST} || '/h' || CAST(CASE WHEN page_id % 11 = 5 AND hop_no = 2 THEN 99 ELSE hop_no END AS STRING) AS url,
   CASE WHEN hop_no < page_id % 6 THEN 302 WHEN page_id % 13 = 0 THEN 404 ELSE 200 END AS status,

@@ -38,8 +38,8 @@ def test_addresses(spark):
 
 @pytest.mark.parametrize("url, host, shown", [
     ("https://User:pw@Example.com:8443/a/b?token=1#f", "example.com", "https://example.com:8443/a/b"),
-    ("HTTP://2130706433/", "127.0.0.1", "http://2130706433/"),
-    ("http://0x7f.1:80", "127.0.0.1", "http://0x7f.1/"),
+    ("HTTP://2130706433/", "127.0.0.1", "http://127.0.0.1/"),
+    ("http://0x7f.1:80", "127.0.0.1", "http://127.0.0.1/"),
     ("http://[::1]/x", "::1", "http://[::1]/x"),
     ("https://1.example.com?x", "1.example.com", "https://1.example.com/"),
 ])
@@ -251,3 +251,23 @@ def test_stream_openers_over_micro_batches(spark, tmp_path):
     want = J.dedupe_jobs(rows.where("job_key is not null")).where("billed").select("request_id", "job_key", "ts", "params").collect()
     assert sorted(r for r in got if r.job_key) == sorted(want)
     assert sorted(r.request_id for r in got) == [1, 3, 5, 7, 8, 9, 11, 12, 14, 2 ** 60 + 1]
+
+
+@pytest.mark.parametrize("url, shown", [
+    ("  HTTP://EXAMPLE.com:80/%2e/a/../b?x#y ", "http://example.com/b"), ("https://a.b/..", "https://a.b/"), ("https://a.b/c/.", "https://a.b/c/"),
+    ("http://0300.0250.1/", "http://192.168.0.1/"), ("http://[1:0:0:2:0:0:0:3]/", "http://[1:0:0:2::3]/"), ("http://[::]:080", "http://[::]/"),
+    ("http://a%62c.com", "http://abc.com/"), ("http://1.2.3.256/", None), ("http://a b.com/", None), ("http://x:99999/", None), ("http://x:9a/", None),
+    ("https:\\\\h\\p", "https://h/p"), ("", None), ("no url", None), ("ftp://u:p@h:21/f", "ftp://h/f"), ("http://h?q", "http://h/"), (None, None),
+])
+def test_urls_have_one_form(spark, url, shown):
+    df = spark.createDataFrame([(url,)], "u string")
+    assert df.select(net.strip_url(F.col("u"))).first()[0] == shown
+
+
+@pytest.mark.parametrize("target, expected", [
+    ("../x", "https://h.org/x"), ("x?y#z", "https://h.org/a/x?y#z"), ("//O.org/./p", "https://o.org/p"), ("/p/../q", "https://h.org/q"), ("?n", "https://h.org/a/b?n"),
+    ("#f", "https://h.org/a/b?q#f"), ("HTTP://I:80", "http://i/"), ("mailto:x", None), ("", "https://h.org/a/b?q"), (None, None), ("http://1.2.3.4.5/", None),
+])
+def test_redirect_targets(spark, target, expected):
+    df = spark.createDataFrame([("https://H.org:443/a/b?q", target)], "b string, t string")
+    assert df.select(net.join_url(F.col("b"), F.col("t"))).first()[0] == expected
