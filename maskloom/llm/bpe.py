@@ -241,26 +241,53 @@ def _batched(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
         yield len(some), some
 
 
+def _encoded(encoder: Encoder, batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """(document ids, offsets, ids) of the texts of a batch, some at a time."""
+    at = 0
+    for rows, texts in _batched(batch.column(1)):
+        if rows == 1 and len(texts[0]) > SLICE:
+            ids = np.concatenate([encoder.ids([part])[1] for part in slices(texts[0])])
+            counts = np.array([len(ids)])
+        else:
+            counts, ids = encoder.ids(texts)
+        yield batch.column(0).slice(at, rows), np.concatenate([[0], np.cumsum(counts)]), ids.astype(np.int32)
+        at += rows
+
+
+def _chosen(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, str]:
+    chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    return chosen, f"doc_id {chosen.schema['doc_id'].dataType.simpleString()}, ids array<int>"
+
+
+def _listed(offsets: np.ndarray, ids: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
+
+
 def encode(docs: DataFrame, vocabulary: str, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, ids array<int>) of every whole text, with the lexicon file of ``write_lexicon``."""
-    chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    chosen, schema = _chosen(docs, doc_id, text)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary, path)
         for batch in batches:
-            at = 0
-            for rows, texts in _batched(batch.column(1)):
-                if rows == 1 and len(texts[0]) > SLICE:
-                    ids = np.concatenate([encoder.ids([part])[1] for part in slices(texts[0])])
-                    counts = np.array([len(ids)])
-                else:
-                    counts, ids = encoder.ids(texts)
-                offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, rows), listed], names=["doc_id", "ids"])
-                at += rows
-
-    return chosen.mapInArrow(store.lean(work), f"doc_id {chosen.schema['doc_id'].dataType.simpleString()}, ids array<int>")
+            for names, offsets, ids in _encoded(encoder, batch):
+                yield pa.RecordBatch.from_arrays([names, _listed(offsets, ids)], names=["doc_id", "ids"])
+
+    return chosen.mapInArrow(store.lean(work), schema)
+
+
+def encode_and_decode(docs: DataFrame, vocabulary: str, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, ids, text): ``decode`` of ``encode`` in one pass, by one Python worker a task."""
+    chosen, schema = _chosen(docs, doc_id, text)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, back = Encoder(vocabulary, path), decoder(vocabulary)
+        for batch in batches:
+            for names, offsets, ids in _encoded(encoder, batch):
+                texts = [back(ids[a:b]) for a, b in zip(offsets.tolist(), offsets[1:].tolist())]
+                yield pa.RecordBatch.from_arrays([names, _listed(offsets, ids), pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
+
+    return chosen.mapInArrow(store.lean(work), f"{schema}, text string")
 
 
 @lru_cache(maxsize=2)

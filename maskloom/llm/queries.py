@@ -114,8 +114,7 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_lexicon_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
-    encoded = bpe.encode(docs, TOKENIZER, bpe.write_lexicon(docs, TOKENIZER))
-    return bpe.decode(encoded, TOKENIZER).select(
+    return bpe.encode_and_decode(docs, TOKENIZER, bpe.write_lexicon(docs, TOKENIZER)).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"),
     )
