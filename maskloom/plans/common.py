@@ -128,8 +128,8 @@ SELECT l_orderkey AS doc_id, CAST(l_linenumber AS BIGINT) AS pos, 'Person' AS ca
     WHEN 1 THEN 'Ms ' || {surname('l_suppkey % 3')}
     WHEN 2 THEN substr({given('l_suppkey')}, 1, 1) || '. ' || {surname('l_suppkey % 3')}
     ELSE {surname('l_suppkey % 3')} END AS surface
-FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey, min(l_suppkey) AS l_suppkey
-      FROM {{lineitem}} GROUP BY l_orderkey, l_linenumber) AS lines
+FROM (SELECT l_orderkey, l_partkey, l_suppkey,
+  CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS BIGINT) AS l_linenumber FROM {{lineitem}}) AS lines
 """
 
 PATTERN = P.pattern(portable=True)

@@ -20,9 +20,10 @@ JOBS = """SELECT 'j' || CAST(o_orderkey AS STRING) AS job_id, o_custkey AS accou
   CASE o_orderkey % 3 WHEN 0 THEN 'pseudonymize' WHEN 1 THEN 'redact' END AS mode, o_orderdate AS created_at FROM {orders}
 UNION ALL SELECT 'e' || CAST(c_custkey AS STRING), c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'redacted' WHEN 1 THEN 'analyzing' ELSE 'error' END,
   CASE c_custkey % 4 WHEN 0 THEN 'studio' ELSE 'ephemeral' END, CAST(NULL AS STRING), CAST('1998-05-25' AS DATE) FROM {customer}"""
-LINES = """(SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey, min(l_suppkey) AS l_suppkey, min(l_quantity) AS l_quantity,
-  min(l_extendedprice) AS l_extendedprice, min(l_returnflag) AS l_returnflag, min(l_linestatus) AS l_linestatus, min(l_shipdate) AS l_shipdate
-  FROM {lineitem} GROUP BY l_orderkey, l_linenumber) AS lines"""
+# Every line is a row of its own: lines of one order with the same number are told apart by all their columns.
+LINES = """(SELECT l_orderkey, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+    l_returnflag, l_linestatus, l_shipdate) AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_returnflag, l_linestatus, l_shipdate
+  FROM {lineitem}) AS lines"""
 DOCUMENTS = f"""SELECT 'j' || CAST(l_orderkey AS STRING) AS job_id, 'd' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS document_id,
   'f' || CAST(l_partkey % 3 AS STRING) || '.pdf' AS file_name,
   CASE WHEN l_returnflag = 'R' THEN 'error' WHEN l_returnflag = 'A' THEN 'redacted' WHEN l_linestatus = 'O' THEN 'analyzing' ELSE 'redacting' END AS status,
