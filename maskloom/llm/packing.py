@@ -50,7 +50,6 @@ def cut_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, g
                     rows.append((doc_id, a, b - a, zlib.crc32(ids[a:b].tobytes()), len(ids), slot))
                     slot += 1
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)] if rows else [pa.array([], pa.int64())] * 6, schema=schema)
-        words.rest()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(cut), f"{PIECES}, slot long")
 

@@ -56,7 +56,6 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int)
                     ends.append(tokens_n)
                 offsets.write(np.array(ends, "<u8").tobytes())
                 docs_n += len(ends)
-        words.rest()
         if docs_n:
             yield pa.RecordBatch.from_pylist([
                 {"part": part, "file": name, "width": words.dtype.itemsize, "n_docs": docs_n, "n_tokens": tokens_n}

@@ -10,19 +10,21 @@ meet marks, allow more of this (``fold``), which is tried out on the vocabulary
 
 from __future__ import annotations
 
-import os
 import re
+import sys
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import islice
 
 import numpy as np
 
-#: Pieces remembered by one Python worker (twice as many at most), and the longest one that is (characters).
-REMEMBERED, LONGEST = 500_000, 48
-#: Pieces remembered from one task to the next: the first ones, mostly common words.
-CARRIED = 50_000
+from maskloom.llm.bpe import Words
+
+#: Bytes of the pieces one Python worker remembers, from task to task (twice as many at most: those
+#: used since they were last full, and those before), and the longest piece it does (characters).
+REMEMBERED, LONGEST = 32 << 20, 48
+#: What a remembered piece takes besides its characters and ids.
+PLACE = 104
 #: Characters split at once.
 SLICE = 1 << 20
 #: Marks taken off the end of a word, and characters that keep a text from being lower-cased beforehand.
@@ -49,14 +51,13 @@ class Encoder:
     """Encodes with one vocabulary file; ids come back as little-endian bytes of ``dtype``."""
 
     def __init__(self, path: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks fill the cores
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        self.words = Words(path)
+        self.tokenizer = self.words.tokenizer
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.dtype = np.dtype(self.code).newbyteorder("<")
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.held = 0
         whole = array(self.code, self.tokenizer.encode(_SAMPLE, add_special_tokens=False).ids).tobytes()
         self.fold = False
         if self.ids(_SAMPLE) != whole:
@@ -86,10 +87,6 @@ class Encoder:
                 waiting, size = [], 0
         yield from self._together(waiting)
 
-    def rest(self) -> None:
-        """At the end of a task: the worker lives on, most of what it remembers need not."""
-        self.known, self.older = dict(islice((self.older or self.known).items(), CARRIED)), {}
-
     def _split(self, text: str) -> list[str]:
         if self.fold and not _BEYOND.search(text):
             text = text.lower()
@@ -97,32 +94,34 @@ class Encoder:
 
     def _together(self, texts: list[list[str]]) -> Iterator[bytes]:
         known, older = self.known, self.older
-        fresh, ends = [], []
+        fresh, ends, used = [], [], []
         for piece in set().union(*texts):
             if piece not in known:
                 if piece in older:
-                    known[piece] = older[piece]
+                    used.append(piece)
                 elif self.fold and (core := piece.rstrip(_MARKS)) != piece and core.isalpha() and not _BEYOND.search(core):
                     ends.append((piece, core, piece[len(core) :]))
                 else:
                     fresh.append(piece)
-        fresh = list({*fresh, *(p for _, *parts in ends for p in parts if p not in known)})
-        for start in range(0, len(fresh), 4096):
-            some = fresh[start : start + 4096]
-            for piece, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                known[piece] = array(self.code, found.ids).tobytes()
+        for piece in {p for _, *parts in ends for p in parts if p not in known}:
+            (used if piece in older else fresh).append(piece)
+        for piece in used:
+            known[piece] = older[piece]
+        fresh = list(dict.fromkeys(fresh))
+        for piece, ids in zip(fresh, self.words.merge(fresh)):
+            known[piece] = array(self.code, ids).tobytes()
         for piece, core, end in ends:
             known[piece] = known[core] + known[end]
         for pieces in texts:
             yield b"".join(map(known.__getitem__, pieces))
-        for piece in fresh:
-            if len(piece) > LONGEST:
-                del known[piece]
-        for piece, *_ in ends:
+        made = {*used, *fresh, *(piece for piece, *_ in ends)}
+        for piece in made:
             if len(piece) > LONGEST:
                 del known[piece]
-        if len(known) > REMEMBERED:
-            self.known, self.older = {}, known
+            else:
+                self.held += sys.getsizeof(piece) + sys.getsizeof(known[piece]) + PLACE
+        if self.held > REMEMBERED:
+            self.known, self.older, self.held = {}, known, 0
 
 
 @lru_cache(maxsize=4)
