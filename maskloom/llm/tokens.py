@@ -11,7 +11,6 @@ meet marks, allow more of this (``fold``), which is tried out on the vocabulary
 from __future__ import annotations
 
 import re
-import sys
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -22,11 +21,11 @@ from maskloom.llm.bpe import Words
 
 #: Bytes of the pieces one Python worker remembers, from task to task (twice as many at most: those
 #: used since they were last full, and those before), and the longest piece it does (characters).
-REMEMBERED, LONGEST = 32 << 20, 48
-#: What a remembered piece takes besides its characters and ids.
-PLACE = 104
+REMEMBERED, LONGEST = 64 << 20, 48
+#: What a remembered piece takes besides two bytes a character: two objects and their place.
+PLACE = 192
 #: Characters split at once.
-SLICE = 1 << 20
+SLICE = 2 << 20
 #: Marks taken off the end of a word, and characters that keep a text from being lower-cased beforehand.
 _MARKS = ".,;:!?|)\"-"
 _BEYOND = re.compile(r"[^\t\n\r -~\xa1-ɏ]|<\|")
@@ -94,32 +93,32 @@ class Encoder:
 
     def _together(self, texts: list[list[str]]) -> Iterator[bytes]:
         known, older = self.known, self.older
-        fresh, ends, used = [], [], []
-        for piece in set().union(*texts):
-            if piece not in known:
-                if piece in older:
-                    used.append(piece)
-                elif self.fold and (core := piece.rstrip(_MARKS)) != piece and core.isalpha() and not _BEYOND.search(core):
-                    ends.append((piece, core, piece[len(core) :]))
-                else:
-                    fresh.append(piece)
-        for piece in {p for _, *parts in ends for p in parts if p not in known}:
-            (used if piece in older else fresh).append(piece)
-        for piece in used:
-            known[piece] = older[piece]
-        fresh = list(dict.fromkeys(fresh))
-        for piece, ids in zip(fresh, self.words.merge(fresh)):
-            known[piece] = array(self.code, ids).tobytes()
-        for piece, core, end in ends:
-            known[piece] = known[core] + known[end]
-        for pieces in texts:
-            yield b"".join(map(known.__getitem__, pieces))
-        made = {*used, *fresh, *(piece for piece, *_ in ends)}
-        for piece in made:
-            if len(piece) > LONGEST:
-                del known[piece]
-            else:
-                self.held += sys.getsizeof(piece) + sys.getsizeof(known[piece]) + PLACE
+        found = [list(map(known.get, pieces)) for pieces in texts]
+        gaps = [[i for i, ids in enumerate(row) if ids is None] if None in row else [] for row in found]
+        missing = {pieces[i] for pieces, at in zip(texts, gaps) for i in at}
+        ends, parts = [], set()
+        if self.fold:
+            for piece in missing.difference(older):
+                if piece and not piece[-1].isalnum() and (core := piece.rstrip(_MARKS)) != piece and core.isalpha() and not _BEYOND.search(core):
+                    end = piece[len(core) :]
+                    ends.append((piece, core, end))
+                    parts.update((core, end))
+            missing.difference_update([piece for piece, *_ in ends])
+            missing |= parts.difference(known)
+        fresh = list(missing.difference(older))
+        known.update({piece: older[piece] for piece in missing.intersection(older)})
+        code = self.code
+        known.update(zip(fresh, [array(code, ids).tobytes() for ids in self.words.merge(fresh)]))
+        known.update([(piece, known[core] + known[end]) for piece, core, end in ends])
+        for pieces, row, at in zip(texts, found, gaps):
+            for i in at:
+                row[i] = known[pieces[i]]
+            yield b"".join(row)
+        missing.update([piece for piece, *_ in ends])
+        for piece in [piece for piece in missing if len(piece) > LONGEST]:
+            del known[piece]
+            missing.remove(piece)
+        self.held += len(missing) * PLACE + 2 * sum(map(len, missing))
         if self.held > REMEMBERED:
             self.known, self.older, self.held = {}, known, 0
 
