@@ -25,6 +25,7 @@ import base64
 import binascii
 import json
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -43,7 +44,8 @@ _ASSIGN = re.compile(
 )
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
-_PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?)-----(.*?)-----END \1-----", re.S)
+_BEGIN = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?)-----")
+_END = re.compile(r"(?=-----END ((?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?)-----)")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
 _HEX_DER = re.compile(r"30(?:(?<![0-9A-Za-z]30)|(?<=0[xX]30))(?:[0-9a-f]{2}|[0-9A-F]{2}){20,}(?![0-9A-Za-z])")
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])ey[A-Za-z0-9_-]+\.ey[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
@@ -220,6 +222,23 @@ def _armoured(kind: str, body: str) -> bool:
     return is_ssh_key(data) or is_der_key(data)
 
 
+def _armours(text: str) -> Iterator[tuple[int, int, str, str]]:
+    """Start, end, kind and body of what stands between a BEGIN mark and the next END mark of its kind."""
+    ends: dict[str, list[int]] = {}
+    for m in _END.finditer(text):
+        ends.setdefault(m[1], []).append(m.start())
+    at = 0
+    while ends and (m := _BEGIN.search(text, at)) is not None:
+        found = ends.get(m[1], [])
+        place = bisect_left(found, m.end())
+        if place == len(found):
+            at = m.start() + 1
+            continue
+        end = found[place]
+        at = end + len("-----END -----") + len(m[1])
+        yield m.start(), at, m[1], text[m.end() : end]
+
+
 def secrets(text: str | None) -> list[tuple[int, int, int]]:
     """(start, end, number of the kind) of all secrets of a text, by start, then kind."""
     if not text:
@@ -232,7 +251,7 @@ def secrets(text: str | None) -> list[tuple[int, int, int]]:
         out += [(*m.span(), 1) for m in _ACCESS.finditer(text)]
     out += [(*m.span(), 2) for m in _HEX.finditer(text)]
     if b"-----begin " in low:
-        out += [(*m.span(), 3) for m in _PEM.finditer(text) if _armoured(m[1], m[2])]
+        out += [(start, end, 3) for start, end, kind, body in _armours(text) if _armoured(kind, body)]
     armour = [s[:2] for s in out if s[2] == 3]
     if "\\" in text:
         text = _ESCAPE.sub(lambda m: "\n".rjust(len(m[0])), text)

@@ -278,3 +278,22 @@ def test_keys_as_files_write_them():
     for text in (RSA.hex(), RSA.hex().upper()):
         assert ("derhex", text) in _spans(f"key = 0x{text};") and ("derhex", text) in _spans(f"x\\n{text}\\n")
     assert _kinds("MISS MILE MAIN " * 50 + "MIIEpAIBAAKCAQEA " * 200 + "b3BlbnNzaC1rZXktdjEA " * 50) == []
+
+
+def test_armour_marks_are_paired_in_one_pass():
+    import random
+    import re
+    import time
+
+    from maskloom.llm.secrets import _armours
+
+    plain = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?)-----(.*?)-----END \1-----", re.S)
+    dice = random.Random(5)
+    marks = [f"-----{w} {k}PRIVATE KEY{b}-----" for w in ("BEGIN", "END") for k in ("", "RSA ", "EC ") for b in ("", " BLOCK")]
+    for _ in range(2000):
+        text = "".join(dice.choice([*marks, "x\n", "BEGIN PRIVATE KEY-----", "END RSA PRIVATE KEY-----"]) for _ in range(dice.randint(0, 12)))
+        assert list(_armours(text)) == [(*m.span(), m[1], m[2]) for m in plain.finditer(text)]
+    for text in ("-----BEGIN PRIVATE KEY-----\n" * 36_000, "-----BEGIN PRIVATE KEY-----\n" * 36_000 + "-----END RSA PRIVATE KEY-----"):
+        began = time.process_time()
+        assert list(_armours(text)) == []
+        assert time.process_time() - began < 1
