@@ -271,3 +271,11 @@ def test_urls_have_one_form(spark, url, shown):
 def test_redirect_targets(spark, target, expected):
     df = spark.createDataFrame([("https://H.org:443/a/b?q", target)], "b string, t string")
     assert df.select(net.join_url(F.col("b"), F.col("t"))).first()[0] == expected
+
+
+def test_percentiles_of_many_calls_are_exact(spark):
+    """A million different durations of one tool: more than an approximate percentile tells apart."""
+    log = spark.range(1_000_003).select(
+        F.lit("t").alias("tool"), F.lit("ok").alias("outcome"), (F.col("id") * 7919 % 1_000_003).alias("durationMs"), F.lit(None).cast("string").alias("code"),
+    )
+    assert J.call_log_summary(log).select("p50_ms", "p95_ms", "max_ms").first()[:] == (500_001, 950_002, 1_000_002)
