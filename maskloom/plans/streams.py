@@ -16,8 +16,8 @@ from maskloom.streaming import texts as X
 
 
 def _stream(t: Tables, name: str) -> DataFrame:
-    table = getattr(t, name)
-    return X.read_text_stream(t.spark, t.sf_dir, table.schema, f"{name}.parquet")
+    """A table as a stream, be it a file or a folder of them: a pattern may stand for either, a plain path for a folder only."""
+    return X.read_text_stream(t.spark, f"{t.sf_dir}/{name}[.]parquet", getattr(t, name).schema, "*")
 
 
 def _batches(t: Tables, name: str, part, count: int = 4) -> DataFrame:

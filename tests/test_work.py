@@ -290,3 +290,12 @@ def test_limits_of_odd_files(spark):
         (False, "payload_too_large", "file a.pdf has 52.2 MB of 50 allowed in a PDF"), (False, "payload_too_large", "file b.pdf has 52.8 MB of 50 allowed in a PDF"),
         (None, None, None), (False, "invalid_request", None), (True, None, None),
     ]
+
+
+@pytest.mark.parametrize("name", ["stream_redact", "stream_tags"])
+def test_streams_read_tables_of_several_files(spark, tmp_path, name):
+    from maskloom.plans import catalogue
+
+    documents = spark.createDataFrame([(i, f"a{i % 3}@x.co", "en", "s", 7) for i in range(40)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    documents.repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
+    assert catalogue.QUERIES[name](spark, str(tmp_path)).count() == 40
