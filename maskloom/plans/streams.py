@@ -24,7 +24,7 @@ def _batches(t: Tables, name: str, part, count: int = 4) -> DataFrame:
     """A table as a stream of ``count`` micro-batches, by the number ``part`` gives each row."""
     table, place = getattr(t, name), f"{checkpoint_dir(t.spark)}/{name}-{uuid.uuid4().hex}"
     for n in range(count):
-        table.where(part == n).coalesce(1).write.mode("append").parquet(place)
+        table.where(part == n).repartition(1).write.mode("append").parquet(place)
     return X.read_text_stream(t.spark, place, table.schema, files_per_trigger=1)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from typing import Any
 
@@ -15,62 +16,104 @@ from maskloom.functions import codes
 from maskloom.streaming.texts import ROCKSDB
 
 WATCHED = "job_id string, outcome string, code string, last_status string, reads bigint"
+_TOLD = [c.split()[0] for c in WATCHED.split(", ")]
 
+#: Groups of jobs or documents that share a state: one call of Python for each in a micro-batch, not one for each job.
+BUCKETS = 1024
 
-_ORDER = "at bigint, no bigint"
-_WATCH = (
-    f"told boolean, reads bigint, end struct<{_ORDER}, outcome string, code string, status string>, "
-    f"latest struct<{_ORDER}, ok boolean, code string>, readable struct<{_ORDER}, status string>"
-)
 
+def _bucketed(rows: DataFrame, key: str, buckets: int):
+    """Grouped by the bucket of their key."""
+    return rows.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets))).groupBy("bucket")
 
-class _Watch(StatefulProcessor):
-    """One job: its earliest end, its latest read and latest readable one, and timers for its budget and for forgetting it."""
+
+class _Bucket(StatefulProcessor):
+    """A state that holds a record for each key of a bucket, as one JSON text: [[key, record], ...]."""
+
+    def _open(self, handle: StatefulProcessorHandle, ttl_ms: int | None = None) -> None:
+        self._handle = handle
+        self._state = handle.getValueState("records", "records string", ttl_ms)
+
+    def _records(self) -> dict:
+        return dict(json.loads(self._state.get()[0])) if self._state.exists() else {}
+
+    def _keep(self, records: dict) -> None:
+        if records:
+            self._state.update((json.dumps(list(records.items())),))
+        else:
+            self._state.clear()
+
+    def close(self) -> None:
+        pass
+
+
+class _Watch(_Bucket):
+    """The jobs of a bucket: each one's earliest end, its latest read and latest readable one, and a timer for what is due first.
+
+    A record: deadline, told, reads, end (at, no, outcome, code, status), latest (at, no, ok, code), readable (at, no, status),
+    and whether it is but a mark that the job was told, until no read can be taken for the first of another watch.
+    """
 
     def __init__(self, budget: int, tell: str, forget: int) -> None:
         self._budget_ms, self._at_end, self._forget_ms = budget * 1000, tell == "end", forget * 1000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._handle = handle
-        self._state = handle.getValueState("watch", _WATCH)
-        self._deadline = handle.getValueState("deadline", "ms bigint")
-
-    def _known(self) -> tuple:
-        told, reads, *rest = self._state.get()
-        return told, reads, *(None if r is None else tuple(r) for r in rest)
+        self._open(handle)
+        self._due = handle.getValueState("due", "ms bigint")
+
+    def _wait(self, jobs: dict) -> None:
+        """A timer for the job that is due first, in the place of the one there was."""
+        due = min((job[0] + self._forget_ms if job[6] else job[0] for job in jobs.values()), default=None)
+        before = self._due.get()[0] if self._due.exists() else None
+        if due == before:
+            return
+        if before is not None:
+            self._handle.deleteTimer(before)
+        if due is None:
+            self._due.clear()
+        else:
+            self._handle.registerTimer(due)
+            self._due.update((due,))
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        known = self._state.exists()
-        told, reads, end, latest, readable = self._known() if known else (False, 0, None, None, None)
-        deadline = self._deadline.get()[0] if known else None
+        jobs, met, over = self._records(), set(), timerValues.getCurrentWatermarkInMs()
         for some in rows:
-            for row in some.itertuples(index=False):
-                if deadline is None:
-                    deadline = int(row.started_at.timestamp() * 1000) + self._budget_ms
-                order = (int(row.at), int(row.read_no))
-                if not deadline - self._budget_ms <= order[0] / 1000 < deadline:
+            columns = [some[c].tolist() for c in ("job_id", "started", "at", "read_no", "ok", "final", "retryable", "code", "status")]
+            for job_id, started, at, no, ok, final, retryable, code, status in zip(*columns):
+                job = jobs.get(job_id)
+                if job is None:
+                    deadline = int(started) + self._budget_ms
+                    # A first read long after its watch was over and forgotten begins no other.
+                    if deadline + self._forget_ms < over:
+                        continue
+                    job = jobs[job_id] = [deadline, False, 0, None, None, None, False]
+                order = [int(at), int(no)]
+                if job[6] or not job[0] - self._budget_ms <= order[0] / 1000 < job[0]:
                     continue
-                reads += 1
-                code = None if pd.isna(row.code) else row.code
-                outcome = "settled" if row.ok and row.final else "fatal" if not row.ok and not row.retryable else None
-                if outcome and (end is None or order < tuple(end[:2])):
-                    end = (*order, outcome, code, row.status)
-                if latest is None or order > tuple(latest[:2]):
-                    latest = (*order, bool(row.ok), code)
-                if row.ok and (readable is None or order > tuple(readable[:2])):
-                    readable = (*order, row.status)
-        if deadline is not None and not known:
-            # A first read long after its watch was over and forgotten begins no other.
-            if deadline + self._forget_ms < timerValues.getCurrentWatermarkInMs():
-                return
-            self._deadline.update((deadline,))
-            self._handle.registerTimer(deadline)
-        now = self._at_end and end is not None and not told
-        self._state.update((told or now, reads, end, latest, readable))
-        if now:
-            yield self._row(key, reads, end, latest, readable)
-
-    def _row(self, key: Any, reads: int, end: Any, latest: Any, readable: Any) -> pd.DataFrame:
+                met.add(job_id)
+                job[2] += 1
+                code, status = (v if isinstance(v, str) else None for v in (code, status))
+                outcome = "settled" if ok and final else "fatal" if not ok and not retryable else None
+                if outcome and (job[3] is None or order < job[3][:2]):
+                    job[3] = [*order, outcome, code, status]
+                if job[4] is None or order > job[4][:2]:
+                    job[4] = [*order, bool(ok), code]
+                if ok and (job[5] is None or order > job[5][:2]):
+                    job[5] = [*order, status]
+        told = []
+        if self._at_end:
+            for job_id in met:
+                job = jobs[job_id]
+                if job[3] is not None and not job[1]:
+                    job[1] = True
+                    told.append(self._row(job_id, job))
+        self._keep(jobs)
+        self._wait(jobs)
+        if told:
+            yield pd.DataFrame(told, columns=_TOLD)
+
+    def _row(self, job_id: Any, job: list) -> tuple:
+        _, _, reads, end, latest, readable, _ = job
         if end is not None:
             outcome, code = end[2], end[3] if end[2] == "fatal" else None
         elif latest is not None and not latest[2]:
@@ -78,37 +121,38 @@ class _Watch(StatefulProcessor):
         else:
             outcome, code = "running", "timeout"
         status = end[4] if outcome == "settled" else readable[2] if readable is not None else None
-        return pd.DataFrame([(key[0], outcome, code, status, reads)], columns=["job_id", "outcome", "code", "last_status", "reads"])
+        return job_id, outcome, code, status, reads
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        told, reads, end, latest, readable = self._known()
-        deadline = self._deadline.get()[0]
-        if expiredTimerInfo.getExpiryTimeInMs() >= deadline + self._forget_ms:
-            self._state.clear()
-            self._deadline.clear()
-            return
-        # What is left is the mark that it was told, until no read can be taken for the first of another watch.
-        self._state.update((True, 0, None, None, None))
-        self._handle.registerTimer(deadline + self._forget_ms)
-        if not told:
-            yield self._row(key, reads, end, latest, readable)
-
-    def close(self) -> None:
-        pass
+        """All of the bucket that is due by now."""
+        now = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        jobs, told = {}, []
+        for job_id, job in self._records().items():
+            if not job[6] and job[0] <= now:
+                if not job[1]:
+                    told.append(self._row(job_id, job))
+                job = [job[0], True, 0, None, None, None, True]
+            if not job[6] or job[0] + self._forget_ms > now:
+                jobs[job_id] = job
+        self._due.clear()
+        self._keep(jobs)
+        self._wait(jobs)
+        if told:
+            yield pd.DataFrame(told, columns=_TOLD)
 
 
 def stream_job_watch(reads: DataFrame, budget: int = C.WAIT_BUDGET_SECONDS, late: str = "10 minutes", tell: str = "end",
-                     forget: int = 7 * 86_400) -> DataFrame:
+                     forget: int = 7 * 86_400, buckets: int = BUCKETS) -> DataFrame:
     """How watching each job ended, told once. Columns as the batch operator's, with ``started_at`` on each read.
 
     ``tell`` "end" tells a final status or lasting error as soon as it is read, with what was read until then,
     else when event time passes the budget. "budget" tells all at the end of their budget: then every column is
     the batch operator's, in whatever order the reads came. A job's state shrinks to a mark when its budget is
-    over and goes ``forget`` seconds later.
+    over and goes ``forget`` seconds later. Jobs share a state with others of their bucket: many jobs want more ``buckets``.
     """
     reads.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    timed = reads.withWatermark("ts", late).withColumn("at", F.unix_micros("ts"))
-    return timed.groupBy("job_id").transformWithStateInPandas(_Watch(budget, tell, forget), WATCHED, "append", "eventTime")
+    timed = reads.withWatermark("ts", late).withColumns({"at": F.unix_micros("ts"), "started": F.unix_millis("started_at")})
+    return _bucketed(timed, "job_id", buckets).transformWithStateInPandas(_Watch(budget, tell, forget), WATCHED, "append", "eventTime")
 
 
 def stream_call_rates(log: DataFrame, length: str = "1 minute", slide: str | None = None, late: str = "10 minutes") -> DataFrame:
@@ -141,58 +185,62 @@ def stream_latest_status(events: DataFrame, length: str = "1 day", late: str = "
     ).select(F.col("window.start").alias("window_start"), "document_id", F.coalesce("_final", "_last").alias("status"))
 
 
-CURRENT = "document_id string, status string, ts timestamp, revision bigint"
+CURRENT = "document_id string, status string, at bigint, revision bigint"
+#: The place in time of a read without one.
+NEVER = -(1 << 62)
 
 
-class _Status(StatefulProcessor):
-    """One document: its first final status and its last status by event order, and how often its answer changed."""
+class _Status(_Bucket):
+    """The documents of a bucket: each one's first final status and last status by event order, how often its answer changed, when it was heard of."""
 
     def __init__(self, ttl_ms: int | None) -> None:
         self._ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        value = "at bigint, no bigint, status string"
-        self._state = handle.getValueState("status", f"final struct<{value}>, last struct<{value}>, revision bigint", self._ttl_ms)
+        self._open(handle, self._ttl_ms)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        final, last, revision = self._state.get() if self._state.exists() else (None, None, 0)
-        final, last = tuple(final) if final else None, tuple(last) if last else None
-        before = (final, last)
+        now = timerValues.getCurrentProcessingTimeInMs() if self._ttl_ms else 0
+        documents = {d: r for d, r in self._records().items() if not self._ttl_ms or r[3] + self._ttl_ms > now}
+        before = {}
         for some in rows:
-            some = some.sort_values(["at", "event_id"])
-            ends = some[some["final"]]
-            if len(ends):
-                first = ends.iloc[0]
-                found = (int(first["at"]), int(first["event_id"]), first["status"])
-                final = found if final is None or found[:2] < final[:2] else final
-            latest = some.iloc[-1]
-            found = (int(latest["at"]), int(latest["event_id"]), latest["status"])
-            last = found if last is None or found[:2] > last[:2] else last
-        if (final, last) == before:
-            return
-        answer = final or last
-        changed = answer != (before[0] or before[1])
-        self._state.update((final, last, revision + changed))
+            columns = [some[c].tolist() for c in ("document_id", "at", "event_id", "status", "final")]
+            for document, at, no, status, final in zip(*columns):
+                record = documents.get(document)
+                if record is None:
+                    record = documents[document] = [None, None, 0, now]
+                if document not in before:
+                    before[document] = record[0] or record[1]
+                    record[3] = now
+                found = [int(at), int(no), status]
+                if final and (record[0] is None or found[:2] < record[0][:2]):
+                    record[0] = found
+                if record[1] is None or found[:2] > record[1][:2]:
+                    record[1] = found
+        changed = []
+        for document, answer in before.items():
+            record = documents[document]
+            if (record[0] or record[1]) != answer:
+                at, _, status = record[0] or record[1]
+                record[2] += 1
+                changed.append((document, status, at, record[2]))
+        self._keep(documents)
         if changed:
-            yield pd.DataFrame({
-                "document_id": [key[0]], "status": [answer[2]], "ts": pd.to_datetime([answer[0]], unit="us", utc=True), "revision": [revision + 1],
-            })
-
-    def close(self) -> None:
-        pass
+            yield pd.DataFrame(changed, columns=["document_id", "status", "at", "revision"])
 
 
-def stream_status(events: DataFrame, ttl_hours: int | None = None) -> DataFrame:
+def stream_status(events: DataFrame, ttl_hours: int | None = None, buckets: int = BUCKETS) -> DataFrame:
     """(document_id, status, ts, revision) whenever a document's status changes; the highest revision is the batch operator's row.
 
     A final status absorbs: later reads change nothing, only an earlier final one that comes late takes its place.
     No read is too late. With ``ttl_hours`` a document not heard of for so long is forgotten; one read again then
-    starts anew, from revision 1.
+    starts anew, from revision 1. Documents share a state with others of their bucket: many documents want more ``buckets``.
     """
     events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     timed = events.select(
-        "document_id", "event_id", "status", F.coalesce(F.unix_micros("ts"), F.lit(-(1 << 62))).alias("at"),
+        "document_id", "event_id", "status", F.coalesce(F.unix_micros("ts"), F.lit(NEVER)).alias("at"),
         codes.is_terminal_status(F.col("status")).alias("final"),
     )
     ttl = None if ttl_hours is None else ttl_hours * 3_600_000
-    return timed.groupBy("document_id").transformWithStateInPandas(_Status(ttl), CURRENT, "append", "ProcessingTime" if ttl else "none")
+    told = _bucketed(timed, "document_id", buckets).transformWithStateInPandas(_Status(ttl), CURRENT, "append", "ProcessingTime" if ttl else "none")
+    return told.select("document_id", "status", F.when(F.col("at") > NEVER, F.timestamp_micros("at")).alias("ts"), "revision")

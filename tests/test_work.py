@@ -299,3 +299,38 @@ def test_streams_read_tables_of_several_files(spark, tmp_path, name):
     documents = spark.createDataFrame([(i, f"a{i % 3}@x.co", "en", "s", 7) for i in range(40)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
     documents.repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
     assert catalogue.QUERIES[name](spark, str(tmp_path)).count() == 40
+
+
+@pytest.mark.parametrize("tell", ["end", "budget"])
+def test_watches_of_one_bucket_over_micro_batches(spark, tmp_path, tell):
+    """Thousands of watches in few states: due at different times, read on late, told once; like the batch operator."""
+    rows = spark.range(6000).select(
+        F.concat(F.lit("j"), F.col("id") % 3000).alias("job_id"), F.timestamp_seconds(1_704_067_200 + F.col("id") % 3000 + F.floor(F.col("id") / 3000) * 400).alias("ts"),
+        F.col("id").cast("int").alias("read_no"), (F.col("id") % 5 != 0).alias("ok"), (F.col("id") % 7 == 0).alias("final"), (F.col("id") % 3 == 0).alias("retryable"),
+        F.when(F.col("id") % 5 == 0, "x").alias("code"), F.when(F.col("id") % 5 != 0, "s").alias("status"), F.timestamp_seconds(1_704_067_200 + F.col("id") % 3000).alias("started_at"),
+    )
+    last = reads(spark, [("late", 100_000, 9, True, True, False, None, "redacted")])
+    for n, part in enumerate((rows.where("read_no < 3000"), rows.where("read_no >= 3000"), last)):
+        part.coalesce(1).write.parquet(str(tmp_path / f"in/part={n}"))
+    stream = XT.read_text_stream(spark, str(tmp_path / "in/part=*"), rows.schema, files_per_trigger=1)
+    out = XT.run_available(XJ.stream_job_watch(stream, budget=500, tell=tell, buckets=2), "watches")
+    columns = ["job_id", "outcome", "code", "last_status", "reads"] if tell == "budget" else ["job_id", "outcome", "code"]
+    want = J.job_watch(rows.groupBy("job_id").agg(F.min("started_at").alias("started_at")), rows, budget=500)
+    assert sorted(map(repr, out.where("job_id <> 'late'").select(columns).collect())) == sorted(map(repr, want.select(columns).collect()))
+
+
+def test_documents_of_one_bucket_over_micro_batches(spark, tmp_path):
+    rows = spark.range(9000).select(
+        F.concat(F.lit("d"), F.col("id") % 1500).alias("document_id"), F.col("id").alias("event_id"),
+        F.when(F.col("id") % 1500 > 0, F.timestamp_seconds(F.col("id") * 7919 % 9001)).alias("ts"),
+        F.when(F.col("id") % 11 == 0, "redacted").otherwise(F.concat(F.lit("s"), F.col("id") % 4)).alias("status"),
+    )
+    for n in range(3):
+        rows.where(F.col("event_id") % 7 % 3 == n).coalesce(1).write.parquet(str(tmp_path / f"in/part={n}"))
+    stream = XT.read_text_stream(spark, str(tmp_path / "in/part=*"), rows.schema, files_per_trigger=1)
+    told = XT.run_available(XJ.stream_status(stream, buckets=2), "statuses", idle=False).collect()
+    last = {}
+    for r in sorted(told, key=lambda r: r.revision):
+        assert r.revision == last.get(r.document_id, (None, None, 0))[2] + 1
+        last[r.document_id] = (r.status, r.ts, r.revision)
+    assert {d: v[:2] for d, v in last.items()} == {r.document_id: (r.status, r.ts) for r in J.latest_status(rows).collect()}
