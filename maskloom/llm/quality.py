@@ -65,50 +65,65 @@ def shape(text: str | None) -> list[float]:
     ]
 
 
+#: Shares a site's documents are dealt over when its posterior is joined to them, and the labelled ones when they are counted.
+SALTS = 32
+
+
 class Classifier:
     """Two logistic regressions over shape features and lexicon sums; ``None`` weights say 1/2."""
 
-    def __init__(self, rows: list[tuple[str | None, int | None, int | None]]) -> None:
-        self.lexicons: list[dict[str, float]] = []
-        self.weights: list[np.ndarray | None] = []
-        held = [words_of(text) for text, *_ in rows]
-        shapes = [shape(text) for text, *_ in rows]
-        for t in range(len(TARGETS)):
-            known = [i for i, r in enumerate(rows) if r[1 + t] is not None]
-            y = np.array([rows[i][1 + t] for i in known], float)
-            if not len(y) or y.min() == y.max():
-                self.lexicons.append({})
-                self.weights.append(None)
-                continue
-            self.lexicons.append(lexicon([held[i] for i in known], y))
-            x = np.array([self._features(shapes[i], held[i], t) for i in known])
-            self.weights.append(logistic(x, y))
-
-    def _features(self, shapes: list[float], words: set[str], t: int) -> list[float]:
-        own = self.lexicons[t]
-        found = [own[w] for w in words if w in own]
-        return [1.0, *shapes, min(sum(x for x in found if x > 0), 20.0) / 5, max(sum(x for x in found if x < 0), -20.0) / 5]
+    def __init__(self, lexicons: list[dict[str, float]], weights: list[np.ndarray | None]) -> None:
+        self.lexicons, self.weights = lexicons, weights
 
     def log_odds(self, text: str | None) -> list[float]:
         shapes, words = shape(text), words_of(text)
-        return [0.0 if w is None else float(np.clip(np.dot(w, self._features(shapes, words, t)), -30, 30)) for t, w in enumerate(self.weights)]
-
-
-def lexicon(held: list[set[str]], y: np.ndarray) -> dict[str, float]:
-    """Log odds of the words whose share of positive documents is far from the whole's."""
-    total, positive = Counter(), Counter()
-    for words, label in zip(held, y):
-        total.update(words)
-        if label:
-            positive.update(words)
-    rate, scored = y.mean(), []
-    for word, n in total.items():
-        if n >= LEAST:
-            z = (positive[word] - n * rate) / math.sqrt(n * rate * (1 - rate))
-            if abs(z) >= SIGNIFICANT:
-                share = (positive[word] + rate) / (n + 1)
-                scored.append((-abs(z), word, math.log(share / (1 - share)) - math.log(rate / (1 - rate))))
-    return {word: odds for _, word, odds in sorted(scored)[:LEXICON]}
+        return [
+            0.0 if w is None else float(np.clip(np.dot(w, features(shapes, words, own)), -30, 30)) for w, own in zip(self.weights, self.lexicons)
+        ]
+
+
+def features(shapes: list[float], words: set[str], own: dict[str, float]) -> list[float]:
+    """What one regression weighs: its constant, the text's form, and evidence of the lexicon's words for and against."""
+    found = sorted(own[w] for w in words if w in own)
+    return [1.0, *shapes, min(sum(x for x in found if x > 0), 20.0) / 5, max(sum(x for x in found if x < 0), -20.0) / 5]
+
+
+def lexicons_of(rows: DataFrame, known: list[tuple[int, int]]) -> list[dict[str, float]]:
+    """For each target the log odds of the words whose share of positive documents is far from the whole's.
+
+    Tasks count the words of the (labelled) rows; ``known`` are how many rows have a label, and a positive one.
+    """
+    schema = pa.schema([("target", pa.int64()), ("word", pa.string()), ("n", pa.int64()), ("positive", pa.int64())])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, positive = Counter(), Counter()
+        for batch in batches:
+            for text, *marks in zip(*(c.to_pylist() for c in batch.columns)):
+                words = words_of(text)
+                for t, mark in enumerate(marks):
+                    if mark is not None:
+                        total.update((t, w) for w in words)
+                        if mark:
+                            positive.update((t, w) for w in words)
+        met = list(total)
+        for i in range(0, len(met), 10_000):
+            some = met[i : i + 10_000]
+            columns = [t for t, _ in some], [w for _, w in some], [total[m] for m in some], [positive[m] for m in some]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    counted = rows.select("text", *TARGETS).mapInArrow(lean(count), "target long, word string, n long, positive long")
+    words = counted.groupBy("target", "word").agg(F.sum("n").alias("n"), F.sum("positive").alias("positive")).where(F.col("n") >= LEAST)
+    out = []
+    for t, (n, ones) in enumerate(known):
+        if ones in (0, n):
+            out.append({})
+            continue
+        rate = ones / n
+        far = F.abs((F.col("positive") - F.col("n") * rate) / F.sqrt(F.col("n") * rate * (1 - rate)))
+        best = words.where((F.col("target") == t) & (far >= SIGNIFICANT)).orderBy(far.desc(), "word").limit(LEXICON).collect()
+        shares = {r["word"]: (r["positive"] + rate) / (r["n"] + 1) for r in best}
+        out.append({word: math.log(p / (1 - p)) - math.log(rate / (1 - rate)) for word, p in shares.items()})
+    return out
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 25) -> np.ndarray:
@@ -124,14 +139,32 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 25)
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
-    """The classifier of a bounded sample, sent to the tasks (bounded by ``LEXICON``)."""
-    chosen = labels.select("doc_id", "quality", "toxic").where(F.col("doc_id").isNotNull()).orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "toxic").limit(sample)
-    marks = {}
-    for row in chosen.collect():
-        marks.setdefault(row["doc_id"], (row["quality"], row["toxic"]))
-    texts = docs.where(F.col("doc_id").isin(list(marks))).select("doc_id", "text").orderBy("doc_id", "text").limit(sample)
-    rows = [(r["text"], *marks[r["doc_id"]]) for r in texts.toLocalIterator()]
-    return docs.sparkSession.sparkContext.broadcast(Classifier(rows))
+    """The classifier of a bounded sample, sent to the tasks (bounded by ``LEXICON``).
+
+    Texts and their words stay in the tasks: to the driver go the lexicons and a short row of numbers a document.
+    """
+    chosen = labels.select("doc_id", *TARGETS).where(F.col("doc_id").isNotNull()).orderBy(F.xxhash64("doc_id"), "doc_id", *TARGETS).limit(sample)
+    marks = chosen.groupBy("doc_id").agg(F.min(F.struct(*TARGETS)).alias("marks")).select("doc_id", "marks.*")
+    texts = docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id")  # ``sample`` rows at most
+    rows = stored(texts.orderBy("doc_id", "text").limit(sample).repartition(SALTS, "doc_id"), "labelled")
+    sums = rows.agg(*[f(F.col(t)).alias(f"{t}_{n}") for t in TARGETS for n, f in (("n", F.count), ("sum", lambda c: F.sum(F.when(c != 0, 1).otherwise(0))))]).first()
+    lexicons = lexicons_of(rows, [(sums[f"{t}_n"], sums[f"{t}_sum"] or 0) for t in TARGETS])
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            formed = [(shape(t), words_of(t)) for t in batch.column(1).to_pylist()]
+            columns = [pa.array([np.array(features(s, w, own)).tobytes() for s, w in formed], pa.binary()) for own in lexicons]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], *columns], names=["doc_id", *TARGETS, *(f"{t}_x" for t in TARGETS)])
+
+    schema = "doc_id long, quality int, toxic int, quality_x binary, toxic_x binary"
+    weighed = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[F.col(t).cast("int").alias(t) for t in TARGETS]).mapInArrow(lean(weigh), schema)
+    found = weighed.orderBy("doc_id", "quality_x", "toxic_x").collect()
+    weights: list[np.ndarray | None] = []
+    for t in TARGETS:
+        known = [r for r in found if r[t] is not None]
+        y = np.array([r[t] for r in known], float)
+        weights.append(logistic(np.array([np.frombuffer(r[f"{t}_x"]) for r in known]), y) if len(y) and y.min() < y.max() else None)
+    return docs.sparkSession.sparkContext.broadcast(Classifier(lexicons, weights))
 
 
 def evidence(docs: DataFrame, classifier, host: Column, path: Column) -> DataFrame:
@@ -183,10 +216,6 @@ def site_posteriors(scored: DataFrame) -> DataFrame:
     )
 
 
-#: Shares a site's documents are dealt over when its posterior is joined to them.
-SALTS = 32
-
-
 def assess(docs: DataFrame, labels: DataFrame, host: Column, path: Column, sample: int = SAMPLE) -> DataFrame:
     """doc_id, host, path, p_quality, p_toxic, and keep: likely good and not likely toxic."""
     scored = stored(evidence(docs, fit(docs, labels, sample), host, path), "evidence")

@@ -79,3 +79,15 @@ def test_sparse_sites_lean_on_what_is_above(spark):
     site = {r["path"]: r for r in quality.site_posteriors(scored).collect()}
     assert site["h1/p1"]["quality_site"] > 0.9 and site["h11/p2"]["quality_site"] < 0.1
     assert 0.5 < site["rare/x"]["quality_site"] < site["h1/p1"]["quality_site"]
+
+
+def test_quality_keeps_texts_off_the_driver(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    docs = spark.createDataFrame([(i, "good words here" if i % 2 else "bad!!! words") for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 1 - i % 2) for i in range(60)], "doc_id long, quality int, toxic int")
+    collect, sent = DataFrame.collect, []
+    monkeypatch.setattr(DataFrame, "collect", lambda self: sent.append(self.columns) or collect(self))
+    monkeypatch.setattr(DataFrame, "toLocalIterator", lambda self, *a: sent.append(self.columns) or iter(collect(self)))
+    odds = [quality.fit(docs, labels).value.log_odds(t)[0] for t in ("good words here", "bad!!! words")]
+    assert odds[0] > 0 > odds[1] and sent and not any("text" in columns for columns in sent)
