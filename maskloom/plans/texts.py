@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from maskloom.functions import files
 from maskloom.functions.spans import MASK
 from maskloom.operators import detect, pages, redact, rules
 from maskloom.plans.common import NOTES, Tables, checked, hits_sql, query, rewritten_sql
+from maskloom.session import checkpoint_dir
 from maskloom.sources import documents as D
 from maskloom.sources import outputs
 
@@ -86,13 +89,23 @@ _RULES_SPARK = _RULES.replace("{array}", "array")
 _RULES_CHECK = checked(_RULES).replace("{array}", "list_value")
 
 
+def _rules(t: Tables, sql: str) -> DataFrame:
+    """Rules by language, written once: the planner then knows that they are few and leaves the texts where they lie.
+
+    Joined as they are, they count as large as the documents they come from, and all texts of a language meet in one task.
+    """
+    rules, place = t.sql(sql), f"{checkpoint_dir(t.spark)}/rules-{uuid.uuid4().hex}"
+    rules.write.parquet(place)
+    return t.spark.read.schema(rules.schema).parquet(place)
+
+
 @query(f"""WITH {hits_sql(DOCS)}, rules AS ({_RULES_CHECK})
 SELECT doc_id, first AS start, category FROM spans JOIN documents USING (doc_id) JOIN rules ON lang = request_id
 WHERE category IS NOT NULL AND (pii_categories IS NULL OR list_contains(pii_categories, category))""")
 def category_filter(t: Tables) -> DataFrame:
     """Spans of the categories the rules of their language choose."""
     spans = detect.detect_patterns(_documents(t, "lang"), keys=["doc_id", "lang"]).withColumnRenamed("lang", "request_id")
-    return rules.filter_categories(spans, t.sql(_RULES_SPARK)).select("doc_id", "start", "category")
+    return rules.filter_categories(spans, _rules(t, _RULES_SPARK)).select("doc_id", "start", "category")
 
 
 @query(f"""WITH {hits_sql(DOCS)}, rules AS ({_RULES_CHECK})
@@ -101,7 +114,7 @@ WHERE category IS NOT NULL AND NOT EXISTS (SELECT 1 FROM (SELECT unnest(pii_excl
 def excluded_spans(t: Tables) -> DataFrame:
     """Spans left when those that are an excluded term of their language are taken out."""
     spans = detect.detect_patterns(_documents(t, "lang"), keys=["doc_id", "lang"]).withColumnRenamed("lang", "request_id")
-    return rules.exclude_terms(spans, t.sql(_RULES_SPARK)).select("doc_id", "start", "category")
+    return rules.exclude_terms(spans, _rules(t, _RULES_SPARK)).select("doc_id", "start", "category")
 
 
 # The check walks words: a word is what stands between other characters, so a term of one or two
@@ -119,7 +132,7 @@ WHERE (strpos(term, ' ') = 0 AND w = term)
 GROUP BY lang, term""")
 def include_terms(t: Tables) -> DataFrame:
     """How often each always-redact term stands in the documents of its language."""
-    docs = rules.attach_rules(_documents(t, "lang").withColumnRenamed("lang", "request_id"), t.sql(_RULES_SPARK))
+    docs = rules.attach_rules(_documents(t, "lang").withColumnRenamed("lang", "request_id"), _rules(t, _RULES_SPARK))
     found = detect.detect_terms(docs, keys=["doc_id", "request_id"])
     return found.groupBy(F.col("request_id").alias("lang"), F.lower("surface").alias("term")).agg(
         F.count(F.lit(1)).alias("hits"), F.countDistinct("doc_id").alias("documents")
@@ -151,7 +164,7 @@ SELECT doc_id, min(a) AS start, max(b) AS "end", arg_min(category, rank * 100000
 FROM grouped GROUP BY doc_id, g""")
 def include_exclude_terms(t: Tables) -> DataFrame:
     """What is removed under rules by language: included terms beat excluded ones, which beat detection."""
-    lists = t.sql(_SPAN_RULES.replace("{array}", "array"))
+    lists = _rules(t, _SPAN_RULES.replace("{array}", "array"))
     docs = rules.attach_rules(_documents(t, "lang").withColumnRenamed("lang", "request_id"), lists)
     return redact.with_spans(docs).select("doc_id", F.explode("spans").alias("s")).select(
         "doc_id", "s.start", "s.end", "s.category"

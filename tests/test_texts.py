@@ -214,3 +214,16 @@ def test_clean_rules(spark, row, expected):
 ])
 def test_validate_rules(spark, row, broken):
     assert rules.validate_rules(spark.createDataFrame([("r", *row)], RULES)).first().violations == broken
+
+
+def test_rules_by_language_do_not_gather_texts(spark):
+    """The rules come from a table beyond the planner's limit for a broadcast, but are few: texts are joined where they lie."""
+    from maskloom.plans import texts
+    from maskloom.plans.common import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.1")
+    docs = t.documents.select("text", F.col("lang").alias("request_id"))
+    for sql in (texts._RULES_SPARK, texts._SPAN_RULES.replace("{array}", "array")):
+        joined = texts.rules.attach_rules(docs, texts._rules(t, sql))
+        assert "SortMergeJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in texts.rules.attach_rules(docs, t.sql(sql))._jdf.queryExecution().executedPlan().toString()
