@@ -16,6 +16,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -112,12 +113,17 @@ def listed_phrases(gazetteer: DataFrame) -> list[tuple[str, str]] | None:
     return [tuple(r) for r in gazetteer.select("phrase", "category").collect()]
 
 
+def phrase_automaton(gazetteer: DataFrame) -> Broadcast[Automaton] | None:
+    """The automaton of a (phrase, category) table, broadcast; None if the table is too large."""
+    listed = listed_phrases(gazetteer)
+    return None if listed is None else gazetteer.sparkSession.sparkContext.broadcast(compile_phrases(listed))
+
+
 def phrase_spans(gazetteer: DataFrame):
     """A function from a text column to the spans of the phrases of a (phrase, category) table; None if it is too large."""
-    listed = listed_phrases(gazetteer)
-    if listed is None:
+    automaton = phrase_automaton(gazetteer)
+    if automaton is None:
         return None
-    automaton = gazetteer.sparkSession.sparkContext.broadcast(compile_phrases(listed))
     kind = pa.struct([
         pa.field("start", pa.int32()), pa.field("end", pa.int32()), pa.field("category", pa.string()),
         pa.field("surface", pa.string()), pa.field("priority", pa.int32()),

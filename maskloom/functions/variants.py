@@ -10,11 +10,6 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-import pyarrow as pa
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
 from maskloom.functions.titles import TITLES
 
 _TITLE = re.compile(r"^(?:" + "|".join(TITLES) + r")(?:\.[ \t\n\x0b\f\r]*|[ \t\n\x0b\f\r]+)(?=[^ \t\n\x0b\f\r])")
@@ -54,22 +49,3 @@ def link_names(surfaces: Sequence[str]) -> list[str]:
         known = by_surname if not initial else (by_initial or by_surname) if initial == "m" else by_initial
         out.append(known or f"{initial} {surname}".strip(" "))
     return out
-
-
-@F.arrow_udf(T.ArrayType(T.StringType()))
-def _keys(categories: pa.Array, surfaces: pa.Array) -> pa.Array:
-    out = []
-    for kinds, named in zip(categories.to_pylist(), surfaces.to_pylist()):
-        people = iter(link_names([s for k, s in zip(kinds or (), named or ()) if k == "Person"]))
-        out.append([next(people) if k == "Person" else None for k in kinds or ()])
-    return pa.array(out, pa.list_(pa.string()))
-
-
-# Not deterministic as far as the planner knows: it then leaves the search in a projection of its own, worked out
-# once, and does not copy it into the lambdas that use its result.
-_keys = _keys.asNondeterministic()
-
-
-def person_keys(spans: Column) -> Column:
-    """For spans in order of place the entity of each Person; NULL for the others."""
-    return _keys(F.transform(spans, lambda s: s["category"]), F.transform(spans, lambda s: s["surface"]))

@@ -15,17 +15,15 @@ from pyspark.sql import types as T
 from maskloom import schemas as C
 from maskloom.functions import phrases as PH
 from maskloom.functions import spans as S
+from maskloom.functions import tagging as TG
 from maskloom.functions.titles import TITLES
 
 _TOKEN = r"[\p{L}\p{N}]+"
 
 
 def detect_patterns(docs: DataFrame, categories: Sequence[str] | None = None, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """Span table of the categories with a written form: Email, PhoneNumber, Date, IBAN, CreditCard.
-
-    No filter on what is found: it would be pushed below the search and find everything twice.
-    """
-    return docs.select(*keys, F.inline(S.pattern_spans(F.col("text"), categories)))
+    """Span table of the categories with a written form: Email, PhoneNumber, Date, IBAN, CreditCard."""
+    return docs.select(*keys, F.inline(TG.find_patterns(F.col("text"), categories)))
 
 
 def detect_terms(docs: DataFrame, terms: str = "pii_included_terms", keys: Sequence[str] = ("doc_id",)) -> DataFrame:

@@ -12,15 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from maskloom import schemas as C
-from maskloom.functions import labels as L
 from maskloom.functions import patterns as P
 from maskloom.functions import phrases as PH
 from maskloom.functions import spans as S
-from maskloom.functions import variants as V
-
-
-#: Columns worked with under way.
-_SPANS, _KEYS = "_spans", "_person_keys"
+from maskloom.functions import tagging as TG
 
 
 def _check_detectors(categories: Sequence[str] | None, found: DataFrame | None, phrases: DataFrame | None) -> None:
@@ -38,55 +33,45 @@ def _with_found(docs: DataFrame, found: DataFrame | None, keys: Sequence[str]) -
     return docs.join(grouped, list(keys), "left").withColumn("_found", F.coalesce("_found", S.no_spans()))
 
 
-def _with_spans(docs: DataFrame, categories: Sequence[str] | None, found: DataFrame | None = None,
-                phrases: DataFrame | None = None, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """``docs`` with the spans to remove as ``_spans``: patterns, list, table and terms by the rules of each document."""
-    text, more = F.col("text"), found is not None or phrases is not None
-    ruled = "pii_categories" in docs.columns
+def _done(docs: DataFrame, form: str, categories: Sequence[str] | None, found: DataFrame | None, keys: Sequence[str],
+          phrases: DataFrame | None, lang: Column) -> DataFrame:
+    """``docs`` with the spans to remove worked out as ``_done``: patterns, list, table and terms by the rules of each document.
+
+    ``form`` as in ``tagging.all_spans``.
+    """
+    text, named = F.col("text"), found is not None or phrases is not None
+    automaton = None
+    if phrases is not None:
+        automaton = PH.phrase_automaton(phrases)
+        if automaton is None:
+            from maskloom.operators import detect
+
+            joined = detect.join_dictionary(docs, phrases, keys)
+            found = joined if found is None else found.select(*joined.columns).unionByName(joined)
     # Names of a list need not be chosen where only the patterns are (an empty choice of patterns, say).
-    detected = S.pattern_spans(text, categories)
-    if more:
-        if phrases is not None:
-            of_list = PH.phrase_spans(phrases)
-            if of_list is None:
-                from maskloom.operators import detect
-
-                joined = detect.join_dictionary(docs, phrases, keys)
-                found = joined if found is None else found.select(*joined.columns).unionByName(joined)
-        if categories and found is not None:
-            found = found.where(F.col("category").isin(list(categories)))
-        docs = _with_found(docs, found, keys)
-        detected = F.concat(detected, F.col("_found"))
-        if phrases is not None and of_list is not None:
-            listed = of_list(text)
-            docs = docs.withColumn("_listed", F.filter(listed, lambda s: s["category"].isin(list(categories))) if categories else listed)
-            detected = F.concat(detected, F.col("_listed"))
-    docs = docs.withColumn("_detected", detected)
-    detected = F.col("_detected")
-    if ruled:
-        if not more:
+    if categories and found is not None:
+        found = found.where(F.col("category").isin(list(categories)))
+    spanned = _with_found(docs, found, keys)
+    none = F.lit(None).cast("array<string>")
+    allowed = never = none
+    if "pii_categories" in docs.columns:
+        allowed = F.col("pii_categories")
+        if not named:
             known = F.array(*[F.lit(c) for c in P.PATTERNS])
-            detected = F.when(
+            allowed = F.when(
                 F.size(F.array_except("pii_categories", known)) > 0,
-                F.raise_error("a rule chooses a category that no pattern finds: give its spans as found").cast(S.SPANS),
-            ).otherwise(detected)
-        detected = F.filter(
-            detected, lambda s: F.col("pii_categories").isNull() | F.array_contains("pii_categories", s["category"])
-        )
+                F.raise_error("a rule chooses a category that no pattern finds: give its spans as found").cast("array<string>"),
+            ).otherwise(allowed)
     if "pii_excluded_terms" in docs.columns:
-        listed = F.coalesce(F.transform("pii_excluded_terms", F.lower), F.array().cast("array<string>"))
-        chosen = detected
-        detected = S.let(listed, lambda never: F.filter(chosen, lambda s: ~F.array_contains(never, F.lower(s["surface"]))))
+        never = F.col("pii_excluded_terms")
+    terms = S.no_spans()
     if "pii_included_terms" in docs.columns:
         terms = S.term_spans(text, S.term_pattern(F.col("pii_included_terms")), C.CUSTOM, S.INCLUDE)
-        docs = docs.withColumn("_terms", terms).withColumn("_detected", detected)
-        detected = F.col("_detected")
-        together = S.reduce_overlaps(F.concat("_terms", detected))
-        detected = together if more else F.when(F.size("_terms") > 0, together).otherwise(detected)
-    elif more:
-        docs = docs.withColumn("_detected", detected)
-        detected = S.reduce_overlaps(F.col("_detected"))
-    return docs.withColumn(_SPANS, detected)
+    # Not deterministic as far as the planner knows, so that they stay a column of their own: Spark does not always
+    # recognise a Python function again whose arguments are more than columns.
+    asked = F.struct(*[value.alias(name) for name, value in zip(TG.ASKED, (text, F.col("_found"), terms, allowed, never, lang))])
+    spanned = spanned.withColumn("_asked", F.when(F.sqrt(F.rand()) >= 0, asked))
+    return spanned.withColumn("_done", TG.all_spans(F.col("_asked"), categories, automaton, form, named))
 
 
 def with_spans(docs: DataFrame, categories: Sequence[str] | None = None, found: DataFrame | None = None,
@@ -97,7 +82,7 @@ def with_spans(docs: DataFrame, categories: Sequence[str] | None = None, found:
     ``pii_included_terms`` (whole words, always), ``pii_excluded_terms`` (never, unless included).
     """
     _check_detectors(categories, found, phrases)
-    return _with_spans(docs, categories, found, phrases, keys).select(*docs.columns, F.col(_SPANS).alias("spans"))
+    return _done(docs, "spans", categories, found, keys, phrases, F.lit("en")).select(*docs.columns, F.col("_done").alias("spans"))
 
 
 def _has_rules(docs: DataFrame) -> bool:
@@ -114,90 +99,13 @@ def redact(docs: DataFrame, categories: Sequence[str] | None = None, found: Data
     """
     _check_detectors(categories, found, phrases)
     if _has_rules(docs) or found is not None or phrases is not None:
-        spanned = _with_spans(docs, categories, found, phrases, keys)
-        done = spanned.withColumn("text", S.rewrite(F.col("text"), F.col(_SPANS), lambda s: F.lit(S.MASK)))
-        return done.select(*docs.columns)
+        done = _done(docs, "masked", categories, found, keys, phrases, F.lit("en"))
+        return done.withColumn("text", F.col("_done")).select(*docs.columns)
     return docs.withColumn("text", S.rewrite_matches(
         F.col("text"), categories, lambda hit: F.when(P.category_of(hit, categories).isNotNull(), F.lit(S.MASK))
     ))
 
 
-def tagged_spans(spans: Column, lang: Column, keys: Column | None = None) -> Column:
-    """Spans with ``key`` and ``tag``: numbered by category in order of first appearance.
-
-    ``keys`` are entities known beforehand (NULL: by spelling). Custom terms have no tag (NULL). Work grows
-    with the number of spans and the sorting of them.
-    """
-    def known(s: Column, key: Column | None) -> Column:
-        spelled = P.entity_key(s["category"], s["surface"])
-        return F.struct(
-            s["start"].alias("start"), s["end"].alias("end"), s["category"].alias("category"), s["surface"].alias("surface"),
-            (spelled if key is None else F.coalesce(key, spelled)).alias("key"),
-        )
-
-    # The keys are an argument, not looked up inside: the planner would move what finds them into the lambda.
-    keyed = F.transform(spans, lambda s: known(s, None)) if keys is None else F.zip_with(spans, keys, known)
-
-    def number_of(rows: Column) -> Column:
-        """For each span the number of its entity, by sorting: alike spans side by side, then first come first."""
-        alike = F.array_sort(F.transform(rows, lambda s, i: F.struct(
-            s["category"].alias("category"), s["key"].alias("key"), i.alias("at")
-        )))
-        return S.let(alike, lambda sorted_: S.let(_new(sorted_, "key"), lambda new: S.let(
-            S.scanned(new, "int", lambda a, b: a + b), lambda entity: _numbered(sorted_, new, entity)
-        )))
-
-    def written(rows: Column, numbers: Column) -> Column:
-        return F.transform(rows, lambda s, i: F.struct(
-            s["start"].alias("start"), s["end"].alias("end"), s["category"].alias("category"),
-            s["surface"].alias("surface"), s["key"].alias("key"),
-            F.when(s["category"] != C.CUSTOM, L.tag(s["category"], lang, F.get(numbers, i))).alias("tag"),
-        ))
-
-    return S.let(keyed, lambda rows: S.let(number_of(rows), lambda numbers: written(rows, numbers)))
-
-
-def _new(sorted_: Column, *fields: str) -> Column:
-    """1 where a value of the fields starts in an array sorted by them (and the category), else 0."""
-    def starts(s: Column, i: Column) -> Column:
-        last = F.get(sorted_, i - 1)
-        same = last["category"] == s["category"]
-        for name in fields:
-            same = same & (last[name] == s[name])
-        return F.when((i > 0) & same, 0).otherwise(1)
-
-    return F.transform(sorted_, starts)
-
-
-def _numbered(sorted_: Column, new: Column, entity: Column) -> Column:
-    """Numbers in the order of the spans, from spans sorted by entity and the running number of their entity there."""
-    firsts = F.array_sort(F.filter(
-        F.transform(sorted_, lambda s, i: F.when(F.get(new, i) == 1, F.struct(
-            s["category"].alias("category"), s["at"].alias("at"), F.get(entity, i).alias("entity")
-        ))),
-        lambda f: f.isNotNull(),
-    ))
-
-    def ranked(firsts_: Column) -> Column:
-        """Per entity its number: its place among those of its category, in order of the entities."""
-        begins = F.transform(firsts_, lambda f, i: F.when(
-            (i > 0) & (F.get(firsts_, i - 1)["category"] == f["category"]), 0
-        ).otherwise(i))
-        return S.let(S.scanned(begins, "int", F.greatest), lambda base: F.transform(
-            F.array_sort(F.transform(firsts_, lambda f, i: F.struct(
-                f["entity"].alias("entity"), (i - F.get(base, i) + 1).alias("number")
-            ))),
-            lambda e: e["number"],
-        ))
-
-    return S.let(S.let(firsts, ranked), lambda numbers: F.transform(
-        F.array_sort(F.transform(sorted_, lambda s, i: F.struct(
-            s["at"].alias("at"), F.get(numbers, F.get(entity, i) - 1).alias("number")
-        ))),
-        lambda s: s["number"],
-    ))
-
-
 def pseudonymize(docs: DataFrame, categories: Sequence[str] | None = None, lang: str | None = None,
                  found: DataFrame | None = None, keys: Sequence[str] = ("doc_id",), phrases: DataFrame | None = None) -> DataFrame:
     """``text`` with each entity as a tag, plus ``spans`` with their tags (personal data: keep apart).
@@ -207,19 +115,10 @@ def pseudonymize(docs: DataFrame, categories: Sequence[str] | None = None, lang:
     choice of categories leaves the patterns out.
     """
     _check_detectors(categories, found, phrases)
-    columns, named = docs.columns, found is not None or phrases is not None
     language = F.col(lang) if lang else F.lit("en")
-    shape = "array<struct<start:int,end:int,category:string,surface:string,key:string,tag:string>>"
-    spanned = _with_spans(docs, categories, found, phrases, keys)
-    if named:
-        spanned = spanned.withColumn(_KEYS, V.person_keys(F.col(_SPANS)))
-    tagged = F.when(
-        F.size(_SPANS) > 0, tagged_spans(F.col(_SPANS), language, F.col(_KEYS) if named else None)
-    ).otherwise(F.array().cast(shape))
-    done = spanned.withColumn("spans", tagged).withColumn(
-        "text", S.rewrite(F.col("text"), F.col("spans"), lambda s: F.coalesce(s["tag"], F.lit(S.MASK)))
-    )
-    return done.select(*columns, *[c for c in ["spans"] if c not in columns])
+    done = _done(docs, "tagged", categories, found, keys, phrases, language)
+    done = done.withColumn("text", F.col("_done.text")).withColumn("spans", F.col("_done.spans"))
+    return done.select(*docs.columns, *[c for c in ["spans"] if c not in docs.columns])
 
 
 def apply_spans(docs: DataFrame, spans: DataFrame, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
