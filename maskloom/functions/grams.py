@@ -12,6 +12,8 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 
 GRAM = 3
+#: Characters of a text times its strings up to which these are looked for one by one: no index pays there.
+PLAIN = 1 << 16
 #: Characters indexed at once; longer texts are cut into windows that overlap by the longest string.
 WINDOW = 1 << 20
 _A, _B, _C = (np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -114,6 +116,9 @@ def find(texts: Sequence[str | None], needles: Sequence[Sequence[tuple[str, bool
     for i, (text, some) in enumerate(zip(texts, needles)):
         if not text or not some:
             continue
+        if len(text) * len(some) <= PLAIN:
+            out[i] = [bool(n) and _short(text, n, alone, True, True) for n, alone in some]
+            continue
         for window in windows(text, max(len(n) for n, _ in some)):
             owner = len(waiting)
             waiting.append(window)
@@ -122,5 +127,6 @@ def find(texts: Sequence[str | None], needles: Sequence[Sequence[tuple[str, bool
             size += len(window[0])
             if size >= WINDOW:
                 look()
-    look()
+    if waiting:
+        look()
     return out

@@ -51,6 +51,9 @@ PATTERN_CATEGORIES = list(PATTERNS)
 # Every pattern needs one of these characters: a cheap first look that spares most texts the scan.
 MAY_MATCH = "[0-9@]"
 
+# Where a match of any pattern can start, for searches that take one look ahead for all of them.
+MAY_START = "(?:[0-9+(A-Z]|[a-z._%-][A-Za-z0-9._%+-]*+@)"
+
 
 # What a match of a pattern can start with: one look instead of trying its every branch.
 _STARTS = {"Date": "[0-9ADFJMNOS]", "CreditCard": "[0-9]", "PhoneNumber": "[+(0]"}

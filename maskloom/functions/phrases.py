@@ -10,6 +10,7 @@ are for ``detect.detect_dictionary``'s join.
 from __future__ import annotations
 
 import hashlib
+import re
 from dataclasses import dataclass
 from itertools import chain
 
@@ -24,7 +25,10 @@ from maskloom.functions import spans as S
 from maskloom.schemas import SPANS
 
 MOST, MOST_CHARACTERS = 500_000, 32 << 20
-_WORD = regex.compile(r"[\p{L}\p{N}]+")
+_WORD, _ASCII_WORD = regex.compile(r"[\p{L}\p{N}]+"), re.compile("[A-Za-z0-9]+")
+
+_ALNUM = np.zeros(256, np.int8)
+_ALNUM[[*range(ord("0"), ord("9") + 1), *range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = 1
 
 
 def _hashes(words: list[str]) -> np.ndarray:
@@ -72,21 +76,37 @@ def compile_phrases(listed: list[tuple[str, str]]) -> Automaton:
     )
 
 
+def _placed(texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """All words of the texts in lower case and in a row, where each starts and ends in its text, and how many a text has."""
+    if all(t is None or t.isascii() for t in texts):
+        # One search for the words of all texts, which a line feed keeps apart; their places out of the bytes.
+        row = "\n".join(t or "" for t in texts)
+        edges = np.diff(_ALNUM[np.frombuffer(row.encode(), np.uint8)], prepend=0, append=0)
+        starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+        first = np.concatenate([[0], np.cumsum([len(t or "") + 1 for t in texts])])
+        sizes = np.diff(np.searchsorted(starts, first))
+        base = np.repeat(first[:-1], sizes)
+        return _ASCII_WORD.findall(row.lower()), starts - base, ends - base, sizes
+    found = [list(_WORD.finditer(t)) if t else [] for t in texts]
+    flat = list(chain.from_iterable(found))
+    starts, ends = (np.array([f(m) for m in flat], np.int64) for f in (regex.Match.start, regex.Match.end))
+    return [m.group().lower() for m in flat], starts, ends, np.array([len(some) for some in found], np.int64)
+
+
 def find_phrases(automaton: Automaton, texts: list[str | None]) -> list[list[tuple[int, int, str]]]:
     """(start, end, category) of every phrase in every text, also inside others, in order of place."""
     found: list[list[tuple[int, int, str]]] = [[] for _ in texts]
     if not len(automaton.edges):
         return found
-    placed = [list(_WORD.finditer(t)) if t else [] for t in texts]
-    words = [[m.group().lower() for m in some] for some in placed]
-    distinct = list(set(chain.from_iterable(words)))
+    words, starts, ends, sizes = _placed(texts)
+    distinct = list(set(words))
     hashes = _hashes(distinct)
     at = np.minimum(np.searchsorted(automaton.words, hashes), len(automaton.words) - 1)
     number = dict(zip(distinct, np.where(automaton.words[at] == hashes, at, -1).tolist()))
     # The words of all texts in one row, with a word that no list has behind each text.
-    row = np.array([n for some in words for n in (*map(number.__getitem__, some), -1)], np.int64)
-    owner = np.repeat(np.arange(len(texts)), [len(some) + 1 for some in words])
-    first = np.concatenate([[0], np.cumsum([len(some) + 1 for some in words])])
+    stops = np.cumsum(sizes)
+    row = np.insert(np.array([number[w] for w in words], np.int64), stops, -1)
+    owner = np.repeat(np.arange(len(texts)), sizes + 1)
     start = np.flatnonzero(row >= 0)
     state, depth = np.zeros(len(start), np.int64), 0
     while len(start):
@@ -95,13 +115,16 @@ def find_phrases(automaton: Automaton, texts: list[str | None]) -> list[list[tup
         edge = np.minimum(np.searchsorted(automaton.edges, keys), len(automaton.edges) - 1)
         on = (word >= 0) & (automaton.edges[edge] == keys)
         start, state, depth = start[on], automaton.targets[edge[on]], depth + 1
-        for where, phrase in zip(start.tolist(), automaton.ends[state].tolist()):
-            if phrase >= 0:
-                text = int(owner[where])
-                i = where - int(first[text])
-                # Hashes stand for words until here; now the words themselves are compared.
-                if tuple(words[text][i : i + depth]) == automaton.phrases[phrase]:
-                    found[text].append((placed[text][i].start(), placed[text][i + depth - 1].end(), automaton.categories[phrase]))
+        phrase = automaton.ends[state]
+        met = np.flatnonzero(phrase >= 0)
+        # Places in the row less the texts before are places among the words.
+        text = owner[start[met]]
+        at = start[met] - text
+        spans = zip(text.tolist(), at.tolist(), phrase[met].tolist(), starts[at].tolist(), ends[at + depth - 1].tolist())
+        for i, j, k, begin, end in spans:
+            # Hashes stand for words until here; now the words themselves are compared.
+            if tuple(words[j : j + depth]) == automaton.phrases[k]:
+                found[i].append((begin, end, automaton.categories[k]))
     return [sorted(spans) for spans in found]
 
 

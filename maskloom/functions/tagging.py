@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable, Sequence
+from itertools import chain, pairwise
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +41,13 @@ def luhn_ok(surface: str) -> bool:
     return (sum(map(int, digits[-1::-2])) + sum(_DOUBLED[int(d)] for d in digits[-2::-2])) % 10 == 0
 
 
+# Letters as 10..35, for the check digits of an account number.
+_LETTERS = {ord("A") + i: str(10 + i) for i in range(26)}
+
+
 def iban_ok(surface: str) -> bool:
     plain = surface.replace(" ", "")
-    return 15 <= len(plain) <= 34 and int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+    return 15 <= len(plain) <= 34 and int((plain[4:] + plain[:4]).translate(_LETTERS)) % 97 == 1
 
 
 _CHECKS = {"CreditCard": luhn_ok, "IBAN": iban_ok}
@@ -49,29 +55,32 @@ _CHECKS = {"CreditCard": luhn_ok, "IBAN": iban_ok}
 
 def pattern_finder(categories: Sequence[str] | None = None) -> Callable[[str], list[Span]]:
     """Spans of the patterns in a text, in order and apart (``spans.pattern_spans`` for one text)."""
-    whole = P.pattern(categories)
-    if whole is None:
+    chosen = [c for c in P.PATTERN_CATEGORIES if categories is None or c in categories]
+    if not chosen:
         return lambda text: []
-    scan, may = re.compile(whole), re.compile(P.MAY_MATCH)
-    kinds = [(c, re.compile(P.PATTERNS[c])) for c in P.PATTERN_CATEGORIES if categories is None or c in categories]
-
-    def category_of(hit: str) -> str | None:
-        for name, kind in kinds:
-            if kind.fullmatch(hit):
-                return name if name not in _CHECKS or _CHECKS[name](hit) else None
-        return None
+    # A group per category: the first that matches at a place is also the first that a match is a full match of.
+    scan = re.compile(f"(?={P.MAY_START})(?:" + "|".join(f"({P.PATTERNS[c]})" for c in chosen) + ")")
+    may, kinds = re.compile(P.MAY_MATCH).search, [(None, None), *((c, _CHECKS.get(c)) for c in chosen)]
 
     def find(text: str) -> list[Span]:
-        if not may.search(text):
+        if not may(text):
             return []
-        hits = [(m.start(), m.end(), m.group()) for m in scan.finditer(text)]
-        return [(a, b, c, hit, DETECTED) for a, b, hit in hits if (c := category_of(hit)) is not None]
+        found = []
+        for m in scan.finditer(text):
+            category, check = kinds[m.lastindex]
+            hit = m.group()
+            if check is None or check(hit):
+                found.append((*m.span(), category, hit, DETECTED))
+        return found
 
     return find
 
 
-def reduce_spans(spans: Iterable[Span]) -> list[Span]:
+def reduce_spans(spans: Sequence[Span]) -> list[Span]:
     """``spans.reduce_overlaps`` for the spans of one text."""
+    if all(a[1] <= b[0] for a, b in pairwise(spans)):
+        return list(spans)
+
     def best(s: Span) -> tuple:
         return s[4], s[0] - s[1], s[0], s[2] is not None, s[2] or ""
 
@@ -99,15 +108,18 @@ def entity_key(category: str | None, surface: str) -> str:
 def number_spans(spans: list[Span], lang: str | None, named: bool) -> tuple[list[str], list[str | None]]:
     """Keys and tags of spans in order of place; numbers go by category in order of first appearance."""
     people = iter(link_names([s[3] for s in spans if s[2] == "Person"]) if named else ())
-    numbers: dict[str | None, dict[str, int]] = {}
+    known: dict[tuple[str | None, str], str | None] = {}
+    counts: dict[str | None, int] = {}
     keys, tags = [], []
     for _, _, category, surface, _ in spans:
         key = next(people) if named and category == "Person" else entity_key(category, surface)
-        own = numbers.setdefault(category, {})
-        number = own.setdefault(key, len(own) + 1)
-        labels = LABELS.get(category)
+        entity = category, key
+        if entity not in known:
+            counts[category] = number = counts.get(category, 0) + 1
+            labels = LABELS.get(category)
+            known[entity] = labels and f"[{labels.get(lang) or labels['en']} {number}]"
         keys.append(key)
-        tags.append(labels and f"[{labels.get(lang, labels['en'])} {number}]")
+        tags.append(known[entity])
     return keys, tags
 
 
@@ -124,10 +136,9 @@ def rewritten(text: str | None, spans: list[Span], replacements: Iterable[str])
 
 def _lists(rows: list[list[Span]], last: list[tuple[str, pa.Array]]) -> pa.Array:
     """The spans of all texts as an array of lists of structs; ``last`` are its fields after ``surface``."""
-    flat = [s for some in rows for s in some]
-    column = lambda i, kind: pa.array([s[i] for s in flat], kind)
-    fields = [("start", column(0, pa.int32())), ("end", column(1, pa.int32())), ("category", column(2, pa.string())),
-              ("surface", column(3, pa.string())), *last]
+    columns = list(zip(*chain.from_iterable(rows))) or [()] * 5
+    kinds = (("start", pa.int32()), ("end", pa.int32()), ("category", pa.string()), ("surface", pa.string()))
+    fields = [*((name, pa.array(values, kind)) for (name, kind), values in zip(kinds, columns)), *last]
     offsets = np.concatenate([[0], np.cumsum([len(some) for some in rows])]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays([a for _, a in fields], [n for n, _ in fields]))
 
@@ -137,6 +148,8 @@ def _spans_of(spans: list[list[Span]]) -> pa.Array:
 
 
 def _tuples(listed: pa.Array) -> list[list[Span]]:
+    if not len(listed.values):
+        return [[]] * len(listed)
     return [[(s["start"], s["end"], s["category"], s["surface"], s["priority"]) for s in some or ()] for some in listed.to_pylist()]
 
 
@@ -186,6 +199,8 @@ def all_spans(asked: Column, categories: Sequence[str] | None, automaton: Broadc
             found = (find(text_) if text_ else []) + some + [
                 (s, e, c, text_[s:e], DETECTED) for s, e, c in phrases if not chosen or c in chosen
             ]
+            if phrases:
+                found.sort(key=itemgetter(0, 1))
             spans.append(reduce_spans(first + ruled(found, a, n)))
         if form == "spans":
             return _spans_of(spans)
@@ -193,7 +208,7 @@ def all_spans(asked: Column, categories: Sequence[str] | None, automaton: Broadc
             return pa.array([rewritten(t, some, [MASK] * len(some)) for t, some in zip(values, spans)], pa.string())
         keyed = [number_spans(some, lang_, named) for some, lang_ in zip(spans, langs.to_pylist())]
         out = [rewritten(t, some, [tag or MASK for tag in tags]) for t, some, (_, tags) in zip(values, spans, keyed)]
-        last = [(name, pa.array([v for row in keyed for v in row[i]], pa.string())) for i, name in enumerate(("key", "tag"))]
+        last = [(name, pa.array(list(chain.from_iterable(row[i] for row in keyed)), pa.string())) for i, name in enumerate(("key", "tag"))]
         return pa.StructArray.from_arrays([pa.array(out, pa.string()), _lists(spans, last)], ["text", "spans"])
 
     return done.asNondeterministic()(asked)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import lru_cache
 
 from maskloom.functions.titles import TITLES
 
@@ -16,6 +17,7 @@ _TITLE = re.compile(r"^(?:" + "|".join(TITLES) + r")(?:\.[ \t\n\x0b\f\r]*|[ \t\n
 _SPACE = re.compile(r"[ \t\n\x0b\f\r]+")
 
 
+@lru_cache(1 << 14)
 def name_parts(surface: str) -> tuple[str, str, str | None]:
     """(initial, surname, full name or None) of a mention, in lower case; '' for no initial."""
     parts = _SPACE.split(_TITLE.sub("", surface, count=1).strip(" "))

@@ -8,8 +8,10 @@ map or one group, and a tag that a third of all texts use is a skewed join key,
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import pairwise
 
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -218,57 +220,63 @@ def check_restorable(requests: DataFrame, tables: DataFrame) -> DataFrame:
 NAMES, SHORTEST = ("Person", "Organization", "Address"), 3
 #: Originals of one document that are looked for together; more go in several lists, each met with the text once.
 LISTED = 20_000
+_TOKEN, _LETTER = regex.compile(r"[\p{L}\p{N}]+"), regex.compile(r"\p{L}")
 _ESCAPES = (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"))
 
 
-def _needles(table: DataFrame, key: str, fragments: bool) -> DataFrame:
-    """(key, placeholder, needle, part) of what must not be seen: originals, as written in XML too, and parts of names."""
-    original = F.col("original")
+def _needles(original: str, category: str | None, fragments: bool) -> list[tuple[str, bool]]:
+    """(string, whether it is a part only) of what must not be seen: an original, as written in XML too, and parts of a name."""
+    if not fragments:
+        return [(original, False)]
     escaped = original
     for char, entity in _ESCAPES:
-        escaped = F.replace(escaped, F.lit(char), F.lit(entity))
-    forms = F.array(F.struct(original.alias("needle"), F.lit(False).alias("part")))
-    if fragments:
-        more = F.when(escaped != original, F.array(F.struct(escaped.alias("needle"), F.lit(False).alias("part"))))
-        words = F.filter(
-            F.regexp_extract_all(original, F.lit(r"[\p{L}\p{N}]+"), F.lit(0)),
-            lambda w: (F.length(w) >= SHORTEST) & w.rlike(r"\p{L}") & (w != original),
-        )
-        parts = F.when(F.col("category").isin(*NAMES), F.transform(words, lambda w: F.struct(w.alias("needle"), F.lit(True).alias("part"))))
-        none = F.array().cast("array<struct<needle:string,part:boolean>>")
-        forms = F.concat(forms, F.coalesce(more, none), F.coalesce(parts, none))
-    named = table.where(F.coalesce("original", F.lit("")) != "")
-    return named.select(key, "placeholder", F.inline(forms)).distinct()
+        escaped = escaped.replace(char, entity)
+    words = _TOKEN.findall(original) if category in NAMES else ()
+    parts = [(w, True) for w in words if len(w) >= SHORTEST and w != original and _LETTER.search(w)]
+    return [(needle, False) for needle in dict.fromkeys((original, escaped))] + parts
 
 
 def leak_scan(outputs: DataFrame, table: DataFrame, key: str = "doc_id", fragments: bool = False, listed: int = LISTED) -> DataFrame:
     """Outputs (key, text) that hold an original of their document: (key, placeholder). None should.
 
     With ``fragments`` also those that hold a part of one (a word of a person's, organisation's or place's name,
-    standing alone) or an original as XML escapes it; then ``whole`` tells whether all of it was there. The strings
-    of a document travel in lists of ``listed``, and each list is looked up in a positional gram index of
-    the text (``functions.grams``): one way for any number of originals, and no pairs of text and original are made.
+    standing alone) or an original as XML escapes it; then ``whole`` tells whether all of it was there. The originals
+    of a document travel in lists of ``listed``; what is looked for in each text follows from its list (``functions.grams``):
+    one way for any number of originals, and no pairs of text and original are made.
     """
-    needles = _needles(table, key, fragments)
-    counts = needles.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / listed).alias("_lists")).where("_lists > 1")
-    place = F.pmod(F.xxhash64("placeholder", "needle"), F.coalesce("_lists", F.lit(1)))
-    lists = needles.join(counts, key, "left").groupBy(key, place.alias("_list")).agg(
-        F.collect_list(F.struct("placeholder", "needle", "part")).alias("_needles")
+    named = table.where(F.coalesce("original", F.lit("")) != "")
+    counts = named.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / listed).alias("_lists")).where("_lists > 1")
+    category = F.col("category") if fragments else F.lit(None).cast("string")
+    place = F.pmod(F.xxhash64("placeholder", "original"), F.coalesce("_lists", F.lit(1)))
+    lists = named.join(counts, key, "left").groupBy(key, place.alias("_list")).agg(
+        F.collect_set(F.struct("placeholder", "original", category.alias("category"))).alias("_listed")
     )
 
-    @F.arrow_udf("array<boolean>")
-    def held(texts: pa.Array, wanted: pa.Array, parts: pa.Array) -> pa.Array:
-        asked = [list(zip(w, p)) for w, p in zip(wanted.to_pylist(), parts.to_pylist())]
-        return pa.array(grams.find(texts.to_pylist(), asked), pa.list_(pa.bool_()))
+    @F.arrow_udf("array<struct<placeholder:string,whole:boolean>>")
+    def held(texts: pa.Array, rows: pa.Array) -> pa.Array:
+        offsets = rows.offsets.to_pylist()
+        placeholders, originals, categories = (rows.values.field(i).to_pylist() for i in range(3))
+        asked = [_needles(o, c, fragments) for o, c in zip(originals, categories)]
+        wanted = [[n for some in asked[a:b] for n in some] for a, b in pairwise(offsets)]
+        sizes, names, whole = [0], [], []
+        for first, last, met in zip(offsets, offsets[1:], grams.find(texts.to_pylist(), wanted)):
+            if any(met):
+                there = iter(met)
+                for i in range(first, last):
+                    parts = {part for (_, part), found in zip(asked[i], there) if found}
+                    if parts:
+                        names.append(placeholders[i])
+                        whole.append(False in parts)
+            sizes.append(len(names))
+        found = pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(whole, pa.bool_())], ["placeholder", "whole"])
+        return pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), found)
 
     once = held.asNondeterministic()
-    needle, part = F.transform("_needles", lambda s: s["needle"]), F.transform("_needles", lambda s: s["part"])
-    met = outputs.join(lists, key).withColumn("_held", once(F.col("text"), needle, part))
-    hits = F.filter(F.zip_with("_needles", "_held", lambda s, there: F.when(there, s)), lambda s: s.isNotNull())
-    rows = met.select(key, F.inline(F.transform(hits, lambda s: F.struct(s["placeholder"].alias("placeholder"), s["part"].alias("part")))))
+    met = outputs.join(lists, key).withColumn("_held", once(F.col("text"), F.col("_listed")))
+    rows = met.select(key, F.inline("_held"))
     if not fragments:
         return rows.select(key, "placeholder").distinct()
-    return rows.groupBy(key, "placeholder").agg(F.bool_or(~F.col("part")).alias("whole"))
+    return rows.groupBy(key, "placeholder").agg(F.bool_or("whole").alias("whole"))
 
 
 def leak_scan_words(outputs: DataFrame, originals: DataFrame, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
