@@ -464,14 +464,14 @@ def parse_tables(t: Tables) -> DataFrame:
 def table_files(t: Tables) -> DataFrame:
     """A file per table, written, read back, and refused when written again."""
     folder = f"{checkpoint_dir(t.spark)}/tables-{uuid.uuid4().hex}"
-    table = correspondence.parse_correspondence(t.sql(CSVS))
+    table = correspondence.parse_correspondence(spread(t.sql(CSVS), "doc_id"))
     correspondence.write_tables(table, folder, "doc_id")
     try:
         correspondence.write_tables(table, folder, "doc_id")
         again = "written over"
     except Exception as error:  # noqa: BLE001
         again = "refused" if "not written over" in str(error) else str(error)
-    back = correspondence.read_correspondence(t.spark, folder)
+    back = correspondence.read_tables(t.spark, folder)
     number = F.regexp_extract("file", r"([0-9]+)\.csv$", 1).cast("bigint")
     return back.select(number.alias("doc_id"), "placeholder", "label", "category", "original", F.lit(again).alias("again"))
 

@@ -11,15 +11,19 @@ from __future__ import annotations
 import os
 import shutil
 import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 from pyspark.sql.types import Row, StructType
 
 FORMAT = "document_files"
+#: What goes on from a task that reads at once.
+FILES_AT_ONCE, BYTES_AT_ONCE = 2048, 8 << 20
 
 
 @dataclass
@@ -28,8 +32,8 @@ class Written(WriterCommitMessage):
 
 
 class DocumentFilesWriter(DataSourceWriter):
-    def __init__(self, folder: str, job: str) -> None:
-        self.folder, self.parts = folder, os.path.join(folder, f".{job}")
+    def __init__(self, folder: str, job: str, head: str = "") -> None:
+        self.folder, self.parts, self.head = folder, os.path.join(folder, f".{job}"), head.encode()
 
     def _publish(self, written: str, name: str) -> None:
         own, final = os.path.join(self.parts, name), os.path.join(self.folder, name)
@@ -60,6 +64,7 @@ class DocumentFilesWriter(DataSourceWriter):
                         raise ValueError(f"not the name of one file of its own: {current!r}")
                     seen.add(current)
                     file = open(draft, "wb")
+                    file.write(self.head)
                 content = row["content"]
                 file.write(content.encode() if isinstance(content, str) else bytes(content or b""))
             if file is not None:
@@ -90,11 +95,11 @@ class DocumentFiles(DataSource):
     def writer(self, schema: StructType, overwrite: bool) -> DocumentFilesWriter:
         if overwrite:
             raise ValueError("files that exist are never written over: append")
-        return DocumentFilesWriter(self.options["path"], self.options["job"])
+        return DocumentFilesWriter(self.options["path"], self.options["job"], self.options.get("head", ""))
 
 
-def write_document_files(df: DataFrame, folder: str, name: Column, content: Column, order: Column | None = None) -> None:
-    """The files of a folder (made if it is not there), one per ``name``: its rows' ``content`` by ``order``.
+def write_document_files(df: DataFrame, folder: str, name: Column, content: Column, order: Column | None = None, head: str = "") -> None:
+    """The files of a folder (made if it is not there), one per ``name``: ``head``, then its rows' ``content`` by ``order``.
 
     Any name that exists already, or is no plain file name, fails the job, and none of its files stay.
     """
@@ -104,4 +109,30 @@ def write_document_files(df: DataFrame, folder: str, name: Column, content: Colu
     os.makedirs(folder, exist_ok=True)
     rows = df.select(name.alias("name"), content.alias("content"), (order if order is not None else F.lit(0)).alias("_order"))
     sorted_ = rows.repartition("name").sortWithinPartitions("name", "_order").select("name", "content")
-    sorted_.write.format(FORMAT).mode("append").option("path", folder).option("job", uuid.uuid4().hex).save()
+    sorted_.write.format(FORMAT).mode("append").option("path", folder).option("job", uuid.uuid4().hex).option("head", head).save()
+
+
+def read_document_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The files of a mounted folder as (file, content): path and bytes. Those of a job at work and folders in it are left out.
+
+    Each task lists the folder and reads the names whose hash is its own, so neither a list of millions of names nor a
+    task for every few files falls to the driver.
+    """
+    folder, tasks = folder.removeprefix("file:"), 2 * spark.sparkContext.defaultParallelism
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for own in (n for batch in batches for n in batch.column(0).to_pylist()):
+            files, contents, size = [], [], 0
+            for entry in os.scandir(folder):
+                if zlib.crc32(os.fsencode(entry.name)) % tasks != own or entry.name.startswith(".") or not entry.is_file():
+                    continue
+                with open(entry.path, "rb") as file:
+                    contents.append(file.read())
+                files.append(entry.path)
+                size += len(contents[-1])
+                if len(files) == FILES_AT_ONCE or size > BYTES_AT_ONCE:
+                    yield pa.RecordBatch.from_arrays([pa.array(files, pa.string()), pa.array(contents, pa.binary())], ["file", "content"])
+                    files, contents, size = [], [], 0
+            yield pa.RecordBatch.from_arrays([pa.array(files, pa.string()), pa.array(contents, pa.binary())], ["file", "content"])
+
+    return spark.range(0, tasks, 1, tasks).mapInArrow(read, "file string, content binary")
