@@ -131,8 +131,11 @@ def apply_review(masks: DataFrame, decisions: DataFrame) -> DataFrame:
     again afterwards.
     """
     place = ["doc_id", "start", "end"]
-    kept = masks.join(decisions.where("action = 'remove'").select(*place).distinct(), place, "left_anti")
-    moved = decisions.where("action IN ('merge', 'split')").groupBy(*place).agg(F.max("entity").alias("_entity"))
-    kept = kept.join(moved, place, "left").withColumn("entity", F.coalesce("_entity", "entity")).select(*masks.columns)
+    decided = decisions.where("action IN ('remove', 'merge', 'split')").groupBy(*place).agg(
+        F.max(F.when(F.col("action") != "remove", F.col("entity"))).alias("_entity"),
+        F.max(F.col("action") == "remove").alias("_removed"),
+    )
+    left = masks.join(decided, place, "left").where(~F.coalesce("_removed", F.lit(False)))
+    kept = left.withColumn("entity", F.coalesce("_entity", "entity")).select(*masks.columns)
     added = decisions.where("action = 'add'").select(*masks.columns).distinct()
     return kept.unionByName(added)
