@@ -1,13 +1,15 @@
 """Originals put back into texts that carry tags; only tags and counts are ever reported.
 
-Tags are looked up, not searched for: every bracketed candidate of a text is joined with the tags
-of its document. So a table of any number of tags costs a join and never becomes one pattern, one
+Tags are looked up, not searched for: every bracketed candidate of a text is looked up among the tags of its
+document, in one call of Python where these are few and by a join where they are many. So a table of any number of tags costs a join and never becomes one pattern, one
 map or one group, and a tag that a third of all texts use is a skewed join key, which is split.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterable, Sequence
+from functools import lru_cache
 from itertools import pairwise
 
 import pyarrow as pa
@@ -175,11 +177,102 @@ def text_hits(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return grouped.withColumn("hits", _leftmost(F.col("hits")))
 
 
-def restore_text(texts: DataFrame, table: DataFrame, keys: Sequence[str] = ("doc_id",), key: str = "doc_id") -> DataFrame:
+#: Rows of a document's table that travel with each of its texts; longer tables are joined by tag.
+FEW = 500
+_SCAN, _OPENING, _HIDDEN = re.compile(_BRACKETED), re.compile(r"\\?\["), re.compile(_NESTED)
+# ``TAG_SHAPE`` as Java reads it: digits are ASCII, and the end is also before a last line end.
+_SHAPE = regex.compile(TAG_SHAPE.replace(r"\d", "[0-9]").removesuffix("$") + r"(?:\r\n|[\n\r\u0085\u2028\u2029])?\Z")
+
+
+@lru_cache(1 << 12)
+def _shaped(tag: str) -> bool:
+    return _SHAPE.search(tag[1:-1]) is not None
+
+
+def _places(text: str, nested: Iterable[int]) -> list[tuple[int, int, str, bool]]:
+    """``candidates`` for one text."""
+    found = []
+    for m in _SCAN.finditer(text):
+        raw = m.group()
+        tag = raw.replace("\\", "")
+        found.append((*m.span(), tag, raw.endswith(tag)))
+    if nested:
+        for m in _OPENING.finditer(text):
+            after = m.end()
+            for n in nested:
+                inner, closing = text[after : after + n - 2], text[after + n - 2 : after + n]
+                plain = closing.startswith("]")
+                if (plain or closing == "\\]") and _HIDDEN.search(inner):
+                    found.append((m.start(), after + n - plain, f"[{inner}]", plain))
+    return found
+
+
+def _restore(text: str, table: Sequence[tuple[str | None, str | None, str | None]]) -> tuple[str, int, int, list[str], list[str]]:
+    """A text with the originals of its document's table back: ``prepare_lookup``, ``tag_rows`` and ``text_hits`` for one text."""
+    known: dict[str, set[str]] = {}
+    for placeholder, label, original in table:
+        for tag in (placeholder, label):
+            if tag and len(tag) > 2 and tag[0] == "[" and tag[-1] == "]":
+                known.setdefault(tag, set()).update((original,) if original else ())
+    nested = {len(tag) for tag in known if _HIDDEN.search(tag, 1, len(tag) - 1)}
+    inside = {c[2] for _, _, original in table if original and "[" in original for c in _places(original, nested) if c[3]}
+    hits, unresolved, ambiguous = [], set(), set()
+    for start, end, tag, plain in _places(text, nested):
+        originals = known.get(tag)
+        if originals is not None and len(originals) == 1:
+            if "\\" not in tag:
+                hits.append((start, -end, tag, next(iter(originals))))
+        elif tag not in inside and ((originals is not None and plain) or _shaped(tag)):
+            (ambiguous if originals else unresolved).add(tag)
+    pieces, at, met = [], 0, []
+    for start, end, tag, original in sorted(hits):
+        if start >= at:
+            pieces += (text[at:start], original)
+            at = -end
+            met.append(tag)
+    return "".join((*pieces, text[at:])), len(met), len(set(met)), sorted(unresolved), sorted(ambiguous)
+
+
+RESTORED = "struct<text:string,replacements:int,tags_restored:int,unresolved_tags:array<string>,ambiguous_tags:array<string>>"
+
+
+def _restored_here(texts: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """``restore_text`` where the table of a document goes along with each of its texts."""
+
+    @F.arrow_udf(RESTORED)
+    def done(values: pa.Array, tables: pa.Array) -> pa.Array:
+        offsets, rows = tables.offsets.to_pylist(), list(zip(*(tables.values.field(i).to_pylist() for i in range(3))))
+        out = [
+            (None, 0, 0, [], []) if text is None else _restore(text, rows[a:b])
+            for text, (a, b) in zip(values.to_pylist(), pairwise(offsets))
+        ]
+        kinds = (pa.string(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.string()))
+        names = ("text", "replacements", "tags_restored", "unresolved_tags", "ambiguous_tags")
+        return pa.StructArray.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)], list(names))
+
+    rows = table.select(key, F.struct(*[F.col(c).cast("string").alias(c) for c in ("placeholder", "label", "original")]).alias("_row"))
+    lists = rows.groupBy(key).agg(F.collect_list("_row").alias("_table"))
+    none = F.array().cast("array<struct<placeholder:string,label:string,original:string>>")
+    joined = texts.join(lists, key, "left").withColumn("_table", F.coalesce("_table", none))
+    restored = joined.withColumn("_done", done.asNondeterministic()(F.col("text"), F.col("_table"))).withColumn("text", F.col("_done.text"))
+    return restored.select(*texts.columns, "_done.replacements", "_done.tags_restored", "_done.unresolved_tags", "_done.ambiguous_tags")
+
+
+def restore_text(texts: DataFrame, table: DataFrame, keys: Sequence[str] = ("doc_id",), key: str = "doc_id", few: int = FEW) -> DataFrame:
     """``text`` with originals for tags, plus replacements, tags_restored, unresolved_tags, ambiguous_tags.
 
-    ``keys`` name a text, ``key`` (one of its columns) the document whose table applies.
+    ``keys`` name a text, ``key`` (one of its columns) the document whose table applies. The table of a document of up to
+    ``few`` rows goes along with its texts; tags of longer ones are joined, with the same result.
     """
+    large = table.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > few).select(key)
+    if large.isEmpty():
+        return _restored_here(texts, table, key)
+    here = _restored_here(texts.join(large, key, "left_anti").select(*texts.columns), table.join(large, key, "left_anti"), key)
+    return here.unionByName(_restored_by_tag(texts.join(large, key, "left_semi").select(*texts.columns), table.join(large, key, "left_semi"), keys, key))
+
+
+def _restored_by_tag(texts: DataFrame, table: DataFrame, keys: Sequence[str], key: str) -> DataFrame:
+    """``restore_text`` where the tags of the texts are joined with those of the tables."""
     hits = text_hits(tag_rows(texts, table, keys, key), keys)
     none = F.array().cast("array<string>")
     joined = texts.join(hits, list(keys), "left")
