@@ -317,6 +317,12 @@ _TOKEN, _LETTER = regex.compile(r"[\p{L}\p{N}]+"), regex.compile(r"\p{L}")
 _ESCAPES = (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"))
 
 
+@lru_cache(1 << 14)
+def _parts(name: str) -> tuple[str, ...]:
+    """The words of a name that tell who is meant."""
+    return tuple(w for w in _TOKEN.findall(name) if len(w) >= SHORTEST and w != name and _LETTER.search(w))
+
+
 def _needles(original: str, category: str | None, fragments: bool) -> list[tuple[str, bool]]:
     """(string, whether it is a part only) of what must not be seen: an original, as written in XML too, and parts of a name."""
     if not fragments:
@@ -324,9 +330,8 @@ def _needles(original: str, category: str | None, fragments: bool) -> list[tuple
     escaped = original
     for char, entity in _ESCAPES:
         escaped = escaped.replace(char, entity)
-    words = _TOKEN.findall(original) if category in NAMES else ()
-    parts = [(w, True) for w in words if len(w) >= SHORTEST and w != original and _LETTER.search(w)]
-    return [(needle, False) for needle in dict.fromkeys((original, escaped))] + parts
+    parts = _parts(original) if category in NAMES else ()
+    return [(needle, False) for needle in dict.fromkeys((original, escaped))] + [(w, True) for w in parts]
 
 
 def leak_scan(outputs: DataFrame, table: DataFrame, key: str = "doc_id", fragments: bool = False, listed: int = LISTED) -> DataFrame:
