@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from maskloom import schemas as C
 from maskloom.functions import labels as L
 from maskloom.functions import patterns as P
+from maskloom.functions import tagging as TG
 from maskloom.functions.titles import TITLES
 from maskloom.operators import ordered, redact
 
@@ -105,6 +106,15 @@ def correspondence_table(mentions: DataFrame) -> DataFrame:
     ).select("doc_id", "placeholder", F.lit("").alias("label"), "category", "original")
 
 
+def pattern_mentions(docs: DataFrame, lang: str) -> DataFrame:
+    """Of ``document_mentions`` of the documents tagged by patterns alone, all that ``correspondence_table`` needs.
+
+    A tag comes once per row, with its longest form; nothing is written and no text travels.
+    """
+    found = docs.select("doc_id", TG.pattern_entities(F.col("text"), F.col(lang)).alias("_found"))
+    return found.select("doc_id", F.inline("_found"))
+
+
 def apply_renames(table: DataFrame, renames: DataFrame) -> DataFrame:
     """Fill ``label`` from a (doc_id, placeholder, label) table; either column restores."""
     named = renames.groupBy("doc_id", "placeholder").agg(F.max("label").alias("_label"))
@@ -117,6 +127,18 @@ def unrestorable_tags(table: DataFrame) -> DataFrame:
     return table.where(F.coalesce("original", F.lit("")) == "").select("doc_id", "placeholder", "label", "category")
 
 
+def unrestorable_mentions(mentions: DataFrame) -> DataFrame:
+    """``unrestorable_tags`` of the table of these mentions, whose surface is NULL or empty where it was not stored.
+
+    Lengths are all that is added up, so originals do not travel and tags are counted by hash, not sorted. A tag of
+    several categories, which the labels here never give, takes the least, as in the table.
+    """
+    lengths = mentions.groupBy("doc_id", F.col("tag").alias("placeholder"), "category").agg(
+        F.max(F.coalesce(F.length("surface"), F.lit(0))).alias("_length")
+    )
+    return lengths.where("_length = 0").select("doc_id", "placeholder", F.lit("").alias("label"), "category")
+
+
 def export_masks(spans: DataFrame) -> DataFrame:
     """Detected spans as the masks a person may review: (doc_id, start, end, category, surface, entity)."""
     key = P.entity_key(F.col("category"), F.col("surface"))

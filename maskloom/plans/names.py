@@ -52,8 +52,12 @@ def _table_of(tagged: DataFrame) -> DataFrame:
     return entities.correspondence_table(entities.document_mentions(tagged))
 
 
+def _note_mentions(t: Tables) -> DataFrame:
+    return entities.pattern_mentions(t.notes(), "lang")
+
+
 def _note_table(t: Tables) -> DataFrame:
-    return _table_of(_tagged_notes(t))
+    return entities.correspondence_table(_note_mentions(t))
 
 
 # ---- Names --------------------------------------------------------------------------------------
@@ -260,7 +264,7 @@ UNION ALL SELECT o_orderkey, '[Email 1]', '[Buyer]' FROM {orders} WHERE o_orderk
 
 
 def _renamed(t: Tables, tagged: DataFrame | None = None) -> DataFrame:
-    return entities.apply_renames(_table_of(_tagged_notes(t) if tagged is None else tagged), t.sql(RENAMES))
+    return entities.apply_renames(_note_table(t) if tagged is None else _table_of(tagged), t.sql(RENAMES))
 
 
 @query(f"""WITH {hits_sql(NOTES_CHECK, 'doc_id, lang')}, {TAGS}, {_TABLE}, renames AS ({checked(RENAMES)})
@@ -285,9 +289,8 @@ def prepare_lookup(t: Tables) -> DataFrame:
 SELECT DISTINCT doc_id, tag AS placeholder, '' AS label, category FROM tagged WHERE category IN ('Date', 'IBAN')""")
 def unrestorable_tags(t: Tables) -> DataFrame:
     """Tags whose originals were not stored (here: dates and account numbers)."""
-    table = _note_table(t)
-    lost = F.when(F.col("category").isin("Date", "IBAN"), F.when(F.col("category") == "Date", "")).otherwise(F.col("original"))
-    return entities.unrestorable_tags(table.withColumn("original", lost))
+    lost = F.when(F.col("category").isin("Date", "IBAN"), F.when(F.col("category") == "Date", "")).otherwise(F.col("surface"))
+    return entities.unrestorable_mentions(_note_mentions(t).withColumn("surface", lost))
 
 
 _STRINGS = """SELECT event_id, CASE event_id % 7 WHEN 0 THEN '[' || event_type || ' 1]' WHEN 1 THEN '[]' WHEN 2 THEN '[x' WHEN 3 THEN event_type || ']' WHEN 4 THEN '[é]' WHEN 5 THEN '' ELSE '[[' END AS value FROM {events}"""
