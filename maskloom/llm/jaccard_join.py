@@ -206,11 +206,11 @@ def _bit_words(rows: DataFrame, column: str) -> DataFrame:
     return at.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
 
 
-def _held(sets: DataFrame, wanted: DataFrame) -> DataFrame:
-    """key, n, shingles of the wanted keys and few others, so that the rest never travels."""
-    have = sets.where(F.col("shingles").isNotNull()).select("key", "n", "shingles")  # copies: once per batch
+def _held(sets: DataFrame, wanted: DataFrame, column: str = "shingles") -> DataFrame:
+    """key, n, shingles (or sketch) of the wanted keys and few others, so that the rest never travels."""
+    have = sets.where(F.col("shingles").isNotNull()).select("key", "n", column)  # copies: once per batch
     words = F.broadcast(_bit_words(wanted, "key"))  # of bounded size
-    return have.join(words, _word(F.col("key")) == F.col("word")).where(F.expr("shiftright(bits, cast(shiftrightunsigned(key, %d) & 63 as int)) & 1 = 1" % (64 - TABLE_LOG))).select("key", "n", "shingles").dropDuplicates(["key"])
+    return have.join(words, _word(F.col("key")) == F.col("word")).where(F.expr("shiftright(bits, cast(shiftrightunsigned(key, %d) & 63 as int)) & 1 = 1" % (64 - TABLE_LOG))).select("key", "n", column).dropDuplicates(["key"])
 
 
 def _is_common(table: np.ndarray, shingles: np.ndarray) -> np.ndarray:
@@ -341,9 +341,8 @@ def _joined(regions: DataFrame, sets: DataFrame) -> DataFrame:
         moved = label != np.arange(len(n))
         return keys[label[moved]], keys[moved]
 
-    have = sets.where(F.col("shingles").isNotNull()).select("key", "n", "sketch").dropDuplicates(["key"])
     pairs = pa.schema([("region", pa.int64()), ("key", pa.int64())])
-    left = stored(_per_region(regions.join(have, "key"), ["key", "n", "sketch"], possible, pairs), "possible")
+    left = stored(_per_region(regions.join(_held(sets, regions, "sketch"), "key"), ["key", "n", "sketch"], possible, pairs), "possible")
     ends = pa.schema([("a", pa.int64()), ("b", pa.int64())])
     return _per_region(left.join(_held(sets, left), "key"), ["key", "n", "shingles"], links, ends)
 

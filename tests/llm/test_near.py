@@ -61,6 +61,18 @@ def test_stages_keep_one_of_each(spark):
     assert jaccard_join.keep_one(empty(spark)).count() == 0
 
 
+def test_only_wanted_histograms_travel(spark, monkeypatch):
+    """Every join of regions, even of none, shuffled the histograms of all sets."""
+    sets = jaccard_join.shingle_sets(spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(40)) + f" {i}") for i in range(400)], "doc_id long, text string")).localCheckpoint()
+    keys = [r.key for r in sets.orderBy("doc_id").select("key").collect()]
+    regions = spark.createDataFrame([(1, keys[0]), (1, keys[1]), (2, keys[2])], "region long, key long")
+    asked, held = [], jaccard_join._held
+    monkeypatch.setattr(jaccard_join, "_held", lambda *args: asked.append((held(*args).count(), args[2:])) or held(*args))
+    found = {frozenset(r) for r in jaccard_join._joined(regions, sets).collect()}
+    assert found == {frozenset(keys[:2])}
+    assert [column for _, column in asked] == [("sketch",), ()] and asked[0][0] < 10 and asked[1][0] < 10
+
+
 def test_histograms_never_lose_a_partner():
     rng = np.random.default_rng(1)
     for n in (1, 4, 30, 37, 300, 1200, 5000):
