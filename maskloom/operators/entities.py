@@ -130,8 +130,8 @@ def unrestorable_tags(table: DataFrame) -> DataFrame:
 def unrestorable_mentions(mentions: DataFrame) -> DataFrame:
     """``unrestorable_tags`` of the table of these mentions, whose surface is NULL or empty where it was not stored.
 
-    Lengths are all that is added up, so originals do not travel and tags are counted by hash, not sorted. A tag of
-    several categories, which the labels here never give, takes the least, as in the table.
+    Lengths are all that is added up, so originals do not travel and tags are counted by hash, not sorted. Each
+    category of a tag counts apart; the labels give no tag two of them, so the rows are the table's.
     """
     lengths = mentions.groupBy("doc_id", F.col("tag").alias("placeholder"), "category").agg(
         F.max(F.coalesce(F.length("surface"), F.lit(0))).alias("_length")
